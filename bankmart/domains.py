@@ -51,6 +51,10 @@ SCD2_TRACKED = ["segment", "credit_score", "annual_income", "kyc_status",
 CRITICAL_INACTIVE_DAYS = 180
 LOW_CSAT = 2.5
 HIGH_VALUE_AT_RISK_BALANCE = 50_000
+# churn-priority labels: short form, then detailed form
+PRIORITY_SHORT = ["Critical", "High", "Medium"]
+PRIORITY_DETAILED = ["Critical — High Value", "Critical", "High — Service Issue",
+                     "High — CSAT", "Medium — Escalations", "Medium"]
 CHANNEL_ACTIONS = [("Mobile", "Push notification + app offer"),
                    ("Branch", "Relationship manager outreach"),
                    ("Phone", "Proactive call — retention offer")]

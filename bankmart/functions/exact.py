@@ -1,10 +1,12 @@
 """Order-independent sums of decimal-valued doubles.
 
 Money is stored as double with at most two decimals.  Summing doubles
-depends on the order rows arrive in, which changes with partitioning.  We
-sum fixed-point integers (``LongType`` keeps the aggregate in whole-stage
-codegen, unlike a wide DECIMAL buffer) and divide once at the end, so the
-result is the same on any cluster layout and on reruns.
+depends on the order rows arrive in, which changes with partitioning, so
+reruns and cluster layouts would disagree in the last bits.  We sum
+fixed-point DECIMAL(18, scale) values — exact, and the DECIMAL(28, scale)
+result of SUM cannot overflow at any realistic row count (a 64-bit long
+sum of cents could, and ANSI mode would fail the job) — and convert to
+double once at the end.
 """
 
 from __future__ import annotations
@@ -17,14 +19,13 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def scaled(col, scale: int = 2) -> Column:
-    """Value × 10^scale rounded to a long (exact for scale-decimal data)."""
-    return F.round(_c(col) * F.lit(float(10 ** scale))).cast("long")
+def fixed(col, scale: int = 2) -> Column:
+    return _c(col).cast(f"decimal(18,{scale})")
 
 
 def exact_sum(col, scale: int = 2) -> Column:
-    """SUM over fixed-point longs, returned as double (NULL on no input)."""
-    return F.sum(scaled(col, scale)).cast("double") / F.lit(float(10 ** scale))
+    """SUM over DECIMAL(18, scale), returned as double (NULL on no input)."""
+    return F.sum(fixed(col, scale)).cast("double")
 
 
 def cents_sum(col) -> Column:

@@ -30,8 +30,7 @@ def inlist(values) -> str:
 
 
 def xsum(expr: str, scale: int = 2) -> str:
-    f = float(10 ** scale)
-    return f"(CAST(SUM(CAST(round(({expr}) * {f}::DOUBLE) AS BIGINT)) AS DOUBLE) / {f}::DOUBLE)"
+    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
 def xavg(expr: str, scale: int = 2) -> str:
