@@ -101,3 +101,212 @@ def dq_summary(lake: Lake) -> DataFrame:
 @query("dq_gate")
 def dq_gate(lake: Lake) -> DataFrame:
     return Q.gate(lake.dq_results, lake.cfg)
+
+
+# ── SCD2 over the customer change log ───────────────────────────────────────
+import dataclasses  # noqa: E402
+from datetime import date  # noqa: E402
+
+from bankmart.operators import bronze as B  # noqa: E402
+from bankmart.operators import scd2 as S  # noqa: E402
+from bankmart.operators.dedup import dedup_latest, INGEST_ORDER  # noqa: E402
+from bankmart.sources.adapters import (customer_change_log, TRANSACTION_TIE_BREAK,  # noqa: E402
+                                       transactions_extract, customers_extract)
+
+# parameters of the SCD2 demonstrations
+FIRST_BATCH, SECOND_BATCH = date(1996, 1, 1), date(1997, 1, 1)
+AS_OF_PROBE = date(1998, 6, 30)
+SNAPSHOT_BATCH = "19990101_000000"
+TRACKED = ("segment",)
+
+
+def history(lake: Lake) -> DataFrame:
+    return S.scd2_history(customer_change_log(lake.spark, lake.sf_dir), tracked=TRACKED)
+
+
+def yearly(lake: Lake) -> DataFrame:
+    return S.yearly_batches(customer_change_log(lake.spark, lake.sf_dir), tracked=TRACKED)
+
+
+def batch(lake: Lake, d: date) -> DataFrame:
+    return yearly(lake).where(F.col("batch_date") == F.lit(d)).drop("batch_date")
+
+
+def initial_dim(lake: Lake) -> DataFrame:
+    cfg = dataclasses.replace(lake.cfg, as_of=FIRST_BATCH)
+    return S.scd2_initial(batch(lake, FIRST_BATCH), cfg)
+
+
+@query("scd2_history")
+def scd2_history_q(lake: Lake) -> DataFrame:
+    return history(lake)
+
+
+@query("scd2_current")
+def scd2_current(lake: Lake) -> DataFrame:
+    return S.current_rows(history(lake))
+
+
+@query("scd2_as_of")
+def scd2_as_of_q(lake: Lake) -> DataFrame:
+    return S.scd2_as_of(history(lake), AS_OF_PROBE)
+
+
+@query("scd2_counts")
+def scd2_counts_q(lake: Lake) -> DataFrame:
+    return S.scd2_counts(history(lake))
+
+
+@query("scd2_initial")
+def scd2_initial_q(lake: Lake) -> DataFrame:
+    return initial_dim(lake)
+
+
+@query("scd2_new_keys")
+def scd2_new_keys_q(lake: Lake) -> DataFrame:
+    return S.scd2_new_keys(initial_dim(lake), batch(lake, SECOND_BATCH))
+
+
+@query("scd2_changed_keys")
+def scd2_changed_keys_q(lake: Lake) -> DataFrame:
+    return S.scd2_changed_keys(initial_dim(lake), batch(lake, SECOND_BATCH), tracked=TRACKED)
+
+
+# ── Bronze and layer-level queries ──────────────────────────────────────────
+def multi_batch_bronze(lake: Lake) -> DataFrame:
+    """Append-only customer Bronze holding one batch per year of changes."""
+    y = yearly(lake)
+    return y.withColumns({
+        "_source_system": F.lit("CRM"), "_source_file": F.lit("customers.csv"),
+        "_batch_id": F.concat(F.date_format("batch_date", "yyyyMMdd"), F.lit("_000000")),
+        "_ingest_ts": F.col("batch_date").cast("timestamp_ntz"),
+        "_batch_date": F.date_format("batch_date", "yyyy-MM-dd"),
+        "_is_current": F.lit(True)}).drop("batch_date")
+
+
+@query("snapshot_as_of")
+def snapshot_as_of(lake: Lake) -> DataFrame:
+    return B.snapshot_as_of(multi_batch_bronze(lake), "customer_id", batch_id=SNAPSHOT_BATCH)
+
+
+@query("batch_ledger")
+def batch_ledger(lake: Lake) -> DataFrame:
+    return B.batch_ledger(multi_batch_bronze(lake))
+
+
+@query("bronze_stamp")
+def bronze_stamp(lake: Lake) -> DataFrame:
+    return lake.bronze("customers")
+
+
+@query("table_scan")
+def table_scan(lake: Lake) -> DataFrame:
+    return transactions_extract(lake.spark, lake.sf_dir, lake.cfg)
+
+
+@query("dedup_latest")
+def dedup_latest_q(lake: Lake) -> DataFrame:
+    d = dedup_latest(lake.bronze("transactions"), ["transaction_id"],
+                     INGEST_ORDER + TRANSACTION_TIE_BREAK)
+    return d.select("transaction_id", "transaction_date", "reference_number", "amount")
+
+
+@query("schema_evolve")
+def schema_evolve(lake: Lake) -> DataFrame:
+    """Batch 1 lacks ``loyalty_tier``; batch 2 adds it; NULL fills the gap."""
+    ext = customers_extract(lake.spark, lake.sf_dir, lake.cfg)
+    even = F.col("customer_id").cast("long") % 2 == 0
+    cfg1 = dataclasses.replace(lake.cfg, batch_id="20011103_000000", as_of=date(2001, 11, 3))
+    b1 = B.stamp(ext.where(even), "CRM", "customers.csv", cfg1)
+    b2 = B.stamp(ext.where(~even), "CRM", "customers.csv", lake.cfg).withColumn(
+        "loyalty_tier", F.when(F.col("credit_score") >= 740, "Gold").otherwise("Standard"))
+    return B.schema_evolve(b1, b2)
+
+
+@query("layer_audit")
+def layer_audit(lake: Lake) -> DataFrame:
+    """Row count per table, a TOTAL per layer and an overall total, from
+    one union of counts rolled up (each table is scanned once)."""
+    tables = [("bronze", n, lake.bronze(n)) for n in
+              ["customers", "accounts", "transactions", "branches", "support_tickets"]]
+    tables += [("silver", n, getattr(lake, n)) for n in Lake.SILVER]
+    tables += [("gold", n, getattr(lake, n)) for n in Lake.GOLD]
+    counts = None
+    for layer, name, df in tables:
+        c = df.agg(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+                   F.count(F.lit(1)).alias("row_count"))
+        counts = c if counts is None else counts.unionByName(c)
+    r = counts.rollup("layer", "table_name").agg(F.sum("row_count").alias("row_count"),
+                                                 F.grouping_id().alias("_g"))
+    return r.select(F.coalesce("layer", F.lit("ALL")).alias("layer"),
+                    F.when(F.col("_g") > 0, F.lit("TOTAL")).otherwise(F.col("table_name"))
+                     .alias("table_name"),
+                    F.col("row_count").cast("long").alias("row_count"))
+
+
+@query("pk_check")
+def pk_check(lake: Lake) -> DataFrame:
+    """Declared primary keys of the serving tables: uniqueness before load."""
+    out = None
+    for table, key in [("customer_360", "customer_id"), ("segment_metrics", "segment")]:
+        k = F.col(key)
+        c = getattr(lake, table).agg(
+            F.lit(table).alias("table_name"), F.lit(key).alias("key_column"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.countDistinct(k).alias("distinct_keys"),
+            F.count_if(k.isNull()).alias("null_keys"))
+        out = c if out is None else out.unionByName(c)
+    return out.withColumn("is_unique", (F.col("row_count") == F.col("distinct_keys"))
+                          & (F.col("null_keys") == 0))
+
+
+@query("c360_sample")
+def c360_sample(lake: Lake, n: int = 3) -> DataFrame:
+    return (lake.customer_360.orderBy("customer_id")
+            .select("first_name", "last_name", "segment", "total_balance", "credit_score",
+                    "total_transactions", "churn_risk_flag", "high_value_flag")
+            .limit(n))
+
+
+@query("partition_values")
+def partition_values(lake: Lake) -> DataFrame:
+    return (lake.silver_transactions.select("txn_year", "txn_month").distinct()
+            .orderBy("txn_year", "txn_month"))
+
+
+PRUNE_YEAR, PRUNE_MONTH = 1998, 3
+
+
+@query("partition_pruned_count")
+def partition_pruned_count(lake: Lake) -> DataFrame:
+    t = lake.silver_transactions
+    return (t.where((F.col("txn_year") == PRUNE_YEAR) & (F.col("txn_month") == PRUNE_MONTH))
+             .agg(F.count(F.lit(1)).alias("row_count")))
+
+
+# ── bands and flags (as applied in Silver / Gold) ───────────────────────────
+@query("band_age")
+def band_age(lake: Lake) -> DataFrame:
+    return lake.silver_customers.select("customer_id", "age", "age_band")
+
+
+@query("band_income")
+def band_income(lake: Lake) -> DataFrame:
+    return lake.silver_customers.select("customer_id", "annual_income", "income_tier")
+
+
+@query("band_credit")
+def band_credit(lake: Lake) -> DataFrame:
+    return lake.silver_customers.select("customer_id", "credit_score", "credit_band")
+
+
+@query("churn_flag")
+def churn_flag_q(lake: Lake) -> DataFrame:
+    return lake.customer_360.select("customer_id", "days_since_last_txn", "avg_csat_score",
+                                    "escalated_tickets", "churn_risk_flag")
+
+
+@query("high_value_flag")
+def high_value_flag_q(lake: Lake) -> DataFrame:
+    return lake.customer_360.select("customer_id", "total_balance", "segment",
+                                    "high_value_flag")
