@@ -48,8 +48,12 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
     out.write.mode("append").partitionBy(*parts).parquet(path)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Read all batches; ``mergeSchema`` unions additive column changes."""
+def read_bronze(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read all batches.  With ``schema`` the column types (partition
+    columns included) are fixed; without, ``mergeSchema`` unions additive
+    column changes across batches."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 

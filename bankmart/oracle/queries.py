@@ -235,3 +235,4 @@ def add(key: str, sql: str) -> None:
 from bankmart.oracle import dq as _dq  # noqa: E402,F401  (registers DQ oracles)
 from bankmart.oracle import more as _more  # noqa: E402,F401
 from bankmart.oracle import dashboard as _dashboard  # noqa: E402,F401
+from bankmart.oracle import jobs as _jobs  # noqa: E402,F401

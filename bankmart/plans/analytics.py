@@ -21,7 +21,9 @@ from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
 from bankmart.sources.adapters import customer_change_log
 
-ALL = Window.partitionBy()  # whole (already aggregated, bounded) frame
+def whole() -> Window:
+    """The whole (already aggregated, bounded) frame as one window."""
+    return Window.partitionBy()
 
 
 def customer_name() -> Column:
@@ -53,7 +55,7 @@ def q1_segment_summary(lake: Lake) -> DataFrame:
         F.round(F.avg("product_diversity_count"), 1).alias("avg_products_held"))
     return (seg.withColumn("pct_of_total",
                            F.round(F.col("customer_count") * 100.0
-                                   / F.sum("customer_count").over(ALL), 1))
+                                   / F.sum("customer_count").over(whole()), 1))
                .orderBy(F.col("aum_millions").desc()))
 
 

@@ -15,7 +15,7 @@ from bankmart import domains as D
 from bankmart.functions.bands import band, lower_bound_band
 from bankmart.functions.exact import exact_sum
 from bankmart.operators.joins import broadcast_if_small, lookup_join
-from bankmart.plans.analytics import ALL, customer_name, is_true
+from bankmart.plans.analytics import whole, customer_name, is_true
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
 from bankmart.plans.views import (v1_executive_kpis, v4_churn_detail,
@@ -243,7 +243,7 @@ def tickets_rolling_30d(lake: Lake, days: int = 30) -> DataFrame:
 def flagged_vs_average(lake: Lake) -> DataFrame:
     v5 = v5_monthly_trend(lake)
     return (v5.select("period", "txn_year", "txn_month", "flagged_txns",
-                      (F.col("flagged_txns") > F.avg("flagged_txns").over(ALL))
+                      (F.col("flagged_txns") > F.avg("flagged_txns").over(whole()))
                        .alias("above_average"))
               .orderBy("txn_year", "txn_month"))
 

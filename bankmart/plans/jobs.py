@@ -1 +1,171 @@
-"""placeholder"""
+"""Write-and-read-back jobs (IO keys) and catalogue listings.
+
+Every job writes below the cluster's shared folder (``spark.checkpoint.dir``)
+into a fresh path and returns the read-back table, so the lineage is cut at
+each write and a lost executor only costs the tasks of the current stage.
+"""
+
+from __future__ import annotations
+
+import dataclasses
+from datetime import date
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from bankmart import schemas
+from bankmart.operators import bronze as B
+from bankmart.operators import layout, quality, scd2, serving
+from bankmart.plans import marts
+from bankmart.plans.catalogue import query
+from bankmart.plans.lake import Lake
+from bankmart.session import scratch_path
+from bankmart.sources import csv as csv_src
+from bankmart.sources.adapters import customers_extract
+
+
+@query("csv_scan")
+def csv_scan(lake: Lake) -> DataFrame:
+    """Land the customer extract as headered CSV, read it back typed."""
+    path = scratch_path(lake.spark, "landing-customers")
+    csv_src.write_landing_csv(customers_extract(lake.spark, lake.sf_dir, lake.cfg), path)
+    return csv_src.read_csv(lake.spark, path, schemas.CUSTOMERS)
+
+
+def bronze_schema(name: str, partition_cols: list[str]) -> T.StructType:
+    fields = list(schemas.SOURCES[name].fields)
+    fields += [T.StructField("_source_system", T.StringType()),
+               T.StructField("_source_file", T.StringType()),
+               T.StructField("_batch_id", T.StringType()),
+               T.StructField("_ingest_ts", T.TimestampNTZType()),
+               T.StructField("_batch_date", T.StringType()),
+               T.StructField("_is_current", T.BooleanType())]
+    fields += [T.StructField(c, T.StringType()) for c in partition_cols]
+    return T.StructType(fields)
+
+
+def land_bronze(lake: Lake, root: str) -> dict[str, str]:
+    """Append today's batch of every source to its Bronze table: facts by
+    business month, other entities by batch date, branches full refresh."""
+    paths = {}
+    for name in schemas.SOURCES:
+        path = f"{root}/{name}"
+        df = lake.bronze(name)
+        date_col = schemas.SOURCE_META[name][2]
+        if name == "branches":
+            B.full_refresh(df, path)
+        else:
+            B.append(df, path, business_date=date_col)
+        paths[name] = path
+    return paths
+
+
+@query("bronze_append")
+def bronze_append(lake: Lake) -> DataFrame:
+    paths = land_bronze(lake, scratch_path(lake.spark, "bronze"))
+    return B.read_bronze(lake.spark, paths["transactions"],
+                         bronze_schema("transactions", ["_month"]))
+
+
+@query("full_refresh")
+def full_refresh(lake: Lake) -> DataFrame:
+    """Overwrite a reference table twice; only the last state survives."""
+    path = scratch_path(lake.spark, "branches")
+    br = lake.bronze("branches")
+    B.full_refresh(br.where(F.col("branch_id").cast("long") % 2 == 0), path)
+    B.full_refresh(br, path)
+    return lake.spark.read.schema(bronze_schema("branches", [])).parquet(path)
+
+
+@query("partitioned_overwrite")
+def partitioned_overwrite(lake: Lake) -> DataFrame:
+    """Silver transactions by (txn_year, txn_month); then one month is
+    rebuilt with a dynamic partition overwrite, leaving the others."""
+    path = scratch_path(lake.spark, "silver-transactions")
+    txns = lake.silver_transactions
+    layout.write_partitioned(txns, path, ["txn_year", "txn_month"])
+    month = txns.where((F.col("txn_year") == marts.PRUNE_YEAR)
+                       & (F.col("txn_month") == marts.PRUNE_MONTH))
+    layout.write_partitioned(month, path, ["txn_year", "txn_month"], dynamic=True)
+    return lake.spark.read.schema(txns.schema).parquet(path)
+
+
+@query("scd2_apply")
+def scd2_apply(lake: Lake) -> DataFrame:
+    """Replay the yearly change batches through SCD2 apply.  Each step
+    writes the next dimension to a fresh folder (Parquet cannot be merged
+    or overwritten while read) and continues from the written table."""
+    yb = marts.yearly(lake)
+    batch_dates = [r[0] for r in yb.select("batch_date").distinct()
+                   .orderBy("batch_date").collect()]       # one row per yearly batch
+    root = scratch_path(lake.spark, "scd2")
+    dim = None
+    for i, d in enumerate(batch_dates):
+        cfg = dataclasses.replace(lake.cfg, as_of=d)
+        incoming = yb.where(F.col("batch_date") == F.lit(d)).drop("batch_date")
+        nxt = (scd2.scd2_initial(incoming, cfg) if dim is None
+               else scd2.scd2_apply(dim, incoming, cfg, tracked=marts.TRACKED))
+        path = f"{root}/v{i:04d}"
+        nxt.write.mode("overwrite").parquet(path)
+        dim = lake.spark.read.parquet(path)
+    return dim
+
+
+@query("dq_audit_append")
+def dq_audit_append(lake: Lake) -> DataFrame:
+    """Append two runs' DQ results to the audit table and read it back."""
+    path = scratch_path(lake.spark, "dq-audit")
+    earlier = dataclasses.replace(lake.cfg, batch_id="20011103_000000",
+                                  run_ts=lake.cfg.run_ts.replace(day=3))
+    for cfg in (earlier, lake.cfg):
+        quality.run_suites(lake, cfg).write.mode("append").parquet(path)
+    return lake.spark.read.schema(schemas.DQ_RESULTS).parquet(path)
+
+
+@query("clustered_rewrite")
+def clustered_rewrite(lake: Lake) -> DataFrame:
+    path = scratch_path(lake.spark, "c360-clustered")
+    layout.clustered_rewrite(lake.customer_360, path, ["segment", "state"])
+    return lake.spark.read.parquet(path)
+
+
+def _small_file_copy(lake: Lake) -> str:
+    path = scratch_path(lake.spark, "txn-small-files")
+    lake.silver_transactions.repartition(32).write.mode("overwrite").parquet(path)
+    return path
+
+
+@query("compact_files")
+def compact_files(lake: Lake) -> DataFrame:
+    src = _small_file_copy(lake)
+    dst = scratch_path(lake.spark, "txn-compacted")
+    layout.compact(lake.spark, src, dst)
+    return lake.spark.read.parquet(dst)
+
+
+@query("file_stats")
+def file_stats(lake: Lake) -> DataFrame:
+    src = _small_file_copy(lake)
+    return layout.file_stats(lake.spark, src).withColumn("table_name", F.lit("silver_transactions"))
+
+
+@query("serving_load")
+def serving_load(lake: Lake) -> DataFrame:
+    """Stage the Customer 360 mart as Parquet, load it with the serving
+    types (bad rows to a reject folder), read the loaded table back."""
+    stage = scratch_path(lake.spark, "stage-c360")
+    lake.customer_360.write.mode("overwrite").parquet(stage)
+    loaded, rejects = serving.typed_load(lake.spark.read.parquet(stage), cfg=lake.cfg)
+    out = scratch_path(lake.spark, "serving-c360")
+    loaded.write.mode("overwrite").parquet(out)
+    rejects.write.mode("overwrite").parquet(out + "-rejects")
+    return lake.spark.read.parquet(out)
+
+
+@query("registered_tables")
+def registered_tables(lake: Lake) -> DataFrame:
+    """Register the marts and views in the session catalogue, list them."""
+    from bankmart.plans.views import register_views
+    register_views(lake)
+    return lake.spark.sql("SHOW VIEWS")

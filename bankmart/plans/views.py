@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bankmart import domains as D
 from bankmart.functions.exact import exact_sum, exact_avg
 from bankmart.functions.lookup import case_map
-from bankmart.plans.analytics import (ALL, customer_name, flag_count, holds,
+from bankmart.plans.analytics import (whole, customer_name, flag_count, holds,
                                       is_false, is_true, monthly_rollup)
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
@@ -45,9 +45,9 @@ def v2_segment_breakdown(lake: Lake) -> DataFrame:
     return (s.select(
                 "segment", "customer_count",
                 F.round(F.col("customer_count") * 100.0
-                        / F.sum("customer_count").over(ALL), 1).alias("pct_of_customers"),
+                        / F.sum("customer_count").over(whole()), 1).alias("pct_of_customers"),
                 F.round(F.col("aum_total") / 1e6, 2).alias("aum_millions"),
-                F.round(F.col("aum_total") * 100.0 / F.sum("aum_total").over(ALL), 1)
+                F.round(F.col("aum_total") * 100.0 / F.sum("aum_total").over(whole()), 1)
                  .alias("pct_of_aum"),
                 F.round("avg_total_balance", 0).alias("avg_balance"),
                 F.round("avg_credit_score", 0).alias("avg_credit_score"),
