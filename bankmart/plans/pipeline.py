@@ -1,0 +1,108 @@
+"""The daily batch: Bronze → Silver (SCD2) → DQ gate → Gold → serving.
+
+Tables pass between stages only through the warehouse folder (each stage
+reads what the previous one wrote), so any stage can be rerun alone and a
+failure never leaves a half-built in-memory lineage.  Versioned tables
+(the SCD2 dimension) are written to a new folder per batch; the newest
+folder is the current version.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bankmart.config import RunConfig, DEFAULT
+from bankmart.operators import bronze as B
+from bankmart.operators import gold, quality, scd2, serving, silver
+from bankmart.plans.jobs import bronze_schema, land_bronze
+from bankmart.plans.lake import Lake
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_versions(spark: SparkSession, base: str) -> list[str]:
+    """Committed version folders (``v=<batch_id>`` with a _SUCCESS marker)."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(name[2:])
+    return sorted(out)
+
+
+@dataclass
+class RunResult:
+    paths: dict
+    dq: dict
+
+
+def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAULT) -> RunResult:
+    lake = Lake(spark, sf_dir, cfg)
+    paths = {}
+
+    # Bronze: append today's batch
+    bronze_paths = land_bronze(lake, f"{warehouse}/bronze")
+    month_parted = {"transactions", "support_tickets"}
+    bz = {n: B.read_bronze(spark, p, bronze_schema(n, ["_month"] if n in month_parted else []))
+          for n, p in bronze_paths.items()}
+    # today's batch only (Bronze keeps every batch)
+    today = {n: df.where(F.col("_batch_id") == cfg.batch_id) for n, df in bz.items()}
+
+    # Silver: SCD2 customers against the newest committed version
+    cust_base = f"{warehouse}/silver/customers"
+    incoming = silver.clean_customers(today["customers"], cfg)
+    versions = list_versions(spark, cust_base)
+    prior = [v for v in versions if v < cfg.batch_id]
+    if cfg.batch_id in versions:
+        dim_path = f"{cust_base}/v={cfg.batch_id}"           # rerun: already committed
+    else:
+        dim = (scd2.scd2_apply(spark.read.parquet(f"{cust_base}/v={prior[-1]}"), incoming, cfg)
+               if prior else scd2.scd2_initial(incoming, cfg))
+        dim_path = f"{cust_base}/v={cfg.batch_id}"
+        dim.write.mode("overwrite").parquet(dim_path)
+    paths["silver_customers"] = dim_path
+    builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
+                "silver_transactions": silver.silver_transactions(bz["transactions"], cfg),
+                "silver_branches": silver.silver_branches(today["branches"], cfg),
+                "silver_tickets": silver.silver_tickets(bz["support_tickets"], cfg)}
+    for name, df in builders.items():
+        path = f"{warehouse}/silver/{name}"
+        if name == "silver_transactions":
+            df.write.mode("overwrite").partitionBy("txn_year", "txn_month").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+
+    read = {n: spark.read.parquet(p) for n, p in paths.items()}
+    lake._tables.update(read)
+
+    # DQ on Silver, audit append, gate before Gold
+    dq = quality.run_suites(lake, cfg)
+    dq_path = f"{warehouse}/audit/dq_results"
+    dq.write.mode("append").parquet(dq_path)
+    latest = spark.read.parquet(dq_path).where(F.col("batch_id") == cfg.batch_id)
+    decision = quality.enforce_gate(latest, cfg)
+
+    # Gold marts (customer 360 first; segment metrics read the written mart)
+    for name in Lake.GOLD:
+        path = f"{warehouse}/gold/{name}"
+        getattr(lake, name).write.mode("overwrite").parquet(path)
+        lake._tables[name] = spark.read.parquet(path)
+        paths[name] = path
+
+    # Serving copy of the Customer 360 mart, bad rows to rejects
+    loaded, rejects = serving.typed_load(lake.customer_360, cfg=cfg)
+    loaded.write.mode("overwrite").parquet(f"{warehouse}/serving/customer_360")
+    rejects.write.mode("overwrite").parquet(f"{warehouse}/serving/customer_360_rejects")
+    paths["serving_customer_360"] = f"{warehouse}/serving/customer_360"
+    return RunResult(paths=paths, dq=decision)
