@@ -70,7 +70,7 @@ def test_customer_standardisation_and_age(spark):
     cfg = RunConfig()
     b = bronze_frame(spark, "customers", [dict(
         customer_id="c1", email="  Some.One@Example.COM ", state=" ny ", kyc_status=" Verified ",
-        date_of_birth="1971-11-04", customer_since="1991-11-04", credit_score=700,
+        date_of_birth="1971-11-05", customer_since="1991-11-04", credit_score=700,
         annual_income=60000.0, segment="Retail")])
     r = silver.silver_customers(b, cfg).first()
     assert (r["email"], r["state"], r["kyc_status"]) == ("some.one@example.com", "NY", "Verified")
