@@ -109,6 +109,7 @@ class Lake:
 
     @classmethod
     def materialized(cls, spark, sf_dir, root, cfg: RunConfig = DEFAULT) -> "Lake":
+        """Silver, then the DQ audit of Silver, then Gold — the daily order."""
         lake = cls(spark, sf_dir, cfg)
-        lake.write_layer(root, cls.SILVER + cls.GOLD)
+        lake.write_layer(root, cls.SILVER + ["dq_results"] + cls.GOLD)
         return lake
