@@ -37,7 +37,9 @@ def month_key(date_text_col: str) -> F.Column:
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
            business_date: str | None = None) -> None:
     """Append one batch.  Facts are partitioned by business month, other
-    sources by batch date."""
+    sources by batch date; the batch id is the innermost partition and the
+    write replaces only that batch's partitions (dynamic overwrite), so
+    rerunning a batch never duplicates it while earlier batches stay."""
     out = df
     parts = list(partition_by or [])
     if business_date is not None:
@@ -45,7 +47,8 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
         parts = ["_month"] + parts
     elif not parts:
         parts = ["_batch_date"]
-    out.write.mode("append").partitionBy(*parts).parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*parts, "_batch_id").parquet(path))
 
 
 def read_bronze(spark: SparkSession, path: str, schema=None) -> DataFrame:

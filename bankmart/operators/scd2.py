@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankmart import domains as D
 from bankmart.config import RunConfig, DEFAULT
@@ -149,3 +150,57 @@ def yearly_batches(log: DataFrame, key: str = "customer_id",
                .agg(F.max_by(F.struct(*tracked), F.struct(effective, seq)).alias("_s"))
                .select(key, F.make_date(F.col("_y") + 1, F.lit(1), F.lit(1)).alias("batch_date"),
                        *[F.col(f"_s.{c}").alias(c) for c in tracked]))
+
+
+# ── versioned storage: closed history append-only, current rewritten ────────
+#
+#   <root>/batch=<batch_id>/scd_is_current=false/   versions closed by that batch
+#   <root>/batch=<batch_id>/scd_is_current=true/    all current versions after it
+#
+# Each batch writes O(current customers) rows; closed history is never
+# rewritten.  The dimension = every batch's closed rows + the newest
+# batch's current rows.  A batch folder without _SUCCESS is ignored.
+
+def _store_schema(schema: T.StructType) -> T.StructType:
+    fields = [f for f in schema.fields if f.name != "scd_is_current"]
+    return T.StructType(fields + [T.StructField("batch", T.StringType()),
+                                  T.StructField("scd_is_current", T.BooleanType())])
+
+
+def store_batches(spark, root: str) -> list[str]:
+    from bankmart.session import committed_subdirs
+    return committed_subdirs(spark, root, "batch=")
+
+
+def store_read(spark, root: str, schema: T.StructType, current_only: bool = False):
+    """The dimension (or only its current versions) from a store; None if
+    the store has no committed batch."""
+    batches = store_batches(spark, root)
+    if not batches:
+        return None
+    latest = batches[-1]
+    paths = [f"{root}/batch={latest}"] if current_only else [f"{root}/batch={b}" for b in batches]
+    df = (spark.read.schema(_store_schema(schema)).option("basePath", root).parquet(*paths))
+    keep = (F.col("batch") == latest) & F.col("scd_is_current") if current_only else \
+        (~F.col("scd_is_current")) | (F.col("batch") == latest)
+    return df.where(keep).select(*schema.fieldNames())
+
+
+def store_apply(spark, root: str, batch_id: str, incoming: DataFrame, cfg: RunConfig,
+                key: str = "customer_id", tracked: Sequence[str] = D.SCD2_TRACKED) -> None:
+    """Apply one batch to the store (idempotent per ``batch_id``: a
+    committed batch is not applied again)."""
+    batches = store_batches(spark, root)
+    if batch_id in batches:
+        return
+    prior = [b for b in batches if b < batch_id]
+    if prior:
+        schema = scd2_initial(incoming, cfg).schema
+        cur_path = f"{root}/batch={prior[-1]}"
+        current = (spark.read.schema(_store_schema(schema)).option("basePath", root)
+                   .parquet(cur_path).where(F.col("scd_is_current"))
+                   .select(*schema.fieldNames()))
+        rows = scd2_apply(current, incoming, cfg, key, tracked)
+    else:
+        rows = scd2_initial(incoming, cfg)
+    rows.write.mode("overwrite").partitionBy("scd_is_current").parquet(f"{root}/batch={batch_id}")

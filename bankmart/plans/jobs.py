@@ -93,23 +93,21 @@ def partitioned_overwrite(lake: Lake) -> DataFrame:
 
 @query("scd2_apply")
 def scd2_apply(lake: Lake) -> DataFrame:
-    """Replay the yearly change batches through SCD2 apply.  Each step
-    writes the next dimension to a fresh folder (Parquet cannot be merged
-    or overwritten while read) and continues from the written table."""
+    """Replay the yearly change batches through SCD2 apply into a versioned
+    store (closed history append-only, current versions rewritten per
+    batch) and read the whole dimension back."""
     yb = marts.yearly(lake)
     batch_dates = [r[0] for r in yb.select("batch_date").distinct()
                    .orderBy("batch_date").collect()]       # one row per yearly batch
-    root = scratch_path(lake.spark, "scd2")
-    dim = None
-    for i, d in enumerate(batch_dates):
+    root = scratch_path(lake.spark, "scd2-store")
+    schema = None
+    for d in batch_dates:
         cfg = dataclasses.replace(lake.cfg, as_of=d)
         incoming = yb.where(F.col("batch_date") == F.lit(d)).drop("batch_date")
-        nxt = (scd2.scd2_initial(incoming, cfg) if dim is None
-               else scd2.scd2_apply(dim, incoming, cfg, tracked=marts.TRACKED))
-        path = f"{root}/v{i:04d}"
-        nxt.write.mode("overwrite").parquet(path)
-        dim = lake.spark.read.parquet(path)
-    return dim
+        schema = schema or scd2.scd2_initial(incoming, cfg).schema
+        scd2.store_apply(lake.spark, root, d.strftime("%Y%m%d") + "_000000", incoming, cfg,
+                         tracked=marts.TRACKED)
+    return scd2.store_read(lake.spark, root, schema)
 
 
 @query("dq_audit_append")

@@ -21,25 +21,6 @@ from bankmart.plans.jobs import bronze_schema, land_bronze
 from bankmart.plans.lake import Lake
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def list_versions(spark: SparkSession, base: str) -> list[str]:
-    """Committed version folders (``v=<batch_id>`` with a _SUCCESS marker)."""
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(name[2:])
-    return sorted(out)
-
-
 @dataclass
 class RunResult:
     paths: dict
@@ -58,19 +39,13 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     # today's batch only (Bronze keeps every batch)
     today = {n: df.where(F.col("_batch_id") == cfg.batch_id) for n, df in bz.items()}
 
-    # Silver: SCD2 customers against the newest committed version
-    cust_base = f"{warehouse}/silver/customers"
+    # Silver: SCD2 customers, versioned store (closed history append-only)
+    cust_root = f"{warehouse}/silver/customers_scd2"
     incoming = silver.clean_customers(today["customers"], cfg)
-    versions = list_versions(spark, cust_base)
-    prior = [v for v in versions if v < cfg.batch_id]
-    if cfg.batch_id in versions:
-        dim_path = f"{cust_base}/v={cfg.batch_id}"           # rerun: already committed
-    else:
-        dim = (scd2.scd2_apply(spark.read.parquet(f"{cust_base}/v={prior[-1]}"), incoming, cfg)
-               if prior else scd2.scd2_initial(incoming, cfg))
-        dim_path = f"{cust_base}/v={cfg.batch_id}"
-        dim.write.mode("overwrite").parquet(dim_path)
-    paths["silver_customers"] = dim_path
+    scd2.store_apply(spark, cust_root, cfg.batch_id, incoming, cfg)
+    lake._tables["silver_customers"] = scd2.store_read(
+        spark, cust_root, scd2.scd2_initial(incoming, cfg).schema)
+    paths["silver_customers"] = cust_root
     builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
                 "silver_transactions": silver.silver_transactions(bz["transactions"], cfg),
                 "silver_branches": silver.silver_branches(today["branches"], cfg),
@@ -83,8 +58,8 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
             df.write.mode("overwrite").parquet(path)
         paths[name] = path
 
-    read = {n: spark.read.parquet(p) for n, p in paths.items()}
-    lake._tables.update(read)
+    lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
+                         if n != "silver_customers"})
 
     # DQ on Silver, audit append, gate before Gold
     dq = quality.run_suites(lake, cfg)

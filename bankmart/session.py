@@ -55,3 +55,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/"):
         os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
+
+
+def committed_subdirs(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    """Names (after ``prefix``) of sub-folders of ``base`` that hold a
+    ``_SUCCESS`` marker, sorted.  A folder left by a failed write has no
+    marker and is ignored (and overwritten by the rerun).  Uses the
+    cluster file system through the Hadoop API (metadata only)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        p = st.getPath()
+        name = p.getName()
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            out.append(name[len(prefix):])
+    return sorted(out)
