@@ -35,21 +35,60 @@ C360_SERVING = [
     ("churn_risk_flag", "boolean", None), ("high_value_flag", "boolean", None),
     ("gold_created_at", "timestamp_ntz", None),
 ]
+TXN_MONTHLY_SERVING = [
+    ("customer_id", "string", 36), ("txn_year", "int", None), ("txn_month", "int", None),
+    ("period", "string", 7), ("txn_count", "int", None), ("total_debit", "double", None),
+    ("total_credit", "double", None), ("avg_txn_amount", "double", None),
+    ("max_fraud_score", "double", None), ("flagged_count", "int", None),
+    ("channels_used", "int", None), ("net_flow", "double", None),
+]
+SEGMENT_SERVING = [
+    ("segment", "string", 50), ("customer_count", "int", None),
+    ("avg_total_balance", "double", None), ("avg_credit_score", "double", None),
+    ("avg_annual_income", "double", None), ("avg_products_held", "double", None),
+    ("avg_txn_count", "double", None), ("avg_spend_12m", "double", None),
+    ("aum_total", "double", None), ("churn_risk_count", "int", None),
+    ("high_value_count", "int", None), ("churn_risk_pct", "double", None),
+    ("high_value_pct", "double", None), ("avg_csat", "double", None),
+    ("avg_tenure_years", "double", None), ("calculated_at", "timestamp_ntz", None),
+]
+SUPPORT_SERVING = [
+    ("created_date", "date", None), ("category", "string", 100), ("priority", "string", 20),
+    ("ticket_count", "int", None), ("escalation_count", "int", None),
+    ("avg_resolution_days", "double", None), ("avg_csat", "double", None),
+    ("distinct_customers", "int", None), ("resolved_count", "int", None),
+    ("resolution_rate", "double", None), ("escalation_rate", "double", None),
+    ("calculated_at", "timestamp_ntz", None),
+]
+DQ_SERVING = [
+    ("batch_id", "string", 20), ("run_ts", "string", 30), ("table_name", "string", 100),
+    ("check_name", "string", 200), ("rule", "string", 500), ("status", "string", 10),
+    ("failing_count", "int", None), ("total_count", "int", None), ("pass_pct", "double", None),
+]
+# serving table → (spec, NOT NULL columns)
+SERVING = {
+    "customer_360": (C360_SERVING, {"customer_id"}),
+    "txn_monthly_summary": (TXN_MONTHLY_SERVING, {"customer_id"}),
+    "segment_metrics": (SEGMENT_SERVING, {"segment"}),
+    "support_kpis": (SUPPORT_SERVING, set()),
+    "dq_results": (DQ_SERVING, set()),
+}
 NOT_NULL = {"customer_id"}
 
 
-def _problem(name: str, typ: str, max_len) -> Column:
+def _problem(name: str, typ: str, max_len, not_null=NOT_NULL) -> Column:
     src = F.col(name)
     cast = src.try_cast(typ)
     bad = src.isNotNull() & cast.isNull()
     if max_len is not None:
         bad = bad | (F.length(src.cast("string")) > max_len)
-    if name in NOT_NULL:
+    if name in not_null:
         bad = bad | src.isNull()
     return bad
 
 
-def typed_load(staged: DataFrame, spec=C360_SERVING, cfg: RunConfig = DEFAULT):
+def typed_load(staged: DataFrame, spec=C360_SERVING, cfg: RunConfig = DEFAULT,
+               not_null=NOT_NULL):
     """Return ``(loaded, rejects)``.
 
     A row is rejected when a non-NULL value does not cast to the declared
@@ -57,10 +96,15 @@ def typed_load(staged: DataFrame, spec=C360_SERVING, cfg: RunConfig = DEFAULT):
     telling "was NULL" apart from "failed cast" with ``c IS NOT NULL AND
     try_cast(c) IS NULL``.  Loaded rows get the load timestamp.
     """
-    bad = reduce(lambda a, b: a | b, [_problem(n, t, m) for n, t, m in spec])
+    bad = reduce(lambda a, b: a | b, [_problem(n, t, m, not_null) for n, t, m in spec])
     flagged = staged.withColumn("_rejected", bad)
     loaded = (flagged.where(~F.col("_rejected"))
               .select(*[F.col(n).try_cast(t).alias(n) for n, t, _ in spec],
                       cfg.run_ts_col().alias("_sf_load_ts")))
     rejects = flagged.where(F.col("_rejected")).drop("_rejected")
     return loaded, rejects
+
+
+def load_table(staged: DataFrame, table: str, cfg: RunConfig = DEFAULT):
+    spec, not_null = SERVING[table]
+    return typed_load(staged, spec, cfg, not_null)

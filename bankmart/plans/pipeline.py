@@ -75,9 +75,11 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
         lake._tables[name] = spark.read.parquet(path)
         paths[name] = path
 
-    # Serving copy of the Customer 360 mart, bad rows to rejects
-    loaded, rejects = serving.typed_load(lake.customer_360, cfg=cfg)
-    loaded.write.mode("overwrite").parquet(f"{warehouse}/serving/customer_360")
-    rejects.write.mode("overwrite").parquet(f"{warehouse}/serving/customer_360_rejects")
-    paths["serving_customer_360"] = f"{warehouse}/serving/customer_360"
+    # Serving copies of the four marts and the audit, bad rows to rejects
+    staged = {**{n: lake._tables[n] for n in Lake.GOLD}, "dq_results": latest}
+    for name, df in staged.items():
+        loaded, rejects = serving.load_table(df, name, cfg)
+        loaded.write.mode("overwrite").parquet(f"{warehouse}/serving/{name}")
+        rejects.write.mode("overwrite").parquet(f"{warehouse}/serving/{name}_rejects")
+        paths[f"serving_{name}"] = f"{warehouse}/serving/{name}"
     return RunResult(paths=paths, dq=decision)

@@ -65,3 +65,25 @@ def test_streaming_landing_is_incremental(spark):
     assert got.count() == 3
     assert got.first()["_source_file"].endswith(".csv")
     assert got.where("email = ' x@y '").count() == 3
+
+
+def test_pk_check_flags_duplicates(spark):
+    from bankmart.plans import marts
+
+    class FakeLake:
+        customer_360 = spark.createDataFrame([("c1",), ("c1",), (None,)], "customer_id string")
+        segment_metrics = spark.createDataFrame([("Retail",), ("SMB",)], "segment string")
+
+    rows = {r["table_name"]: r for r in marts.pk_check(FakeLake()).collect()}
+    c = rows["customer_360"]
+    assert (c["row_count"], c["distinct_keys"], c["null_keys"], c["is_unique"]) == (3, 1, 1, False)
+    assert rows["segment_metrics"]["is_unique"] is True
+
+
+def test_all_marts_have_serving_specs(lake):
+    from bankmart.operators import serving
+    for name in ["customer_360", "txn_monthly_summary", "segment_metrics", "support_kpis"]:
+        spec, _ = serving.SERVING[name]
+        assert {n for n, _, _ in spec} <= set(getattr(lake, name).columns)
+        loaded, rejects = serving.load_table(getattr(lake, name), name)
+        assert rejects.count() == 0
