@@ -47,17 +47,27 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
         spark, cust_root, scd2.scd2_initial(incoming, cfg).schema)
     paths["silver_customers"] = cust_root
     builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
-                "silver_transactions": silver.silver_transactions(bz["transactions"], cfg),
                 "silver_branches": silver.silver_branches(today["branches"], cfg),
                 "silver_tickets": silver.silver_tickets(bz["support_tickets"], cfg)}
     for name, df in builders.items():
         path = f"{warehouse}/silver/{name}"
-        if name == "silver_transactions":
-            df.write.mode("overwrite").partitionBy("txn_year", "txn_month").parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
 
+    # Transactions are rebuilt only for the business months today's batch
+    # touches: Bronze is read with partition pruning on _month and those
+    # Silver (txn_year, txn_month) partitions are replaced (dynamic
+    # overwrite); every other month is left as written.  The month list is
+    # bounded by the calendar, not by the data.
+    months = [r[0] for r in today["transactions"].select("_month").distinct().collect()]
+    txn_path = f"{warehouse}/silver/silver_transactions"
+    if months:
+        touched = bz["transactions"].where(F.col("_month").isin(months))
+        (silver.silver_transactions(touched, cfg).drop("_month")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("txn_year", "txn_month").parquet(txn_path))
+    paths["silver_transactions"] = txn_path
+
     lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
                          if n != "silver_customers"})
 
