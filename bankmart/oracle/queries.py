@@ -225,11 +225,24 @@ SELECT 'segment_metrics', COUNT(*), COUNT(DISTINCT segment), round(SUM(aum_total
 FROM segment_metrics""",
 }
 
-ORACLE: dict[str, str] = {k: with_ctes(v) for k, v in _FINAL.items()}
+# keys whose result has the product_types_held array: compared in display
+# form (comma-joined text), like the Spark side's catalogue output
+ARRAY_KEYS = {"account_kpis", "customer_360", "v6_cross_sell", "clustered_rewrite",
+              "serving_load"}
+
+
+def _display(key: str, sql: str) -> str:
+    if key not in ARRAY_KEYS:
+        return sql
+    return ("SELECT * REPLACE (array_to_string(product_types_held, ',') AS product_types_held) "
+            f"FROM ({sql}) display")
+
+
+ORACLE: dict[str, str] = {k: with_ctes(_display(k, v)) for k, v in _FINAL.items()}
 
 
 def add(key: str, sql: str) -> None:
-    ORACLE[key] = with_ctes(sql)
+    ORACLE[key] = with_ctes(_display(key, sql))
 
 
 from bankmart.oracle import dq as _dq  # noqa: E402,F401  (registers DQ oracles)

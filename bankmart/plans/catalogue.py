@@ -27,12 +27,24 @@ def _load_all():
     from bankmart.plans import marts, analytics, views, dashboard, jobs  # noqa: F401
 
 
+def display_form(df: DataFrame) -> DataFrame:
+    """Array columns as comma-joined text (how the dashboards show them),
+    so results compare as plain scalar values across engines."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if not arrays:
+        return df
+    return df.withColumns({c: F.array_join(F.col(c), ",") for c in arrays})
+
+
 def queries(cfg: RunConfig = DEFAULT) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Driver-facing callables; outputs in display form (see above)."""
     from bankmart.plans.lake import Lake
     _load_all()
 
     def bind(fn):
-        return lambda spark, sf_dir: fn(Lake(spark, sf_dir, cfg))
+        return lambda spark, sf_dir: display_form(fn(Lake(spark, sf_dir, cfg)))
 
     return {k: bind(fn) for k, fn in QUERIES.items()}
 
