@@ -19,6 +19,24 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], dynamic: bool = F
     w.parquet(path)
 
 
+def write_partitioned_balanced(df: DataFrame, path: str, by: list[str],
+                               dynamic: bool = False) -> None:
+    """Partitioned write without the small-files blow-up or a hot-value task.
+
+    After a hash shuffle on other keys every task holds rows of every
+    partition value, so a plain ``partitionBy`` writes tasks × values
+    files.  The ``REBALANCE`` hint shuffles once on the partition columns
+    (about one file per value) and lets AQE split a partition that is
+    larger than the advisory size — a month holding a third of the rows
+    is written by several tasks — and merge small ones.  Unlike range
+    partitioning it needs no sampling pass over the (re-executed) input.
+    """
+    w = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
 def clustered_rewrite(df: DataFrame, path: str, by: list[str],
                       partitions: int | None = None) -> None:
     """Co-locate rows by ``by`` (range partitioning + in-file sort), so

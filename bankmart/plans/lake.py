@@ -99,12 +99,22 @@ class Lake:
               "silver_branches", "silver_tickets"]
     GOLD = ["customer_360", "txn_monthly_summary", "segment_metrics", "support_kpis"]
 
+    # tables written partitioned: name → partition columns
+    PARTITIONED = {"silver_transactions": ["txn_year", "txn_month"]}
+
+    def _write(self, df: DataFrame, name: str, path: str) -> None:
+        if name in self.PARTITIONED:
+            from bankmart.operators.layout import write_partitioned_balanced
+            write_partitioned_balanced(df, path, self.PARTITIONED[name])
+        else:
+            df.write.mode("overwrite").parquet(path)
+
     def write_layer(self, root: str, names) -> None:
         """Write tables (in dependency order) and replace each by its
         read-back scan, so later tables build on the written data."""
         for name in names:
             path = f"{root}/{name}"
-            getattr(self, name).write.mode("overwrite").parquet(path)
+            self._write(getattr(self, name), name, path)
             self._tables[name] = self.spark.read.parquet(path)
 
     def write_concurrently(self, root: str, names) -> None:
@@ -114,8 +124,7 @@ class Lake:
         from concurrent.futures import ThreadPoolExecutor
         builds = {n: getattr(self, n) for n in names}      # plan on this thread
         with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-            list(pool.map(lambda n: builds[n].write.mode("overwrite").parquet(f"{root}/{n}"),
-                          builds))
+            list(pool.map(lambda n: self._write(builds[n], n, f"{root}/{n}"), builds))
         for n in names:
             self._tables[n] = self.spark.read.parquet(f"{root}/{n}")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze as B
-from bankmart.operators import gold, quality, scd2, serving, silver
+from bankmart.operators import gold, layout, quality, scd2, serving, silver
 from bankmart.plans.jobs import bronze_schema, land_bronze
 from bankmart.plans.lake import Lake
 
@@ -63,9 +63,9 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     txn_path = f"{warehouse}/silver/silver_transactions"
     if months:
         touched = bz["transactions"].where(F.col("_month").isin(months))
-        (silver.silver_transactions(touched, cfg).drop("_month")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("txn_year", "txn_month").parquet(txn_path))
+        layout.write_partitioned_balanced(
+            silver.silver_transactions(touched, cfg).drop("_month"), txn_path,
+            ["txn_year", "txn_month"], dynamic=True)
     paths["silver_transactions"] = txn_path
 
     lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
