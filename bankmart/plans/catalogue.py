@@ -24,7 +24,8 @@ def query(key: str):
 
 def _load_all():
     # importing registers the queries
-    from bankmart.plans import marts, analytics, views, dashboard, jobs  # noqa: F401
+    from bankmart.plans import (marts, checks, history, analytics, views,  # noqa: F401
+                                dashboard, jobs)
 
 
 def display_form(df: DataFrame) -> DataFrame:

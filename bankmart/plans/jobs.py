@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from bankmart import schemas
 from bankmart.operators import bronze as B
 from bankmart.operators import layout, quality, scd2, serving
-from bankmart.plans import marts
+from bankmart.plans import history, marts
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
 from bankmart.session import scratch_path
@@ -96,7 +96,7 @@ def scd2_apply(lake: Lake) -> DataFrame:
     """Replay the yearly change batches through SCD2 apply into a versioned
     store (closed history append-only, current versions rewritten per
     batch) and read the whole dimension back."""
-    yb = marts.yearly(lake)
+    yb = history.yearly(lake)
     batch_dates = [r[0] for r in yb.select("batch_date").distinct()
                    .orderBy("batch_date").collect()]       # one row per yearly batch
     root = scratch_path(lake.spark, "scd2-store")
@@ -106,7 +106,7 @@ def scd2_apply(lake: Lake) -> DataFrame:
         incoming = yb.where(F.col("batch_date") == F.lit(d)).drop("batch_date")
         schema = schema or scd2.scd2_initial(incoming, cfg).schema
         scd2.store_apply(lake.spark, root, d.strftime("%Y%m%d") + "_000000", incoming, cfg,
-                         tracked=marts.TRACKED)
+                         tracked=history.TRACKED)
     return scd2.store_read(lake.spark, root, schema)
 
 

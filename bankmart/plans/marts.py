@@ -6,9 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import dataclasses
+from datetime import date
+
+from bankmart.operators import bronze as B
 from bankmart.operators import gold
+from bankmart.operators.dedup import dedup_latest, INGEST_ORDER
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
+from bankmart.sources.adapters import (TRANSACTION_TIE_BREAK, customers_extract,
+                                       transactions_extract)
 
 
 @query("account_kpis")
@@ -71,129 +78,7 @@ def silver_tickets(lake: Lake) -> DataFrame:
     return lake.silver_tickets
 
 
-# ── data quality ────────────────────────────────────────────────────────────
-from bankmart.operators import quality as Q  # noqa: E402
-
-
-def _suite_query(name):
-    return lambda lake: Q.run_named_suite(lake, name, lake.cfg)
-
-
-for _name in Q.SUITES:
-    query(f"dq_suite_{_name}")(_suite_query(_name))
-
-for _key, _kind in [("dq_not_null", Q.NotNull), ("dq_unique", Q.Unique),
-                    ("dq_value_in_set", Q.InSet), ("dq_range", Q.InRange),
-                    ("dq_referential_integrity", Q.References)]:
-    query(_key)((lambda kind: lambda lake: Q.run_kind(lake, kind, lake.cfg))(_kind))
-
-
-@query("dq_results")
-def dq_results(lake: Lake) -> DataFrame:
-    return lake.dq_results
-
-
-@query("dq_summary")
-def dq_summary(lake: Lake) -> DataFrame:
-    return Q.summary(lake.dq_results)
-
-
-@query("dq_gate")
-def dq_gate(lake: Lake) -> DataFrame:
-    return Q.gate(lake.dq_results, lake.cfg)
-
-
-# ── SCD2 over the customer change log ───────────────────────────────────────
-import dataclasses  # noqa: E402
-from datetime import date  # noqa: E402
-
-from bankmart.operators import bronze as B  # noqa: E402
-from bankmart.operators import scd2 as S  # noqa: E402
-from bankmart.operators.dedup import dedup_latest, INGEST_ORDER  # noqa: E402
-from bankmart.sources.adapters import (customer_change_log, TRANSACTION_TIE_BREAK,  # noqa: E402
-                                       transactions_extract, customers_extract)
-
-# parameters of the SCD2 demonstrations
-FIRST_BATCH, SECOND_BATCH = date(1996, 1, 1), date(1997, 1, 1)
-AS_OF_PROBE = date(1998, 6, 30)
-SNAPSHOT_BATCH = "19990101_000000"
-TRACKED = ("segment",)
-
-
-def history(lake: Lake) -> DataFrame:
-    return S.scd2_history(customer_change_log(lake.spark, lake.sf_dir), tracked=TRACKED)
-
-
-def yearly(lake: Lake) -> DataFrame:
-    return S.yearly_batches(customer_change_log(lake.spark, lake.sf_dir), tracked=TRACKED)
-
-
-def batch(lake: Lake, d: date) -> DataFrame:
-    return yearly(lake).where(F.col("batch_date") == F.lit(d)).drop("batch_date")
-
-
-def initial_dim(lake: Lake) -> DataFrame:
-    cfg = dataclasses.replace(lake.cfg, as_of=FIRST_BATCH)
-    return S.scd2_initial(batch(lake, FIRST_BATCH), cfg)
-
-
-@query("scd2_history")
-def scd2_history_q(lake: Lake) -> DataFrame:
-    return history(lake)
-
-
-@query("scd2_current")
-def scd2_current(lake: Lake) -> DataFrame:
-    return S.current_rows(history(lake))
-
-
-@query("scd2_as_of")
-def scd2_as_of_q(lake: Lake) -> DataFrame:
-    return S.scd2_as_of(history(lake), AS_OF_PROBE)
-
-
-@query("scd2_counts")
-def scd2_counts_q(lake: Lake) -> DataFrame:
-    return S.scd2_counts(history(lake))
-
-
-@query("scd2_initial")
-def scd2_initial_q(lake: Lake) -> DataFrame:
-    return initial_dim(lake)
-
-
-@query("scd2_new_keys")
-def scd2_new_keys_q(lake: Lake) -> DataFrame:
-    return S.scd2_new_keys(initial_dim(lake), batch(lake, SECOND_BATCH))
-
-
-@query("scd2_changed_keys")
-def scd2_changed_keys_q(lake: Lake) -> DataFrame:
-    return S.scd2_changed_keys(initial_dim(lake), batch(lake, SECOND_BATCH), tracked=TRACKED)
-
-
 # ── Bronze and layer-level queries ──────────────────────────────────────────
-def multi_batch_bronze(lake: Lake) -> DataFrame:
-    """Append-only customer Bronze holding one batch per year of changes."""
-    y = yearly(lake)
-    return y.withColumns({
-        "_source_system": F.lit("CRM"), "_source_file": F.lit("customers.csv"),
-        "_batch_id": F.concat(F.date_format("batch_date", "yyyyMMdd"), F.lit("_000000")),
-        "_ingest_ts": F.col("batch_date").cast("timestamp_ntz"),
-        "_batch_date": F.date_format("batch_date", "yyyy-MM-dd"),
-        "_is_current": F.lit(True)}).drop("batch_date")
-
-
-@query("snapshot_as_of")
-def snapshot_as_of(lake: Lake) -> DataFrame:
-    return B.snapshot_as_of(multi_batch_bronze(lake), "customer_id", batch_id=SNAPSHOT_BATCH)
-
-
-@query("batch_ledger")
-def batch_ledger(lake: Lake) -> DataFrame:
-    return B.batch_ledger(multi_batch_bronze(lake))
-
-
 @query("bronze_stamp")
 def bronze_stamp(lake: Lake) -> DataFrame:
     return lake.bronze("customers")

@@ -79,7 +79,7 @@ def test_history_collapses_same_day_and_is_consistent(spark):
 
 
 def test_history_invariants_on_test_data(lake):
-    from bankmart.plans.marts import history
+    from bankmart.plans.history import history
     h = history(lake)
     w = Window.partitionBy("customer_id").orderBy("scd_version")
     checks = h.withColumn("prev_end", F.lag("scd_end_date").over(w)).agg(
