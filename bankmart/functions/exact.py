@@ -45,3 +45,14 @@ def count_distinct_small(col) -> Column:
     distinct aggregate; the set per group is bounded by the domain size.
     NULLs are ignored, as by COUNT(DISTINCT)."""
     return F.size(F.collect_set(_c(col))).cast("long")
+
+
+STABLE_SCALE = 9
+
+
+def stable_avg(col) -> Column:
+    """AVG of arbitrary doubles (e.g. an average of averages) that does not
+    depend on row order: values are fixed-point at 1e-9 (|x| < 1e9) before
+    an exact sum, so every cluster layout and every engine gets the same
+    double."""
+    return exact_avg(col, STABLE_SCALE)

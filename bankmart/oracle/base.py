@@ -37,6 +37,11 @@ def xavg(expr: str, scale: int = 2) -> str:
     return f"({xsum(expr, scale)} / CAST(COUNT({expr}) AS DOUBLE))"
 
 
+def savg(expr: str) -> str:
+    """Order-independent average of doubles (fixed-point at 1e-9)."""
+    return xavg(expr, 9)
+
+
 def band(col: str, table) -> str:
     arms = []
     for upper, label in table:

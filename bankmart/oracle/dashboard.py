@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bankmart import domains as D
-from bankmart.oracle.base import CTES, xsum
+from bankmart.oracle.base import CTES, xsum, savg
 from bankmart.oracle.queries import add, _FINAL
 
 CTES["v1"] = _FINAL["v1_executive_kpis"]
@@ -72,7 +72,7 @@ SELECT channel, {xsum("amount")} AS total_spend, COUNT(*) AS txn_count
 FROM silver_transactions WHERE direction = 'Debit' GROUP BY channel ORDER BY total_spend DESC""")
 _cats = ["click", "error", "purchase", "signup", "view"]
 add("csat_matrix", "SELECT priority, " + ", ".join(
-    f"round(AVG(avg_csat) FILTER (WHERE category = '{c}'), 2) AS \"{c}\"" for c in _cats)
+    f"round({savg(f'CASE WHEN category = {chr(39)}{c}{chr(39)} THEN avg_csat END')}, 2) AS \"{c}\"" for c in _cats)
     + " FROM support_kpis GROUP BY priority ORDER BY priority")
 add("support_totals", "SELECT * FROM support_totals")
 add("kpi_status", f"""

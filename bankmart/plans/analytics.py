@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart import domains as D
-from bankmart.functions.exact import exact_sum, exact_avg
+from bankmart.functions.exact import exact_sum, exact_avg, stable_avg
 from bankmart.operators.scd2 import scd2_history
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
@@ -103,7 +103,7 @@ def monthly_rollup(monthly: DataFrame, digits: int) -> DataFrame:
         F.round(exact_sum("total_credit") / 1e6, digits).alias("total_deposits_millions"),
         F.round(exact_sum("net_flow") / 1e6, digits).alias("net_flow_millions"),
         F.countDistinct("customer_id").alias("active_customers"),
-        F.round(F.avg("avg_txn_amount"), 2).alias("avg_txn_size"),
+        F.round(stable_avg("avg_txn_amount"), 2).alias("avg_txn_size"),
         F.sum("flagged_count").alias("_flagged"),
         exact_sum("total_debit").alias("_spend"))
 
@@ -152,10 +152,10 @@ def q7_ticket_kpis(lake: Lake) -> DataFrame:
     source query; ``total_volume`` is the ticket count."""
     return (lake.support_kpis.groupBy("category").agg(
                 F.count(F.lit(1)).alias("total_tickets"),
-                F.round(F.avg("avg_resolution_days"), 1).alias("avg_resolution_days"),
-                F.round(F.avg("avg_csat"), 2).alias("avg_csat"),
-                F.round(F.avg("resolution_rate"), 1).alias("resolution_rate_pct"),
-                F.round(F.avg("escalation_rate"), 1).alias("escalation_rate_pct"),
+                F.round(stable_avg("avg_resolution_days"), 1).alias("avg_resolution_days"),
+                F.round(stable_avg("avg_csat"), 2).alias("avg_csat"),
+                F.round(stable_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
+                F.round(stable_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
                 F.sum("ticket_count").alias("total_volume"))
             .orderBy(F.col("avg_resolution_days").desc()))
 
@@ -181,7 +181,7 @@ def q9_fraud_exposure(lake: Lake) -> DataFrame:
             .groupBy("segment").agg(
                 F.countDistinct("customer_id").alias("customers_with_flags"),
                 F.sum("flagged_txn_count").alias("total_flagged_txns"),
-                F.round(F.avg("avg_fraud_score"), 4).alias("avg_fraud_score"),
+                F.round(stable_avg("avg_fraud_score"), 4).alias("avg_fraud_score"),
                 F.round(exact_sum("total_spend_12m"), 0).alias("total_spend"),
                 F.round(F.sum("flagged_txn_count") * 100.0
                         / F.nullif(F.sum("total_transactions"), F.lit(0)), 2)

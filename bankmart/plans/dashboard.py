@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from bankmart import domains as D
 from bankmart.functions.bands import band, lower_bound_band
-from bankmart.functions.exact import exact_sum
+from bankmart.functions.exact import exact_sum, stable_avg
 from bankmart.operators.joins import broadcast_if_small, lookup_join
 from bankmart.plans.analytics import whole, customer_name, is_true
 from bankmart.plans.catalogue import query
@@ -164,7 +164,7 @@ def csat_matrix(lake: Lake, categories=tuple(TICKET_CATEGORIES)) -> DataFrame:
     value list, so no extra job discovers the categories)."""
     return (lake.support_kpis.groupBy("priority")
             .pivot("category", list(categories))
-            .agg(F.round(F.avg("avg_csat"), 2))
+            .agg(F.round(stable_avg("avg_csat"), 2))
             .orderBy("priority"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bankmart import domains as D
-from bankmart.functions.exact import exact_sum, exact_avg
+from bankmart.functions.exact import exact_sum, exact_avg, stable_avg
 from bankmart.functions.lookup import case_map
 from bankmart.plans.analytics import (whole, customer_name, flag_count, holds,
                                       is_false, is_true, monthly_rollup)
@@ -34,7 +34,7 @@ def v1_executive_kpis(lake: Lake) -> DataFrame:
         flag_count("churn_risk_flag").alias("churn_risk_customers"),
         F.round(F.avg("product_diversity_count"), 2).alias("avg_products_per_customer"),
         F.round(exact_sum("total_spend_12m") / 1e6, 2).alias("total_spend_12m_millions"),
-        F.round(F.avg("avg_csat_score"), 2).alias("portfolio_avg_csat"),
+        F.round(stable_avg("avg_csat_score"), 2).alias("portfolio_avg_csat"),
         F.round(flag_count("churn_risk_flag") * 100.0 / n, 1).alias("churn_risk_pct"),
     ).withColumn("refreshed_at", lake.cfg.run_ts_col())
 
@@ -70,7 +70,7 @@ def v3_geography(lake: Lake) -> DataFrame:
                 flag_count("churn_risk_flag").alias("churn_risk_count"),
                 flag_count("high_value_flag").alias("high_value_count"),
                 F.round(F.avg("product_diversity_count"), 2).alias("avg_products"),
-                F.round(F.avg("avg_csat_score"), 2).alias("avg_csat"))
+                F.round(stable_avg("avg_csat_score"), 2).alias("avg_csat"))
             .orderBy(F.col("aum_millions").desc()))
 
 
@@ -152,10 +152,10 @@ def v7_support_ops(lake: Lake) -> DataFrame:
     exactly as the serving view defines them."""
     return (lake.support_kpis.groupBy("category", "priority").agg(
                 F.sum("ticket_count").alias("total_tickets"),
-                F.round(F.avg("avg_resolution_days"), 1).alias("avg_days_to_resolve"),
-                F.round(F.avg("avg_csat"), 2).alias("avg_csat_score"),
-                F.round(F.avg("resolution_rate"), 1).alias("resolution_rate_pct"),
-                F.round(F.avg("escalation_rate"), 1).alias("escalation_rate_pct"),
+                F.round(stable_avg("avg_resolution_days"), 1).alias("avg_days_to_resolve"),
+                F.round(stable_avg("avg_csat"), 2).alias("avg_csat_score"),
+                F.round(stable_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
+                F.round(stable_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
                 F.sum("escalation_count").alias("total_escalations"),
                 F.sum("distinct_customers").alias("customers_affected"))
             .orderBy(F.col("avg_days_to_resolve").desc(), "category"))
