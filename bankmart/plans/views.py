@@ -187,9 +187,11 @@ VIEWS = {
 
 
 def register_views(lake: Lake) -> list[str]:
-    """Publish the Gold marts and the seven views as temporary views."""
-    for name in Lake.GOLD:
+    """Publish the Silver tables, Gold marts, DQ audit and the seven views
+    as temporary views (SQL users and BI tools query them by name)."""
+    tables = Lake.SILVER + Lake.GOLD + ["dq_results"]
+    for name in tables:
         getattr(lake, name).createOrReplaceTempView(name)
     for name, fn in VIEWS.items():
         fn(lake).createOrReplaceTempView(name)
-    return list(Lake.GOLD) + list(VIEWS)
+    return tables + list(VIEWS)

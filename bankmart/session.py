@@ -33,19 +33,30 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when none is set
-    (local tests) a private temporary folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
+    folder); only when neither is set (local tests) a private temporary
+    folder is created once per application and registered as the
+    checkpoint folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    if not base and app in _LOCAL_ROOTS:
+        base = _LOCAL_ROOTS[app]
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="bankmart-")
-        spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="bankmart-")
+            spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[app])
+        base = _LOCAL_ROOTS[app]
     return base.rstrip("/")
 
 
