@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 @dataclass(frozen=True)
 class RunConfig:
-    """Parameters of one pipeline run.
+    """Parameters of one daily-batch run.
 
     ``as_of`` replaces ``current_date()`` and ``run_ts`` replaces
     ``current_timestamp()`` everywhere, so a rerun gives the same result.

@@ -1,2 +1,2 @@
 """Plans: the layered lake, marts, analytics queries, views, dashboard
-queries, the daily pipeline and the query catalogue."""
+queries, the daily batch and the query catalogue."""

@@ -19,6 +19,7 @@ from bankmart.operators import bronze as B
 from bankmart.operators import gold, layout, quality, scd2, serving, silver
 from bankmart.plans.jobs import bronze_schema, land_bronze
 from bankmart.plans.lake import Lake
+from bankmart.session import input_bytes, tune_for_input
 
 
 @dataclass
@@ -27,9 +28,14 @@ class RunResult:
     dq: dict
 
 
-def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAULT) -> RunResult:
+def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAULT,
+        tune: bool = False) -> RunResult:
+    """One daily batch.  ``tune=True`` sizes shuffle partitions and scan
+    splits from the input size first (see :func:`bankmart.session.tune_for_input`)."""
     lake = Lake(spark, sf_dir, cfg)
     paths = {}
+    if tune:
+        tune_for_input(spark, input_bytes(spark, [sf_dir, f"{warehouse}/bronze"]))
 
     # Bronze: append today's batch
     bronze_paths = land_bronze(lake, f"{warehouse}/bronze")

@@ -4,7 +4,7 @@
 Nothing runs until an action; Catalyst prunes what a query does not read.
 ``Lake.materialized(...)`` swaps the Silver and Gold layers for tables
 written once to the shared folder and read back, which is how the daily
-pipeline and the benchmark use it (each mart is computed once, queries
+daily batch and the benchmark use it (each mart is computed once, queries
 scan Parquet instead of re-deriving the lineage).
 """
 

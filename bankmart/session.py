@@ -85,3 +85,49 @@ def committed_subdirs(spark: SparkSession, base: str, prefix: str) -> list[str]:
         if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
             out.append(name[len(prefix):])
     return sorted(out)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total bytes under ``paths`` from file-system metadata (no scan)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+# sizing targets for one shuffle partition / one scan split
+SHUFFLE_TARGET_BYTES = 512 * 1024 * 1024
+SCAN_SPLIT_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+# in-memory rows are larger than compressed Parquet
+EXPANSION = 3.0
+
+
+def tune_for_input(spark: SparkSession, nbytes: int) -> dict:
+    """Size shuffles and scan splits for an input of ``nbytes`` (Parquet).
+
+    Sets runtime SQL options only: the initial shuffle partition count so a
+    partition holds about 512 MB of expanded rows (AQE then coalesces the
+    small ones and splits skewed ones toward the advisory size), 256 MB
+    scan splits, and skew handling on.  Never below twice the cores.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    parts = int(min(MAX_SHUFFLE_PARTITIONS,
+                    max(2 * cores, -(-int(nbytes * EXPANSION) // SHUFFLE_TARGET_BYTES))))
+    settings = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TARGET_BYTES // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

@@ -1,10 +1,10 @@
-"""Benchmark: the daily pipeline plus the headline queries.
+"""Benchmark: the daily lake build plus the headline queries.
 
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]
 and prints ONE JSON line:
   {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
-Phase 1 ("pipeline") lands Bronze in memory, writes Silver and Gold to the
+Phase 1 ("lake_build") lands Bronze in memory, writes Silver and Gold to the
 shared folder and reads them back — what the daily batch does (Silver,
 then the DQ audit of Silver, then Gold).  Phase 2
 times each headline query on the written lake with a ``noop`` sink (full
@@ -48,12 +48,12 @@ def main():
         df.write.format("noop").mode("overwrite").save()
 
     times = {}
-    # the pipeline runs twice into fresh folders; the second (warm JVM) run
+    # the lake build runs twice into fresh folders; the second (warm JVM) run
     # is reported, like the queries below
     for _ in range(2):
         t0 = time.time()
         lake = Lake.materialized(spark, sf_dir, scratch_path(spark, "bench-lake"))
-        times["pipeline"] = round(time.time() - t0, 3)
+        times["lake_build"] = round(time.time() - t0, 3)
 
     for key in HEADLINE:
         best = None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig
 from bankmart.operators import scd2
-from bankmart.plans import pipeline
+from bankmart.plans import daily
 from bankmart.plans.jobs import bronze_schema
 from bankmart.session import scratch_path
 from tests.conftest import SMALL
@@ -16,20 +16,20 @@ from tests.conftest import SMALL
 def test_daily_batch_rerun_and_next_day(spark):
     wh = scratch_path(spark, "warehouse")
     cfg = RunConfig(abort_on_failure=False)
-    r1 = pipeline.run(spark, SMALL, wh, cfg)
+    r1 = daily.run(spark, SMALL, wh, cfg)
     c360 = spark.read.parquet(r1.paths["customer_360"])
     assert c360.count() == 150
     n_txn = spark.read.schema(bronze_schema("transactions", ["_month"])) \
         .parquet(f"{wh}/bronze/transactions").count()
 
-    pipeline.run(spark, SMALL, wh, cfg)                    # same batch again
+    daily.run(spark, SMALL, wh, cfg)                    # same batch again
     assert spark.read.schema(bronze_schema("transactions", ["_month"])) \
         .parquet(f"{wh}/bronze/transactions").count() == n_txn
     assert scd2.store_batches(spark, f"{wh}/silver/customers_scd2") == [cfg.batch_id]
 
     nxt = dataclasses.replace(cfg, as_of=date(2001, 11, 5), run_ts=datetime(2001, 11, 5),
                               batch_id="20011105_000000")
-    r2 = pipeline.run(spark, SMALL, wh, nxt)
+    r2 = daily.run(spark, SMALL, wh, nxt, tune=True)
     bz = spark.read.schema(bronze_schema("transactions", ["_month"])) \
         .parquet(f"{wh}/bronze/transactions")
     assert bz.count() == 2 * n_txn

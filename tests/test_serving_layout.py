@@ -87,3 +87,21 @@ def test_all_marts_have_serving_specs(lake):
         assert {n for n, _, _ in spec} <= set(getattr(lake, name).columns)
         loaded, rejects = serving.load_table(getattr(lake, name), name)
         assert rejects.count() == 0
+
+
+def test_tuning_scales_partitions(spark):
+    from bankmart.session import input_bytes, tune_for_input
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert input_bytes(spark, ["/root/testdata/sf0.001"]) > 0
+        small = tune_for_input(spark, 10 * 1024 ** 2)
+        assert int(small["spark.sql.shuffle.partitions"]) == 2 * spark.sparkContext.defaultParallelism
+        big = tune_for_input(spark, 100 * 1024 ** 4)           # 100 TB of Parquet
+        assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+        mid = tune_for_input(spark, 1024 ** 4)                  # 1 TB
+        assert int(mid["spark.sql.shuffle.partitions"]) == 6144
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
