@@ -272,3 +272,15 @@ def run_kind(lake, kind, cfg: RunConfig = DEFAULT) -> DataFrame:
         part = run_suite(inputs[name], Suite(suite.table, rules), parents, cfg)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def append_audit(dq: DataFrame, path: str) -> None:
+    """Append a run's results to the audit table, partitioned by batch id;
+    a rerun of the same batch replaces its own rows (dynamic overwrite)."""
+    (dq.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(path))
+
+
+def read_audit(spark, path: str) -> DataFrame:
+    from bankmart.schemas import DQ_RESULTS
+    return spark.read.schema(DQ_RESULTS).parquet(path)

@@ -2,24 +2,25 @@
 
 Tables pass between stages only through the warehouse folder (each stage
 reads what the previous one wrote), so any stage can be rerun alone and a
-failure never leaves a half-built in-memory lineage.  Versioned tables
-(the SCD2 dimension) are written to a new folder per batch; the newest
-folder is the current version.
+failure never leaves a half-built in-memory lineage.  Every write is
+idempotent per batch: Bronze and the DQ audit replace their own batch
+partitions, the SCD2 store skips a committed batch, Silver and Gold are
+overwrites.  Independent tables of a stage are written as concurrent jobs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze as B
-from bankmart.operators import gold, layout, quality, scd2, serving, silver
+from bankmart.operators import layout, quality, scd2, serving, silver
 from bankmart.plans.jobs import bronze_schema, land_bronze
 from bankmart.plans.lake import Lake
-from bankmart.session import input_bytes, tune_for_input
+from bankmart.session import input_bytes, run_concurrently, tune_for_input
 
 
 @dataclass
@@ -55,10 +56,10 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
                 "silver_branches": silver.silver_branches(today["branches"], cfg),
                 "silver_tickets": silver.silver_tickets(bz["support_tickets"], cfg)}
-    for name, df in builders.items():
-        path = f"{warehouse}/silver/{name}"
-        df.write.mode("overwrite").parquet(path)
-        paths[name] = path
+    for name in builders:
+        paths[name] = f"{warehouse}/silver/{name}"
+    actions = [(lambda n=n: builders[n].write.mode("overwrite").parquet(paths[n]))
+               for n in builders]
 
     # Transactions are rebuilt only for the business months today's batch
     # touches: Bronze is read with partition pruning on _month and those
@@ -69,33 +70,35 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     txn_path = f"{warehouse}/silver/silver_transactions"
     if months:
         touched = bz["transactions"].where(F.col("_month").isin(months))
-        layout.write_partitioned_balanced(
-            silver.silver_transactions(touched, cfg).drop("_month"), txn_path,
-            ["txn_year", "txn_month"], dynamic=True)
+        txns = silver.silver_transactions(touched, cfg).drop("_month")
+        actions.append(lambda: layout.write_partitioned_balanced(
+            txns, txn_path, ["txn_year", "txn_month"], dynamic=True))
     paths["silver_transactions"] = txn_path
+    run_concurrently(actions)
 
     lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
                          if n != "silver_customers"})
 
     # DQ on Silver, audit append, gate before Gold
-    dq = quality.run_suites(lake, cfg)
     dq_path = f"{warehouse}/audit/dq_results"
-    dq.write.mode("append").parquet(dq_path)
-    latest = spark.read.parquet(dq_path).where(F.col("batch_id") == cfg.batch_id)
+    quality.append_audit(quality.run_suites(lake, cfg), dq_path)
+    latest = quality.read_audit(spark, dq_path).where(F.col("batch_id") == cfg.batch_id)
     decision = quality.enforce_gate(latest, cfg)
 
-    # Gold marts (customer 360 first; segment metrics read the written mart)
-    for name in Lake.GOLD:
-        path = f"{warehouse}/gold/{name}"
-        getattr(lake, name).write.mode("overwrite").parquet(path)
-        lake._tables[name] = spark.read.parquet(path)
-        paths[name] = path
+    # Gold marts; segment metrics read the written Customer 360 mart
+    gold_root = f"{warehouse}/gold"
+    lake.write_concurrently(gold_root, ["customer_360", "txn_monthly_summary", "support_kpis"])
+    lake.write_concurrently(gold_root, ["segment_metrics"])
+    paths.update({n: f"{gold_root}/{n}" for n in Lake.GOLD})
 
     # Serving copies of the four marts and the audit, bad rows to rejects
     staged = {**{n: lake._tables[n] for n in Lake.GOLD}, "dq_results": latest}
+    actions = []
     for name, df in staged.items():
         loaded, rejects = serving.load_table(df, name, cfg)
-        loaded.write.mode("overwrite").parquet(f"{warehouse}/serving/{name}")
-        rejects.write.mode("overwrite").parquet(f"{warehouse}/serving/{name}_rejects")
-        paths[f"serving_{name}"] = f"{warehouse}/serving/{name}"
+        out = f"{warehouse}/serving/{name}"
+        actions += [(lambda d=loaded, o=out: d.write.mode("overwrite").parquet(o)),
+                    (lambda d=rejects, o=out: d.write.mode("overwrite").parquet(o + "_rejects"))]
+        paths[f"serving_{name}"] = out
+    run_concurrently(actions)
     return RunResult(paths=paths, dq=decision)

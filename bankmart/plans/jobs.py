@@ -117,8 +117,8 @@ def dq_audit_append(lake: Lake) -> DataFrame:
     earlier = dataclasses.replace(lake.cfg, batch_id="20011103_000000",
                                   run_ts=lake.cfg.run_ts.replace(day=3))
     for cfg in (earlier, lake.cfg):
-        quality.run_suites(lake, cfg).write.mode("append").parquet(path)
-    return lake.spark.read.schema(schemas.DQ_RESULTS).parquet(path)
+        quality.append_audit(quality.run_suites(lake, cfg), path)
+    return quality.read_audit(lake.spark, path)
 
 
 @query("clustered_rewrite")

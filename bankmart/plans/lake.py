@@ -121,10 +121,10 @@ class Lake:
         """Write independent tables as concurrent Spark jobs (one driver
         thread each), so small or single-task stages of one table overlap
         with the others instead of leaving executors idle."""
-        from concurrent.futures import ThreadPoolExecutor
+        from bankmart.session import run_concurrently
         builds = {n: getattr(self, n) for n in names}      # plan on this thread
-        with ThreadPoolExecutor(max_workers=len(builds)) as pool:
-            list(pool.map(lambda n: self._write(builds[n], n, f"{root}/{n}"), builds))
+        run_concurrently([(lambda n=n: self._write(builds[n], n, f"{root}/{n}"))
+                          for n in builds])
         for n in names:
             self._tables[n] = self.spark.read.parquet(f"{root}/{n}")
 

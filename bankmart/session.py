@@ -131,3 +131,14 @@ def tune_for_input(spark: SparkSession, nbytes: int) -> dict:
     for k, v in settings.items():
         spark.conf.set(k, v)
     return settings
+
+
+def run_concurrently(actions) -> list:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each) and return their results in order; the first error is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+    actions = list(actions)
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        return list(pool.map(lambda a: a(), actions))
