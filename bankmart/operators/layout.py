@@ -50,7 +50,8 @@ def clustered_rewrite(df: DataFrame, path: str, by: list[str],
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
     """File count and bytes of a Parquet table, from the scan's
-    ``_metadata`` (one row; distributed, no driver-side listing)."""
+    ``_metadata`` (one row; distributed, no driver-side file list — the scan
+    reads no column chunks, only row-group metadata)."""
     files = (spark.read.parquet(path)
              .select(F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_size").alias("file_size"))
@@ -65,7 +66,8 @@ def compact(spark: SparkSession, src: str, dst: str,
     """Rewrite ``src`` into files of about ``target_bytes`` at ``dst``
     (a new folder: Parquet tables cannot be overwritten in place while
     read).  Returns the number of output files requested."""
-    total = file_stats(spark, src).first()["total_bytes"] or 0
+    from bankmart.session import input_bytes
+    total = input_bytes(spark, [src])          # file-system metadata, no scan
     n = max(1, math.ceil(total / target_bytes))
     spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
     return n
