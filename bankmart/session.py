@@ -44,18 +44,22 @@ def shared_root(spark: SparkSession) -> str:
     folder is created once per application and registered as the
     checkpoint folder.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
+    try:
         base = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 — some deployments reject reading core confs
+        base = None
+    if base:
+        return base.rstrip("/")
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir", None)
+    app = sc.applicationId
     if not base and app in _LOCAL_ROOTS:
         base = _LOCAL_ROOTS[app]
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = sc.getCheckpointDir()
     if not base:
-        if app not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="bankmart-")
-            spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[app])
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="bankmart-")
+        sc.setCheckpointDir(_LOCAL_ROOTS[app])
         base = _LOCAL_ROOTS[app]
     return base.rstrip("/")
 
