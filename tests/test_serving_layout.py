@@ -105,3 +105,23 @@ def test_tuning_scales_partitions(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_csv_landing_keeps_malformed_rows(spark):
+    import os
+    from bankmart import schemas
+    from bankmart.sources.csv import read_csv, CORRUPT
+    path = scratch_path(spark, "bad-csv")
+    os.makedirs(path, exist_ok=True)
+    header = ",".join(f.name for f in schemas.CUSTOMERS.fields)
+    good = ["c1", "A", "B", " a@b ", "", "1980-01-01", "", "", "", "NY", "01234", "US",
+            "Retail", "700", "50000.0", "Verified", "false", "Web", "2000-01-01", "CRM",
+            "2001-11-04T00:00:00"]
+    bad = list(good)
+    bad[0], bad[13] = "c2", "abc"                          # non-numeric credit score
+    with open(f"{path}/part-0.csv", "w") as fh:
+        fh.write(header + "\n" + ",".join(good) + "\n" + ",".join(bad) + "\n")
+    rows = {r["customer_id"]: r for r in read_csv(spark, path, schemas.CUSTOMERS).collect()}
+    assert rows["c1"]["zip_code"] == "01234" and rows["c1"]["email"] == " a@b "
+    assert rows["c1"][CORRUPT] is None and rows["c1"]["credit_score"] == 700
+    assert rows["c2"]["credit_score"] is None and "abc" in rows["c2"][CORRUPT]
