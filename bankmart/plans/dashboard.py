@@ -41,9 +41,9 @@ def trend_last_12(lake: Lake, months: int = 12) -> DataFrame:
 @query("sliced_kpis")
 def sliced_kpis(lake: Lake, segments=("Retail", "Premier"), states=None,
                 active_between=(date(2000, 1, 1), date(2001, 12, 31)),
-                tiers=("10k-100k", "100k+")) -> DataFrame:
-    """KPIs under the report slicers: segment, state, activity date range
-    and balance tier (tier thresholds are a parameter)."""
+                tiers=("10k-100k", "100k+"), priorities=None) -> DataFrame:
+    """KPIs under the report slicers: segment, state, activity date range,
+    balance tier (tier thresholds are a parameter) and churn priority level."""
     c = lake.customer_360.withColumn("balance_tier", band("total_balance", BALANCE_TIERS))
     cond = F.lit(True)
     if segments:
@@ -55,6 +55,9 @@ def sliced_kpis(lake: Lake, segments=("Retail", "Premier"), states=None,
         cond = cond & F.col("last_transaction_date").between(F.lit(lo), F.lit(hi))
     if tiers:
         cond = cond & F.col("balance_tier").isin(*tiers)
+    if priorities:
+        from bankmart.plans.views import churn_priority_detailed
+        cond = cond & is_true("churn_risk_flag") & churn_priority_detailed().isin(*priorities)
     return (c.where(cond).groupBy("segment", "balance_tier").agg(
                 F.count(F.lit(1)).alias("customer_count"),
                 F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"),
