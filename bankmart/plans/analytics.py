@@ -56,6 +56,8 @@ def q1_segment_summary(lake: Lake) -> DataFrame:
     return (seg.withColumn("pct_of_total",
                            F.round(F.col("customer_count") * 100.0
                                    / F.sum("customer_count").over(whole()), 1))
+               .select("segment", "customer_count", "pct_of_total", "avg_balance",
+                       "avg_credit_score", "aum_millions", "avg_tenure_yrs", "avg_products_held")
                .orderBy(F.col("aum_millions").desc()))
 
 
