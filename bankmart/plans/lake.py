@@ -10,8 +10,6 @@ scan Parquet instead of re-deriving the lineage).
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 from bankmart import schemas
@@ -28,13 +26,21 @@ class Lake:
         self._tables: dict[str, DataFrame] = {}
 
     # ── sources and Bronze ──────────────────────────────────────────────────
-    @cached_property
-    def extracts(self) -> dict[str, DataFrame]:
-        return adapters.extracts(self.spark, self.sf_dir, self.cfg)
+    EXTRACTS = {"customers": adapters.customers_extract,
+                "accounts": adapters.accounts_extract,
+                "transactions": adapters.transactions_extract,
+                "branches": adapters.branches_extract,
+                "support_tickets": adapters.tickets_extract}
+
+    def extract(self, name: str) -> DataFrame:
+        """One source extract, built on first use (a query reading one
+        table does not touch the others' files)."""
+        return self._get(f"extract:{name}",
+                         lambda: self.EXTRACTS[name](self.spark, self.sf_dir, self.cfg))
 
     def bronze(self, name: str) -> DataFrame:
         system = schemas.SOURCE_META[name][0]
-        return bronze.stamp(self.extracts[name], system, f"{name}.csv", self.cfg)
+        return bronze.stamp(self.extract(name), system, f"{name}.csv", self.cfg)
 
     # ── Silver ──────────────────────────────────────────────────────────────
     def _get(self, name, build):
