@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bankmart.operators.serving import C360_SERVING
-from bankmart.oracle.base import CTES, RUN_TS
+from bankmart.oracle.base import RUN_TS
 from bankmart.oracle.queries import add
 
 add("csv_scan", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ext_customers")

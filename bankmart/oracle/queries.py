@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bankmart import domains as D
 from bankmart.config import DEFAULT
-from bankmart.oracle.base import CTES, with_ctes, xsum, xavg, savg, inlist, RUN_TS
+from bankmart.oracle.base import CTES, with_ctes, xsum, xavg, savg, RUN_TS
 
 CTES["change_log"] = """
 SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderpriority AS segment,

@@ -8,7 +8,6 @@ each write and a lost executor only costs the tasks of the current stage.
 from __future__ import annotations
 
 import dataclasses
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

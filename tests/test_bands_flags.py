@@ -1,7 +1,6 @@
 """Band tables and customer flags, including boundaries and NULLs."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bankmart.functions import age_band, income_tier, credit_band, churn_flag, high_value_flag

@@ -1,7 +1,5 @@
 """Plan-shape tests: the physical plans we want at scale."""
 
-import pytest
-
 import __spark_entry__ as E
 from tests.conftest import SMALL
 

@@ -1,7 +1,6 @@
 """Data-quality rules: NULL handling, empty tables, tolerance, gate."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig
 from bankmart.operators import quality as Q

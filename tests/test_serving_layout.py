@@ -1,9 +1,5 @@
 """Typed serving load with rejects, schema evolution, layout jobs."""
 
-from datetime import date
-
-from pyspark.sql import functions as F
-
 from bankmart.operators import bronze, layout, serving
 from bankmart.session import scratch_path
 

@@ -1,10 +1,6 @@
 """Silver transforms on micro-fixtures: dedup order, signed amount,
 ratio guards, date parsing."""
 
-from datetime import datetime
-
-from pyspark.sql import functions as F
-
 from bankmart.config import RunConfig
 from bankmart.operators import silver
 from bankmart.operators.dedup import dedup_latest, INGEST_ORDER
