@@ -2,7 +2,8 @@
 
   python -m bankmart daily --input DIR --warehouse DIR [--as-of YYYY-MM-DD]
                            [--batch-id ID] [--no-abort] [--tune] [--local N]
-  python -m bankmart query KEY --input DIR [--out PATH | --show N] [--local N]
+  python -m bankmart query KEY --input DIR [--warehouse DIR] [--out PATH | --show N]
+                           [--local N]
   python -m bankmart list
 
 Without ``--local`` the session is the one the platform provides
@@ -49,6 +50,7 @@ def main(argv=None):
     q.add_argument("--input", required=True)
     q.add_argument("--as-of")
     q.add_argument("--batch-id")
+    q.add_argument("--warehouse", help="run on the tables a daily batch wrote there")
     q.add_argument("--out")
     q.add_argument("--show", type=int, default=20)
     q.add_argument("--local")
@@ -68,7 +70,13 @@ def main(argv=None):
         print(json.dumps({"paths": res.paths, "dq": res.dq}, default=str))
     else:
         from bankmart.plans import catalogue
-        df = catalogue.queries(cfg)[args.key](spark, args.input)
+        if args.warehouse:
+            from bankmart.plans.lake import Lake
+            catalogue.queries(cfg)
+            lake = Lake.from_warehouse(spark, args.warehouse, cfg, sf_dir=args.input)
+            df = catalogue.display_form(catalogue.QUERIES[args.key](lake))
+        else:
+            df = catalogue.queries(cfg)[args.key](spark, args.input)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

@@ -186,6 +186,18 @@ def store_read(spark, root: str, schema: T.StructType, current_only: bool = Fals
     return df.where(keep).select(*schema.fieldNames())
 
 
+def store_schema(spark, root: str) -> T.StructType | None:
+    """Dimension schema of a store, from its newest committed batch."""
+    batches = store_batches(spark, root)
+    if not batches:
+        return None
+    leaf = spark.read.parquet(f"{root}/batch={batches[-1]}/scd_is_current=true")
+    fields = list(leaf.schema.fields)
+    idx = [f.name for f in fields].index("scd_end_date") + 1
+    fields.insert(idx, T.StructField("scd_is_current", T.BooleanType()))
+    return T.StructType(fields)
+
+
 def store_apply(spark, root: str, batch_id: str, incoming: DataFrame, cfg: RunConfig,
                 key: str = "customer_id", tracked: Sequence[str] = D.SCD2_TRACKED) -> None:
     """Apply one batch to the store (idempotent per ``batch_id``: a

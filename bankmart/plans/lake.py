@@ -138,6 +138,25 @@ class Lake:
     BUILD_ORDER = [SILVER, ["dq_results", "customer_360", "txn_monthly_summary", "support_kpis"],
                    ["segment_metrics"]]
 
+    @classmethod
+    def from_warehouse(cls, spark, warehouse: str, cfg: RunConfig = DEFAULT,
+                       sf_dir: str | None = None) -> "Lake":
+        """A lake whose Silver, Gold and audit layers are the tables a daily
+        batch wrote under ``warehouse`` (queries scan them; nothing is
+        re-derived).  ``sf_dir`` is only needed by queries that read raw
+        sources (Bronze-level and change-log keys)."""
+        from bankmart.operators import quality, scd2
+        lake = cls(spark, sf_dir, cfg)
+        store = f"{warehouse}/silver/customers_scd2"
+        lake._tables["silver_customers"] = scd2.store_read(
+            spark, store, scd2.store_schema(spark, store))
+        for name in cls.SILVER[1:]:
+            lake._tables[name] = spark.read.parquet(f"{warehouse}/silver/{name}")
+        for name in cls.GOLD:
+            lake._tables[name] = spark.read.parquet(f"{warehouse}/gold/{name}")
+        lake._tables["dq_results"] = quality.read_audit(spark, f"{warehouse}/audit/dq_results")
+        return lake
+
     @classmethod
     def materialized(cls, spark, sf_dir, root, cfg: RunConfig = DEFAULT) -> "Lake":
         """Silver, then the DQ audit of Silver and the Gold marts, then the

@@ -46,3 +46,20 @@ def test_daily_batch_rerun_and_next_day(spark):
     assert audit.count() == 2 * 32                          # the rerun replaced its own rows
     assert spark.read.parquet(r2.paths["customer_360"]).count() == 150
     assert spark.read.parquet(f"{wh}/serving/customer_360").count() == 150
+
+
+def test_queries_on_the_written_warehouse(spark):
+    from bankmart.plans import catalogue
+    from bankmart.plans.lake import Lake
+    from tools.oracle_check import rows_of
+    wh = scratch_path(spark, "warehouse-q")
+    daily.run(spark, SMALL, wh, RunConfig(abort_on_failure=False))
+    catalogue.queries()
+    on_wh = Lake.from_warehouse(spark, wh, sf_dir=SMALL)
+    lazy = Lake(spark, SMALL)
+    for key in ["q1_segment_summary", "q2_churn_top100", "v5_monthly_trend", "q10_dq_latest",
+                "v7_support_ops", "customer_360", "dq_gate"]:
+        a = catalogue.display_form(catalogue.QUERIES[key](on_wh))
+        b = catalogue.display_form(catalogue.QUERIES[key](lazy))
+        assert rows_of(a.columns, [tuple(r) for r in a.collect()]) == \
+            rows_of(b.columns, [tuple(r) for r in b.collect()]), key
