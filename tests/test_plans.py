@@ -71,3 +71,10 @@ def test_clustered_rewrite_colocates_segments(spark, lake):
                 .agg(F.countDistinct("segment").alias("n")))
     # 5 segments over 8 range partitions: no file spans more than 2 segments
     assert per_file.agg(F.max("n")).first()[0] <= 2
+
+
+def test_cli_lists_every_key(capsys):
+    from bankmart.__main__ import main
+    main(["list"])
+    keys = capsys.readouterr().out.split()
+    assert len(keys) == 96 and "customer_360" in keys and "scd2_apply" in keys
