@@ -77,3 +77,17 @@ def test_cross_mart_invariants(lake):
     assert c360["n"] == current
     # every transaction's customer exists at this scale, so the spend matches too
     assert c360["s"] == silver
+
+
+def test_adapter_matches_survey_probes(spark):
+    """Distributions the blueprint recorded for the sf0.01 test data."""
+    from bankmart.plans.lake import Lake
+    lake = Lake(spark, "/root/testdata/sf0.01")
+    c = lake.customer_360
+    churn = {r[0]: r[1] for r in c.groupBy("churn_risk_flag").count().collect()}
+    assert churn == {False: 788, True: 653, None: 59}
+    assert c.where("high_value_flag").count() == 1029
+    assert lake.silver_transactions.count() == 45_832
+    from bankmart.plans.history import history
+    h = history(lake)
+    assert (h.count(), h.where("scd_is_current").count()) == (12_286, 1_500)
