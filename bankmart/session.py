@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "bankmart") -> SparkSession:
+                  app: str = "bankmart", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark.
 
     On a cluster the session comes from the platform; nothing in the
@@ -28,6 +28,8 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -141,8 +143,14 @@ def run_concurrently(actions) -> list:
     """Run independent Spark actions as concurrent jobs (one driver thread
     each) and return their results in order; the first error is raised."""
     from concurrent.futures import ThreadPoolExecutor
+    from pyspark import inheritable_thread_target
     actions = list(actions)
     if len(actions) <= 1:
         return [a() for a in actions]
+    # worker threads inherit the caller's job group / scheduler pool (and,
+    # given the session, its job tags)
+    active = SparkSession.getActiveSession()
+    wrap = inheritable_thread_target(active) if active is not None else inheritable_thread_target
+    call = wrap(lambda a: a())
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        return list(pool.map(lambda a: a(), actions))
+        return list(pool.map(call, actions))
