@@ -91,3 +91,15 @@ def test_adapter_matches_survey_probes(spark):
     from bankmart.plans.history import history
     h = history(lake)
     assert (h.count(), h.where("scd_is_current").count()) == (12_286, 1_500)
+
+
+def test_priority_slicer_matches_churn_detail(lake):
+    from pyspark.sql import functions as F
+    from bankmart.plans import dashboard, views
+    got = dashboard.sliced_kpis(lake, segments=None, active_between=None, tiers=None,
+                                priorities=("Critical", "Critical — High Value"))
+    n = got.agg(F.sum("customer_count")).first()[0] or 0
+    # V4 keeps KYC-verified customers only; the slicer does not filter on KYC
+    c = lake.customer_360.where(F.col("churn_risk_flag"))
+    expected = c.where(views.churn_priority_detailed().isin("Critical", "Critical — High Value")).count()
+    assert n == expected
