@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from bankmart.llm import knn, licenses, mixing, url_rules
+from bankmart.llm import knn, language, licenses, mixing, token_files, url_rules
 
 QUERIES = {
+    "op1_token_files": token_files.op1,
     "op3_topk": knn.op3,
     "op5_url_rules": url_rules.op5,
     "op6_licenses": licenses.op6,
     "op7_mixing": mixing.op7,
+    "op10_language": language.op10,
 }
 
 ORACLE = {
