@@ -54,14 +54,37 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def encode_ids(texts: list[str], path: str, end_id: int) -> list[np.ndarray]:
-    found = _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
-    out = []
-    for e in found:
-        ids = np.empty(len(e.ids) + 1, "<u4")
-        ids[:-1] = e.ids
-        ids[-1] = end_id
-        out.append(ids)
+#: chunks kept per worker process, and the longest chunk that is kept (bytes)
+MEMO_CHUNKS, MEMO_LENGTH = 1_000_000, 64
+_MEMO: dict[str, dict[bytes, bytes]] = {}
+
+
+def encode_ids(texts: list[str], path: str, end_id: int) -> list[bytes]:
+    """Ids of each text with the end id, as little-endian uint32 bytes.
+
+    The tokenizer never joins characters across ASCII white space (its
+    pre-tokenizer drops white space; normalisation does not compose across it), so a
+    text's ids are those of its white-space separated chunks in a row, and a
+    chunk seen before need not be encoded again.  A worker's memory of chunks
+    is bounded and started afresh when full."""
+    memo = _MEMO.setdefault(path, {})
+    chunks = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+    fresh = list(set().union(*chunks).difference(memo)) if chunks else []
+    if len(memo) + len(fresh) > MEMO_CHUNKS:
+        memo.clear()
+        fresh = list(set().union(*chunks))
+    passing = []
+    for a in range(0, len(fresh), 4096):
+        part = fresh[a:a + 4096]
+        for c, e in zip(part, _tokenizer(path).encode_batch_fast(
+                [c.decode("utf-8", "surrogatepass") for c in part], add_special_tokens=False)):
+            memo[c] = np.array(e.ids, "<u4").tobytes()
+            if len(c) > MEMO_LENGTH:
+                passing.append(c)
+    end = np.array([end_id], "<u4").tobytes()
+    out = [b"".join(map(memo.__getitem__, c)) + end for c in chunks]
+    for c in passing:
+        del memo[c]
     return out
 
 
@@ -73,14 +96,14 @@ class ShardWriter:
         self.out, self.entries, self.ids, self.tokens = out, [], [], 0
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True).compress
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, raw: bytes) -> None:
+        """``raw``: the document's ids as little-endian uint32 bytes."""
         import xxhash
-        raw = ids.tobytes()
         frame = self.compress(raw)
         self.out.write(frame)
         self.entries.append((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
         self.ids.append(doc_id)
-        self.tokens += len(ids)
+        self.tokens += len(raw) // 4
 
     def close(self) -> None:
         import xxhash
