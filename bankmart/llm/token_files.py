@@ -26,6 +26,7 @@ gives an empty manifest; other columns are ignored.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -57,35 +58,104 @@ def _tokenizer(path: str):
 #: chunks kept per worker process, and the longest chunk that is kept (bytes)
 MEMO_CHUNKS, MEMO_LENGTH = 1_000_000, 64
 _MEMO: dict[str, dict[bytes, bytes]] = {}
+_WORD_ENDS: dict[str, np.ndarray] = {}
+
+
+def _word_ends(path: str) -> np.ndarray:
+    """Which ids end a piece (the vocabulary marks them with a suffix)."""
+    if path not in _WORD_ENDS:
+        tk = _tokenizer(path)
+        suffix = tk.model.end_of_word_suffix
+        ends = np.zeros(tk.get_vocab_size(), bool)
+        if suffix:
+            ends[[i for piece, i in tk.get_vocab().items() if piece.endswith(suffix)]] = True
+        _WORD_ENDS[path] = ends
+    return _WORD_ENDS[path]
+
+
+def _encode_chunks(chunks: list[bytes], path: str) -> list[bytes]:
+    """Ids of each chunk by itself.  Chunks of letters alone are one piece
+    each, so a row of them is encoded as one text and cut where pieces end; if
+    the pieces don't number the chunks, each is encoded alone."""
+    tk, ends = _tokenizer(path), _word_ends(path)
+    texts = [c.decode("utf-8", "surrogatepass") for c in chunks]
+    out: list[bytes | None] = [None] * len(chunks)
+    plain = [i for i, t in enumerate(texts) if t.isalpha()]
+    for a in range(0, len(plain), 512):
+        part = plain[a:a + 512]
+        ids = np.array(tk.encode(" ".join([texts[i] for i in part]), add_special_tokens=False).ids, "<u4")
+        cut = np.flatnonzero(ends[ids]) + 1
+        if len(cut) == len(part) and cut[-1] == len(ids):
+            raw, at = ids.tobytes(), 0
+            for i, to in zip(part, (cut * 4).tolist()):
+                out[i] = raw[at:to]
+                at = to
+    alone = [i for i, x in enumerate(out) if x is None]
+    for i, e in zip(alone, tk.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)):
+        out[i] = np.array(e.ids, "<u4").tobytes()
+    return out
+
+
+def _ends_in_letter(c: bytes) -> bool:
+    return c[-1:].isalpha()
+
+
+def _chunks(text: str) -> list[bytes]:
+    """White-space separated chunks, A-Z lower-cased where that cannot change
+    the ids: the tokenizer composes (NFC), then lowers; both forms must be
+    composed already, and hold no start of a special token."""
+    raw = text.encode("utf-8", "surrogatepass")
+    low = raw.lower()
+    if b"<|" not in raw and (raw.isascii() or (
+            unicodedata.is_normalized("NFC", text)
+            and unicodedata.is_normalized("NFC", low.decode("utf-8", "surrogatepass")))):
+        return low.split()
+    return raw.split()
+
+
+def _gaps(got: list) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = got.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
 
 
 def encode_ids(texts: list[str], path: str, end_id: int) -> list[bytes]:
     """Ids of each text with the end id, as little-endian uint32 bytes.
 
     The tokenizer never joins characters across ASCII white space (its
-    pre-tokenizer drops white space; normalisation does not compose across it), so a
+    pre-tokenizer drops white space; composition does not cross it), so a
     text's ids are those of its white-space separated chunks in a row, and a
-    chunk seen before need not be encoded again.  A worker's memory of chunks
-    is bounded and started afresh when full."""
+    chunk seen before need not be encoded again; punctuation after a letter is
+    a piece of its own.  A worker's memory of chunks is bounded and started
+    afresh when full."""
     memo = _MEMO.setdefault(path, {})
-    chunks = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-    fresh = list(set().union(*chunks).difference(memo)) if chunks else []
-    if len(memo) + len(fresh) > MEMO_CHUNKS:
+    if len(memo) > MEMO_CHUNKS:
         memo.clear()
-        fresh = list(set().union(*chunks))
-    passing = []
-    for a in range(0, len(fresh), 4096):
-        part = fresh[a:a + 4096]
-        for c, e in zip(part, _tokenizer(path).encode_batch_fast(
-                [c.decode("utf-8", "surrogatepass") for c in part], add_special_tokens=False)):
-            memo[c] = np.array(e.ids, "<u4").tobytes()
-            if len(c) > MEMO_LENGTH:
-                passing.append(c)
+    chunks = [_chunks(t) for t in texts]
+    got = [list(map(memo.get, c)) for c in chunks]
+    gaps = [_gaps(g) for g in got]
+    missing = {c[i] for c, places in zip(chunks, gaps) for i in places}
+    if missing:
+        cores = {w: w.rstrip(b".,;:!?") for w in missing}
+        cores = {w: c if c != w and _ends_in_letter(c) else w for w, c in cores.items()}
+        tails = {w[len(c):] for w, c in cores.items()}
+        fresh = [x for x in {*cores.values(), *tails} if x in missing or x and x not in memo]
+        new = dict(zip(fresh, _encode_chunks(fresh, path)))
+        for w, c in cores.items():
+            if c != w:
+                tail = w[len(c):]
+                new[w] = (new.get(c) or memo[c]) + (new.get(tail) or memo[tail])
+        for c, g, places in zip(chunks, got, gaps):
+            for i in places:
+                g[i] = new[c[i]]
+        memo.update((w, x) for w, x in new.items() if len(w) <= MEMO_LENGTH)
     end = np.array([end_id], "<u4").tobytes()
-    out = [b"".join(map(memo.__getitem__, c)) + end for c in chunks]
-    for c in passing:
-        del memo[c]
-    return out
+    return [b"".join(g) + end for g in got]
 
 
 class ShardWriter:
