@@ -56,7 +56,7 @@ def _tokenizer(path: str):
 
 
 #: chunks kept per worker process, and the longest chunk that is kept (bytes)
-MEMO_CHUNKS, MEMO_LENGTH = 1_000_000, 64
+MEMO_CHUNKS, MEMO_LENGTH = 1_600_000, 64
 _MEMO: dict[str, dict[bytes, bytes]] = {}
 _WORD_ENDS: dict[str, np.ndarray] = {}
 
@@ -97,7 +97,7 @@ def _encode_chunks(chunks: list[bytes], path: str) -> list[bytes]:
 
 
 def _ends_in_letter(c: bytes) -> bool:
-    return c[-1:].isalpha()
+    return c[-1:].isalpha() or (c[-1:] > b"\x7f" and c.decode("utf-8", "replace")[-1].lower().isalpha())
 
 
 def _chunks(text: str) -> list[bytes]:
@@ -161,7 +161,7 @@ def encode_ids(texts: list[str], path: str, end_id: int) -> list[bytes]:
 class ShardWriter:
     """Writes frames as documents arrive; only the seek table is held."""
 
-    def __init__(self, out, level: int = 3):
+    def __init__(self, out, level: int = 1):
         import zstandard
         self.out, self.entries, self.ids, self.tokens = out, [], [], 0
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True).compress
@@ -246,8 +246,8 @@ def write_tokens(docs: DataFrame, tokenizer: str | None = None, end_id: int = EN
                 known = f["doc_id"].notna().to_numpy()
                 ids = f["doc_id"].to_numpy()
                 texts = f["text"].tolist()
-                for a in range(0, len(texts), 64):
-                    for j, tokens in enumerate(encode_ids(texts[a:a + 64], tokenizer, end_id), a):
+                for a in range(0, len(texts), 256):
+                    for j, tokens in enumerate(encode_ids(texts[a:a + 256], tokenizer, end_id), a):
                         writer.add(int(ids[j]) if known[j] else None, tokens)
             writer.close()
             state["writer"] = writer
