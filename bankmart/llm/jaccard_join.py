@@ -4,10 +4,12 @@ A document's set is its distinct 5-word shingles (64-bit hashes; words are
 white-space separated, A-Z lower-cased; with fewer words the whole sequence is
 one shingle).  Documents with equal sets form a class; classes are joined.
 
-1. *Frequent tokens.*  Shingles are first ordered by hash; two sets that link
-   share a shingle among their first ``n - ceil(0.75 n) + 1``.  Counting these
-   prefixes over all documents gives the frequent class (count above
-   ``frequent``).
+1. *Token counts.*  Every shingle of every document is counted: tasks sort the
+   leading 40 bits of their shingles, cut them into ranges and send each range
+   as compressed differences; one group per range merges them.  Shingles with a
+   count of ``frequent`` or more form the frequent class.  (The counts only
+   choose an order and skip single shingles; two shingles that agree in
+   40 bits count as one, which changes no result.)
 2. *Signatures.*  In the final order rare shingles come first, frequent ones
    last.  A set whose prefix is all rare is indexed by its prefix, token by
    token.  A set whose prefix reaches into the frequent class is indexed by all
@@ -19,8 +21,8 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    same or neighbouring classes, so each set is indexed for its own class and
    the one below.
 3. *Verification in rounds.*  Signatures that occur once are dropped (a bitmap
-   of repeated signatures keeps most of them from being shuffled; it may let
-   single ones pass, never drops a repeated one).  First each set is
+   of fixed size with the repeated shingles keeps most of them from being shuffled; it
+   may let single ones pass, never drops a repeated one).  First each set is
    verified against one partner, the smallest of the bucket it meets
    most often; the verified links give components.  Then buckets that still
    hold more than one component produce their remaining pairs across
@@ -48,10 +50,13 @@ from bankmart.llm.common import (documents, hashed_words, mapped_path, mix64, sh
 from bankmart.llm.components import components
 
 SHARE = (3, 4)                    # similarity threshold as a fraction
-FREQUENT = 64                     # a shingle in more prefixes is of the frequent class
+FREQUENT = 8                      # a shingle in so many documents is of the frequent class
 MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); others count as rare
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
+PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
 SLICE_BYTES = 4 << 20
+COUNT_BITS = 40                   # leading bits of a shingle that are counted
+COUNT_CHUNK = 4 << 20             # shingles sorted at a time
 
 
 def _slices(batch):
@@ -89,20 +94,22 @@ def _size_bounds() -> np.ndarray:
 BOUNDS = _size_bounds()
 
 
-def signatures(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set (sorted hashes), and how many shingles come after
-    each in the final order (for pairs of frequent ones: the set size, i.e.
-    no statement)."""
+def signatures(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of a set (sorted hashes), and for each how many more shingles
+    can be shared if it is the first shared one: those after it in the final
+    order; for a pair of frequent ones all other frequent ones (two sets that
+    share no rare shingle share frequent ones only); and which are pairs."""
     n = len(s)
     length = prefix_length(n)
     if len(frequent):
-        at = np.searchsorted(frequent, s)
-        often = frequent[np.minimum(at, len(frequent) - 1)] == s
+        lead = s >> np.uint64(64 - COUNT_BITS)
+        at = np.searchsorted(frequent, lead)
+        often = frequent[np.minimum(at, len(frequent) - 1)] == lead
     else:
         often = np.zeros(n, bool)
     rare = s[~often]
     if length <= len(rare):
-        return rare[:length], n - 1 - np.arange(length)
+        return rare[:length], n - 1 - np.arange(length), np.zeros(length, bool)
     heavy = s[often]
     keys, after = [rare], [n - 1 - np.arange(len(rare))]
     own = int(np.searchsorted(BOUNDS, n, "right")) - 1
@@ -120,9 +127,37 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndar
             a, b = part_of[same], part_of[same + step]
             key = mix64(mix64(a + np.uint64(2 * tag + 1)) ^ b)
             keys.append(key)
-            after.append(np.full(len(key), n))
+            after.append(np.full(len(key), len(heavy) - 1))
             step += 1
-    return np.concatenate(keys), np.concatenate(after)
+    keys = np.concatenate(keys)
+    return keys, np.concatenate(after), np.arange(len(keys)) >= len(rare)
+
+
+def count_blobs(tokens: np.ndarray, ranges: int):
+    """(range, blob) of sorted leading bits, as byte planes of differences."""
+    import zstandard
+    lead = np.sort(tokens >> np.uint64(64 - COUNT_BITS))
+    bounds = np.array([(i << COUNT_BITS) // ranges for i in range(ranges + 1)], np.uint64)
+    cuts = np.searchsorted(lead, bounds)
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if a < b:
+            steps = np.diff(lead[a:b], prepend=bounds[i])
+            yield i, pack(steps.view(np.uint8).reshape(-1, 8)[:, :COUNT_BITS // 8].T.tobytes())
+
+
+def merge_blobs(i: int, blobs, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leading bits that occur more than once in a range, and their counts."""
+    import zstandard
+    unpack = zstandard.ZstdDecompressor().decompress
+    parts = []
+    for blob in blobs:
+        planes = np.frombuffer(unpack(blob), np.uint8).reshape(COUNT_BITS // 8, -1)
+        steps = np.zeros((planes.shape[1], 8), np.uint8)
+        steps[:, :COUNT_BITS // 8] = planes.T
+        parts.append(np.cumsum(steps.view(np.uint64)[:, 0]) + np.uint64((i << COUNT_BITS) // ranges))
+    lead, count = np.unique(np.concatenate(parts), return_counts=True)
+    return lead[count > 1], count[count > 1]
 
 
 def _write_array(df: DataFrame, column: str, folder: str, name: str, fill) -> str:
@@ -146,17 +181,45 @@ def _mapped(uri: str, dtype) -> np.ndarray:
     return _MAPPED[uri]
 
 
-def _links(pairs: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
+def _can_link(n, after, m, after_m):
+    """False where sizes or positions rule a link out."""
+    a, b = SHARE
+    return ((b * F.least(n, m) >= a * F.greatest(n, m))
+            & ((a + b) * (F.least(after, after_m) + 1) >= a * (n + m)))
+
+
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """Bit ``h`` tells whether an odd number of the set's shingles fall on it, so
+    two sets differ in at least as many shingles as bits."""
+    bits = np.bincount((s % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bit = keys >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _write_bitmap(df: DataFrame, column: str, folder: str, name: str) -> str:
+    """A bitmap of fixed size with the leading bits of every key set: a filter
+    that lets all of the keys pass, and few others while they are few."""
+    words = df.groupBy(F.shiftrightunsigned(column, 70 - BITMAP_BITS).alias("word")).agg(F.bit_or(F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - BITMAP_BITS}) & 63 as int))")).alias("bits"))
+
+    def fill(batches):
+        bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+        for b in batches:
+            bitmap[b.column("word").to_numpy(zero_copy_only=False)] = b.column("bits").to_numpy(zero_copy_only=False)
+        return bitmap
+
+    return _write_array(words, "word", folder, name, fill)
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b: set ids) that link, from the whole sets."""
-    known = reps.select(F.col("sid"), F.col("rep"))
-    wanted = (pairs.join(known.select(F.col("sid").alias("a"), F.col("rep").alias("rep_a")), "a")
-              .join(known.select(F.col("sid").alias("b"), F.col("rep").alias("rep_b")), "b"))
-    left = sets.select(F.col("sid").alias("a"), F.col("doc_id").alias("doc_a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("sid").alias("b"), F.col("doc_id").alias("doc_b"), F.col("shingles").alias("sb"))
-    wanted = wanted.join(right, (wanted["b"] == right["b"]) & wanted["rep_b"].eqNullSafe(right["doc_b"])).select(
-        wanted["a"], wanted["b"], "rep_a", "sb")
-    wanted = wanted.join(left, (wanted["a"] == left["a"]) & wanted["rep_a"].eqNullSafe(left["doc_a"])).select(
-        wanted["a"], "b", "sa", "sb")
+    wanted = (pairs.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("sb")), "b")
+              .join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("sa")), "a")
+              .select("a", "b", "sa", "sb"))
 
     def verify(batches):
         for batch in batches:
@@ -181,105 +244,139 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
 
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def describe(batches):
+        tokens, held, seen = [], 0, set()
+
+        def flush():
+            for i, blob in count_blobs(np.concatenate(tokens), ranges):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                     pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
+
+        names = ["doc_id", "n", "sid", "range", "blob"]
         for batch in batches:
             for rows, body, offsets in _slices(batch):
                 sets = _sets(body, offsets, k)
+                ids = [set_id(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([s[:prefix_length(len(s))].view(np.int64) if len(s) else np.empty(0, np.int64)
-                              for s in sets], pa.list_(pa.int64()))], ["doc_id", "n", "sid", "prefix"])
-
-    members = staged(texts.mapInArrow(describe, "doc_id long, n long, sid long, prefix array<long>"),
-                     "jaccard-members")
+                    rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(ids, pa.int64()), pa.nulls(len(sets), pa.int32()),
+                    pa.nulls(len(sets), pa.binary())], names)
+                for s, i in zip(sets, ids):
+                    if i is not None and i not in seen:    # copies nearby count once
+                        seen.add(i)
+                        tokens.append(s)
+                        held += len(s)
+                if held >= COUNT_CHUNK:
+                    yield from flush()
+                    tokens, held, seen = [], 0, set()
+        if tokens:
+            yield from flush()
+
+    described = staged(texts.mapInArrow(
+        describe, "doc_id long, n long, sid long, range int, blob binary"), "jaccard-members")
+    members = described.filter("range is null").select("doc_id", "n", "sid")
     reps = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
 
+    def merge(key, frame):
+        import pandas as pd
+        lead, count = merge_blobs(int(key[0]), frame["blob"], ranges)
+        return pd.DataFrame({"lead": lead.astype(np.int64), "count": count})
+
+    counted = staged(described.filter("range is not null").select("range", "blob")
+                     .groupBy("range").applyInPandas(merge, "lead long, count long"), "jaccard-counts")
     folder = shared_folder(spark, "jaccard-files")
-    counted = members.select(F.explode("prefix").alias("token")).groupBy("token").count()
-    often = counted.filter(F.col("count") > frequent).orderBy(F.desc("count"), "token").limit(MAX_FREQUENT)
+    often = counted.filter(F.col("count") >= frequent).orderBy(F.desc("count"), "lead").limit(MAX_FREQUENT)
 
     def gather(batches):
-        tokens = [b.column("token").to_numpy(zero_copy_only=False) for b in batches]
+        tokens = [b.column("lead").to_numpy(zero_copy_only=False) for b in batches]
         return np.sort(np.concatenate(tokens).view(np.uint64)) if tokens else np.empty(0, np.uint64)
 
-    often_file = _write_array(often.select("token"), "token", folder, "frequent", gather)
+    often_file = _write_array(often.select("lead"), "lead", folder, "frequent", gather)
+    repeated_file = _write_bitmap(counted.select(F.shiftleft("lead", 64 - COUNT_BITS).alias("key")),
+                                  "key", folder, "repeated")
 
-    def index(batches, bitmap_file=None):
-        heavy = _mapped(often_file, np.uint64)
-        bitmap = _mapped(bitmap_file, np.uint64) if bitmap_file else None
+    def index(batches):
+        """Signatures of every set, without single shingles."""
+        heavy, bitmap = _mapped(often_file, np.uint64), _mapped(repeated_file, np.uint64)
         for batch in batches:
-            for rows, body, offsets in _slices(batch):
-                sets = _sets(body, offsets, k)
-                found = [signatures(s, heavy) if len(s) else None for s in sets]
-                if bitmap is None:
-                    keys = [f[0] for f in found if f is not None]
-                    keys = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+            for _, body, offsets in _slices(batch):
+                sets = [s for s in _sets(body, offsets, k) if len(s)]
+                if not sets:
                     continue
-                out = {"doc_id": [], "sid": [], "n": [], "keys": [], "after": [], "shingles": []}
-                for i, (s, f) in enumerate(zip(sets, found)):
-                    if f is None:
-                        continue
-                    keys, after = f
-                    bit = keys >> np.uint64(64 - BITMAP_BITS)
-                    hit = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                    if hit.any():
-                        for name, v in zip(out, (rows.column("doc_id")[i].as_py(), set_id(s), len(s),
-                                                 keys[hit].view(np.int64), after[hit].astype(np.int64),
-                                                 s.tobytes())):
-                            out[name].append(v)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out))
-
-    repeated = texts.mapInArrow(lambda b: index(b), "key long").groupBy("key").count().filter("count > 1")
-    bit = F.shiftrightunsigned("key", 64 - BITMAP_BITS)
-    words = repeated.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITMAP_BITS}) & 63 as int))")).alias("bits"))
-
-    def fill(batches):
-        bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-        for b in batches:
-            bitmap[b.column("word").to_numpy(zero_copy_only=False)] = b.column("bits").to_numpy(zero_copy_only=False)
-        return bitmap
-
-    bitmap_file = _write_array(words, "word", folder, "repeated", fill)
-    sets = staged(texts.mapInArrow(
-        lambda b: index(b, bitmap_file),
-        "doc_id long, sid long, n long, keys array<long>, after array<long>, shingles binary"), "jaccard-sets")
-    posted = sets.select("sid", "n", F.explode(F.arrays_zip("keys", "after")).alias("e")).select(
-        F.col("e.keys").alias("key"), "sid", "n", F.col("e.after").alias("after"))
+                found = [signatures(s, heavy) for s in sets]
+                keys = np.concatenate([f[0] for f in found])
+                count = [len(f[0]) for f in found]
+                columns = [keys.view(np.int64),
+                           np.repeat(np.array([set_id(s) for s in sets], np.int64), count),
+                           np.repeat(np.array([len(s) for s in sets], np.int64), count),
+                           np.concatenate([f[1] for f in found]).astype(np.int64)]
+                hit = _in_bitmap(bitmap, keys) | np.concatenate([f[2] for f in found])
+                yield pa.RecordBatch.from_arrays([pa.array(c[hit]) for c in columns],
+                                                 ["key", "sid", "n", "after"])
+
+    posted = texts.mapInArrow(index, "key long, sid long, n long, after long")
     entries = staged(posted.groupBy("key", "sid").agg(F.first("n").alias("n"), F.max("after").alias("after")),
                      "jaccard-entries")
+    sizes = entries.groupBy("key").agg(F.min(F.struct("sid", "n", "after")).alias("hub"), F.count("*").alias("size")).filter(
+        "size > 1")
+    entries = staged(entries.join(sizes, "key").select(
+        "key", "sid", "n", "after", F.col("hub.sid").alias("a"), F.col("hub.n").alias("na"),
+        F.col("hub.after").alias("aftera")), "jaccard-entries")
+
+    # whole sets of the documents that stand for a class in some shared bucket
+    wanted_file = _write_bitmap(entries.select("sid").distinct(), "sid", folder, "wanted")
+
+    def collect_sets(batches):
+        wanted = _mapped(wanted_file, np.uint64)
+        for batch in batches:
+            for rows, body, offsets in _slices(batch):
+                sets = _sets(body, offsets, k)
+                ids = np.array([set_id(s) for s in sets], np.int64)
+                hit = np.flatnonzero(_in_bitmap(wanted, ids.view(np.uint64))
+                                     & np.array([len(s) > 0 for s in sets], bool))
+                yield pa.RecordBatch.from_arrays([
+                    rows.column("doc_id").take(pa.array(hit)), pa.array(ids[hit]),
+                    pa.array([sets[i].tobytes() for i in hit], pa.binary()),
+                    pa.array([parity_bits(sets[i]) for i in hit], pa.list_(pa.int64()))],
+                    ["doc_id", "sid", "shingles", "parity"])
+
+    whole = texts.mapInArrow(collect_sets, "doc_id long, sid long, shingles binary, parity array<long>").alias("w")
+    chosen = reps.join(entries.select("sid").distinct(), "sid", "left_semi").alias("r")
+    sets = staged(whole.join(chosen, (F.col("w.sid") == F.col("r.sid"))
+                             & F.col("w.doc_id").eqNullSafe(F.col("r.rep")), "left_semi").select(
+        "sid", "shingles", "parity"), "jaccard-sets")
 
     # round one: one partner each
-    hubs = entries.groupBy("key").agg(F.min(F.struct("sid", "n")).alias("hub"), F.count("*").alias("size")).filter(
-        "size > 1").select("key", F.col("hub.sid").alias("a"), F.col("hub.n").alias("na"))
-    alike = lambda x, y: (SHARE[1] * F.least(x, y) >= SHARE[0] * F.greatest(x, y))
-    starred = entries.join(hubs, "key").filter((F.col("sid") != F.col("a")) & alike(F.col("n"), F.col("na")))
+    starred = entries.filter((F.col("sid") != F.col("a"))
+                             & _can_link(F.col("n"), F.col("after"), F.col("na"), F.col("aftera")))
     one = (starred.groupBy("a", F.col("sid").alias("b")).count()
            .groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("m"))).alias("best"))
            .select((-F.col("best.m")).alias("a"), "b"))
     tried = staged(one, "jaccard-pairs")
-    first = staged(_links(tried, sets, reps), "jaccard-links")
+    first = staged(_links(tried, sets), "jaccard-links")
     label = components(first, "a", "b")
 
     # round two: pairs across components, in buckets that hold several
-    placed = staged(entries.join(label.withColumnRenamed("node", "sid"), "sid", "left")
+    placed = staged(entries.drop("a", "na", "aftera").join(label.withColumnRenamed("node", "sid"), "sid", "left")
                     .withColumn("component", F.coalesce("component", "sid")), "jaccard-placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
         "lo <> hi").select("key")
-    open_ = staged(placed.join(mixed, "key", "left_semi"), "jaccard-open")
+    open_ = staged(placed.join(mixed, "key", "left_semi").join(sets.select("sid", "parity"), "sid"),
+                   "jaccard-open")
     x, y = open_.alias("x"), open_.alias("y")
-    need = F.ceil(F.lit(SHARE[0]) * (F.col("x.n") + F.col("y.n")) / F.lit(SHARE[0] + SHARE[1]) - F.lit(1e-9))
+    differ = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i))))
+                  for i in range(PARITY_WORDS)), F.lit(0))
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid"))
                    & (F.col("x.component") != F.col("y.component"))
-                   & alike(F.col("x.n"), F.col("y.n"))
-                   & (F.least(F.col("x.after"), F.col("y.after")) + 1 >= need))
+                   & _can_link(F.col("x.n"), F.col("x.after"), F.col("y.n"), F.col("y.after"))
+                   & (2 * SHARE[0] * (F.col("x.n") + F.col("y.n"))
+                      <= sum(SHARE) * (F.col("x.n") + F.col("y.n") - differ)))
     rest = cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = staged(_links(staged(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs"), sets, reps),
+    second = staged(_links(staged(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs"), sets),
                     "jaccard-links")
     links = first.unionByName(second)
     label = components(links, "a", "b").withColumnRenamed("node", "sid")
