@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -21,7 +22,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage,
-    survives lost executors)."""
+    survives lost executors).  Collecting the driver's garbage first lets Spark
+    remove the shuffle files of earlier steps, which are no longer read."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

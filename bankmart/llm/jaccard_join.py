@@ -42,7 +42,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart.llm.common import (documents, hashed_words, mapped_path, mix64, shared_folder,
@@ -253,16 +253,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
             for i, blob in count_blobs(np.concatenate(tokens), ranges):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                     pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
+                     pa.nulls(1, pa.list_(pa.int64())), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
 
-        names = ["doc_id", "n", "sid", "range", "blob"]
+        names = ["doc_id", "n", "sid", "parity", "range", "blob"]
         for batch in batches:
             for rows, body, offsets in _slices(batch):
                 sets = _sets(body, offsets, k)
                 ids = [set_id(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(ids, pa.int64()), pa.nulls(len(sets), pa.int32()),
+                    pa.array(ids, pa.int64()),
+                    pa.array([parity_bits(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary())], names)
                 for s, i in zip(sets, ids):
                     if i is not None and i not in seen:    # copies nearby count once
@@ -276,9 +278,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
             yield from flush()
 
     described = staged(texts.mapInArrow(
-        describe, "doc_id long, n long, sid long, range int, blob binary"), "jaccard-members")
+        describe, "doc_id long, n long, sid long, parity array<long>, range int, blob binary"),
+        "jaccard-members")
     members = described.filter("range is null").select("doc_id", "n", "sid")
     reps = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
+    parities = described.filter("n > 0").groupBy("sid").agg(F.first("parity").alias("parity"))
 
     def merge(key, frame):
         import pandas as pd
@@ -318,36 +322,35 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                                                  ["key", "sid", "n", "after"])
 
     posted = texts.mapInArrow(index, "key long, sid long, n long, after long")
-    entries = staged(posted.groupBy("key", "sid").agg(F.first("n").alias("n"), F.max("after").alias("after")),
-                     "jaccard-entries")
-    sizes = entries.groupBy("key").agg(F.min(F.struct("sid", "n", "after")).alias("hub"), F.count("*").alias("size")).filter(
-        "size > 1")
-    entries = staged(entries.join(sizes, "key").select(
-        "key", "sid", "n", "after", F.col("hub.sid").alias("a"), F.col("hub.n").alias("na"),
-        F.col("hub.after").alias("aftera")), "jaccard-entries")
-
-    # whole sets of the documents that stand for a class in some shared bucket
-    wanted_file = _write_bitmap(entries.select("sid").distinct(), "sid", folder, "wanted")
-
-    def collect_sets(batches):
-        wanted = _mapped(wanted_file, np.uint64)
-        for batch in batches:
-            for rows, body, offsets in _slices(batch):
-                sets = _sets(body, offsets, k)
-                ids = np.array([set_id(s) for s in sets], np.int64)
-                hit = np.flatnonzero(_in_bitmap(wanted, ids.view(np.uint64))
-                                     & np.array([len(s) > 0 for s in sets], bool))
-                yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id").take(pa.array(hit)), pa.array(ids[hit]),
-                    pa.array([sets[i].tobytes() for i in hit], pa.binary()),
-                    pa.array([parity_bits(sets[i]) for i in hit], pa.list_(pa.int64()))],
-                    ["doc_id", "sid", "shingles", "parity"])
-
-    whole = texts.mapInArrow(collect_sets, "doc_id long, sid long, shingles binary, parity array<long>").alias("w")
-    chosen = reps.join(entries.select("sid").distinct(), "sid", "left_semi").alias("r")
-    sets = staged(whole.join(chosen, (F.col("w.sid") == F.col("r.sid"))
-                             & F.col("w.doc_id").eqNullSafe(F.col("r.rep")), "left_semi").select(
-        "sid", "shingles", "parity"), "jaccard-sets")
+    # one row per bucket and class (a class's copies meet before the shuffle)
+    bucket = Window.partitionBy("key")
+    entries = staged(
+        posted.groupBy("key", "sid").agg(F.first("n").alias("n"), F.max("after").alias("after"))
+        .withColumn("hub", F.min(F.struct("sid", "n", "after")).over(bucket))
+        .withColumn("size", F.count("*").over(bucket)).filter("size > 1")
+        .select("key", "sid", "n", "after", F.col("hub.sid").alias("a"), F.col("hub.n").alias("na"),
+                F.col("hub.after").alias("aftera")), "jaccard-entries")
+
+    def whole_sets(pairs: DataFrame) -> DataFrame:
+        """Whole sets (sid, shingles) of the documents that stand for the
+        classes of the pairs; a few others may be among them."""
+        named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        wanted_file = _write_bitmap(reps.join(named, "sid", "left_semi").select(
+            F.xxhash64("rep").alias("place")), "place", folder, "wanted")
+
+        def collect_sets(batches):
+            wanted = _mapped(wanted_file, np.uint64)
+            for batch in batches:
+                places = batch.column("place").to_numpy(zero_copy_only=False).view(np.uint64)
+                batch = batch.filter(pa.array(_in_bitmap(wanted, places)))
+                for _, body, offsets in _slices(batch):
+                    sets = [s for s in _sets(body, offsets, k) if len(s)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([set_id(s) for s in sets], pa.int64()),
+                        pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "shingles"])
+
+        return staged(texts.withColumn("place", F.xxhash64("doc_id")).mapInArrow(
+            collect_sets, "sid long, shingles binary"), "jaccard-sets")
 
     # round one: one partner each
     starred = entries.filter((F.col("sid") != F.col("a"))
@@ -356,7 +359,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
            .groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("m"))).alias("best"))
            .select((-F.col("best.m")).alias("a"), "b"))
     tried = staged(one, "jaccard-pairs")
-    first = staged(_links(tried, sets), "jaccard-links")
+    first = staged(_links(tried, whole_sets(tried)), "jaccard-links")
     label = components(first, "a", "b")
 
     # round two: pairs across components, in buckets that hold several
@@ -364,7 +367,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                     .withColumn("component", F.coalesce("component", "sid")), "jaccard-placed")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
         "lo <> hi").select("key")
-    open_ = staged(placed.join(mixed, "key", "left_semi").join(sets.select("sid", "parity"), "sid"),
+    open_ = staged(placed.join(mixed, "key", "left_semi").join(parities, "sid"),
                    "jaccard-open")
     x, y = open_.alias("x"), open_.alias("y")
     differ = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i))))
@@ -376,8 +379,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                       <= sum(SHARE) * (F.col("x.n") + F.col("y.n") - differ)))
     rest = cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = staged(_links(staged(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs"), sets),
-                    "jaccard-links")
+    rest = staged(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+    second = staged(_links(rest, whole_sets(rest)), "jaccard-links")
     links = first.unionByName(second)
     label = components(links, "a", "b").withColumnRenamed("node", "sid")
 
