@@ -20,15 +20,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: rows that go to a Python worker at a time, so that batches of long texts fit
+ARROW_ROWS = 1000
+_ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage,
     survives lost executors).  Collecting the driver's garbage first lets Spark
     remove the shuffle files of earlier steps, which are no longer read."""
+    spark = df.sparkSession
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    path, before = scratch_path(spark, name), spark.conf.get(_ARROW_CONF)
+    spark.conf.set(_ARROW_CONF, str(min(ARROW_ROWS, int(before))))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def open_fs(uri: str):

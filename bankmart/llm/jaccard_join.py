@@ -54,9 +54,9 @@ FREQUENT = 8                      # a shingle in so many documents is of the fre
 MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); others count as rare
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
 PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 COUNT_BITS = 40                   # leading bits of a shingle that are counted
-COUNT_CHUNK = 4 << 20             # shingles sorted at a time
+COUNT_CHUNK = 3 << 20             # shingles sorted at a time
 
 
 def _slices(batch):
