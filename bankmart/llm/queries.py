@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from bankmart.llm import jaccard_join, knn, language, licenses, mixing, token_files, url_rules
+from bankmart.llm import decontaminate, jaccard_join, knn, language, licenses, mixing, token_files, url_rules
 
 QUERIES = {
     "op1_token_files": token_files.op1,
+    "op2_decontaminate": decontaminate.op2,
     "op3_topk": knn.op3,
     "op5_url_rules": url_rules.op5,
     "op6_licenses": licenses.op6,
