@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bankmart.llm import decontaminate, jaccard_join, knn, language, licenses, mixing, token_files, url_rules
+from bankmart.llm import decontaminate, jaccard_join, knn, language, licenses, mixing, repeats, token_files, url_rules
 
 QUERIES = {
     "op1_token_files": token_files.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_licenses": licenses.op6,
     "op7_mixing": mixing.op7,
     "op8_jaccard_join": jaccard_join.op8,
+    "op9_repeats": repeats.op9,
     "op10_language": language.op10,
 }
 
