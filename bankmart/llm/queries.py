@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from bankmart.llm import decontaminate, jaccard_join, knn, language, licenses, mixing, repeats, token_files, url_rules
+from bankmart.llm import decontaminate, jaccard_join, knn, language, language_model, licenses, mixing, repeats, token_files, url_rules
 
 QUERIES = {
     "op1_token_files": token_files.op1,
     "op2_decontaminate": decontaminate.op2,
     "op3_topk": knn.op3,
     "op5_url_rules": url_rules.op5,
+    "op4_language_model": language_model.op4,
     "op6_licenses": licenses.op6,
     "op7_mixing": mixing.op7,
     "op8_jaccard_join": jaccard_join.op8,
