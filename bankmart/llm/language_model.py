@@ -95,12 +95,14 @@ class EliasFano:
         words = self.upper.reshape(-1, BLOCK)[block]
         if not one:
             words = ~words
-        counts = np.cumsum(np.bitwise_count(words).astype(np.int64), 1)
-        rest = k - ahead[block]
-        word = (counts <= rest[:, None]).sum(1)
-        row = np.arange(len(k))
-        rest = rest - np.where(word > 0, counts[row, np.maximum(word - 1, 0)], 0)
-        w = words[row, word]
+        counts = np.bitwise_count(words)
+        rest, word = k - ahead[block], np.zeros(len(k), np.int64)
+        left = np.ones(len(k), bool)
+        for i in range(BLOCK - 1):                 # words that end before it
+            left &= counts[:, i] <= rest
+            rest -= np.where(left, counts[:, i], 0)
+            word += left
+        w = words[np.arange(len(k)), word]
         at = np.zeros(len(k), np.int64)
         for half in (32, 16, 8, 4, 2, 1):          # narrow down to the bit
             lower = np.bitwise_count(w & np.uint64((1 << half) - 1)).astype(np.int64)
@@ -131,22 +133,32 @@ class EliasFano:
         x = x.astype(np.uint64)
         high = np.minimum((x >> np.uint64(self.low_bits)).astype(np.int64), self.top)
         want = x & np.uint64((1 << self.low_bits) - 1)
-        hi = self._select(high, False) - high
-        lo = np.zeros(len(x), np.int64)
+        # values with these upper bits are the ones between two zeros
+        place = np.zeros(len(x), np.int64)
         some = high > 0
-        lo[some] = self._select(high[some] - 1, False) + 1 - high[some]
-        end = hi.copy()
-        while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
-                break
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self._low(mid) < want[open_]
-            lo[open_] = np.where(less, mid + 1, lo[open_])
-            hi[open_] = np.where(less, hi[open_], mid)
-        ok = lo < end
-        ok[ok] = self._low(lo[ok]) == want[ok]
-        return np.where(ok, lo, -1)
+        place[some] = self._select(high[some] - 1, False) + 1
+        out = np.full(len(x), -1, np.int64)
+        rows, at = np.arange(len(x)), place - high
+        for _ in range(4):                         # mostly a few
+            bit = (self.upper[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+            rows, at, place = rows[bit], at[bit], place[bit]
+            low = self._low(at)
+            same = low == want[rows]
+            out[rows[same]] = at[same]
+            on = low < want[rows]
+            rows, at, place = rows[on], at[on] + 1, place[on] + 1
+        if len(rows):                              # else halve what is left
+            end = self._select(high[rows], False) - high[rows]
+            lo, hi, want = at, end.copy(), want[rows]
+            while len(open_ := np.flatnonzero(lo < hi)):
+                mid = (lo[open_] + hi[open_]) >> 1
+                less = self._low(mid) < want[open_]
+                lo[open_] = np.where(less, mid + 1, lo[open_])
+                hi[open_] = np.where(less, hi[open_], mid)
+            ok = np.flatnonzero(lo < end)
+            ok = ok[self._low(lo[ok]) == want[ok]]
+            out[rows[ok]] = lo[ok]
+        return out
 
 
 # --- level files -----------------------------------------------------------
@@ -178,7 +190,7 @@ class Level:
     """A memory-mapped level file of one shard."""
 
     def __init__(self, uri: str):
-        body = np.memmap(mapped_path(uri), np.uint8, "r")
+        body = np.asarray(np.memmap(mapped_path(uri), np.uint8, "r")).view(np.ndarray)
         size = struct.unpack("<q", body[:8].tobytes())[0]
         self.arrays = {}
         for name, (kind, n, at) in json.loads(body[8:8 + size].tobytes()).items():
@@ -312,13 +324,15 @@ class Trie:
             before_shard, before = (np.concatenate([[0], x[:-1]]) for x in levels[-1])
             rows = np.flatnonzero((before >= 0) & ~starts)
             # equal (context, word) pairs are looked up once
-            pairs = np.stack([before_shard[rows], before[rows], word[rows]], 1)
-            code = (before_shard[rows].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                    + before[rows].astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F) + word[rows].astype(np.uint64)
-            _, at, inverse = np.unique(code, return_index=True, return_inverse=True)
-            if not (pairs[at][inverse] == pairs).all():     # two pairs share a code: look all up
+            one = [before_shard[rows], before[rows], word[rows]]
+            span = (int(one[1].max(initial=0)) + 1) * (self.vocabulary + 1)
+            if span * self.shards < 2**64:           # sorted by shard, context and word
+                code = (one[0].astype(np.uint64) * np.uint64(span)
+                        + one[1].astype(np.uint64) * np.uint64(self.vocabulary + 1) + (one[2] + 1).astype(np.uint64))
+                _, at, inverse = np.unique(code, return_index=True, return_inverse=True)
+            else:
                 at, inverse = np.arange(len(rows)), np.arange(len(rows))
-            found, alpha, weight = self.after(k, *(pairs[at].T))
+            found, alpha, weight = self.after(k, *(x[at] for x in one))
             entry = np.full(len(tokens), -1, np.int64)
             entry[rows] = found[inverse]
             p = p.copy()
