@@ -44,7 +44,8 @@ from bankmart.llm.jaccard_join import (COUNT_BITS, COUNT_CHUNK, _in_bitmap, _map
 
 LENGTH, GRAM = 100, 32
 PIECE = 1 << 20                   # bytes of a document looked at together
-PART_CONTEXTS = 20_000            # contexts of one index (about 3 MB)
+PART_CONTEXTS = 4_000             # contexts of one index (about 0.7 MB), on average
+CROWDED = 10_000                  # an anchor with more contexts is settled by window hashes
 _POSITION = np.uint64((1 << 24) - 1)
 _BYTE = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NULL_ID = -2**63
@@ -88,7 +89,14 @@ def run_length_index(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     the suffix before.  Match lengths are computed at the run borders of the
     Burrows-Wheeler transform only and streamed from there."""
     n = len(text)
-    ranks, rank, step = [], text.astype(np.int64), 1
+    # the first order is by four symbols at once; later ones double
+    bits = int(text.max(initial=0) + 1).bit_length()
+    width = 4 if 4 * bits <= 62 else 1
+    padded = np.concatenate([text + 1, np.zeros(width, np.int64)])
+    rank = np.zeros(n, np.int64)
+    for i in range(width):
+        rank = (rank << bits) | padded[i:n + i]
+    ranks, step = [], width
     while True:
         _, rank = np.unique(rank, return_inverse=True)
         ranks.append(rank)
@@ -109,7 +117,11 @@ def run_length_index(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         inside = (a < n) & (b < n)
         r = ranks[level]
         same = inside & (r[np.minimum(a, n - 1)] == r[np.minimum(b, n - 1)]) & (here != before)
-        match += np.where(same, 1 << level, 0)
+        match += np.where(same, width << level, 0)
+    for _ in range(width - 1):                     # what is left is shorter than the first step
+        a, b = here + match, before + match
+        inside = (a < n) & (b < n) & (here != before)
+        match += inside & (text[np.minimum(a, n - 1)] == text[np.minimum(b, n - 1)])
     match[0] = 0
     sampled = np.full(n, -1, np.int64)
     sampled[here] = match
@@ -160,7 +172,7 @@ def window_hashes(body: bytes) -> np.ndarray:
     return mix64((total[LENGTH:] - total[:n]) * inverse[:n])
 
 
-def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS) -> DataFrame:
+def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_contexts: int = CROWDED) -> DataFrame:
     """(doc, mark, start, windows): runs of window starts that also start
     earlier; ``doc`` is doc_id (null: the smallest long), ``mark`` the text hash."""
     spark = docs.sparkSession
@@ -244,8 +256,8 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS) -> DataFrame:
     bodies = staged(bodies.join(varied, ["anchor", "own", "doc", "mark", "start"])
                     .dropDuplicates(["anchor", "own"]), "repeat-bodies")
     total = bodies.count()
-    parts = max(1, -(-total // (part_contexts // 2)))
-    dealt = bodies.filter(F.col("variants") <= part_contexts // 2).withColumn(
+    parts = max(1, -(-total // part_contexts))
+    dealt = bodies.filter(F.col("variants") <= crowded_contexts).withColumn(
         "part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
     indexed = dealt.select("part", "doc", "mark", "start", "body").groupBy("part").applyInPandas(
         lambda key, f: earlier_windows(f), "doc long, mark long, start long, windows long")
@@ -260,7 +272,7 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS) -> DataFrame:
                                                        one[3] + np.arange(len(h)))],
                     ["anchor", "window", "doc", "mark", "start"])
 
-    crowded = bodies.filter(F.col("variants") > part_contexts // 2).mapInArrow(
+    crowded = bodies.filter(F.col("variants") > crowded_contexts).mapInArrow(
         explode_windows, "anchor long, window long, doc long, mark long, start long")
     earliest = crowded.groupBy("anchor", "window").agg(F.min(F.struct("doc", "mark", "start")).alias("first"),
                                                        F.count("*").alias("n")).filter("n > 1")
@@ -284,10 +296,11 @@ def removed_spans(runs, n: int) -> np.ndarray:
     return np.stack([a[heads, 0], end[np.append(heads[1:] - 1, len(a) - 1)]], 1)
 
 
-def without_repeats(docs: DataFrame, part_contexts: int = PART_CONTEXTS) -> DataFrame:
+def without_repeats(docs: DataFrame, part_contexts: int = PART_CONTEXTS,
+                    crowded_contexts: int = CROWDED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, spans, kept) per row of ``docs``;
     ``kept`` holds the remaining bytes (which may split a character)."""
-    runs = covered(docs, part_contexts)
+    runs = covered(docs, part_contexts, crowded_contexts)
     texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc"),
                         F.xxhash64("text").alias("mark"), "text")
     alike = texts.groupBy("doc", "mark").count().filter("count > 1").limit(1).count()
