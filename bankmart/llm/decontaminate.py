@@ -11,8 +11,8 @@ counts over sum of larger counts) of ``similarity`` or more with the item.
    without losing any, so the windows that count start at a shingle of the
    item, and hold at least ``similarity * size`` shingles of items at all.
 2. *Fingerprints.*  Each such window and each item gets a 64-bit SimHash: the
-   majority of its shingles' hash bits, by weight (shingles of no item weigh
-   nothing there).  The bit counts are summed in 32 packed columns.
+   majority of its features' hash bits, where a shingle of weight w is w
+   features (shingles of no item weigh nothing there).  The bit counts are summed in 32 packed columns.
 3. *Multi-index Hamming blocks.*  Fingerprints are cut into 8 blocks of 8 bits.
    Two that differ in at most 15 bits have a block that differs in at most one,
    so items are listed under each block value and its 8 neighbours, and an
@@ -47,11 +47,13 @@ def _gram(length: int):
 
 
 def _fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """SimHash per key of rows (keys, hash, weight); bit i + 32 j of a hash is
-    counted in half j of column i."""
-    lanes = [F.sum(F.shiftrightunsigned("hash", i).bitwiseAND(F.lit(LANES)) * F.col("weight")).alias(f"_c{i}")
-             for i in range(32)]
-    counted = rows.groupBy(*keys).agg(F.sum("weight").alias("_w"), *lanes)
+    """SimHash per key of rows (keys, hash, weight).  A shingle of weight w
+    counts as w features, so that a few heavy shingles can't outvote each other by a
+    hair; bit i + 32 j of a feature is counted in half j of column i."""
+    features = rows.select(*keys, "hash", F.explode(F.sequence(F.lit(1).cast("long"), "weight")).alias("_i"))
+    features = features.withColumn("_f", F.xxhash64("hash", "_i"))
+    lanes = [F.sum(F.shiftrightunsigned("_f", i).bitwiseAND(F.lit(LANES))).alias(f"_c{i}") for i in range(32)]
+    counted = features.groupBy(*keys).agg(F.count("*").alias("_w"), *lanes)
     bits = F.lit(0).cast("long")
     for i in range(32):
         low = F.col(f"_c{i}").bitwiseAND(F.lit(0xFFFFFFFF))

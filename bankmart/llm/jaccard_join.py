@@ -162,11 +162,14 @@ def merge_blobs(i: int, blobs, ranges: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _write_array(df: DataFrame, column: str, folder: str, name: str, fill) -> str:
     """Write one bounded array that ``fill(batches)`` makes in a single task."""
+    def put(array):
+        return f"{folder}/{write_once(folder, name, lambda out: out.write(array.tobytes()))}"
+
     def write(batches):
-        array = fill(batches)
-        path = write_once(folder, name, lambda out: out.write(array.tobytes()))
-        yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"]})
-    return df.coalesce(1).mapInArrow(write, "path string").collect()[0]["path"]
+        yield pa.RecordBatch.from_pydict({"path": [put(fill(batches))]})
+
+    rows = df.coalesce(1).mapInArrow(write, "path string").collect()
+    return rows[0]["path"] if rows else put(fill([]))        # an empty table may have no task
 
 
 _MAPPED: dict[str, np.ndarray] = {}
