@@ -49,7 +49,9 @@ END = 0x1D8AF066B1F2C3A5          # stands for the end of a text among the word
 SHARD_TOKENS = 2_000_000
 SLICE_BYTES = 4 << 20
 CHUNK = 3 << 20                   # tokens sorted at a time
-BLOCK = 8                         # 64-bit words per directory block
+BLOCK = 2                         # 64-bit words per directory block
+#: place of the i-th one (0 to 7) of a byte
+_IN_BYTE = np.array([([p for p in range(8) if b >> p & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
 
 
 # --- Elias-Fano ------------------------------------------------------------
@@ -104,12 +106,14 @@ class EliasFano:
             word += left
         w = words[np.arange(len(k)), word]
         at = np.zeros(len(k), np.int64)
-        for half in (32, 16, 8, 4, 2, 1):          # narrow down to the bit
+        for half in (32, 16, 8):                   # narrow down to the byte
             lower = np.bitwise_count(w & np.uint64((1 << half) - 1)).astype(np.int64)
             right = lower <= rest
-            rest = rest - np.where(right, lower, 0)
-            at += np.where(right, half, 0)
-            w = np.where(right, w >> np.uint64(half), w)
+            rest -= lower * right
+            step = right * half
+            at += step
+            w = w >> step.astype(np.uint64)
+        at += _IN_BYTE[(w & np.uint64(255)).astype(np.int64), rest]
         return block * (64 * BLOCK) + word * 64 + at
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -329,10 +333,13 @@ class Trie:
             if span * self.shards < 2**64:           # sorted by shard, context and word
                 code = (one[0].astype(np.uint64) * np.uint64(span)
                         + one[1].astype(np.uint64) * np.uint64(self.vocabulary + 1) + (one[2] + 1).astype(np.uint64))
-                _, at, inverse = np.unique(code, return_index=True, return_inverse=True)
+                code, inverse = np.unique(code, return_inverse=True)
+                part, code = np.divmod(code, np.uint64(span))
+                context, code = np.divmod(code, np.uint64(self.vocabulary + 1))
+                one = [part.astype(np.int64), context.astype(np.int64), code.astype(np.int64) - 1]
             else:
-                at, inverse = np.arange(len(rows)), np.arange(len(rows))
-            found, alpha, weight = self.after(k, *(x[at] for x in one))
+                inverse = np.arange(len(rows))
+            found, alpha, weight = self.after(k, *one)
             entry = np.full(len(tokens), -1, np.int64)
             entry[rows] = found[inverse]
             p = p.copy()
