@@ -30,8 +30,11 @@ def stamp(df: DataFrame, source_system: str, source_file: str,
 
 def month_key(date_text_col: str) -> F.Column:
     """Month-grain partition key (``yyyy-MM``) from a ``yyyy-MM-dd`` text
-    date: daily folders make many tiny files, months keep pruning useful."""
-    return F.substring(F.col(date_text_col), 1, 7)
+    date: daily folders make many tiny files, months keep pruning useful.
+    Rows without a readable date share the partition ``unknown``, as they
+    share the NULL month of Silver."""
+    parsed = F.expr(f"try_to_date(`{date_text_col}`, 'yyyy-MM-dd')")
+    return F.coalesce(F.date_format(parsed, "yyyy-MM"), F.lit("unknown"))
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None,

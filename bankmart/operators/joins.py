@@ -1,26 +1,11 @@
-"""Joins to small lookup tables with a checked broadcast."""
+"""Joins to lookup tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# a lookup larger than this is joined by shuffle instead of broadcast
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
-
-    The probe is ``limit(max_rows + 1).count()``, which stops reading as
-    soon as the bound is exceeded; a larger side falls back to a shuffled
-    join planned by Catalyst/AQE.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str,
-                how: str = "left", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    small = broadcast_if_small(lookup, max_rows)
-    return facts.join(small, facts[fact_key] == small[lookup_key], how)
+                how: str = "left") -> DataFrame:
+    """Join without a hint: the byte threshold and AQE choose the strategy."""
+    return facts.join(lookup, facts[fact_key] == lookup[lookup_key], how)

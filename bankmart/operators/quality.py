@@ -256,7 +256,7 @@ def enforce_gate(dq: DataFrame, cfg: RunConfig = DEFAULT) -> dict:
     row = gate(dq, cfg).first()
     if not row["promote"]:
         failed = [r["check_name"] for r in
-                  dq.where(F.col("status") == "FAIL").select("check_name").limit(50).collect()]
+                  dq.where(F.col("status") == "FAIL").select("check_name").collect()]
         raise DataQualityError(
             f"Data quality check failed — {row['fail_count']} rules violated: {failed}")
     return row.asDict()

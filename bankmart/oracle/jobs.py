@@ -7,7 +7,8 @@ from bankmart.oracle.base import RUN_TS
 from bankmart.oracle.queries import add
 
 add("csv_scan", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ext_customers")
-add("bronze_append", "SELECT *, substr(transaction_date, 1, 7) AS _month FROM bronze_transactions")
+add("bronze_append", "SELECT *, coalesce(strftime(try_cast(transaction_date AS date), '%Y-%m'), 'unknown') AS _month "
+    "FROM bronze_transactions")
 add("full_refresh", "SELECT * FROM bronze_branches")
 add("partitioned_overwrite", "SELECT * FROM silver_transactions")
 add("scd2_apply", """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from bankmart import domains as D
 from bankmart.functions.bands import band, lower_bound_band
 from bankmart.functions.exact import exact_sum, stable_avg
-from bankmart.operators.joins import broadcast_if_small, lookup_join
+from bankmart.operators.joins import lookup_join
 from bankmart.plans.analytics import whole, customer_name, is_true
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
@@ -268,7 +268,7 @@ def branch_rollup(lake: Lake) -> DataFrame:
                 .agg(F.count(F.lit(1)).alias("account_count"),
                      F.sum("balance").alias("total_balance"),
                      F.count_if(F.col("account_status") == "Active").alias("active_accounts")))
-    b = broadcast_if_small(lake.silver_branches.select(
-        "branch_id", "branch_name", "branch_type", F.col("state").alias("branch_state")))
+    b = lake.silver_branches.select(
+        "branch_id", "branch_name", "branch_type", F.col("state").alias("branch_state"))
     return (per_code.join(b, per_code.branch_code == b.branch_id, "left").drop("branch_id")
             .orderBy(F.col("total_balance").desc(), "branch_code"))

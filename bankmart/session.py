@@ -42,9 +42,9 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for written tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    folder); only when neither is set (local tests) a private temporary
-    folder is created once per application and registered as the
-    checkpoint folder.
+    folder); only when neither is set on a local master (tests) a private
+    temporary folder is created once per application and registered as the
+    checkpoint folder.  On any other master a missing setting is an error.
     """
     try:
         base = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,6 +59,8 @@ def shared_root(spark: SparkSession) -> str:
         base = _LOCAL_ROOTS[app]
     if not base:
         base = sc.getCheckpointDir()
+    if not base and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="bankmart-")
         sc.setCheckpointDir(_LOCAL_ROOTS[app])
@@ -109,7 +111,6 @@ def input_bytes(spark: SparkSession, paths) -> int:
 # sizing targets for one shuffle partition / one scan split
 SHUFFLE_TARGET_BYTES = 512 * 1024 * 1024
 SCAN_SPLIT_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 # in-memory rows are larger than compressed Parquet
 EXPANSION = 3.0
 
@@ -123,8 +124,7 @@ def tune_for_input(spark: SparkSession, nbytes: int) -> dict:
     scan splits, and skew handling on.  Never below twice the cores.
     """
     cores = spark.sparkContext.defaultParallelism
-    parts = int(min(MAX_SHUFFLE_PARTITIONS,
-                    max(2 * cores, -(-int(nbytes * EXPANSION) // SHUFFLE_TARGET_BYTES))))
+    parts = max(2 * cores, -(-int(nbytes * EXPANSION) // SHUFFLE_TARGET_BYTES))
     settings = {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
