@@ -51,8 +51,9 @@ _BYTE = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64) * np.
 _NULL_ID = -2**63
 
 
-def contexts(text: np.ndarray):
-    """(anchor hash, start, windows, hash) arrays of a text's contexts."""
+def contexts(text: np.ndarray, hashed: bool = True):
+    """(anchor hash, start, windows, hash) arrays of a text's contexts; without
+    ``hashed`` the last one is left at 0."""
     out = []
     for lo in range(0, max(0, len(text) - LENGTH + 1), PIECE):
         piece = text[lo:lo + PIECE + LENGTH - 1]
@@ -72,6 +73,9 @@ def contexts(text: np.ndarray):
         change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         windows = np.diff(change, append=len(least))
         anchor = gram[(least[change] & _POSITION).astype(np.int64)]
+        if not hashed:
+            out.append((anchor, change + lo, windows, np.zeros(len(anchor), np.uint64)))
+            continue
         power, inverse = _powers(len(piece))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * power)])
         end = change + windows + LENGTH - 1
@@ -185,7 +189,7 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_context
         for batch in batches:
             body, offsets = utf8_column(batch.column("text"))
             for a, b in zip(offsets[:-1], offsets[1:]):
-                held.append(contexts(body[a:b])[0])
+                held.append(contexts(body[a:b], hashed=False)[0])
             if sum(map(len, held)) >= COUNT_CHUNK // 2:
                 yield from _blob_rows(held)
                 held = []
