@@ -37,21 +37,17 @@ def month_key(date_text_col: str) -> F.Column:
     return F.coalesce(F.date_format(parsed, "yyyy-MM"), F.lit("unknown"))
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
-           business_date: str | None = None) -> None:
-    """Append one batch.  Facts are partitioned by business month, other
-    sources by batch date; the batch id is the innermost partition and the
-    write replaces only that batch's partitions (dynamic overwrite), so
-    rerunning a batch never duplicates it while earlier batches stay."""
-    out = df
-    parts = list(partition_by or [])
+def append(df: DataFrame, path: str, batch_id: str, business_date: str | None = None) -> None:
+    """Append one batch.  The batch id is the outermost partition and a rerun
+    replaces its folder as a whole, so a corrected extract leaves nothing of
+    the first one while other batches stay.  Inside it facts are partitioned
+    by business month, other sources by batch date; the rebalance keeps that
+    to about one file per month instead of tasks × months."""
+    out, part = df.drop("_batch_id"), "_batch_date"
     if business_date is not None:
-        out = out.withColumn("_month", month_key(business_date))
-        parts = ["_month"] + parts
-    elif not parts:
-        parts = ["_batch_date"]
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts, "_batch_id").parquet(path))
+        out, part = out.withColumn("_month", month_key(business_date)), "_month"
+    (out.hint("rebalance", part).write.mode("overwrite")
+        .partitionBy(part).parquet(f"{path}/_batch_id={batch_id}"))
 
 
 def read_bronze(spark: SparkSession, path: str, schema=None) -> DataFrame:

@@ -37,37 +37,40 @@ def write_partitioned_balanced(df: DataFrame, path: str, by: list[str],
     w.parquet(path)
 
 
-def clustered_rewrite(df: DataFrame, path: str, by: list[str],
+def clustered_rewrite(df: DataFrame, path: str, by: list[str], key: list[str],
                       partitions: int | None = None) -> None:
     """Co-locate rows by ``by`` (range partitioning + in-file sort), so
     Parquet min/max statistics let filters on these columns skip row
     groups and files — the open-source counterpart of Z-ordering or a
-    clustering key."""
+    clustering key.  The ranges end in the primary ``key``, so one hot value
+    of ``by`` is spread over several files."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    (df.repartitionByRange(n, *by, *key).sortWithinPartitions(*by, *key)
        .write.mode("overwrite").parquet(path))
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """File count and bytes of a Parquet table, from the scan's
-    ``_metadata`` (one row; distributed, no driver-side file list — the scan
-    reads no column chunks, only row-group metadata)."""
-    files = (spark.read.parquet(path)
-             .select(F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_size").alias("file_size"))
-             .distinct())
+    """File count and bytes of a Parquet table: one input row per file (files
+    without rows included), whose content is not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.col("length").alias("file_size")))
     return files.agg(F.count(F.lit(1)).alias("file_count"),
                      F.sum("file_size").alias("total_bytes"),
                      F.max("file_size").alias("max_file_bytes"))
 
 
-def compact(spark: SparkSession, src: str, dst: str,
+def compact(spark: SparkSession, src: str, dst: str, by: list[str] = (),
             target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite ``src`` into files of about ``target_bytes`` at ``dst``
     (a new folder: Parquet tables cannot be overwritten in place while
-    read).  Returns the number of output files requested."""
+    read).  A table partitioned ``by`` columns stays so, each partition
+    compacted by itself.  Returns the number of files the bytes ask for."""
     from bankmart.session import input_bytes
     total = input_bytes(spark, [src])          # file-system metadata, no scan
     n = max(1, math.ceil(total / target_bytes))
-    spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
+    if by:
+        write_partitioned_balanced(spark.read.parquet(src), dst, list(by))
+    else:
+        spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
     return n

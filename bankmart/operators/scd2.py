@@ -42,7 +42,8 @@ def current_rows(dim: DataFrame) -> DataFrame:
 
 def scd2_new_keys(dim: DataFrame, incoming: DataFrame, key: str = "customer_id") -> DataFrame:
     """Incoming rows whose key has no current version (left anti-join)."""
-    return incoming.join(current_rows(dim).select(key), key, "left_anti")
+    cur = current_rows(dim).select(F.col(key).alias("_current_key"))
+    return incoming.join(cur, F.col(key).eqNullSafe(F.col("_current_key")), "left_anti")
 
 
 def scd2_changed_keys(dim: DataFrame, incoming: DataFrame, key: str = "customer_id",
@@ -50,7 +51,7 @@ def scd2_changed_keys(dim: DataFrame, incoming: DataFrame, key: str = "customer_
     """Incoming rows whose current version differs in a tracked column."""
     cur = current_rows(dim).select(key, *tracked, "scd_version").alias("o")
     inc = incoming.alias("n")
-    return (inc.join(cur, F.col(f"n.{key}") == F.col(f"o.{key}"), "inner")
+    return (inc.join(cur, F.col(f"n.{key}").eqNullSafe(F.col(f"o.{key}")), "inner")
                .where(_changed("o", "n", tracked))
                .select("n.*", F.col("o.scd_version").alias("previous_version")))
 
@@ -65,7 +66,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, cfg: RunConfig = DEFAULT,
     each joined row emits its surviving old version and/or its new version
     through a single ``explode`` so the join is evaluated once.  Closed
     history passes through untouched.  Keys absent from the batch stay
-    current (there is no delete).  Applying the same batch twice is a no-op.
+    current (there is no delete).  A NULL key is a key like any other (the
+    DQ rules report it).  Applying the same batch twice is a no-op.
     """
     cols = dim.columns
     attrs = [c for c in cols if c not in SCD_COLS]
@@ -73,11 +75,12 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, cfg: RunConfig = DEFAULT,
     inc = incoming.select(*[F.col(c) if c not in missing else F.lit(None).alias(c)
                             for c in attrs])
     closed = dim.where(~F.col("scd_is_current"))
-    cur = current_rows(dim)
-    j = cur.alias("o").join(inc.alias("n"), F.col(f"o.{key}") == F.col(f"n.{key}"),
+    cur = current_rows(dim).withColumn("_side", F.lit(True))
+    inc = inc.withColumn("_side", F.lit(True))
+    j = cur.alias("o").join(inc.alias("n"), F.col(f"o.{key}").eqNullSafe(F.col(f"n.{key}")),
                             "full_outer")
-    has_old = F.col(f"o.{key}").isNotNull()
-    has_new = F.col(f"n.{key}").isNotNull()
+    has_old = F.col("o._side").isNotNull()
+    has_new = F.col("n._side").isNotNull()
     changed = has_old & has_new & _changed("o", "n", tracked)
     as_of = F.lit(cfg.as_of)
     old_row = F.when(has_old, F.struct(
@@ -200,11 +203,13 @@ def store_schema(spark, root: str) -> T.StructType | None:
 
 def store_apply(spark, root: str, batch_id: str, incoming: DataFrame, cfg: RunConfig,
                 key: str = "customer_id", tracked: Sequence[str] = D.SCD2_TRACKED) -> None:
-    """Apply one batch to the store (idempotent per ``batch_id``: a
-    committed batch is not applied again)."""
+    """Apply one batch to the store.  Batches come in order: a rerun of the
+    newest one is applied again to its predecessor, so a corrected extract
+    takes effect; a batch older than the newest is refused."""
     batches = store_batches(spark, root)
-    if batch_id in batches:
-        return
+    later = [b for b in batches if b > batch_id]
+    if later:
+        raise ValueError(f"batch {batch_id} is older than batch {later[-1]} of {root}")
     prior = [b for b in batches if b < batch_id]
     if prior:
         schema = scd2_initial(incoming, cfg).schema

@@ -37,3 +37,7 @@ _ok = " AND ".join([f"length(CAST({n} AS VARCHAR)) <= {m} OR {n} IS NULL"
                       for n, t, m in C360_SERVING]
                    + ["customer_id IS NOT NULL"])
 add("serving_load", f"SELECT {_cols}, {RUN_TS} AS _sf_load_ts FROM customer_360 WHERE {_ok}")
+add("registered_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in
+    ["silver_customers", "silver_accounts", "silver_transactions", "silver_branches", "silver_tickets",
+     "customer_360", "txn_monthly_summary", "segment_metrics", "support_kpis", "dq_results"]))

@@ -4,15 +4,17 @@ Tables pass between stages only through the warehouse folder (each stage
 reads what the previous one wrote), so any stage can be rerun alone and a
 failure never leaves a half-built in-memory lineage.  Every write is
 idempotent per batch: Bronze and the DQ audit replace their own batch
-partitions, the SCD2 store skips a committed batch, Silver and Gold are
-overwrites.  Independent tables of a stage are written as concurrent jobs.
+partitions, the SCD2 store applies a rerun batch again to its predecessor,
+Silver and Gold are overwrites.  Batches run in order: the newest may be
+rerun (with a corrected extract), an older one is refused.  Independent
+tables of a stage are written as concurrent jobs.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
@@ -20,7 +22,8 @@ from bankmart.operators import bronze as B
 from bankmart.operators import layout, quality, scd2, serving, silver
 from bankmart.plans.jobs import bronze_schema, land_bronze
 from bankmart.plans.lake import Lake
-from bankmart.session import input_bytes, run_concurrently, tune_for_input
+from bankmart.session import (committed_subdirs, delete_folder, input_bytes, run_concurrently,
+                              tune_for_input)
 
 
 @dataclass
@@ -29,6 +32,39 @@ class RunResult:
     dq: dict
 
 
+MONTH = ["txn_year", "txn_month"]
+
+
+def _month_number():
+    """One number per (txn_year, txn_month), 0 for undated rows."""
+    return F.coalesce(F.col("txn_year") * 100 + F.col("txn_month"), F.lit(0))
+
+
+def merge_transactions(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Bring the newest batch's clean rows into Silver transactions.
+
+    Touched are the months of the new rows and those where their ids already
+    live (a correction may move a transaction, or give it its date); only
+    these partitions are read and replaced, and a month left without rows is
+    removed.  Month numbers come from parsed dates, so their list is bounded
+    by the calendar."""
+    old = spark.read.schema(new.schema).parquet(path)
+    ids = new.select(F.col("transaction_id").alias("_id"))
+    same = F.col("transaction_id").eqNullSafe(F.col("_id"))
+    homes = old.join(ids, same, "left_semi").select(_month_number().alias("m"))
+    touched = [r.m for r in homes.union(new.select(_month_number())).distinct().collect()]
+    if not touched:
+        return
+    kept = old.where(_month_number().isin(touched)).join(ids, same, "left_anti")
+    filled = {r.m for r in kept.select(_month_number().alias("m"))
+              .union(new.select(_month_number())).distinct().collect()}
+    layout.write_partitioned_balanced(kept.unionByName(new), path, MONTH, dynamic=True)
+    for m in set(touched) - filled:
+        unknown = "__HIVE_DEFAULT_PARTITION__"
+        year, month = (m // 100, m % 100) if m else (unknown, unknown)
+        delete_folder(spark, f"{path}/txn_year={year}/txn_month={month}")
+
+
 def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAULT,
         tune: bool = False) -> RunResult:
     """One daily batch.  ``tune=True`` sizes shuffle partitions and scan
@@ -38,6 +74,10 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     if tune:
         tune_for_input(spark, input_bytes(spark, [sf_dir, f"{warehouse}/bronze"]))
 
+    landed = committed_subdirs(spark, f"{warehouse}/bronze/transactions", "_batch_id=")
+    if landed and landed[-1] > cfg.batch_id:
+        raise ValueError(f"batch {cfg.batch_id} is older than batch {landed[-1]} of {warehouse}")
+
     # Bronze: append today's batch
     bronze_paths = land_bronze(lake, f"{warehouse}/bronze")
     month_parted = {"transactions", "support_tickets"}
@@ -61,23 +101,25 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     actions = [(lambda n=n: builders[n].write.mode("overwrite").parquet(paths[n]))
                for n in builders]
 
-    # Transactions are rebuilt only for the business months today's batch
-    # touches: Bronze is read with partition pruning on _month and those
-    # Silver (txn_year, txn_month) partitions are replaced (dynamic
-    # overwrite); every other month is left as written.  The month list is
-    # bounded by the calendar, not by the data.
-    months = [r[0] for r in today["transactions"].select("_month").distinct().collect()]
-    txn_path = f"{warehouse}/silver/silver_transactions"
-    if months:
-        touched = bz["transactions"].where(F.col("_month").isin(months))
-        txns = silver.silver_transactions(touched, cfg).drop("_month")
-        actions.append(lambda: layout.write_partitioned_balanced(
-            txns, txn_path, ["txn_year", "txn_month"], dynamic=True))
+    # Transactions: a new batch on top of all earlier ones is merged into the
+    # months it touches; after a rerun or a failure in between Silver is
+    # rebuilt from Bronze.  A folder per batch marks which ones Silver holds.
+    txn_path, applied = f"{warehouse}/silver/silver_transactions", f"{warehouse}/silver/applied"
+    txns = silver.silver_transactions(today["transactions"], cfg).drop("_month")
+    if landed and committed_subdirs(spark, applied, "batch=") == landed and cfg.batch_id not in landed:
+        actions.append(lambda: merge_transactions(spark, txn_path, txns))
+    else:
+        delete_folder(spark, applied)
+        everything = silver.silver_transactions(bz["transactions"], cfg).drop("_month")
+        actions.append(lambda: layout.write_partitioned_balanced(everything, txn_path, MONTH))
     paths["silver_transactions"] = txn_path
     run_concurrently(actions)
+    for batch in sorted({*landed, cfg.batch_id}):
+        spark.range(0).write.mode("overwrite").parquet(f"{applied}/batch={batch}")
 
     lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
-                         if n != "silver_customers"})
+                         if n not in ("silver_customers", "silver_transactions")})
+    lake._tables["silver_transactions"] = spark.read.schema(txns.schema).parquet(txn_path)
 
     # DQ on Silver, audit append, gate before Gold
     dq_path = f"{warehouse}/audit/dq_results"

@@ -55,7 +55,7 @@ def land_bronze(lake: Lake, root: str) -> dict[str, str]:
         if name == "branches":
             B.full_refresh(df, path)
         else:
-            B.append(df, path, business_date=date_col)
+            B.append(df, path, lake.cfg.batch_id, business_date=date_col)
         paths[name] = path
     return paths
 
@@ -83,10 +83,10 @@ def partitioned_overwrite(lake: Lake) -> DataFrame:
     rebuilt with a dynamic partition overwrite, leaving the others."""
     path = scratch_path(lake.spark, "silver-transactions")
     txns = lake.silver_transactions
-    layout.write_partitioned(txns, path, ["txn_year", "txn_month"])
+    layout.write_partitioned_balanced(txns, path, ["txn_year", "txn_month"])
     month = txns.where((F.col("txn_year") == marts.PRUNE_YEAR)
                        & (F.col("txn_month") == marts.PRUNE_MONTH))
-    layout.write_partitioned(month, path, ["txn_year", "txn_month"], dynamic=True)
+    layout.write_partitioned_balanced(month, path, ["txn_year", "txn_month"], dynamic=True)
     return lake.spark.read.schema(txns.schema).parquet(path)
 
 
@@ -123,13 +123,13 @@ def dq_audit_append(lake: Lake) -> DataFrame:
 @query("clustered_rewrite")
 def clustered_rewrite(lake: Lake) -> DataFrame:
     path = scratch_path(lake.spark, "c360-clustered")
-    layout.clustered_rewrite(lake.customer_360, path, ["segment", "state"])
+    layout.clustered_rewrite(lake.customer_360, path, ["segment", "state"], ["customer_id"])
     return lake.spark.read.parquet(path)
 
 
 def _small_file_copy(lake: Lake) -> str:
     path = scratch_path(lake.spark, "txn-small-files")
-    lake.silver_transactions.repartition(32).write.mode("overwrite").parquet(path)
+    layout.write_partitioned(lake.silver_transactions, path, ["txn_year", "txn_month"])
     return path
 
 
@@ -137,10 +137,34 @@ def _small_file_copy(lake: Lake) -> str:
 def compact_files(lake: Lake) -> DataFrame:
     src = _small_file_copy(lake)
     dst = scratch_path(lake.spark, "txn-compacted")
-    layout.compact(lake.spark, src, dst)
+    layout.compact(lake.spark, src, dst, ["txn_year", "txn_month"])
     return lake.spark.read.parquet(dst)
 
 
+def _partitioned_transactions(lake: Lake) -> DataFrame:
+    """Silver transactions as a written table: the lake's own where it has one."""
+    path = lake.paths.get("silver_transactions")
+    if path is None:
+        path = scratch_path(lake.spark, "silver-transactions")
+        layout.write_partitioned_balanced(lake.silver_transactions, path, ["txn_year", "txn_month"])
+    return lake.spark.read.schema(lake.silver_transactions.schema).parquet(path)
+
+
+@query("partition_values")
+def partition_values(lake: Lake) -> DataFrame:
+    """Partitions of the written table (only partition columns are read)."""
+    return (_partitioned_transactions(lake).select("txn_year", "txn_month").distinct()
+            .orderBy("txn_year", "txn_month"))
+
+
+@query("partition_pruned_count")
+def partition_pruned_count(lake: Lake) -> DataFrame:
+    """Rows of one month; the filter prunes the scan to its partition."""
+    t = _partitioned_transactions(lake)
+    return (t.where((F.col("txn_year") == marts.PRUNE_YEAR) & (F.col("txn_month") == marts.PRUNE_MONTH))
+             .agg(F.count(F.lit(1)).alias("row_count")))
+
+
 @query("file_stats")
 def file_stats(lake: Lake) -> DataFrame:
     src = _small_file_copy(lake)
@@ -162,7 +186,13 @@ def serving_load(lake: Lake) -> DataFrame:
 
 @query("registered_tables")
 def registered_tables(lake: Lake) -> DataFrame:
-    """Register the marts and views in the session catalogue, list them."""
-    from bankmart.plans.views import register_views
-    register_views(lake)
-    return lake.spark.sql("SHOW VIEWS")
+    """Register the ten tables in the session catalogue, then read each by
+    its registered name: one row per table with its rows."""
+    out = None
+    for name in Lake.SILVER + Lake.GOLD + ["dq_results"]:
+        registered = f"registered_{name}"
+        getattr(lake, name).createOrReplaceTempView(registered)
+        rows = lake.spark.table(registered).agg(F.lit(name).alias("table_name"),
+                                                F.count(F.lit(1)).alias("row_count"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

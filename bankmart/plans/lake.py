@@ -24,6 +24,7 @@ class Lake:
         self.sf_dir = sf_dir
         self.cfg = cfg
         self._tables: dict[str, DataFrame] = {}
+        self.paths: dict[str, str] = {}            # folders of written tables
 
     # ── sources and Bronze ──────────────────────────────────────────────────
     EXTRACTS = {"customers": adapters.customers_extract,
@@ -115,14 +116,6 @@ class Lake:
         else:
             df.write.mode("overwrite").parquet(path)
 
-    def write_layer(self, root: str, names) -> None:
-        """Write tables (in dependency order) and replace each by its
-        read-back scan, so later tables build on the written data."""
-        for name in names:
-            path = f"{root}/{name}"
-            self._write(getattr(self, name), name, path)
-            self._tables[name] = self.spark.read.parquet(path)
-
     def write_concurrently(self, root: str, names) -> None:
         """Write independent tables as concurrent Spark jobs (one driver
         thread each), so small or single-task stages of one table overlap
@@ -132,7 +125,8 @@ class Lake:
         run_concurrently([(lambda n=n: self._write(builds[n], n, f"{root}/{n}"))
                           for n in builds])
         for n in names:
-            self._tables[n] = self.spark.read.parquet(f"{root}/{n}")
+            self.paths[n] = f"{root}/{n}"
+            self._tables[n] = self.spark.read.schema(builds[n].schema).parquet(self.paths[n])
 
     # dependency order of the daily build: each group only reads earlier ones
     BUILD_ORDER = [SILVER, ["dq_results", "customer_360", "txn_monthly_summary", "support_kpis"],
@@ -150,10 +144,10 @@ class Lake:
         store = f"{warehouse}/silver/customers_scd2"
         lake._tables["silver_customers"] = scd2.store_read(
             spark, store, scd2.store_schema(spark, store))
-        for name in cls.SILVER[1:]:
-            lake._tables[name] = spark.read.parquet(f"{warehouse}/silver/{name}")
-        for name in cls.GOLD:
-            lake._tables[name] = spark.read.parquet(f"{warehouse}/gold/{name}")
+        lake.paths = {**{n: f"{warehouse}/silver/{n}" for n in cls.SILVER[1:]},
+                      **{n: f"{warehouse}/gold/{n}" for n in cls.GOLD}}
+        for name, path in lake.paths.items():
+            lake._tables[name] = spark.read.parquet(path)
         lake._tables["dq_results"] = quality.read_audit(spark, f"{warehouse}/audit/dq_results")
         return lake
 

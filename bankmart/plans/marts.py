@@ -153,22 +153,9 @@ def c360_sample(lake: Lake, n: int = 3) -> DataFrame:
             .limit(n))
 
 
-@query("partition_values")
-def partition_values(lake: Lake) -> DataFrame:
-    return (lake.silver_transactions.select("txn_year", "txn_month").distinct()
-            .orderBy("txn_year", "txn_month"))
-
-
 PRUNE_YEAR, PRUNE_MONTH = 1998, 3
 
 
-@query("partition_pruned_count")
-def partition_pruned_count(lake: Lake) -> DataFrame:
-    t = lake.silver_transactions
-    return (t.where((F.col("txn_year") == PRUNE_YEAR) & (F.col("txn_month") == PRUNE_MONTH))
-             .agg(F.count(F.lit(1)).alias("row_count")))
-
-
 # ── bands and flags (as applied in Silver / Gold) ───────────────────────────
 @query("band_age")
 def band_age(lake: Lake) -> DataFrame:

@@ -95,6 +95,12 @@ def committed_subdirs(spark: SparkSession, base: str, prefix: str) -> list[str]:
     return sorted(out)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster file system, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total bytes under ``paths`` from file-system metadata (no scan)."""
     jvm = spark.sparkContext._jvm

@@ -11,7 +11,6 @@ duplicating or skipping files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bankmart import schemas
 from bankmart.config import RunConfig, DEFAULT
@@ -28,8 +27,7 @@ def land_available_now(spark: SparkSession, source: str, landing_dir: str, bronz
 
     def append(batch: DataFrame, number: int) -> None:
         # every micro-batch is a batch of its own, so a later one replaces none
-        own = batch.withColumn("_batch_id", F.concat(F.col("_batch_id"), F.lit(f"-{number:06d}")))
-        bronze.append(own, bronze_dir, business_date=business_date)
+        bronze.append(batch, bronze_dir, f"{cfg.batch_id}-{number:06d}", business_date=business_date)
 
     q = (stamped.writeStream.foreachBatch(append)
          .option("checkpointLocation", checkpoint_dir)
