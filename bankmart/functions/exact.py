@@ -1,12 +1,11 @@
-"""Order-independent sums of decimal-valued doubles.
-
-Money is stored as double with at most two decimals.  Summing doubles
-depends on the order rows arrive in, which changes with partitioning, so
-reruns and cluster layouts would disagree in the last bits.  We sum
-fixed-point DECIMAL(18, scale) values — exact, and the DECIMAL(28, scale)
-result of SUM cannot overflow at any realistic row count (a 64-bit long
-sum of cents could, and ANSI mode would fail the job) — and convert to
-double once at the end.
+"""Sums and averages of doubles that do not depend on row order.
+
+Summing doubles depends on the order rows arrive in, which changes with
+partitioning, so reruns and cluster layouts would disagree in the last bits.
+Values are summed as DECIMAL(28, 9): cents and averages keep nine decimals,
+values up to 1e19 fit (a larger one fails the job rather than being cut), and
+the DECIMAL(38, 9) result of SUM holds 1e10 such rows.  The result is converted
+to double once at the end.
 """
 
 from __future__ import annotations
@@ -14,45 +13,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+FIXED = "decimal(28,9)"
+
 
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def fixed(col, scale: int = 2) -> Column:
-    return _c(col).cast(f"decimal(18,{scale})")
-
-
-def exact_sum(col, scale: int = 2) -> Column:
-    """SUM over DECIMAL(18, scale), returned as double (NULL on no input)."""
-    return F.sum(fixed(col, scale)).cast("double")
+def fixed(col) -> Column:
+    return _c(col).cast(FIXED)
 
 
-def cents_sum(col) -> Column:
-    return exact_sum(col, 2)
+def exact_sum(col) -> Column:
+    """SUM as fixed-point numbers, returned as double (NULL on no input)."""
+    return F.sum(fixed(col)).cast("double")
 
 
-def exact_avg(col, scale: int = 2) -> Column:
+def exact_avg(col) -> Column:
     """AVG = exact sum / non-null count (NULL when no non-null input)."""
-    c = _c(col)
-    return exact_sum(c, scale) / F.count(c).cast("double")
-
-
-def count_distinct_small(col) -> Column:
-    """COUNT(DISTINCT col) for a column with a small closed value domain
-    (channel, product type, ticket category): ``size(collect_set)`` keeps
-    it in one aggregation instead of the Expand + second shuffle of a
-    distinct aggregate; the set per group is bounded by the domain size.
-    NULLs are ignored, as by COUNT(DISTINCT)."""
-    return F.size(F.collect_set(_c(col))).cast("long")
-
-
-STABLE_SCALE = 9
-
-
-def stable_avg(col) -> Column:
-    """AVG of arbitrary doubles (e.g. an average of averages) that does not
-    depend on row order: values are fixed-point at 1e-9 (|x| < 1e9) before
-    an exact sum, so every cluster layout and every engine gets the same
-    double."""
-    return exact_avg(col, STABLE_SCALE)
+    return exact_sum(col) / F.count(_c(col)).cast("double")

@@ -29,17 +29,13 @@ def inlist(values) -> str:
     return "(" + ", ".join("'" + v + "'" for v in values) + ")"
 
 
-def xsum(expr: str, scale: int = 2) -> str:
-    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def xsum(expr: str) -> str:
+    """Order-independent sum of doubles (fixed-point at 1e-9)."""
+    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(28,9))) AS DOUBLE)"
 
 
-def xavg(expr: str, scale: int = 2) -> str:
-    return f"({xsum(expr, scale)} / CAST(COUNT({expr}) AS DOUBLE))"
-
-
-def savg(expr: str) -> str:
-    """Order-independent average of doubles (fixed-point at 1e-9)."""
-    return xavg(expr, 9)
+def xavg(expr: str) -> str:
+    return f"({xsum(expr)} / CAST(COUNT({expr}) AS DOUBLE))"
 
 
 def band(col: str, table) -> str:
@@ -117,7 +113,7 @@ FROM (SELECT o_orderkey AS k, o_custkey, CAST(o_orderdate AS DATE) AS opened,
         {pick(D.PRODUCTS, "o_orderkey % 8")} AS product_type,
         CASE WHEN o_orderkey % 100 < 80 THEN 'Active' WHEN o_orderkey % 100 < 88 THEN 'Dormant'
              WHEN o_orderkey % 100 < 97 THEN 'Closed' ELSE 'Suspended' END AS account_status,
-        CAST(floor(o_totalprice / 20.0::DOUBLE) AS DOUBLE) AS balance
+        CAST(floor(o_totalprice * 5.0::DOUBLE) AS DOUBLE) / 100.0::DOUBLE AS balance
       FROM orders) o"""
 
 CTES["ext_transactions"] = f"""
@@ -273,10 +269,10 @@ FROM (SELECT * REPLACE ({to_date("created_date")} AS created_date,
                 ORDER BY {INGEST}, record_created_at DESC NULLS LAST) AS _rn
             FROM bronze_tickets) WHERE _rn = 1) x"""
 
-CTES["account_kpis"] = """
+CTES["account_kpis"] = f"""
 SELECT customer_id, COUNT(account_id) AS active_account_count,
-  SUM(balance) AS total_balance, AVG(balance) AS avg_balance, MAX(balance) AS max_account_balance,
-  SUM(credit_limit) AS total_credit_limit,
+  {xsum("balance")} AS total_balance, {xavg("balance")} AS avg_balance, MAX(balance) AS max_account_balance,
+  {xsum("credit_limit")} AS total_credit_limit,
   list_sort(list(DISTINCT product_type) FILTER (WHERE product_type IS NOT NULL)) AS product_types_held,
   COUNT(DISTINCT product_type) AS product_diversity_count,
   MIN(open_date) AS oldest_account_date, AVG(days_since_activity) AS avg_days_since_activity
@@ -291,7 +287,7 @@ SELECT customer_id, COUNT(transaction_id) AS total_transactions,
   {xavg("amount")} AS avg_txn_amount, MAX(amount) AS max_txn_amount,
   MAX(transaction_date) AS last_transaction_date,
   CAST(SUM(CAST(is_flagged AS INTEGER)) AS BIGINT) AS flagged_txn_count,
-  {xavg("fraud_score", 4)} AS avg_fraud_score,
+  {xavg("fraud_score")} AS avg_fraud_score,
   COUNT(DISTINCT channel) AS distinct_channels_used
 FROM silver_transactions GROUP BY customer_id"""
 
@@ -350,13 +346,13 @@ SELECT *, round(churn_risk_count / customer_count * 100, 2) AS churn_risk_pct,
   round(high_value_count / customer_count * 100, 2) AS high_value_pct,
   {RUN_TS} AS calculated_at
 FROM (SELECT segment, COUNT(customer_id) AS customer_count,
-        AVG(total_balance) AS avg_total_balance, AVG(credit_score) AS avg_credit_score,
-        AVG(annual_income) AS avg_annual_income, AVG(product_diversity_count) AS avg_products_held,
+        {xavg("total_balance")} AS avg_total_balance, AVG(credit_score) AS avg_credit_score,
+        {xavg("annual_income")} AS avg_annual_income, AVG(product_diversity_count) AS avg_products_held,
         AVG(total_transactions) AS avg_txn_count, {xavg("total_spend_12m")} AS avg_spend_12m,
-        SUM(total_balance) AS aum_total,
+        {xsum("total_balance")} AS aum_total,
         CAST(SUM(CAST(churn_risk_flag AS INTEGER)) AS BIGINT) AS churn_risk_count,
         CAST(SUM(CAST(high_value_flag AS INTEGER)) AS BIGINT) AS high_value_count,
-        {xavg("avg_csat_score", 6)} AS avg_csat, {xavg("tenure_years", 1)} AS avg_tenure_years
+        {xavg("avg_csat_score")} AS avg_csat, {xavg("tenure_years")} AS avg_tenure_years
       FROM customer_360 GROUP BY segment) s"""
 
 CTES["support_kpis"] = f"""

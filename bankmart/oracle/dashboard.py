@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bankmart import domains as D
-from bankmart.oracle.base import CTES, xsum, savg
+from bankmart.oracle.base import CTES, xsum, xavg
 from bankmart.oracle.queries import add, _FINAL
 
 CTES["v1"] = _FINAL["v1_executive_kpis"]
@@ -21,9 +21,9 @@ add("trend_last_12", """
 SELECT period, txn_year, txn_month, total_spend_millions FROM (
   SELECT * FROM v5 ORDER BY txn_year DESC, txn_month DESC LIMIT 12) t
 ORDER BY txn_year, txn_month""")
-add("sliced_kpis", """
+add("sliced_kpis", f"""
 SELECT segment, balance_tier, COUNT(*) AS customer_count,
-  round(SUM(total_balance) / 1e6, 2) AS aum_millions, round(AVG(credit_score), 0) AS avg_credit_score,
+  round({xsum("total_balance")} / 1e6, 2) AS aum_millions, round(AVG(credit_score), 0) AS avg_credit_score,
   CAST(SUM(CASE WHEN churn_risk_flag THEN 1 ELSE 0 END) AS BIGINT) AS churn_risk_count
 FROM (SELECT *, CASE WHEN total_balance < 10000 THEN '<10k' WHEN total_balance < 100000 THEN '10k-100k'
                      ELSE '100k+' END AS balance_tier FROM customer_360) c
@@ -51,13 +51,13 @@ SELECT t.customer_id, c.first_name || ' ' || c.last_name AS customer_name, t.tic
   t.status, t.created_date, t.csat_score, t.resolution_days
 FROM silver_tickets t LEFT JOIN customer_360 c ON t.customer_id = c.customer_id
 WHERE t.customer_id = '7' ORDER BY t.created_date DESC, t.ticket_id""")
-add("at_risk_totals", """
-SELECT COUNT(*) AS at_risk_customers, SUM(total_balance) AS aum_at_risk FROM at_risk""")
+add("at_risk_totals", f"""
+SELECT COUNT(*) AS at_risk_customers, {xsum("total_balance")} AS aum_at_risk FROM at_risk""")
 add("priority_by_segment", """
 SELECT churn_priority, segment, COUNT(*) AS customer_count FROM v4
 GROUP BY churn_priority, segment ORDER BY churn_priority, segment""")
-add("at_risk_by_state", """
-SELECT state, COUNT(*) AS customer_count, SUM(total_balance) AS aum_at_risk FROM at_risk
+add("at_risk_by_state", f"""
+SELECT state, COUNT(*) AS customer_count, {xsum("total_balance")} AS aum_at_risk FROM at_risk
 GROUP BY state ORDER BY aum_at_risk DESC""")
 add("csat_histogram", """
 SELECT floor(csat_score / 0.5) * 0.5 AS csat_bin, COUNT(*) AS customer_count FROM v4
@@ -72,7 +72,7 @@ SELECT channel, {xsum("amount")} AS total_spend, COUNT(*) AS txn_count
 FROM silver_transactions WHERE direction = 'Debit' GROUP BY channel ORDER BY total_spend DESC""")
 _cats = ["click", "error", "purchase", "signup", "view"]
 add("csat_matrix", "SELECT priority, " + ", ".join(
-    f"round({savg(f'CASE WHEN category = {chr(39)}{c}{chr(39)} THEN avg_csat END')}, 2) AS \"{c}\"" for c in _cats)
+    f"round({xavg(f'CASE WHEN category = {chr(39)}{c}{chr(39)} THEN avg_csat END')}, 2) AS \"{c}\"" for c in _cats)
     + " FROM support_kpis GROUP BY priority ORDER BY priority")
 add("support_totals", "SELECT * FROM support_totals")
 add("kpi_status", f"""
@@ -102,10 +102,10 @@ FROM v5 ORDER BY txn_year, txn_month""")
 add("broadcast_lookup", """
 SELECT t.ticket_id, t.branch_id, t.category, b.branch_name, b.branch_type, b.state AS branch_state
 FROM silver_tickets t LEFT JOIN silver_branches b ON t.branch_id = b.branch_id""")
-add("branch_rollup", """
+add("branch_rollup", f"""
 SELECT a.branch_code, a.account_count, a.total_balance, a.active_accounts,
   b.branch_name, b.branch_type, b.state AS branch_state
-FROM (SELECT branch_code, COUNT(*) AS account_count, SUM(balance) AS total_balance,
+FROM (SELECT branch_code, COUNT(*) AS account_count, {xsum("balance")} AS total_balance,
         COUNT(*) FILTER (WHERE account_status = 'Active') AS active_accounts
       FROM silver_accounts GROUP BY branch_code) a
 LEFT JOIN silver_branches b ON a.branch_code = b.branch_id

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from bankmart import domains as D
 from bankmart.config import DEFAULT
-from bankmart.oracle.base import CTES, with_ctes, xsum, xavg, savg, RUN_TS
+from bankmart.oracle.base import CTES, with_ctes, xsum, xavg, RUN_TS
 
 CTES["change_log"] = """
 SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderpriority AS segment,
@@ -40,7 +40,7 @@ SELECT period, txn_year, txn_month,
   round({xsum("total_credit")} / 1e6, {digits}) AS total_deposits_millions,
   round({xsum("net_flow")} / 1e6, {digits}) AS net_flow_millions,
   COUNT(DISTINCT customer_id) AS active_customers,
-  round({savg("avg_txn_amount")}, 2) AS avg_txn_size,
+  round({xavg("avg_txn_amount")}, 2) AS avg_txn_size,
   CAST(SUM(flagged_count) AS BIGINT) AS {flagged},
   {xsum("total_debit")} AS spend
 FROM txn_monthly_summary GROUP BY period, txn_year, txn_month"""
@@ -64,10 +64,10 @@ _FINAL: dict[str, str] = {
 SELECT segment, customer_count,
   round(customer_count * 100.0::DOUBLE / SUM(customer_count) OVER (), 1) AS pct_of_total,
   avg_balance, avg_credit_score, aum_millions, avg_tenure_yrs, avg_products_held
-FROM (SELECT segment, COUNT(*) AS customer_count, round(AVG(total_balance), 0) AS avg_balance,
+FROM (SELECT segment, COUNT(*) AS customer_count, round({xavg("total_balance")}, 0) AS avg_balance,
         round(AVG(credit_score), 0) AS avg_credit_score,
-        round(SUM(total_balance) / 1e6, 2) AS aum_millions,
-        round({xavg("tenure_years", 1)}, 1) AS avg_tenure_yrs,
+        round({xsum("total_balance")} / 1e6, 2) AS aum_millions,
+        round({xavg("tenure_years")}, 1) AS avg_tenure_yrs,
         round(AVG(product_diversity_count), 1) AS avg_products_held
       FROM customer_360 GROUP BY segment) s
 ORDER BY aum_millions DESC""",
@@ -94,7 +94,7 @@ SELECT * EXCLUDE (spend) FROM ({monthly(2, "flagged_transactions")}) m
 ORDER BY txn_year, txn_month""",
 
     "q5_geography": f"""
-SELECT state, COUNT(*) AS customer_count, round(SUM(total_balance) / 1e6, 2) AS aum_millions,
+SELECT state, COUNT(*) AS customer_count, round({xsum("total_balance")} / 1e6, 2) AS aum_millions,
   round(AVG(credit_score), 0) AS avg_credit_score,
   {flagn("churn_risk_flag")} AS churn_risk_count, {flagn("high_value_flag")} AS high_value_count
 FROM customer_360 GROUP BY state ORDER BY aum_millions DESC""",
@@ -110,9 +110,9 @@ WHERE segment IN ('Retail', 'Premier') AND list_contains(product_types_held, 'Ch
 ORDER BY round(total_balance, 0) DESC, customer_id LIMIT 200""",
 
     "q7_ticket_kpis": f"""
-SELECT category, COUNT(*) AS total_tickets, round({savg("avg_resolution_days")}, 1) AS avg_resolution_days,
-  round({savg("avg_csat")}, 2) AS avg_csat, round({savg("resolution_rate")}, 1) AS resolution_rate_pct,
-  round({savg("escalation_rate")}, 1) AS escalation_rate_pct,
+SELECT category, COUNT(*) AS total_tickets, round({xavg("avg_resolution_days")}, 1) AS avg_resolution_days,
+  round({xavg("avg_csat")}, 2) AS avg_csat, round({xavg("resolution_rate")}, 1) AS resolution_rate_pct,
+  round({xavg("escalation_rate")}, 1) AS escalation_rate_pct,
   CAST(SUM(ticket_count) AS BIGINT) AS total_volume
 FROM support_kpis GROUP BY category ORDER BY avg_resolution_days DESC""",
 
@@ -126,21 +126,21 @@ ORDER BY customer_id, scd_version""",
     "q9_fraud_exposure": f"""
 SELECT segment, COUNT(DISTINCT customer_id) AS customers_with_flags,
   CAST(SUM(flagged_txn_count) AS BIGINT) AS total_flagged_txns,
-  round({savg("avg_fraud_score")}, 4) AS avg_fraud_score,
+  round({xavg("avg_fraud_score")}, 4) AS avg_fraud_score,
   round({xsum("total_spend_12m")}, 0) AS total_spend,
   round(SUM(flagged_txn_count) * 100.0::DOUBLE / NULLIF(SUM(total_transactions), 0), 2) AS flagged_txn_pct
 FROM customer_360 WHERE flagged_txn_count > 0
 GROUP BY segment ORDER BY total_flagged_txns DESC""",
 
     "v1_executive_kpis": f"""
-SELECT COUNT(*) AS total_customers, round(SUM(total_balance) / 1e9, 3) AS aum_billions,
+SELECT COUNT(*) AS total_customers, round({xsum("total_balance")} / 1e9, 3) AS aum_billions,
   round(AVG(credit_score), 0) AS avg_credit_score,
-  round({xavg("tenure_years", 1)}, 1) AS avg_tenure_years,
+  round({xavg("tenure_years")}, 1) AS avg_tenure_years,
   {flagn("high_value_flag")} AS high_value_customers,
   {flagn("churn_risk_flag")} AS churn_risk_customers,
   round(AVG(product_diversity_count), 2) AS avg_products_per_customer,
   round({xsum("total_spend_12m")} / 1e6, 2) AS total_spend_12m_millions,
-  round({savg("avg_csat_score")}, 2) AS portfolio_avg_csat,
+  round({xavg("avg_csat_score")}, 2) AS portfolio_avg_csat,
   round(SUM(CASE WHEN churn_risk_flag THEN 1 ELSE 0 END) * 100.0::DOUBLE / COUNT(*), 1) AS churn_risk_pct,
   {RUN_TS} AS refreshed_at
 FROM customer_360 WHERE kyc_status = 'Verified'""",
@@ -157,10 +157,10 @@ SELECT segment, customer_count,
 FROM segment_metrics ORDER BY aum_total DESC""",
 
     "v3_geography": f"""
-SELECT state, COUNT(*) AS customer_count, round(SUM(total_balance) / 1e6, 2) AS aum_millions,
-  round(AVG(credit_score), 0) AS avg_credit_score, round(AVG(annual_income), 0) AS avg_income,
+SELECT state, COUNT(*) AS customer_count, round({xsum("total_balance")} / 1e6, 2) AS aum_millions,
+  round(AVG(credit_score), 0) AS avg_credit_score, round({xavg("annual_income")}, 0) AS avg_income,
   {flagn("churn_risk_flag")} AS churn_risk_count, {flagn("high_value_flag")} AS high_value_count,
-  round(AVG(product_diversity_count), 2) AS avg_products, round({savg("avg_csat_score")}, 2) AS avg_csat
+  round(AVG(product_diversity_count), 2) AS avg_products, round({xavg("avg_csat_score")}, 2) AS avg_csat
 FROM customer_360 GROUP BY state ORDER BY aum_millions DESC""",
 
     "v4_churn_detail": f"""
@@ -207,21 +207,21 @@ ORDER BY total_balance DESC""",
 
     "v7_support_ops": f"""
 SELECT category, priority, CAST(SUM(ticket_count) AS BIGINT) AS total_tickets,
-  round({savg("avg_resolution_days")}, 1) AS avg_days_to_resolve,
-  round({savg("avg_csat")}, 2) AS avg_csat_score,
-  round({savg("resolution_rate")}, 1) AS resolution_rate_pct,
-  round({savg("escalation_rate")}, 1) AS escalation_rate_pct,
+  round({xavg("avg_resolution_days")}, 1) AS avg_days_to_resolve,
+  round({xavg("avg_csat")}, 2) AS avg_csat_score,
+  round({xavg("resolution_rate")}, 1) AS resolution_rate_pct,
+  round({xavg("escalation_rate")}, 1) AS escalation_rate_pct,
   CAST(SUM(escalation_count) AS BIGINT) AS total_escalations,
   CAST(SUM(distinct_customers) AS BIGINT) AS customers_affected
 FROM support_kpis GROUP BY category, priority ORDER BY avg_days_to_resolve DESC, category""",
 
-    "sanity_union": """
+    "sanity_union": f"""
 SELECT 'customer_360' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT segment) AS distinct_segments,
-  round(SUM(total_balance) / 1e6, 2) AS aum_millions FROM customer_360
+  round({xsum("total_balance")} / 1e6, 2) AS aum_millions FROM customer_360
 UNION ALL
 SELECT 'txn_monthly_summary', COUNT(*), COUNT(DISTINCT period), CAST(NULL AS DOUBLE) FROM txn_monthly_summary
 UNION ALL
-SELECT 'segment_metrics', COUNT(*), COUNT(DISTINCT segment), round(SUM(aum_total) / 1e6, 2)
+SELECT 'segment_metrics', COUNT(*), COUNT(DISTINCT segment), round({xsum("aum_total")} / 1e6, 2)
 FROM segment_metrics""",
 }
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart import domains as D
-from bankmart.functions.exact import exact_sum, exact_avg, stable_avg
+from bankmart.functions.exact import exact_avg, exact_sum
 from bankmart.operators.scd2 import scd2_history
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
@@ -48,10 +48,10 @@ def is_false(col: str) -> Column:
 def q1_segment_summary(lake: Lake) -> DataFrame:
     seg = lake.customer_360.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        F.round(F.avg("total_balance"), 0).alias("avg_balance"),
+        F.round(exact_avg("total_balance"), 0).alias("avg_balance"),
         F.round(F.avg("credit_score"), 0).alias("avg_credit_score"),
-        F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"),
-        F.round(exact_avg("tenure_years", 1), 1).alias("avg_tenure_yrs"),
+        F.round(exact_sum("total_balance") / 1e6, 2).alias("aum_millions"),
+        F.round(exact_avg("tenure_years"), 1).alias("avg_tenure_yrs"),
         F.round(F.avg("product_diversity_count"), 1).alias("avg_products_held"))
     return (seg.withColumn("pct_of_total",
                            F.round(F.col("customer_count") * 100.0
@@ -109,7 +109,7 @@ def monthly_rollup(monthly: DataFrame, digits: int) -> DataFrame:
         F.round(exact_sum("total_credit") / 1e6, digits).alias("total_deposits_millions"),
         F.round(exact_sum("net_flow") / 1e6, digits).alias("net_flow_millions"),
         F.count("customer_id").alias("active_customers"),
-        F.round(stable_avg("avg_txn_amount"), 2).alias("avg_txn_size"),
+        F.round(exact_avg("avg_txn_amount"), 2).alias("avg_txn_size"),
         F.sum("flagged_count").alias("_flagged"),
         exact_sum("total_debit").alias("_spend"))
 
@@ -125,7 +125,7 @@ def q4_monthly_trend(lake: Lake) -> DataFrame:
 def q5_geography(lake: Lake) -> DataFrame:
     return (lake.customer_360.groupBy("state").agg(
                 F.count(F.lit(1)).alias("customer_count"),
-                F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"),
+                F.round(exact_sum("total_balance") / 1e6, 2).alias("aum_millions"),
                 F.round(F.avg("credit_score"), 0).alias("avg_credit_score"),
                 flag_count("churn_risk_flag").alias("churn_risk_count"),
                 flag_count("high_value_flag").alias("high_value_count"))
@@ -158,10 +158,10 @@ def q7_ticket_kpis(lake: Lake) -> DataFrame:
     source query; ``total_volume`` is the ticket count."""
     return (lake.support_kpis.groupBy("category").agg(
                 F.count(F.lit(1)).alias("total_tickets"),
-                F.round(stable_avg("avg_resolution_days"), 1).alias("avg_resolution_days"),
-                F.round(stable_avg("avg_csat"), 2).alias("avg_csat"),
-                F.round(stable_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
-                F.round(stable_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
+                F.round(exact_avg("avg_resolution_days"), 1).alias("avg_resolution_days"),
+                F.round(exact_avg("avg_csat"), 2).alias("avg_csat"),
+                F.round(exact_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
+                F.round(exact_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
                 F.sum("ticket_count").alias("total_volume"))
             .orderBy(F.col("avg_resolution_days").desc()))
 
@@ -188,7 +188,7 @@ def q9_fraud_exposure(lake: Lake) -> DataFrame:
                 # one row per customer in the mart: distinct count = count
                 F.count("customer_id").alias("customers_with_flags"),
                 F.sum("flagged_txn_count").alias("total_flagged_txns"),
-                F.round(stable_avg("avg_fraud_score"), 4).alias("avg_fraud_score"),
+                F.round(exact_avg("avg_fraud_score"), 4).alias("avg_fraud_score"),
                 F.round(exact_sum("total_spend_12m"), 0).alias("total_spend"),
                 F.round(F.sum("flagged_txn_count") * 100.0
                         / F.nullif(F.sum("total_transactions"), F.lit(0)), 2)

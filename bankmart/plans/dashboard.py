@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from bankmart import domains as D
 from bankmart.functions.bands import band, lower_bound_band
-from bankmart.functions.exact import exact_sum, stable_avg
+from bankmart.functions.exact import exact_avg, exact_sum
 from bankmart.operators.joins import lookup_join
 from bankmart.plans.analytics import whole, customer_name, is_true
 from bankmart.plans.catalogue import query
@@ -58,7 +58,7 @@ def sliced_kpis(lake: Lake, segments=("Retail", "Premier"), states=None,
         cond = cond & is_true("churn_risk_flag") & churn_priority_detailed().isin(*priorities)
     return (c.where(cond).groupBy("segment", "balance_tier").agg(
                 F.count(F.lit(1)).alias("customer_count"),
-                F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"),
+                F.round(exact_sum("total_balance") / 1e6, 2).alias("aum_millions"),
                 F.round(F.avg("credit_score"), 0).alias("avg_credit_score"),
                 F.sum(F.when(F.col("churn_risk_flag"), 1).otherwise(0)).alias("churn_risk_count"))
             .orderBy("segment", "balance_tier"))
@@ -116,7 +116,7 @@ def at_risk(lake: Lake) -> DataFrame:
 @query("at_risk_totals")
 def at_risk_totals(lake: Lake) -> DataFrame:
     return at_risk(lake).agg(F.count(F.lit(1)).alias("at_risk_customers"),
-                             F.sum("total_balance").alias("aum_at_risk"))
+                             exact_sum("total_balance").alias("aum_at_risk"))
 
 
 @query("priority_by_segment")
@@ -130,7 +130,7 @@ def priority_by_segment(lake: Lake) -> DataFrame:
 def at_risk_by_state(lake: Lake) -> DataFrame:
     return (at_risk(lake).groupBy("state")
             .agg(F.count(F.lit(1)).alias("customer_count"),
-                 F.sum("total_balance").alias("aum_at_risk"))
+                 exact_sum("total_balance").alias("aum_at_risk"))
             .orderBy(F.col("aum_at_risk").desc()))
 
 
@@ -165,7 +165,7 @@ def csat_matrix(lake: Lake) -> DataFrame:
     categories of the data (one more job finds them)."""
     return (lake.support_kpis.groupBy("priority")
             .pivot("category")
-            .agg(F.round(stable_avg("avg_csat"), 2))
+            .agg(F.round(exact_avg("avg_csat"), 2))
             .orderBy("priority"))
 
 
@@ -264,7 +264,7 @@ def branch_rollup(lake: Lake) -> DataFrame:
     branch attributes; codes without a branch row keep NULL attributes."""
     per_code = (lake.silver_accounts.groupBy("branch_code")
                 .agg(F.count(F.lit(1)).alias("account_count"),
-                     F.sum("balance").alias("total_balance"),
+                     exact_sum("balance").alias("total_balance"),
                      F.count_if(F.col("account_status") == "Active").alias("active_accounts")))
     b = lake.silver_branches.select(
         "branch_id", "branch_name", "branch_type", F.col("state").alias("branch_state"))

@@ -79,12 +79,17 @@ class Lake:
     def customer_360(self) -> DataFrame:
         return self._get("customer_360", lambda: gold.customer_360(
             self.silver_customers, self.silver_accounts, self.silver_transactions,
-            self.silver_tickets, self.cfg))
+            self.silver_tickets, self.cfg, self.transaction_cells))
+
+    @property
+    def transaction_cells(self) -> DataFrame:
+        return self._get("transaction_cells",
+                         lambda: gold.transaction_cells(self.silver_transactions))
 
     @property
     def txn_monthly_summary(self) -> DataFrame:
         return self._get("txn_monthly_summary",
-                         lambda: gold.txn_monthly_summary(self.silver_transactions))
+                         lambda: gold.txn_monthly_of(self.transaction_cells))
 
     @property
     def segment_metrics(self) -> DataFrame:
@@ -129,8 +134,8 @@ class Lake:
             self._tables[n] = self.spark.read.schema(builds[n].schema).parquet(self.paths[n])
 
     # dependency order of the daily build: each group only reads earlier ones
-    BUILD_ORDER = [SILVER, ["dq_results", "customer_360", "txn_monthly_summary", "support_kpis"],
-                   ["segment_metrics"]]
+    BUILD_ORDER = [SILVER, ["transaction_cells", "dq_results", "support_kpis"],
+                   ["customer_360", "txn_monthly_summary"], ["segment_metrics"]]
 
     @classmethod
     def from_warehouse(cls, spark, warehouse: str, cfg: RunConfig = DEFAULT,
@@ -153,8 +158,8 @@ class Lake:
 
     @classmethod
     def materialized(cls, spark, sf_dir, root, cfg: RunConfig = DEFAULT) -> "Lake":
-        """Silver, then the DQ audit of Silver and the Gold marts, then the
-        segment roll-up of the written Customer 360 mart."""
+        """Silver, then its DQ audit and the transaction cells, then the marts that
+        roll the cells up, then the segment roll-up of the written Customer 360."""
         lake = cls(spark, sf_dir, cfg)
         for group in cls.BUILD_ORDER:
             lake.write_concurrently(root, group)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart import domains as D
-from bankmart.functions.exact import exact_sum, exact_avg, stable_avg
+from bankmart.functions.exact import exact_avg, exact_sum
 from bankmart.functions.lookup import case_map
 from bankmart.plans.analytics import (whole, customer_name, flag_count, holds,
                                       is_false, is_true, monthly_rollup)
@@ -27,14 +27,14 @@ def v1_executive_kpis(lake: Lake) -> DataFrame:
     n = F.count(F.lit(1))
     return _verified(lake.customer_360).agg(
         n.alias("total_customers"),
-        F.round(F.sum("total_balance") / 1e9, 3).alias("aum_billions"),
+        F.round(exact_sum("total_balance") / 1e9, 3).alias("aum_billions"),
         F.round(F.avg("credit_score"), 0).alias("avg_credit_score"),
-        F.round(exact_avg("tenure_years", 1), 1).alias("avg_tenure_years"),
+        F.round(exact_avg("tenure_years"), 1).alias("avg_tenure_years"),
         flag_count("high_value_flag").alias("high_value_customers"),
         flag_count("churn_risk_flag").alias("churn_risk_customers"),
         F.round(F.avg("product_diversity_count"), 2).alias("avg_products_per_customer"),
         F.round(exact_sum("total_spend_12m") / 1e6, 2).alias("total_spend_12m_millions"),
-        F.round(stable_avg("avg_csat_score"), 2).alias("portfolio_avg_csat"),
+        F.round(exact_avg("avg_csat_score"), 2).alias("portfolio_avg_csat"),
         F.round(flag_count("churn_risk_flag") * 100.0 / n, 1).alias("churn_risk_pct"),
     ).withColumn("refreshed_at", lake.cfg.run_ts_col())
 
@@ -64,13 +64,13 @@ def v2_segment_breakdown(lake: Lake) -> DataFrame:
 def v3_geography(lake: Lake) -> DataFrame:
     return (lake.customer_360.groupBy("state").agg(
                 F.count(F.lit(1)).alias("customer_count"),
-                F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"),
+                F.round(exact_sum("total_balance") / 1e6, 2).alias("aum_millions"),
                 F.round(F.avg("credit_score"), 0).alias("avg_credit_score"),
-                F.round(F.avg("annual_income"), 0).alias("avg_income"),
+                F.round(exact_avg("annual_income"), 0).alias("avg_income"),
                 flag_count("churn_risk_flag").alias("churn_risk_count"),
                 flag_count("high_value_flag").alias("high_value_count"),
                 F.round(F.avg("product_diversity_count"), 2).alias("avg_products"),
-                F.round(stable_avg("avg_csat_score"), 2).alias("avg_csat"))
+                F.round(exact_avg("avg_csat_score"), 2).alias("avg_csat"))
             .orderBy(F.col("aum_millions").desc()))
 
 
@@ -152,10 +152,10 @@ def v7_support_ops(lake: Lake) -> DataFrame:
     exactly as the serving view defines them."""
     return (lake.support_kpis.groupBy("category", "priority").agg(
                 F.sum("ticket_count").alias("total_tickets"),
-                F.round(stable_avg("avg_resolution_days"), 1).alias("avg_days_to_resolve"),
-                F.round(stable_avg("avg_csat"), 2).alias("avg_csat_score"),
-                F.round(stable_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
-                F.round(stable_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
+                F.round(exact_avg("avg_resolution_days"), 1).alias("avg_days_to_resolve"),
+                F.round(exact_avg("avg_csat"), 2).alias("avg_csat_score"),
+                F.round(exact_avg("resolution_rate"), 1).alias("resolution_rate_pct"),
+                F.round(exact_avg("escalation_rate"), 1).alias("escalation_rate_pct"),
                 F.sum("escalation_count").alias("total_escalations"),
                 F.sum("distinct_customers").alias("customers_affected"))
             .orderBy(F.col("avg_days_to_resolve").desc(), "category"))
@@ -166,7 +166,7 @@ def sanity_union(lake: Lake) -> DataFrame:
     c = lake.customer_360.agg(
         F.lit("customer_360").alias("table_name"), F.count(F.lit(1)).alias("row_count"),
         F.countDistinct("segment").alias("distinct_segments"),
-        F.round(F.sum("total_balance") / 1e6, 2).alias("aum_millions"))
+        F.round(exact_sum("total_balance") / 1e6, 2).alias("aum_millions"))
     t = lake.txn_monthly_summary.agg(
         F.lit("txn_monthly_summary").alias("table_name"), F.count(F.lit(1)).alias("row_count"),
         F.countDistinct("period").alias("distinct_segments"),
@@ -174,7 +174,7 @@ def sanity_union(lake: Lake) -> DataFrame:
     s = lake.segment_metrics.agg(
         F.lit("segment_metrics").alias("table_name"), F.count(F.lit(1)).alias("row_count"),
         F.countDistinct("segment").alias("distinct_segments"),
-        F.round(F.sum("aum_total") / 1e6, 2).alias("aum_millions"))
+        F.round(exact_sum("aum_total") / 1e6, 2).alias("aum_millions"))
     return c.unionByName(t).unionByName(s)
 
 

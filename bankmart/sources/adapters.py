@@ -96,7 +96,7 @@ def accounts_extract(spark: SparkSession, sf_dir: str,
               .when(k % 100 < 97, "Closed").otherwise("Suspended"))
     opened = F.to_date(F.col("o_orderdate"))
     day = lambda off: F.date_format(F.date_add(opened, off.cast("int")), "yyyy-MM-dd")
-    balance = F.floor(F.col("o_totalprice") / F.lit(20.0)).cast("double")
+    balance = F.floor(F.col("o_totalprice") * F.lit(5.0)).cast("double") / F.lit(100.0)
     df = o.select(
         _text(k).alias("account_id"),
         _text(F.col("o_custkey")).alias("customer_id"),
@@ -231,17 +231,6 @@ def branches_extract(spark: SparkSession, sf_dir: str,
     return _conform(df, schemas.BRANCHES)
 
 
-def extracts(spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT) -> dict:
-    """All five extracts, keyed by source table name."""
-    return {
-        "customers": customers_extract(spark, sf_dir, cfg),
-        "accounts": accounts_extract(spark, sf_dir, cfg),
-        "transactions": transactions_extract(spark, sf_dir, cfg),
-        "branches": branches_extract(spark, sf_dir, cfg),
-        "support_tickets": tickets_extract(spark, sf_dir, cfg),
-    }
-
-
 def customer_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer attribute change log: (customer_id, segment, effective
     date, sequence).  Orders stand for profile updates; the order priority
