@@ -115,6 +115,17 @@ def test_leaks_equal_every_window(spark):
     assert decontaminate.leaks(documents(spark, []), table).count() == 0
 
 
+def test_short_items_at_the_threshold(spark):
+    """Items of 7 to 10 shingles with one end changed: (m - 1) / (m + 1) >= 0.75."""
+    rng = random.Random(3)
+    items = [(i, words(rng, 11 + i % 4)) for i in range(400)]
+    rows = [(i, f"{words(rng, 9)} {t.rsplit(' ', 1)[0]} changed {words(rng, 9)}") for i, t in items]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity
+           for r in decontaminate.leaks(documents(spark, [(d, t, "en", "a") for d, t in rows]), table).collect()}
+    assert got == {(i, i): pytest.approx((6 + i % 4) / (8 + i % 4)) for i, _ in items}
+
+
 @pytest.mark.parametrize("crowded", [10_000, 3])
 def test_repeats_equal_brute_force(spark, crowded):
     docs = documents(spark)
