@@ -163,7 +163,7 @@ def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, n_p
         for a in range(0, len(q), step):
             s = inner(left_all[a:a + step], right)
             own = query_ids[a:a + step, None] == data_ids[None, :]
-            s[own] = np.iinfo(np.int64).min
+            s[own] = -np.iinfo(np.int64).max       # last in both orders (the negative of int64 min is itself)
             take = min(k, len(d))
             best = np.argsort(-s, 1, kind="stable")[:, :take] if len(d) <= 64 else _first_best(s, take)
             row = np.arange(len(s))[:, None]

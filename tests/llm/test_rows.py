@@ -73,6 +73,25 @@ def test_top_k_equals_brute_force(spark):
     assert knn.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_within_one_small_cell(spark):
+    """All five neighbours of each query lie in its own cell of ten rows."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for c in range(6):
+        centre = rng.normal(size=8) * 100
+        rows += [(50 * c + j, (centre + rng.normal(size=8)).tolist()) for j in range(10)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in knn.top_k(table, n_pivots=60).orderBy("query_id", "rank").collect()]
+    whole = {i: np.floor(np.array(v) * 256).astype(int) for i, v in rows}
+    want = []
+    for q in range(0, 300, 50):
+        best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert got == want
+    one_cell = [tuple(r) for r in knn.top_k(table, n_pivots=1).orderBy("query_id", "rank").collect()]
+    assert one_cell == want
+
+
 def test_language_model_equals_counts(spark):
     docs = documents(spark)
     train = docs.doc_id.isNotNull() & (docs.doc_id % 4 != 0)
