@@ -16,7 +16,7 @@ counts over sum of larger counts) of ``similarity`` or more with the item.
 3. *Multi-index Hamming blocks.*  Fingerprints are cut into 8 blocks of 8 bits.
    Two that differ in at most 23 bits have a block that differs in at most two,
    so items are listed under each block value and the 36 values within two bits,
-   and an equi-join on (size, block, value) finds every pair within the radius.
+   and an equi-join on (shingle length, size, block, value) finds every pair within the radius.
 4. *Verification.*  The weighted similarity of each pair is computed exactly.
 
 At similarity 0.75 the expected distance is about 8 of 64 bits (10, with a
@@ -26,7 +26,8 @@ the tests compare with brute force.
 
 Defined cases: items and texts that are null, empty or without words take no part; an
 item of fewer than five words is one shingle of all its words and leaks where
-these words stand in a row; repeated items and documents count separately (one
+these words stand in a row (windows hold shingles of one length only, so that
+short items which begin at one word don't mix); a null doc_id is a document like others; repeated items and documents count separately (one
 result row per document row and item_id); empty tables give an empty
 result; other columns are ignored.
 """
@@ -77,16 +78,18 @@ def _block(column: str):
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item, item_id, size, hash, weight): counted shingles of each item row."""
+    """(item, item_id, gram, size, hash, weight): counted shingles of each item
+    row; ``gram`` is their number of words."""
     words = items.select(F.monotonically_increasing_id().alias("item"), "item_id",
                          words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
     grams = F.when(F.size("words") >= K, _gram(K))
     for n in range(1, K):
         grams = F.when(F.size("words") == n, _gram(n)).otherwise(grams)
-    at = words.select("item", "item_id", "words", F.greatest(F.size("words") - K + 1, F.lit(1)).alias("size"),
+    at = words.select("item", "item_id", "words", F.least(F.size("words"), F.lit(K)).alias("gram"),
+                      F.greatest(F.size("words") - K + 1, F.lit(1)).alias("size"),
                       F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - K, F.lit(0)))).alias("p"))
-    return at.select("item", "item_id", "size", grams.alias("hash")).groupBy(
-        "item", "item_id", "size", "hash").agg(F.count("*").alias("weight"))
+    return at.select("item", "item_id", "gram", "size", grams.alias("hash")).groupBy(
+        "item", "item_id", "gram", "size", "hash").agg(F.count("*").alias("weight"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
@@ -105,42 +108,43 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
                         words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
     at = texts.select("row", "doc_id", "words", F.explode(
         F.sequence(F.lit(0), F.size("words") - 1)).alias("p"))
-    grams = [F.struct(F.when(F.col("p") + n <= F.size("words"), _gram(n)).alias("hash")) for n in [*short, K]]
+    grams = [F.struct(F.when(F.col("p") + n <= F.size("words"), _gram(n)).alias("hash"), F.lit(n).alias("gram")) for n in [*short, K]]
     found = at.select("row", "doc_id", "p", F.greatest(F.size("words") - K + 1, F.lit(1)).alias("n"),
-                      *([grams[0]["hash"].alias("hash")] if len(grams) == 1
+                      *([grams[0]["hash"].alias("hash"), F.lit(K).alias("gram")] if len(grams) == 1
                         else [F.explode(F.array(*grams)).alias("g")]))
     if len(grams) > 1:
-        found = found.select("row", "doc_id", "p", "n", "g.hash")
+        found = found.select("row", "doc_id", "p", "n", "g.hash", "g.gram")
     hits = staged(found.filter("hash is not null").join(known, "hash")
-                  .select("row", "doc_id", "p", "n", "hash", "sizes"), "decontamination-hits")
+                  .select("row", "doc_id", "p", "n", "gram", "hash", "sizes"), "decontamination-hits")
 
-    # windows [p, p + size) that start at a hit and hold enough hits
-    per_doc = hits.groupBy("row", "doc_id").agg(
+    # windows [p, p + size) that start at a hit and hold enough hits, for each
+    # shingle length by itself (so at most one hit a place)
+    per_doc = hits.groupBy("row", "doc_id", "gram").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("p", "hash", "sizes"))).alias("h"))
-    starts = per_doc.select("row", "doc_id", "n", "h", F.posexplode("h").alias("i", "s"))
-    windows = starts.select("row", "doc_id", "n", "h", "i", F.col("s.p").alias("start"),
+    starts = per_doc.select("row", "doc_id", "gram", "n", "h", F.posexplode("h").alias("i", "s"))
+    windows = starts.select("row", "doc_id", "gram", "n", "h", "i", F.col("s.p").alias("start"),
                             F.explode("s.sizes").alias("size"))
     need = F.greatest(F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int"), F.lit(1))
     last = F.get("h", F.col("i") + need - 1)["p"]
     windows = windows.filter(last < F.col("start") + F.col("size"))
-    held = F.filter(F.slice("h", F.col("i") + 1, F.col("size") * (len(short) + 1)),
+    held = F.filter(F.slice("h", F.col("i") + 1, F.col("size")),
                     lambda x: x["p"] < F.col("start") + F.col("size"))
     windows = staged(windows.select(
-        "row", "doc_id", "start", "size", F.least(F.col("size"), F.greatest(F.col("n") - F.col("start"), F.lit(1))).alias("own"),
+        "row", "doc_id", "gram", "start", "size", F.least(F.col("size"), F.greatest(F.col("n") - F.col("start"), F.lit(1))).alias("own"),
         F.transform(held, lambda x: x["hash"]).alias("hashes")), "decontamination-windows")
 
-    keys = ["row", "doc_id", "start", "size", "own"]
+    keys = ["row", "gram", "start", "size", "own"]       # row tells the doc_id, which may be null
     counted = windows.select(*keys, F.explode("hashes").alias("hash")).groupBy(*keys, "hash").agg(
         F.count("*").alias("weight"))
     counted = staged(counted, "decontamination-shingles")
     blocks = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
     probes = _fingerprint(counted, keys).withColumn("block", F.explode(blocks)).withColumn("value", _block("print"))
-    listed = _fingerprint(shingled, ["item", "item_id", "size"]).withColumn(
+    listed = _fingerprint(shingled, ["item", "item_id", "gram", "size"]).withColumn(
         "block", F.explode(blocks)).withColumn("own_value", _block("print"))
     near = F.transform(F.array(*[F.lit(m) for m in MASKS]), lambda m: F.col("own_value").bitwiseXOR(m))
     listed = listed.withColumn("value", F.explode(near)).withColumnRenamed("print", "item_print")
     candidates = staged(
-        probes.join(listed, ["size", "block", "value"])
+        probes.join(listed, ["gram", "size", "block", "value"])
         .filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
         .select(*keys, "item", "item_id").distinct(), "decontamination-candidates")
 
@@ -149,7 +153,8 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
               .groupBy(*keys, "item", "item_id")
               .agg(F.sum(F.least("weight", "item_weight")).alias("both")))
     scored = shared.withColumn("similarity", F.col("both") / (F.col("own") + F.col("size") - F.col("both")))
-    return (scored.filter(F.col("similarity") >= similarity).groupBy("row", "doc_id", "item_id")
+    named = windows.select("row", "doc_id").distinct()
+    return (scored.filter(F.col("similarity") >= similarity).join(named, "row").groupBy("row", "doc_id", "item_id")
             .agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size")).alias("b"))
             .select("row", "doc_id", "item_id", F.col("b.similarity").alias("similarity"),
                     (-F.col("b.back")).cast("long").alias("start"), F.col("b.size").cast("long").alias("size")))

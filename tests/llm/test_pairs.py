@@ -126,6 +126,27 @@ def test_short_items_at_the_threshold(spark):
     assert got == {(i, i): pytest.approx((6 + i % 4) / (8 + i % 4)) for i, _ in items}
 
 
+def test_nested_short_items_and_null_documents(spark):
+    """Items of one to five words that begin at the same word, and longer ones among them."""
+    rng = random.Random(6)
+    items, rows = [], []
+    for f in range(30):
+        w = words(rng, 5).split()
+        w = [f"{x}{f}" for x in w]
+        items += [(10 * f + n, " ".join(w[:n])) for n in range(1, 6)]
+        items.append((10 * f + 6, " ".join([*w, *words(rng, 2).split(), *w, *words(rng, 3).split()])))
+        rows += [(None if f % 3 == 0 else f, f"{words(rng, 6)} {' '.join(w[:n])} {words(rng, 6)}") for n in range(1, 6)]
+        rows.append((100 + f, f"{words(rng, 6)} {items[-1][1]}"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, [(d, t, "en", "a") for d, t in rows])
+    got = collections.Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(docs, table).collect())
+    want = collections.Counter()
+    for d, t in rows:
+        for i, x in items:
+            want[d, i] += f" {x} " in f" {t} "
+    assert got == +want
+
+
 @pytest.mark.parametrize("crowded", [10_000, 3])
 def test_repeats_equal_brute_force(spark, crowded):
     docs = documents(spark)
