@@ -161,9 +161,12 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item (all rows of a doc_id)."""
-    found = leaks(docs, items).select("doc_id").distinct()
-    return docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_anti")
+    """``docs`` without the rows that leak an item; another text under the same
+    doc_id (or another one without doc_id) stays."""
+    marked = docs.select(F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("doc_id"), "text")
+    found = leaks(marked, items).select("doc_id.doc_id", "doc_id.mark").distinct()
+    return docs.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
+                                & (F.xxhash64("d.text") == F.col("f.mark")), "left_anti")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import (documents, hashed_words, mapped_path, mix64, shared_folder,
+from bankmart.llm.common import (SPACE_WORD, documents, hashed_words, mapped_path, mix64, shared_folder,
                                  shingle_sets, staged, utf8_column, write_once)
 from bankmart.llm.components import components
 
@@ -243,7 +243,9 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) -> dict[str, DataFrame]:
     """``classes`` (doc_id, n_shingles, sid, component_id) with one row per row
-    of ``docs``, and ``links`` (a, b) between set ids."""
+    of ``docs``, ``members`` (doc_id, mark, n, sid) likewise with the hash of each
+    row's text, ``label`` (sid, component) of the linked sets, and ``links`` (a, b)
+    between set ids."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
 
@@ -255,16 +257,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         def flush():
             for i, blob in count_blobs(np.concatenate(tokens), ranges):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
                      pa.nulls(1, pa.list_(pa.int64())), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
 
-        names = ["doc_id", "n", "sid", "parity", "range", "blob"]
+        names = ["doc_id", "mark", "n", "sid", "parity", "range", "blob"]
         for batch in batches:
             for rows, body, offsets in _slices(batch):
                 sets = _sets(body, offsets, k)
                 ids = [set_id(s) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    rows.column("doc_id"), rows.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(ids, pa.int64()),
                     pa.array([parity_bits(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     pa.nulls(len(sets), pa.int32()),
@@ -280,10 +282,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         if tokens:
             yield from flush()
 
-    described = staged(texts.mapInArrow(
-        describe, "doc_id long, n long, sid long, parity array<long>, range int, blob binary"),
+    described = staged(texts.withColumn("mark", F.xxhash64("text")).mapInArrow(
+        describe, "doc_id long, mark long, n long, sid long, parity array<long>, range int, blob binary"),
         "jaccard-members")
-    members = described.filter("range is null").select("doc_id", "n", "sid")
+    members = described.filter("range is null").select("doc_id", "mark", "n", "sid")
     reps = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     parities = described.filter("n > 0").groupBy("sid").agg(F.first("parity").alias("parity"))
 
@@ -392,18 +394,30 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     classes = (named.join(smallest, "component", "left").join(reps, "sid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "sid",
         F.coalesce("least", "rep", "doc_id").alias("component_id")))
-    return {"classes": classes, "links": links}
+    return {"classes": classes, "members": members, "label": label, "links": links}
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near duplicates: of each component the document with the
-    smallest doc_id stays (of rows with that doc_id, one)."""
-    classes = jaccard_components(docs)["classes"]
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    own = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    # only rows that share a doc_id can leave more than one behind
-    shared = classes.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return own.dropDuplicates(["doc_id"]) if shared else own
+    """``docs`` without near duplicates: of each component the row with the smallest
+    (doc_id, hash of the text) stays, a null doc_id last; of repeated rows, one.
+    Rows without shingles are linked with nothing and all stay."""
+    found = jaccard_components(docs)
+    members = found["members"].filter("sid is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    # copies meet before the join, so that a large class is one row there
+    kept = (members.groupBy("sid").agg(F.min(row).alias("least")).join(found["label"], "sid", "left")
+            .groupBy(F.coalesce("component", "sid").alias("component")).agg(F.min("least").alias("least"))
+            .select("least.doc_id", "least.mark"))
+    alone = found["members"].filter("sid is null").select("doc_id", "mark").distinct()
+    own = docs.alias("d").join(
+        kept.unionByName(alone).alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+        & (F.xxhash64("d.text") == F.col("k.mark")), "left_semi")
+    # only repeated rows can leave more than one behind
+    repeated = members.groupBy("doc_id", "mark").count().filter("count > 1").limit(1).count()
+    if not repeated:
+        return own
+    worded = F.coalesce(F.col("text").rlike(SPACE_WORD), F.lit(False))
+    return own.filter(worded).dropDuplicates(["doc_id", "text"]).unionByName(own.filter(~worded))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

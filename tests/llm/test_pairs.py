@@ -49,6 +49,24 @@ def test_jaccard_empty_table_and_one_of_each(spark):
     assert kept.columns == docs.columns
 
 
+def test_different_texts_under_one_id_stay(spark):
+    """Near copies and leaks are rows, not doc_ids; a null doc_id names no document."""
+    rng = random.Random(9)
+    a, b, c, d, leak = (words(rng, 60) for _ in range(5))
+    rows = [(5, a), (5, b), (5, b), (5, leak), (2, a + " more"), (None, c), (None, d), (None, d), (None, leak),
+            (7, d), (None, ""), (None, None), (5, "")]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows])
+
+    def texts_of(df):
+        return collections.Counter((r.doc_id, r.text) for r in df.collect())
+
+    kept = jaccard_join.one_of_each(docs)
+    assert texts_of(kept) == collections.Counter(
+        [(5, b), (5, leak), (2, a + " more"), (None, c), (7, d), (None, ""), (None, None), (5, "")])
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    assert texts_of(decontaminate.without_leaks(docs, items)) == collections.Counter(x for x in rows if x[1] != leak)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(3)
     for n in list(range(1, 40)) + [100, 333]:
