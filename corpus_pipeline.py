@@ -28,11 +28,12 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects only what has no language: null, empty and letterless texts.  The
-    model learns from the rows of the training folds."""
+    """Rejects only what has no language: null, empty and letterless texts; a text
+    with letters stays whatever its score, also where no row taught a language.
+    The model learns from the rows of the training folds."""
     model = language.fit(docs, language.in_training(F.col("doc_id")))
     judged = language.identify(docs, model)
-    return _columns(judged.filter(F.col("lang_pred") != "und"))
+    return _columns(judged.filter((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

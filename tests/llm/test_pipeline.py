@@ -5,6 +5,7 @@ import numpy as np
 import corpus_pipeline
 from bankmart.llm import token_files
 from bankmart.llm.common import documents, staged
+from tests.llm.helpers import documents as small_documents
 from tests.llm.test_pairs import components_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -30,6 +31,13 @@ def test_stages_take_effect(spark):
     assert sorted((r.doc_id, r.ids_crc32) for r in corpus_pipeline.run(spark, SMALL).collect()) == want
 
 
+def test_unlabelled_texts_stay(spark):
+    """Without a labelled row the language stage keeps every text with letters."""
+    rows = [(i, t, None, "a") for i, t in enumerate(["one two", "é", "!!!", "", None, "12", "три"])]
+    kept = corpus_pipeline.known_language(spark, small_documents(spark, rows), SMALL)
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 6}
+
+
 def test_registered_queries():
     import __spark_entry__
     names = __spark_entry__.queries()
