@@ -245,7 +245,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     """``classes`` (doc_id, n_shingles, sid, component_id) with one row per row
     of ``docs``, ``members`` (doc_id, mark, n, sid) likewise with the hash of each
     row's text, ``label`` (sid, component) of the linked sets, and ``links`` (a, b)
-    between set ids."""
+    between set ids: spanning links that join each component, not all of its pairs."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
 
