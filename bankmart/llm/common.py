@@ -132,8 +132,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def hashed_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all white-space separated words (A-Z lower-cased) of
+def hashed_words(body: np.ndarray, offsets: np.ndarray,
+                 lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all white-space separated words (A-Z lower-cased, if ``lower``) of
     the texts ``body[offsets[i]:offsets[i+1]]``, and the index of each text's
     first word (length: texts + 1).  Works in pieces of about half a megabyte
     that end between words."""
@@ -161,7 +162,7 @@ def hashed_words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             power, inverse = _powers(int(hi - lo))
             total = np.empty(hi - lo + 1, np.uint64)
             total[0] = 0
-            np.cumsum(_BYTE_LOWER[body[lo:hi]] * power, out=total[1:])
+            np.cumsum((_BYTE_LOWER if lower else _BYTE)[body[lo:hi]] * power, out=total[1:])
             s, e = starts[i:j] - lo, ends[i:j] - lo
             hashes.append(mix64((total[e] - total[s]) * inverse[s]
                                 + (e - s).astype(np.uint64)))
