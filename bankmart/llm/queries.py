@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bankmart.llm import decontaminate, jaccard_join, knn, language, language_model, licenses, mixing, quality_rules, repeats, token_files, url_rules
+from bankmart.llm import decontaminate, hard_negatives, jaccard_join, knn, language, language_model, licenses, mixing, quality_rules, repeats, token_files, url_rules
 
 QUERIES = {
     "op1_token_files": token_files.op1,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_repeats": repeats.op9,
     "op10_language": language.op10,
     "op11_quality_rules": quality_rules.op11,
+    "op12_hard_negatives": hard_negatives.op12,
 }
 
 ORACLE = {
     "op3_topk": knn.OP3_SQL,
     "op5_url_rules": url_rules.op5_sql(),
     "op11_quality_rules": quality_rules.op11_sql(),
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
 }
