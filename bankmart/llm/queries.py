@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bankmart.llm import decontaminate, hard_negatives, jaccard_join, knn, language, language_model, licenses, mixing, quality_rules, repeats, token_files, url_rules
+from bankmart.llm import conversations, decontaminate, hard_negatives, jaccard_join, knn, language, language_model, licenses, mixing, quality_rules, repeats, token_files, url_rules
 
 QUERIES = {
     "op1_token_files": token_files.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_language": language.op10,
     "op11_quality_rules": quality_rules.op11,
     "op12_hard_negatives": hard_negatives.op12,
+    "op13_conversations": conversations.op13,
 }
 
 ORACLE = {
