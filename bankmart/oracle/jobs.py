@@ -11,17 +11,6 @@ add("bronze_append", "SELECT *, coalesce(strftime(try_cast(transaction_date AS d
     "FROM bronze_transactions")
 add("full_refresh", "SELECT * FROM bronze_branches")
 add("partitioned_overwrite", "SELECT * FROM silver_transactions")
-add("scd2_apply", """
-SELECT customer_id, segment, scd_start_date,
-  lead(scd_start_date) OVER w AS scd_end_date,
-  (lead(scd_start_date) OVER w) IS NULL AS scd_is_current,
-  CAST(row_number() OVER w AS INTEGER) AS scd_version
-FROM (SELECT customer_id, segment, batch_date AS scd_start_date,
-        row_number() OVER (PARTITION BY customer_id ORDER BY batch_date) AS rn,
-        lag(segment) OVER (PARTITION BY customer_id ORDER BY batch_date) AS prev
-      FROM yearly_batches) d
-WHERE rn = 1 OR prev IS DISTINCT FROM segment
-WINDOW w AS (PARTITION BY customer_id ORDER BY scd_start_date)""")
 add("dq_audit_append", """
 SELECT * REPLACE ('20011103_000000' AS batch_id, '2001-11-03T00:00:00' AS run_ts) FROM dq_results
 UNION ALL SELECT * FROM dq_results""")

@@ -2,46 +2,84 @@
 
 from __future__ import annotations
 
-from bankmart.oracle.base import CTES, RUN_TS, BATCH_ID
+from bankmart.oracle.base import AS_OF, CTES, RUN_TS, BATCH_ID
 from bankmart.oracle.queries import add
 
-CTES["yearly_batches"] = """
-SELECT customer_id, make_date(y + 1, 1, 1) AS batch_date, segment
-FROM (SELECT customer_id, year(effective_date) AS y, segment,
+#: the eight tracked attributes, in the order of their bits
+TRACKED = ["segment", "credit_score", "annual_income", "kyc_status", "address_line1", "city", "state", "zip_code"]
+_T = ", ".join(TRACKED)
+
+
+def _differ(old: str, new: str) -> str:
+    """Bits of the attributes that differ."""
+    return "CAST(" + " + ".join(
+        f"CASE WHEN {old}{c} IS DISTINCT FROM {new}{c} THEN {2 ** i} ELSE 0 END" for i, c in enumerate(TRACKED)) + " AS BIGINT)"
+
+
+CTES["yearly_batches"] = f"""
+SELECT customer_id, make_date(y + 1, 1, 1) AS batch_date, {_T}
+FROM (SELECT *, year(effective_date) AS y,
         row_number() OVER (PARTITION BY customer_id, year(effective_date)
                            ORDER BY effective_date DESC, seq DESC) AS r
       FROM change_log) WHERE r = 1"""
 
-CTES["multi_batch_bronze"] = """
-SELECT customer_id, segment, 'CRM' AS _source_system, 'customers.csv' AS _source_file,
+CTES["states_all"] = f"""
+SELECT customer_id, {_T} FROM change_log
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY effective_date DESC, seq DESC) = 1"""
+CTES["states_cut"] = f"""
+SELECT customer_id, {_T} FROM change_log WHERE effective_date <= DATE '1998-06-30'
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY effective_date DESC, seq DESC) = 1"""
+
+
+def _versions(states: str, start: str) -> str:
+    """SCD2 versions of one state per customer and day."""
+    lags = ", ".join(f"lag({c}) OVER k AS old_{c}" for c in TRACKED)
+    return f"""
+SELECT customer_id, {_T}, scd_start_date, lead(scd_start_date) OVER w AS scd_end_date,
+  (lead(scd_start_date) OVER w) IS NULL AS scd_is_current,
+  CAST(row_number() OVER w AS INTEGER) AS scd_version,
+  CASE WHEN rn = 1 THEN 0 ELSE scd_changed END AS scd_changed
+FROM (SELECT *, {_differ("old_", "")} AS scd_changed
+      FROM (SELECT customer_id, {_T}, {start} AS scd_start_date, {lags}, row_number() OVER k AS rn
+            FROM {states} WINDOW k AS (PARTITION BY customer_id ORDER BY {start})) a) b
+WHERE rn = 1 OR scd_changed > 0
+WINDOW w AS (PARTITION BY customer_id ORDER BY scd_start_date)"""
+
+
+CTES["daily_states"] = f"""
+SELECT customer_id, effective_date, {_T} FROM change_log
+QUALIFY row_number() OVER (PARTITION BY customer_id, effective_date ORDER BY seq DESC) = 1"""
+CTES["attribute_history"] = _versions("daily_states", "effective_date")
+YEARLY_VERSIONS = _versions("yearly_batches", "batch_date")
+
+CTES["multi_batch_bronze"] = f"""
+SELECT customer_id, {_T}, 'CRM' AS _source_system, 'customers.csv' AS _source_file,
   strftime(batch_date, '%Y%m%d') || '_000000' AS _batch_id,
   CAST(batch_date AS TIMESTAMP) AS _ingest_ts, strftime(batch_date, '%Y-%m-%d') AS _batch_date,
   TRUE AS _is_current
 FROM yearly_batches"""
 
-add("scd2_history", "SELECT * FROM segment_history")
-add("scd2_current", "SELECT * FROM segment_history WHERE scd_is_current")
+add("scd2_history", "SELECT * FROM attribute_history")
+add("scd2_current", "SELECT * FROM attribute_history WHERE scd_is_current")
 add("scd2_as_of", """
-SELECT * FROM segment_history
+SELECT * FROM attribute_history
 WHERE scd_start_date <= DATE '1998-06-30'
   AND (scd_end_date IS NULL OR DATE '1998-06-30' < scd_end_date)""")
 add("scd2_counts", """
 SELECT COUNT(*) AS total_rows, COUNT(*) FILTER (WHERE scd_is_current) AS current_rows
-FROM segment_history""")
-add("scd2_initial", """
-SELECT customer_id, segment, DATE '1996-01-01' AS scd_start_date, CAST(NULL AS DATE) AS scd_end_date,
-  TRUE AS scd_is_current, 1 AS scd_version
-FROM yearly_batches WHERE batch_date = DATE '1996-01-01'""")
+FROM attribute_history""")
+add("scd2_apply", YEARLY_VERSIONS)
+add("scd2_initial", f"""
+SELECT *, {AS_OF} AS scd_start_date, CAST(NULL AS DATE) AS scd_end_date,
+  TRUE AS scd_is_current, 1 AS scd_version FROM states_all""")
 add("scd2_new_keys", """
-SELECT customer_id, segment FROM yearly_batches n
-WHERE batch_date = DATE '1997-01-01'
-  AND NOT EXISTS (SELECT 1 FROM yearly_batches o
-                  WHERE o.batch_date = DATE '1996-01-01' AND o.customer_id = n.customer_id)""")
-add("scd2_changed_keys", """
-SELECT n.customer_id, n.segment, 1 AS previous_version
-FROM yearly_batches n JOIN yearly_batches o
-  ON o.customer_id = n.customer_id AND o.batch_date = DATE '1996-01-01'
-WHERE n.batch_date = DATE '1997-01-01' AND n.segment IS DISTINCT FROM o.segment""")
+SELECT * FROM states_all n
+WHERE NOT EXISTS (SELECT 1 FROM states_cut o WHERE o.customer_id = n.customer_id)""")
+add("scd2_changed_keys", f"""
+SELECT * FROM (
+  SELECT n.*, 1 AS previous_version, {_differ("o.", "n.")} AS changed_columns
+  FROM states_all n JOIN states_cut o ON o.customer_id = n.customer_id)
+WHERE changed_columns > 0""")
 add("snapshot_as_of", """
 SELECT * EXCLUDE (r) FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id

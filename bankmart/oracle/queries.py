@@ -7,8 +7,17 @@ from bankmart.config import DEFAULT
 from bankmart.oracle.base import CTES, with_ctes, xsum, xavg, RUN_TS
 
 CTES["change_log"] = """
-SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderpriority AS segment,
-  CAST(o_orderdate AS DATE) AS effective_date, o_orderkey AS seq FROM orders"""
+SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
+  CASE WHEN k % 11 <> 0 THEN o_orderpriority END AS segment,
+  CASE WHEN k % 13 <> 0 THEN CAST(600 + k % 3 * 50 AS INTEGER) END AS credit_score,
+  CASE WHEN k % 17 <> 0 THEN CAST(40000 + k // 4 % 2 * 25000 AS DOUBLE) END AS annual_income,
+  CASE WHEN k % 19 <> 0 THEN ['Verified', 'Pending', 'Failed'][CAST(k // 5 % 3 AS BIGINT) + 1] END AS kyc_status,
+  CASE WHEN k % 23 <> 0 THEN CAST(k % 2 + 1 AS VARCHAR) || ' Main St' END AS address_line1,
+  CASE WHEN k % 29 <> 0 THEN 'City_' || CAST(k // 8 % 3 AS VARCHAR) END AS city,
+  CASE WHEN k % 31 <> 0 THEN 'A' || chr(CAST(65 + k // 16 % 2 AS INTEGER)) END AS state,
+  CASE WHEN k % 37 <> 0 THEN lpad(CAST(k // 32 % 2 * 31 AS VARCHAR), 5, '0') END AS zip_code,
+  CAST(o_orderdate AS DATE) AS effective_date, k AS seq
+FROM (SELECT *, o_orderkey AS k FROM orders) o"""
 
 CTES["segment_history"] = """
 SELECT customer_id, segment, scd_start_date,

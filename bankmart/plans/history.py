@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bankmart import domains as D
 from bankmart.operators import bronze as B
 from bankmart.operators import scd2 as S
 from bankmart.plans.catalogue import query
@@ -18,10 +19,10 @@ from bankmart.sources.adapters import customer_change_log
 
 
 # parameters of the SCD2 demonstrations
-FIRST_BATCH, SECOND_BATCH = date(1996, 1, 1), date(1997, 1, 1)
+CUT = date(1998, 6, 30)                  # the dimension is loaded as of this day, the batch is the whole log
 AS_OF_PROBE = date(1998, 6, 30)
 SNAPSHOT_BATCH = "19990101_000000"
-TRACKED = ("segment",)
+TRACKED = tuple(D.SCD2_TRACKED)
 
 
 def history(lake: Lake) -> DataFrame:
@@ -32,13 +33,17 @@ def yearly(lake: Lake) -> DataFrame:
     return S.yearly_batches(customer_change_log(lake.spark, lake.sf_dir), tracked=TRACKED)
 
 
-def batch(lake: Lake, d: date) -> DataFrame:
-    return yearly(lake).where(F.col("batch_date") == F.lit(d)).drop("batch_date")
+def states(lake: Lake, until: date | None = None) -> DataFrame:
+    """Every customer's last state in the change log (up to a day)."""
+    log = customer_change_log(lake.spark, lake.sf_dir)
+    if until is not None:
+        log = log.where(F.col("effective_date") <= F.lit(until))
+    last = F.max_by(F.struct(*TRACKED), F.struct("effective_date", "seq")).alias("s")
+    return log.groupBy("customer_id").agg(last).select("customer_id", "s.*")
 
 
 def initial_dim(lake: Lake) -> DataFrame:
-    cfg = dataclasses.replace(lake.cfg, as_of=FIRST_BATCH)
-    return S.scd2_initial(batch(lake, FIRST_BATCH), cfg)
+    return S.scd2_initial(states(lake, CUT), dataclasses.replace(lake.cfg, as_of=CUT))
 
 
 @query("scd2_history")
@@ -63,17 +68,18 @@ def scd2_counts_q(lake: Lake) -> DataFrame:
 
 @query("scd2_initial")
 def scd2_initial_q(lake: Lake) -> DataFrame:
-    return initial_dim(lake)
+    """First load of every customer's last state."""
+    return S.scd2_initial(states(lake), lake.cfg)
 
 
 @query("scd2_new_keys")
 def scd2_new_keys_q(lake: Lake) -> DataFrame:
-    return S.scd2_new_keys(initial_dim(lake), batch(lake, SECOND_BATCH))
+    return S.scd2_new_keys(initial_dim(lake), states(lake))
 
 
 @query("scd2_changed_keys")
 def scd2_changed_keys_q(lake: Lake) -> DataFrame:
-    return S.scd2_changed_keys(initial_dim(lake), batch(lake, SECOND_BATCH), tracked=TRACKED)
+    return S.scd2_changed_keys(initial_dim(lake), states(lake), tracked=TRACKED)
 
 
 

@@ -8,6 +8,7 @@ each write and a lost executor only costs the tasks of the current stage.
 from __future__ import annotations
 
 import dataclasses
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from bankmart.operators import layout, quality, scd2, serving
 from bankmart.plans import history, marts
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
-from bankmart.session import scratch_path
+from bankmart.session import partition_values as committed_values, scratch_path
 from bankmart.sources import csv as csv_src
 from bankmart.sources.adapters import customers_extract
 
@@ -92,21 +93,21 @@ def partitioned_overwrite(lake: Lake) -> DataFrame:
 
 @query("scd2_apply")
 def scd2_apply(lake: Lake) -> DataFrame:
-    """Replay the yearly change batches through SCD2 apply into a versioned
-    store (closed history append-only, current versions rewritten per
-    batch) and read the whole dimension back."""
+    """Replay the yearly change batches through SCD2 apply into a versioned, bucketed
+    store (closed history append-only, current versions rewritten per batch) and
+    read the whole dimension back.  The log is aggregated once, into one folder per
+    batch; each batch reads its own."""
+    spark, batches, root = lake.spark, scratch_path(lake.spark, "scd2-batches"), scratch_path(lake.spark, "scd2-store")
     yb = history.yearly(lake)
-    batch_dates = [r[0] for r in yb.select("batch_date").distinct()
-                   .orderBy("batch_date").collect()]       # one row per yearly batch
-    root = scratch_path(lake.spark, "scd2-store")
-    schema = None
-    for d in batch_dates:
+    yb.hint("rebalance", "batch_date").write.partitionBy("batch_date").parquet(batches)
+    states = T.StructType([f for f in yb.schema.fields if f.name != "batch_date"])
+    dates = committed_values(spark, batches, "batch_date=")
+    for d in map(date.fromisoformat, dates):
         cfg = dataclasses.replace(lake.cfg, as_of=d)
-        incoming = yb.where(F.col("batch_date") == F.lit(d)).drop("batch_date")
-        schema = schema or scd2.scd2_initial(incoming, cfg).schema
-        scd2.store_apply(lake.spark, root, d.strftime("%Y%m%d") + "_000000", incoming, cfg,
-                         tracked=history.TRACKED)
-    return scd2.store_read(lake.spark, root, schema)
+        incoming = spark.read.schema(states).parquet(f"{batches}/batch_date={d}")
+        scd2.store_apply(spark, root, d.strftime("%Y%m%d") + "_000000", incoming, cfg, tracked=history.TRACKED)
+    schema = scd2.scd2_initial(spark.createDataFrame([], states), lake.cfg).schema
+    return scd2.store_read(spark, root, schema.add(scd2.CHANGED, "long"))
 
 
 @query("dq_audit_append")

@@ -76,23 +76,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def committed_subdirs(spark: SparkSession, base: str, prefix: str) -> list[str]:
-    """Names (after ``prefix``) of sub-folders of ``base`` that hold a
-    ``_SUCCESS`` marker, sorted.  A folder left by a failed write has no
-    marker and is ignored (and overwritten by the rerun).  Uses the
+def partition_values(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    """Names (after ``prefix``) of the sub-folders of ``base``, sorted.  Uses the
     cluster file system through the Hadoop API (metadata only)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    out = []
-    for st in fs.listStatus(path):
-        p = st.getPath()
-        name = p.getName()
-        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
-            out.append(name[len(prefix):])
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(path)]
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
+def committed_subdirs(spark: SparkSession, base: str, prefix: str) -> list[str]:
+    """Like :func:`partition_values`, of sub-folders that hold a ``_SUCCESS`` marker.
+    A folder left by a failed write has no marker and is ignored (and overwritten
+    by the rerun)."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [v for v in partition_values(spark, base, prefix)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{prefix}{v}/_SUCCESS"))]
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -232,14 +232,27 @@ def branches_extract(spark: SparkSession, sf_dir: str,
 
 
 def customer_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer attribute change log: (customer_id, segment, effective
-    date, sequence).  Orders stand for profile updates; the order priority
-    stands for the tracked attribute, the order key orders same-day updates.
+    """A customer attribute change log: customer_id, the eight tracked attributes,
+    effective date and sequence.  Orders stand for profile updates; the order priority
+    stands for the segment, the order key orders same-day updates.  Every attribute is
+    NULL in some updates, so it changes to and from NULL.
     """
     o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+
+    def known(every: int, value: Column) -> Column:
+        return F.when(k % every != 0, value)
+
     return o.select(
         _text(F.col("o_custkey")).alias("customer_id"),
-        F.col("o_orderpriority").alias("segment"),
+        known(11, F.col("o_orderpriority")).alias("segment"),
+        known(13, (F.lit(600) + k % 3 * 50).cast("int")).alias("credit_score"),
+        known(17, (F.lit(40000) + F.floor(k / 4) % 2 * 25000).cast("double")).alias("annual_income"),
+        known(19, pick(D.KYC_STATUSES, F.floor(k / 5) % 3)).alias("kyc_status"),
+        known(23, F.concat(_text(k % 2 + 1), F.lit(" Main St"))).alias("address_line1"),
+        known(29, F.concat(F.lit("City_"), _text(F.floor(k / 8) % 3))).alias("city"),
+        known(31, _state_code(F.floor(k / 16) % 2)).alias("state"),
+        known(37, _pad(F.floor(k / 32) % 2 * 31, 5)).alias("zip_code"),
         F.to_date(F.col("o_orderdate")).alias("effective_date"),
         F.col("o_orderkey").alias("seq"),
     )
