@@ -1,12 +1,19 @@
-"""Bronze: stamped, append-only landing tables."""
+"""Bronze: stamped, append-only landing tables.
+
+Rows that could not be parsed (``_corrupt_record`` is not NULL) go to a quarantine
+partition of the batch in the same write; counts of both come from that write too.
+Batches may add columns or widen types; tables are read in the merged schema."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
+from bankmart.operators import evolve
 from bankmart.operators.dedup import dedup_latest
+from bankmart.session import partition_values
+from bankmart.sources.csv import CORRUPT
 
 
 def stamp(df: DataFrame, source_system: str, source_file: str,
@@ -37,31 +44,73 @@ def month_key(date_text_col: str) -> F.Column:
     return F.coalesce(F.date_format(parsed, "yyyy-MM"), F.lit("unknown"))
 
 
-def append(df: DataFrame, path: str, batch_id: str, business_date: str | None = None) -> None:
+STATUS, LOADED, QUARANTINED = "_row_status", "loaded", "quarantined"
+INPUT = "_input"                        # where a quarantined row was read
+
+
+def _split(df: DataFrame) -> DataFrame:
+    """Rows with their status; only quarantined ones keep where they were read."""
+    for c in (CORRUPT, INPUT):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    bad = F.col(CORRUPT).isNotNull()
+    return df.withColumns({STATUS: F.when(bad, QUARANTINED).otherwise(LOADED),
+                           INPUT: F.when(bad, F.col(INPUT))})
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and the counts that its write will make."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("file_rows"),
+                      F.count_if(F.col(STATUS) == LOADED).alias("loaded"),
+                      F.count_if(F.col(STATUS) == QUARANTINED).alias("quarantined")), seen
+
+
+def append(df: DataFrame, path: str, batch_id: str, business_date: str | None = None) -> dict[str, int]:
     """Append one batch.  The batch id is the outermost partition and a rerun
     replaces its folder as a whole, so a corrected extract leaves nothing of
-    the first one while other batches stay.  Inside it facts are partitioned
-    by business month, other sources by batch date; the rebalance keeps that
-    to about one file per month instead of tasks × months."""
-    out, part = df.drop("_batch_id"), "_batch_date"
+    the first one while other batches stay.  Inside it rows are split by status, and
+    facts are partitioned by business month, other sources by batch date; the rebalance
+    keeps that to about one file per month instead of tasks × months.
+
+    A batch whose types conflict with earlier ones is refused before anything is written.
+    Returns file_rows, loaded and quarantined, counted by the write itself (after its
+    last shuffle, so a retried task counts once)."""
+    spark = df.sparkSession
+    out, part = _split(df).drop("_batch_id"), "_batch_date"
     if business_date is not None:
         out, part = out.withColumn("_month", month_key(business_date)), "_month"
-    (out.hint("rebalance", part).write.mode("overwrite")
-        .partitionBy(part).parquet(f"{path}/_batch_id={batch_id}"))
+    others = [(b, s) for b, s in evolve.batch_schemas(spark, path) if b != batch_id]
+    evolve.check([*others, (batch_id, out.schema)])
+    out, seen = _counted(out.hint("rebalance", STATUS, part))
+    out.write.mode("overwrite").partitionBy(STATUS, part).parquet(f"{path}/_batch_id={batch_id}")
+    evolve.record(spark, path, batch_id, out.schema)
+    return dict(seen.get)
+
+
+def full_refresh(df: DataFrame, path: str) -> dict[str, int]:
+    """Overwrite a small reference table completely (same split and counts)."""
+    out, seen = _counted(_split(df))
+    out.write.mode("overwrite").partitionBy(STATUS).parquet(path)
+    return dict(seen.get)
+
+
+def _all_rows(spark: SparkSession, path: str, batches: list[str] | None = None) -> DataFrame:
+    if partition_values(spark, path, f"{STATUS}="):                  # a full-refresh table
+        return spark.read.parquet(path)
+    return evolve.read(spark, path, batches=batches)
 
 
-def read_bronze(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read all batches.  With ``schema`` the column types (partition
-    columns included) are fixed; without, ``mergeSchema`` unions additive
-    column changes across batches."""
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_bronze(spark: SparkSession, path: str, batches: list[str] | None = None) -> DataFrame:
+    """Loaded rows of all batches (or of ``batches``) in the merged schema."""
+    return (_all_rows(spark, path, batches).where(F.col(STATUS) == LOADED)
+            .drop(STATUS, CORRUPT, INPUT))
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Overwrite a small reference table completely."""
-    df.write.mode("overwrite").parquet(path)
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Quarantined rows: batch, raw text, and the file and block they were read from."""
+    return (_all_rows(spark, path).where(F.col(STATUS) == QUARANTINED)
+            .select("_batch_id", CORRUPT, INPUT))
 
 
 def batch_ledger(bronze: DataFrame, n: int = 5) -> DataFrame:

@@ -3,12 +3,33 @@
 from __future__ import annotations
 
 from bankmart.operators.serving import C360_SERVING
-from bankmart.oracle.base import RUN_TS
+from bankmart.oracle.base import BATCH_ID, RUN_TS
 from bankmart.oracle.queries import add
 
-add("csv_scan", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ext_customers")
-add("bronze_append", "SELECT *, coalesce(strftime(try_cast(transaction_date AS date), '%Y-%m'), 'unknown') AS _month "
-    "FROM bronze_transactions")
+_SOURCES = {"customers": "customers", "accounts": "accounts", "transactions": "transactions",
+            "branches": "branches", "support_tickets": "tickets"}
+add("csv_scan", " UNION ALL BY NAME ".join(
+    f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record, '{n}' AS table_name FROM ext_{c}" for n, c in _SOURCES.items()))
+_MONTH = {"transactions": "transaction_date", "support_tickets": "created_date"}
+
+
+def _month(n: str) -> str:
+    day = _MONTH.get(n)
+    return f", coalesce(strftime(try_cast({day} AS date), '%Y-%m'), 'unknown') AS _month" if day else ""
+
+
+add("bronze_append", " UNION ALL BY NAME ".join(
+    f"SELECT *{_month(n)}, '{n}' AS table_name FROM bronze_{c}" for n, c in _SOURCES.items()))
+_KEYS = {"customers": "customer_id", "accounts": "account_id", "transactions": "account_id",
+         "branches": "branch_id", "support_tickets": "ticket_id"}
+add("ingest_ledger", " UNION ALL ".join(
+    f"SELECT '{BATCH_ID}' AS batch_id, '{n}' AS table_name, COUNT(*) AS file_rows, "
+    f"COUNT(*) FILTER (CAST({_KEYS[n]} AS BIGINT) % 97 <> 0) AS loaded, "
+    f"COUNT(*) FILTER (CAST({_KEYS[n]} AS BIGINT) % 97 = 0) AS quarantined FROM ext_{c}" for n, c in _SOURCES.items()))
+_FIRST = {**_KEYS, "transactions": "transaction_id"}
+add("csv_quarantine", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{BATCH_ID}' AS batch_id, {_FIRST[n]} AS record_key FROM ext_{c} "
+    f"WHERE CAST({_KEYS[n]} AS BIGINT) % 97 = 0" for n, c in _SOURCES.items()))
 add("full_refresh", "SELECT * FROM bronze_branches")
 add("partitioned_overwrite", "SELECT * FROM silver_transactions")
 add("dq_audit_append", """

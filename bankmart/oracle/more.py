@@ -98,13 +98,14 @@ SELECT transaction_id, transaction_date, reference_number, amount FROM (
                reference_number, amount, balance_after, fraud_score, transaction_time) AS r
   FROM bronze_transactions) WHERE r = 1""")
 add("schema_evolve", f"""
-SELECT *, 'CRM' AS _source_system, 'customers.csv' AS _source_file, '20011103_000000' AS _batch_id,
+SELECT * REPLACE (CAST(credit_score AS BIGINT) AS credit_score), 'CRM' AS _source_system,
+  'customers.csv' AS _source_file, '20011103_000000' AS _batch_id,
   {RUN_TS} AS _ingest_ts, '2001-11-03' AS _batch_date, TRUE AS _is_current,
   CAST(NULL AS VARCHAR) AS loyalty_tier
 FROM ext_customers WHERE CAST(customer_id AS BIGINT) % 2 = 0
 UNION ALL
-SELECT *, 'CRM', 'customers.csv', '{BATCH_ID}', {RUN_TS}, '2001-11-04', TRUE,
-  CASE WHEN credit_score >= 740 THEN 'Gold' ELSE 'Standard' END
+SELECT * REPLACE (CAST(credit_score AS BIGINT) AS credit_score), 'CRM', 'customers.csv', '{BATCH_ID}',
+  {RUN_TS}, '2001-11-04', TRUE, CASE WHEN credit_score >= 740 THEN 'Gold' ELSE 'Standard' END
 FROM ext_customers WHERE NOT (CAST(customer_id AS BIGINT) % 2 = 0)""")
 
 _LAYERS = [("bronze", "customers", "bronze_customers"), ("bronze", "accounts", "bronze_accounts"),

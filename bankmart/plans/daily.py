@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze as B
 from bankmart.operators import layout, quality, scd2, serving, silver
-from bankmart.plans.jobs import bronze_schema, land_bronze
+from bankmart.plans.jobs import land_bronze, ledger_rows
 from bankmart.plans.lake import Lake
 from bankmart.session import (committed_subdirs, delete_folder, input_bytes, run_concurrently,
                               tune_for_input)
@@ -30,6 +30,7 @@ from bankmart.session import (committed_subdirs, delete_folder, input_bytes, run
 class RunResult:
     paths: dict
     dq: dict
+    ingest: dict
 
 
 MONTH = ["txn_year", "txn_month"]
@@ -65,24 +66,29 @@ def merge_transactions(spark: SparkSession, path: str, new: DataFrame) -> None:
         delete_folder(spark, f"{path}/txn_year={year}/txn_month={month}")
 
 
-def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAULT,
-        tune: bool = False) -> RunResult:
-    """One daily batch.  ``tune=True`` sizes shuffle partitions and scan
-    splits from the input size first (see :func:`bankmart.session.tune_for_input`)."""
-    lake = Lake(spark, sf_dir, cfg)
+def run(spark: SparkSession, sf_dir: str | None, warehouse: str, cfg: RunConfig = DEFAULT,
+        tune: bool = False, landing: str | None = None,
+        declared: dict[str, dict[str, str]] | None = None) -> RunResult:
+    """One daily batch, from the test tables of ``sf_dir`` or from CSV drops
+    ``<landing>/<source>/`` (``declared``: types of columns new to a source).  ``tune=True``
+    sizes shuffle partitions and scan splits from the input size first (see
+    :func:`bankmart.session.tune_for_input`)."""
+    lake = Lake(spark, sf_dir, cfg, landing, declared)
     paths = {}
     if tune:
-        tune_for_input(spark, input_bytes(spark, [sf_dir, f"{warehouse}/bronze"]))
+        tune_for_input(spark, input_bytes(spark, [landing or sf_dir, f"{warehouse}/bronze"]))
 
     landed = committed_subdirs(spark, f"{warehouse}/bronze/transactions", "_batch_id=")
     if landed and landed[-1] > cfg.batch_id:
         raise ValueError(f"batch {cfg.batch_id} is older than batch {landed[-1]} of {warehouse}")
 
     # Bronze: append today's batch
-    bronze_paths = land_bronze(lake, f"{warehouse}/bronze")
-    month_parted = {"transactions", "support_tickets"}
-    bz = {n: B.read_bronze(spark, p, bronze_schema(n, ["_month"] if n in month_parted else []))
-          for n, p in bronze_paths.items()}
+    counts: dict[str, dict] = {}
+    bronze_paths = land_bronze(lake, f"{warehouse}/bronze", counts)
+    (ledger_rows(lake, counts).write.mode("overwrite").partitionBy("batch_id")
+     .option("partitionOverwriteMode", "dynamic").parquet(f"{warehouse}/audit/ingest"))
+    # all batches in the merged schema: a new source column passes to Silver
+    bz = {n: B.read_bronze(spark, p) for n, p in bronze_paths.items()}
     # today's batch only (Bronze keeps every batch)
     today = {n: df.where(F.col("_batch_id") == cfg.batch_id) for n, df in bz.items()}
 
@@ -95,7 +101,7 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
     paths["silver_customers"] = cust_root
     builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
                 "silver_branches": silver.silver_branches(today["branches"], cfg),
-                "silver_tickets": silver.silver_tickets(bz["support_tickets"], cfg)}
+                "silver_tickets": silver.silver_tickets(bz["support_tickets"].drop("_month"), cfg)}
     for name in builders:
         paths[name] = f"{warehouse}/silver/{name}"
     actions = [(lambda n=n: builders[n].write.mode("overwrite").parquet(paths[n]))
@@ -145,4 +151,4 @@ def run(spark: SparkSession, sf_dir: str, warehouse: str, cfg: RunConfig = DEFAU
                     (lambda d=rejects, o=out: d.write.mode("overwrite").parquet(o + "_rejects"))]
         paths[f"serving_{name}"] = out
     run_concurrently(actions)
-    return RunResult(paths=paths, dq=decision)
+    return RunResult(paths=paths, dq=decision, ingest=counts)

@@ -25,12 +25,70 @@ from bankmart.sources import csv as csv_src
 from bankmart.sources.adapters import customers_extract
 
 
+def by_table(frames: dict[str, DataFrame]) -> DataFrame:
+    """Rows of several tables as one, each column once (NULL where a table lacks it)."""
+    out = None
+    for name, df in frames.items():
+        df = df.withColumn("table_name", F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def land_csv(lake: Lake, damaged: bool = False) -> str:
+    """The five extracts as headered CSV drops.  ``damaged`` puts a text into one typed
+    column of some rows, as an input with malformed rows."""
+    root = scratch_path(lake.spark, "landing")
+    for name in schemas.SOURCES:
+        df = lake.extract(name)
+        if damaged:
+            column, key = BAD_COLUMN[name]
+            bad = F.col(key).cast("long") % BAD_EVERY == 0
+            df = df.withColumn(column, F.when(bad, "n/a").otherwise(F.col(column).cast("string")))
+        csv_src.write_landing_csv(df, f"{root}/{name}")
+    return root
+
+
+BAD_EVERY = 97
+#: source → typed column that is damaged, and the number that decides
+BAD_COLUMN = {"customers": ("credit_score", "customer_id"), "accounts": ("balance", "account_id"),
+              "transactions": ("amount", "account_id"), "branches": ("atm_count", "branch_id"),
+              "support_tickets": ("csat_score", "ticket_id")}
+
+
 @query("csv_scan")
 def csv_scan(lake: Lake) -> DataFrame:
-    """Land the customer extract as headered CSV, read it back typed."""
-    path = scratch_path(lake.spark, "landing-customers")
-    csv_src.write_landing_csv(customers_extract(lake.spark, lake.sf_dir, lake.cfg), path)
-    return csv_src.read_csv(lake.spark, path, schemas.CUSTOMERS)
+    """Land the five extracts as headered CSV, read them back typed."""
+    root = land_csv(lake)
+    return by_table({n: csv_src.read_drop(lake.spark, f"{root}/{n}", s).drop("_input")
+                     for n, s in schemas.SOURCES.items()})
+
+
+@query("ingest_ledger")
+def ingest_ledger(lake: Lake) -> DataFrame:
+    """Bronze landing of CSV drops with malformed rows: rows read, loaded and quarantined
+    of every source, counted by the writes."""
+    csv_lake = Lake(lake.spark, lake.sf_dir, lake.cfg, landing=land_csv(lake, damaged=True))
+    counts: dict[str, dict] = {}
+    land_bronze(csv_lake, scratch_path(lake.spark, "bronze"), counts)
+    return ledger_rows(lake, counts)
+
+
+def ledger_rows(lake: Lake, counts: dict[str, dict]) -> DataFrame:
+    """One row per source (five rows, from the writes' counts)."""
+    return lake.spark.createDataFrame(
+        [(lake.cfg.batch_id, n, c["file_rows"], c["loaded"], c["quarantined"]) for n, c in counts.items()],
+        "batch_id string, table_name string, file_rows long, loaded long, quarantined long")
+
+
+@query("csv_quarantine")
+def csv_quarantine(lake: Lake) -> DataFrame:
+    """Malformed rows of the five CSV drops as quarantined: table, batch and the row's key,
+    the first field of its raw text."""
+    csv_lake = Lake(lake.spark, lake.sf_dir, lake.cfg, landing=land_csv(lake, damaged=True))
+    paths = land_bronze(csv_lake, scratch_path(lake.spark, "bronze"))
+    bad = by_table({n: B.read_quarantine(lake.spark, p) for n, p in paths.items()})
+    return bad.select("table_name", F.col("_batch_id").alias("batch_id"),
+                      F.split_part(csv_src.CORRUPT, F.lit(","), F.lit(1)).alias("record_key"))
 
 
 def bronze_schema(name: str, partition_cols: list[str]) -> T.StructType:
@@ -45,27 +103,28 @@ def bronze_schema(name: str, partition_cols: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def land_bronze(lake: Lake, root: str) -> dict[str, str]:
+def land_bronze(lake: Lake, root: str, counts: dict | None = None) -> dict[str, str]:
     """Append today's batch of every source to its Bronze table: facts by
-    business month, other entities by batch date, branches full refresh."""
+    business month, other entities by batch date, branches full refresh.  ``counts``
+    receives what each write counted."""
     paths = {}
     for name in schemas.SOURCES:
         path = f"{root}/{name}"
         df = lake.bronze(name)
         date_col = schemas.SOURCE_META[name][2]
-        if name == "branches":
-            B.full_refresh(df, path)
-        else:
+        seen = B.full_refresh(df, path) if name == "branches" else \
             B.append(df, path, lake.cfg.batch_id, business_date=date_col)
+        if counts is not None:
+            counts[name] = seen
         paths[name] = path
     return paths
 
 
 @query("bronze_append")
 def bronze_append(lake: Lake) -> DataFrame:
+    """Land every source and read all five Bronze tables back."""
     paths = land_bronze(lake, scratch_path(lake.spark, "bronze"))
-    return B.read_bronze(lake.spark, paths["transactions"],
-                         bronze_schema("transactions", ["_month"]))
+    return by_table({n: B.read_bronze(lake.spark, p) for n, p in paths.items()})
 
 
 @query("full_refresh")
@@ -75,7 +134,7 @@ def full_refresh(lake: Lake) -> DataFrame:
     br = lake.bronze("branches")
     B.full_refresh(br.where(F.col("branch_id").cast("long") % 2 == 0), path)
     B.full_refresh(br, path)
-    return lake.spark.read.schema(bronze_schema("branches", [])).parquet(path)
+    return B.read_bronze(lake.spark, path)
 
 
 @query("partitioned_overwrite")

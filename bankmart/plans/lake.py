@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from bankmart import schemas
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze, gold, silver
-from bankmart.sources import adapters
+from bankmart.sources import adapters, csv
 
 
 class Lake:
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = DEFAULT,
+                 landing: str | None = None, declared: dict[str, dict[str, str]] | None = None):
+        """Sources are the test tables of ``sf_dir``, or CSV drops ``<landing>/<source>/``;
+        ``declared`` has the types of columns new to a source."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = cfg
+        self.landing = landing
+        self.declared = declared or {}
         self._tables: dict[str, DataFrame] = {}
         self.paths: dict[str, str] = {}            # folders of written tables
 
@@ -35,7 +40,11 @@ class Lake:
 
     def extract(self, name: str) -> DataFrame:
         """One source extract, built on first use (a query reading one
-        table does not touch the others' files)."""
+        table does not touch the others' files).  Rows of a CSV drop carry
+        ``_corrupt_record`` and ``_input``."""
+        if self.landing is not None:
+            return self._get(f"extract:{name}", lambda: csv.read_drop(
+                self.spark, f"{self.landing}/{name}", schemas.SOURCES[name], self.declared.get(name)))
         return self._get(f"extract:{name}",
                          lambda: self.EXTRACTS[name](self.spark, self.sf_dir, self.cfg))
 

@@ -14,6 +14,7 @@ from bankmart.operators import gold
 from bankmart.operators.dedup import dedup_latest, INGEST_ORDER
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
+from bankmart.session import scratch_path
 from bankmart.sources.adapters import (TRANSACTION_TIE_BREAK, customers_extract,
                                        transactions_extract)
 
@@ -98,14 +99,17 @@ def dedup_latest_q(lake: Lake) -> DataFrame:
 
 @query("schema_evolve")
 def schema_evolve(lake: Lake) -> DataFrame:
-    """Batch 1 lacks ``loyalty_tier``; batch 2 adds it; NULL fills the gap."""
+    """Two Bronze batches on disk: the second adds ``loyalty_tier`` and widens
+    ``credit_score``; both are read in the merged schema."""
     ext = customers_extract(lake.spark, lake.sf_dir, lake.cfg)
     even = F.col("customer_id").cast("long") % 2 == 0
     cfg1 = dataclasses.replace(lake.cfg, batch_id="20011103_000000", as_of=date(2001, 11, 3))
-    b1 = B.stamp(ext.where(even), "CRM", "customers.csv", cfg1)
-    b2 = B.stamp(ext.where(~even), "CRM", "customers.csv", lake.cfg).withColumn(
+    second = ext.where(~even).withColumn("credit_score", F.col("credit_score").cast("long")).withColumn(
         "loyalty_tier", F.when(F.col("credit_score") >= 740, "Gold").otherwise("Standard"))
-    return B.schema_evolve(b1, b2)
+    path = scratch_path(lake.spark, "bronze-evolved")
+    B.append(B.stamp(ext.where(even), "CRM", "customers.csv", cfg1), path, cfg1.batch_id)
+    B.append(B.stamp(second, "CRM", "customers.csv", lake.cfg), path, lake.cfg.batch_id)
+    return B.read_bronze(lake.spark, path)
 
 
 @query("layer_audit")

@@ -11,18 +11,25 @@ duplicating or skipping files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankmart import schemas
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze
+from bankmart.sources.csv import CORRUPT
 
 
 def land_available_now(spark: SparkSession, source: str, landing_dir: str, bronze_dir: str,
                        checkpoint_dir: str, cfg: RunConfig = DEFAULT) -> None:
     system, _, business_date = schemas.SOURCE_META[source]
-    stream = (spark.readStream.schema(schemas.SOURCES[source]).option("header", True)
+    rows = T.StructType(schemas.SOURCES[source].fields + [T.StructField(CORRUPT, T.StringType())])
+    stream = (spark.readStream.schema(rows).option("header", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv(landing_dir))
+              .csv(landing_dir)
+              .withColumn(bronze.INPUT, F.concat_ws(":", "_metadata.file_path",
+                                                    F.col("_metadata.file_block_start").cast("string"))))
     stamped = bronze.stamp(stream, system, None, cfg)   # real file name from _metadata
 
     def append(batch: DataFrame, number: int) -> None:
