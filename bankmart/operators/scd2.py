@@ -11,7 +11,6 @@ and the columns that changed since the version before, as bits of
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 from typing import Sequence
 
@@ -21,6 +20,7 @@ from pyspark.sql import types as T
 
 from bankmart import domains as D
 from bankmart.config import RunConfig, DEFAULT
+from bankmart.operators.buckets import note_buckets, noted_buckets, read_bucketed, write_bucketed
 
 SCD_COLS = ["scd_start_date", "scd_end_date", "scd_is_current", "scd_version"]
 
@@ -258,23 +258,12 @@ def store_schema(spark, root: str) -> T.StructType | None:
     return T.StructType(fields)
 
 
-def _table_name(path: str) -> str:
-    return "scd2_" + hashlib.md5(path.encode()).hexdigest()
-
-
 def stored_current(spark, root: str, batch: str, schema: T.StructType, buckets: int) -> DataFrame:
-    """Current versions of a stored batch as a bucketed table of the session's catalogue."""
-    path = f"{root}/batch={batch}"
-    name = _table_name(path)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored_fields(schema))
-    location = path.replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}, scd_is_current boolean) USING parquet "
-              f"PARTITIONED BY (scd_is_current) CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
-              f"INTO {buckets} BUCKETS LOCATION '{location}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    """Current versions of a stored batch as a bucketed table."""
+    columns = T.StructType(_stored_fields(schema) + [T.StructField("scd_is_current", T.BooleanType())])
     order = [f.name for f in schema.fields if f.name not in STORED] + STORED
-    return spark.table(name).where(F.col("scd_is_current")).select(*order)
+    table = read_bucketed(spark, f"{root}/batch={batch}", columns, buckets, KEY, "scd_is_current")
+    return table.where(F.col("scd_is_current")).select(*order)
 
 
 def _buckets_path(root: str, batch: str) -> str:
@@ -297,7 +286,7 @@ def store_next(spark, root: str, batch_id: str, incoming: DataFrame, cfg: RunCon
         n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         first = scd2_initial(incoming.repartition(n, KEY), cfg)
         return first.withColumns({DIGEST: row_digest(tracked), CHANGED: F.lit(0).cast("long")}), n
-    n = spark.read.schema("buckets int").json(_buckets_path(root, prior[-1])).first()["buckets"]
+    n = noted_buckets(spark, _buckets_path(root, prior[-1]))
     current = stored_current(spark, root, prior[-1], schema, n)
     stored = input_bytes(spark, [f"{root}/batch={prior[-1]}/scd_is_current=true"])
     wanted = buckets or (2 * n if stored > n * SHUFFLE_TARGET_BYTES else n)
@@ -318,13 +307,7 @@ def store_apply(spark, root: str, batch_id: str, incoming: DataFrame, cfg: RunCo
     if later:
         raise ValueError(f"batch {batch_id} is older than batch {later[-1]} of {root}")
     rows, n = store_next(spark, root, batch_id, incoming, cfg, key, tracked, buckets)
-    path = f"{root}/batch={batch_id}"
-    delete_folder(spark, path)
-    spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").json(_buckets_path(root, batch_id))
-    name = _table_name(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (rows.write.format("parquet").mode("overwrite").partitionBy("scd_is_current")
-         .bucketBy(n, KEY).sortBy(KEY).option("path", path).saveAsTable(name))
-    spark.sql(f"DROP TABLE {name}")                     # external: the files stay
+    note_buckets(spark, _buckets_path(root, batch_id), n)
+    write_bucketed(rows, f"{root}/batch={batch_id}", n, KEY, "scd_is_current")
     for old in [b for b in batches if b < batch_id][:-1]:
         delete_folder(spark, f"{root}/batch={old}/scd_is_current=true")

@@ -64,7 +64,8 @@ def silver_customers(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
     return scd2_initial(clean_customers(bronze, cfg), cfg)
 
 
-def silver_accounts(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
+def clean_accounts(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
+    """Latest row per account, typed; nothing in it depends on the run's date."""
     df = dedup_latest(bronze, ["account_id"],
                       INGEST_ORDER + [("record_created_at", "desc")])
     limit = F.col("credit_limit")
@@ -78,16 +79,23 @@ def silver_accounts(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
                 "interest_rate": F.col("interest_rate").try_cast("double"),
                 "credit_limit": limit.try_cast("double"),
             })
-            .withColumns({
-                "days_since_activity": F.datediff(_as_of(cfg), F.col("last_activity_date")),
-                "account_age_days": F.datediff(_as_of(cfg), F.col("open_date")),
-                "utilization_rate": F.when(limit.isNotNull() & (limit > 0),
-                                           F.round(F.col("balance") / limit, 4)),
-            })
+            .withColumn("utilization_rate", F.when(limit.isNotNull() & (limit > 0),
+                                                   F.round(F.col("balance") / limit, 4)))
             .withColumn("credit_limit", F.coalesce(limit, F.lit(0.0)))
             .drop(*DROP_META))
 
 
+def aged_accounts(accounts: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
+    """Clean accounts with their days as of the run's date."""
+    return accounts.withColumns({
+        "days_since_activity": F.datediff(_as_of(cfg), F.col("last_activity_date")),
+        "account_age_days": F.datediff(_as_of(cfg), F.col("open_date"))})
+
+
+def silver_accounts(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
+    return aged_accounts(clean_accounts(bronze, cfg), cfg)
+
+
 def silver_transactions(bronze: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
     df = dedup_latest(bronze, ["transaction_id"], INGEST_ORDER + TRANSACTION_TIE_BREAK)
     tdate = F.col("transaction_date")

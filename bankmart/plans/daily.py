@@ -14,12 +14,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import bronze as B
-from bankmart.operators import layout, quality, scd2, serving, silver
+from bankmart.operators import quality, scd2, serving, silver
+from bankmart.operators.merge import KeyedTable
 from bankmart.plans.jobs import land_bronze, ledger_rows
 from bankmart.plans.lake import Lake
 from bankmart.session import (committed_subdirs, delete_folder, input_bytes, run_concurrently,
@@ -33,39 +34,6 @@ class RunResult:
     ingest: dict
 
 
-MONTH = ["txn_year", "txn_month"]
-
-
-def _month_number():
-    """One number per (txn_year, txn_month), 0 for undated rows."""
-    return F.coalesce(F.col("txn_year") * 100 + F.col("txn_month"), F.lit(0))
-
-
-def merge_transactions(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Bring the newest batch's clean rows into Silver transactions.
-
-    Touched are the months of the new rows and those where their ids already
-    live (a correction may move a transaction, or give it its date); only
-    these partitions are read and replaced, and a month left without rows is
-    removed.  Month numbers come from parsed dates, so their list is bounded
-    by the calendar."""
-    old = spark.read.schema(new.schema).parquet(path)
-    ids = new.select(F.col("transaction_id").alias("_id"))
-    same = F.col("transaction_id").eqNullSafe(F.col("_id"))
-    homes = old.join(ids, same, "left_semi").select(_month_number().alias("m"))
-    touched = [r.m for r in homes.union(new.select(_month_number())).distinct().collect()]
-    if not touched:
-        return
-    kept = old.where(_month_number().isin(touched)).join(ids, same, "left_anti")
-    filled = {r.m for r in kept.select(_month_number().alias("m"))
-              .union(new.select(_month_number())).distinct().collect()}
-    layout.write_partitioned_balanced(kept.unionByName(new), path, MONTH, dynamic=True)
-    for m in set(touched) - filled:
-        unknown = "__HIVE_DEFAULT_PARTITION__"
-        year, month = (m // 100, m % 100) if m else (unknown, unknown)
-        delete_folder(spark, f"{path}/txn_year={year}/txn_month={month}")
-
-
 def run(spark: SparkSession, sf_dir: str | None, warehouse: str, cfg: RunConfig = DEFAULT,
         tune: bool = False, landing: str | None = None,
         declared: dict[str, dict[str, str]] | None = None) -> RunResult:
@@ -99,33 +67,33 @@ def run(spark: SparkSession, sf_dir: str | None, warehouse: str, cfg: RunConfig
     lake._tables["silver_customers"] = scd2.store_read(
         spark, cust_root, scd2.scd2_initial(incoming, cfg).schema)
     paths["silver_customers"] = cust_root
-    builders = {"silver_accounts": silver.silver_accounts(bz["accounts"], cfg),
-                "silver_branches": silver.silver_branches(today["branches"], cfg),
-                "silver_tickets": silver.silver_tickets(bz["support_tickets"].drop("_month"), cfg)}
-    for name in builders:
-        paths[name] = f"{warehouse}/silver/{name}"
-    actions = [(lambda n=n: builders[n].write.mode("overwrite").parquet(paths[n]))
-               for n in builders]
-
-    # Transactions: a new batch on top of all earlier ones is merged into the
-    # months it touches; after a rerun or a failure in between Silver is
-    # rebuilt from Bronze.  A folder per batch marks which ones Silver holds.
-    txn_path, applied = f"{warehouse}/silver/silver_transactions", f"{warehouse}/silver/applied"
-    txns = silver.silver_transactions(today["transactions"], cfg).drop("_month")
-    if landed and committed_subdirs(spark, applied, "batch=") == landed and cfg.batch_id not in landed:
-        actions.append(lambda: merge_transactions(spark, txn_path, txns))
-    else:
+    paths["silver_branches"] = f"{warehouse}/silver/silver_branches"
+    branches = silver.silver_branches(today["branches"], cfg)
+    actions = [lambda: branches.write.mode("overwrite").parquet(paths["silver_branches"])]
+
+    # Accounts, transactions and tickets: a new batch on top of all earlier ones is merged
+    # into the partitions it touches, at a cost that does not grow with the batches before;
+    # after a rerun or a failure in between they are rebuilt from Bronze.  A folder per
+    # batch marks which ones Silver holds.
+    applied = f"{warehouse}/silver/applied"
+    merging = bool(landed) and committed_subdirs(spark, applied, "batch=") == landed and cfg.batch_id not in landed
+    if not merging:
         delete_folder(spark, applied)
-        everything = silver.silver_transactions(bz["transactions"], cfg).drop("_month")
-        actions.append(lambda: layout.write_partitioned_balanced(everything, txn_path, MONTH))
-    paths["silver_transactions"] = txn_path
+    schema = {}
+    for name, (source, key, by) in Lake.MERGED.items():
+        paths[name] = f"{warehouse}/silver/{name}"
+        rows = Lake.clean(name, (today if merging else bz)[source].drop("_month"), cfg)
+        schema[name] = rows.schema
+        table = KeyedTable(spark, paths[name], key, by)
+        bring = table.merge if merging else table.rebuild
+        actions.append(lambda bring=bring, rows=rows: bring(rows, cfg.batch_id))
     run_concurrently(actions)
     for batch in sorted({*landed, cfg.batch_id}):
         spark.range(0).write.mode("overwrite").parquet(f"{applied}/batch={batch}")
 
-    lake._tables.update({n: spark.read.parquet(p) for n, p in paths.items()
-                         if n not in ("silver_customers", "silver_transactions")})
-    lake._tables["silver_transactions"] = spark.read.schema(txns.schema).parquet(txn_path)
+    lake._tables["silver_branches"] = spark.read.schema(branches.schema).parquet(paths["silver_branches"])
+    for name in Lake.MERGED:
+        lake._tables[name] = Lake.shown(name, spark.read.schema(schema[name]).parquet(paths[name]), cfg)
 
     # DQ on Silver, audit append, gate before Gold
     dq_path = f"{warehouse}/audit/dq_results"

@@ -11,6 +11,7 @@ scan Parquet instead of re-deriving the lineage).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bankmart import schemas
 from bankmart.config import RunConfig, DEFAULT
@@ -120,13 +121,41 @@ class Lake:
               "silver_branches", "silver_tickets"]
     GOLD = ["customer_360", "txn_monthly_summary", "segment_metrics", "support_kpis"]
 
+    # Silver tables that batches are merged into: source, key, partition columns
+    MERGED = {"silver_accounts": ("accounts", "account_id", ["product_type"]),
+              "silver_transactions": ("transactions", "transaction_id", ["txn_year", "txn_month"]),
+              "silver_tickets": ("support_tickets", "ticket_id", ["created_month"])}
+
     # tables written partitioned: name → partition columns
-    PARTITIONED = {"silver_transactions": ["txn_year", "txn_month"]}
+    PARTITIONED = {**{name: by for name, (_, _, by) in MERGED.items()},
+                   "customer_360": ["segment"], "txn_monthly_summary": ["txn_year", "txn_month"],
+                   "support_kpis": ["created_month"]}
+
+    @staticmethod
+    def clean(name: str, bronze_rows: DataFrame, cfg: RunConfig) -> DataFrame:
+        """Stored form of a merged Silver table: nothing in it depends on the run's date."""
+        build = {"silver_accounts": silver.clean_accounts, "silver_transactions": silver.silver_transactions,
+                 "silver_tickets": silver.silver_tickets}[name]
+        return Lake.stored(name, build(bronze_rows, cfg))
+
+    @staticmethod
+    def stored(name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` with the table's partition columns."""
+        if "created_month" in Lake.PARTITIONED.get(name, ()):
+            rows = rows.withColumn("created_month", F.date_format("created_date", "yyyy-MM"))
+        return rows
+
+    @staticmethod
+    def shown(name: str, rows: DataFrame, cfg: RunConfig) -> DataFrame:
+        """A stored table as queries see it."""
+        if name == "silver_accounts" and "account_age_days" not in rows.columns:
+            rows = silver.aged_accounts(rows, cfg)
+        return rows.drop("created_month")
 
     def _write(self, df: DataFrame, name: str, path: str) -> None:
         if name in self.PARTITIONED:
             from bankmart.operators.layout import write_partitioned_balanced
-            write_partitioned_balanced(df, path, self.PARTITIONED[name])
+            write_partitioned_balanced(self.stored(name, df), path, self.PARTITIONED[name])
         else:
             df.write.mode("overwrite").parquet(path)
 
@@ -140,7 +169,8 @@ class Lake:
                           for n in builds])
         for n in names:
             self.paths[n] = f"{root}/{n}"
-            self._tables[n] = self.spark.read.schema(builds[n].schema).parquet(self.paths[n])
+            self._tables[n] = self.shown(n, self.spark.read.schema(
+                self.stored(n, builds[n]).schema).parquet(self.paths[n]), self.cfg)
 
     # dependency order of the daily build: each group only reads earlier ones
     BUILD_ORDER = [SILVER, ["transaction_cells", "dq_results", "support_kpis"],
@@ -161,7 +191,7 @@ class Lake:
         lake.paths = {**{n: f"{warehouse}/silver/{n}" for n in cls.SILVER[1:]},
                       **{n: f"{warehouse}/gold/{n}" for n in cls.GOLD}}
         for name, path in lake.paths.items():
-            lake._tables[name] = spark.read.parquet(path)
+            lake._tables[name] = cls.shown(name, spark.read.parquet(path), cfg)
         lake._tables["dq_results"] = quality.read_audit(spark, f"{warehouse}/audit/dq_results")
         return lake
 
