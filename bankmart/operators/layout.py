@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,28 +47,160 @@ def clustered_rewrite(df: DataFrame, path: str, by: list[str], key: list[str],
        .write.mode("overwrite").parquet(path))
 
 
+# ── co-location by several columns ───────────────────────────────────────────
+
+ZORDER_BITS = 8                 # 256 quantile ranks of each column
+SAMPLE_ROWS = 100_000           # rows that the quantiles are taken from
+
+
+def _rank(column: str, bounds: list, low: int = 0, high: int | None = None):
+    """Number of ``bounds`` at or below the column, as a balanced decision tree."""
+    high = len(bounds) if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return (F.when(F.col(column) < F.lit(bounds[middle]), _rank(column, bounds, low, middle))
+            .otherwise(_rank(column, bounds, middle + 1, high)))
+
+
+def quantile_ranks(df: DataFrame, columns: list[str], bits: int = ZORDER_BITS) -> dict:
+    """Column → expression of its quantile rank (0 to 2**bits - 1; NULL ranks 0).
+
+    The quantiles come from a bounded sample: they decide how even the layout is, never
+    which rows it holds."""
+    whole = df.select(*columns)
+    share = min(1.0, 2.0 * SAMPLE_ROWS / max(1, whole.count()))
+    sample = whole.sample(share, seed=1).limit(SAMPLE_ROWS).toPandas()
+    out = {}
+    for c in columns:
+        values = sorted(v for v in sample[c].tolist() if v is not None and v == v)
+        n = 2 ** bits
+        bounds = sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
+        out[c] = F.when(F.col(c).isNull(), 0).otherwise(_rank(c, bounds)).cast("long")
+    return out
+
+
+def interleaved(ranks: list, bits: int = ZORDER_BITS):
+    """Bits of the ranks in turn, the first column's highest bit first."""
+    out = F.lit(0).cast("long")
+    for i in range(bits):
+        for j, rank in enumerate(ranks):
+            bit = F.shiftright(rank, i).bitwiseAND(F.lit(1))
+            out = out.bitwiseOR(F.shiftleft(bit, i * len(ranks) + len(ranks) - 1 - j))
+    return out
+
+
+def zorder_rewrite(df: DataFrame, path: str, by: list[str], key: list[str],
+                   partitions: int | None = None) -> None:
+    """Co-locate rows by all columns of ``by`` at once: rows are dealt into ranges of a
+    key made of the bits of their quantile ranks in turn, so every file covers a narrow
+    range of each column and filters on any one of them skip files and row groups.
+    Ranges end in ``by`` and the primary ``key``, so a hot value is spread over files."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranks = quantile_ranks(df, by)
+    order = ["_z", *by, *key]
+    (df.withColumn("_z", interleaved([ranks[c] for c in by]))
+       .repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_z")
+       .write.mode("overwrite").parquet(path))
+
+
+# ── compaction ───────────────────────────────────────────────────────────────
+
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """One row per Parquet file: path and bytes (contents are not read)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(path)
+            .select("path", F.col("length").alias("bytes")))
+
+
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """File count and bytes of a Parquet table: one input row per file (files
-    without rows included), whose content is not read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(path)
-             .select(F.col("length").alias("file_size")))
-    return files.agg(F.count(F.lit(1)).alias("file_count"),
-                     F.sum("file_size").alias("total_bytes"),
-                     F.max("file_size").alias("max_file_bytes"))
-
-
-def compact(spark: SparkSession, src: str, dst: str, by: list[str] = (),
-            target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite ``src`` into files of about ``target_bytes`` at ``dst``
-    (a new folder: Parquet tables cannot be overwritten in place while
-    read).  A table partitioned ``by`` columns stays so, each partition
-    compacted by itself.  Returns the number of files the bytes ask for."""
-    from bankmart.session import input_bytes
-    total = input_bytes(spark, [src])          # file-system metadata, no scan
-    n = max(1, math.ceil(total / target_bytes))
-    if by:
-        write_partitioned_balanced(spark.read.parquet(src), dst, list(by))
-    else:
-        spark.read.parquet(src).repartition(n).write.mode("overwrite").parquet(dst)
-    return n
+    """File count and bytes of a Parquet table (files without rows included)."""
+    return files_of(spark, path).agg(F.count(F.lit(1)).alias("file_count"),
+                                     F.sum("bytes").alias("total_bytes"),
+                                     F.max("bytes").alias("max_file_bytes"))
+
+
+def pack(sizes: list[int], target: int) -> list[int]:
+    """First fit decreasing: a bin number per size.  No bin of several files exceeds
+    ``target`` and at most one bin is under half of it."""
+    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    room: list[int] = []
+    out = [0] * len(sizes)
+    for i in order:
+        bin_ = next((b for b, r in enumerate(room) if r >= sizes[i]), None)
+        if bin_ is None:
+            bin_ = len(room)
+            room.append(target)
+        out[i] = bin_
+        room[bin_] -= sizes[i]
+    return out
+
+
+def compaction_plan(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
+    """Small files (under half of the target) that share a bin with another: path, folder, bin.
+    Packed per folder, one folder at a time in a task; files of half the target or more
+    are left alone."""
+    small = files_of(spark, path).where(F.col("bytes") < target_bytes // 2).withColumn(
+        "folder", F.regexp_replace("path", "/[^/]*$", ""))
+
+    def packed(frame):
+        frame = frame.sort_values(["bytes", "path"], ascending=[False, True])
+        frame["bin"] = pack(frame["bytes"].tolist(), target_bytes)
+        return frame[frame["bin"].map(frame["bin"].value_counts()) > 1][["path", "folder", "bin"]]
+
+    return small.groupBy("folder").applyInPandas(packed, "path string, folder string, bin int")
+
+
+def _plain(path):
+    """A path with one slash after its scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def compact(spark: SparkSession, path: str, by: list[str] = (), target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Merge the small files of a table's folders, bin by bin, into files of up to about
+    ``target_bytes``; larger files are neither read nor written.  Returns the number
+    of files written.
+
+    After it every folder has at most one file under half of the target (of the bytes
+    before compaction; one file's columns compress better than many files' do), and none
+    of the new ones is above it by more than a tenth.
+
+    New files are written beside the table (``_compaction``), then moved in, then the small
+    ones are deleted.  A failure before the moves leaves the table as it was; readers
+    should not list the table during the moves."""
+    from bankmart.session import delete_folder, scratch_path
+    plan_path, beside = scratch_path(spark, "compaction-plan"), f"{path}/_compaction"
+    compaction_plan(spark, path, target_bytes).withColumn(
+        "_bin", F.concat_ws("/", "folder", "bin")).write.parquet(plan_path)
+    plan = spark.read.parquet(plan_path)
+    old = [r["path"] for r in plan.select("path").collect()]           # names of small files only
+    if not old:
+        return 0
+    bins = plan.select("_bin").distinct().count()
+    rows = spark.read.option("basePath", path).parquet(*old)
+    names = plan.select(_plain(F.col("path")).alias("_file"), "_bin")
+    # a scan's file path is URL-encoded, unlike the listing's
+    mine = _plain(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))))
+    delete_folder(spark, beside)
+    # hashing a bin's name gives every bin to one task, so to one file
+    (rows.withColumn("_file", mine).join(names, "_file").drop("_file", *by)
+     .repartition(bins, "_bin").write.partitionBy("_bin").parquet(beside))
+    moved = 0
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    from urllib.parse import unquote
+    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(beside)):
+        name = st.getPath().getName()
+        if not name.startswith("_bin="):
+            continue
+        folder, number = unquote(name[len("_bin="):]).rsplit("/", 1)
+        for part in fs.listStatus(st.getPath()):
+            # a task that wrote two bins of a folder gave both files one name
+            target = jvm.org.apache.hadoop.fs.Path(folder, f"bin-{number}-{part.getPath().getName()}")
+            if not fs.rename(part.getPath(), target):
+                raise OSError(f"cannot move {part.getPath()} to {target}")
+            moved += 1
+    for f in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
+    delete_folder(spark, beside)
+    return moved

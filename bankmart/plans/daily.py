@@ -109,14 +109,10 @@ def run(spark: SparkSession, sf_dir: str | None, warehouse: str, cfg: RunConfig
     lake.write_concurrently(gold_root, ["segment_metrics"])
     paths.update({n: f"{gold_root}/{n}" for n in Lake.GOLD})
 
-    # Serving copies of the four marts and the audit, bad rows to rejects
+    # Serving copies of the four marts and the audit: typed rows and rejects with reasons
     staged = {**{n: lake._tables[n] for n in Lake.GOLD}, "dq_results": latest}
-    actions = []
-    for name, df in staged.items():
-        loaded, rejects = serving.load_table(df, name, cfg)
-        out = f"{warehouse}/serving/{name}"
-        actions += [(lambda d=loaded, o=out: d.write.mode("overwrite").parquet(o)),
-                    (lambda d=rejects, o=out: d.write.mode("overwrite").parquet(o + "_rejects"))]
-        paths[f"serving_{name}"] = out
-    run_concurrently(actions)
+    for name in staged:
+        paths[f"serving_{name}"] = f"{warehouse}/serving/{name}"
+    run_concurrently([(lambda n=n, d=d: serving.load(d, n, paths[f"serving_{n}"], cfg))
+                      for n, d in staged.items()])
     return RunResult(paths=paths, dq=decision, ingest=counts)

@@ -182,9 +182,17 @@ def dq_audit_append(lake: Lake) -> DataFrame:
 
 @query("clustered_rewrite")
 def clustered_rewrite(lake: Lake) -> DataFrame:
-    path = scratch_path(lake.spark, "c360-clustered")
-    layout.clustered_rewrite(lake.customer_360, path, ["segment", "state"], ["customer_id"])
-    return lake.spark.read.parquet(path)
+    """Customer 360 by (segment, state), the monthly mart by (txn_year, txn_month), and
+    transactions co-located by customer and date at once."""
+    spark = lake.spark
+    paths = {n: scratch_path(spark, f"{n}-clustered")
+             for n in ("customer_360", "txn_monthly_summary", "silver_transactions")}
+    layout.clustered_rewrite(lake.customer_360, paths["customer_360"], ["segment", "state"], ["customer_id"])
+    layout.clustered_rewrite(lake.txn_monthly_summary, paths["txn_monthly_summary"],
+                             ["txn_year", "txn_month"], ["customer_id"])
+    layout.zorder_rewrite(lake.silver_transactions, paths["silver_transactions"],
+                          ["customer_id", "transaction_date"], ["transaction_id"])
+    return by_table({n: spark.read.parquet(p) for n, p in paths.items()})
 
 
 def _small_file_copy(lake: Lake) -> str:
@@ -195,10 +203,10 @@ def _small_file_copy(lake: Lake) -> str:
 
 @query("compact_files")
 def compact_files(lake: Lake) -> DataFrame:
-    src = _small_file_copy(lake)
-    dst = scratch_path(lake.spark, "txn-compacted")
-    layout.compact(lake.spark, src, dst, ["txn_year", "txn_month"])
-    return lake.spark.read.parquet(dst)
+    """Compact a table of many small files per month and read it back."""
+    path = _small_file_copy(lake)
+    layout.compact(lake.spark, path, ["txn_year", "txn_month"])
+    return lake.spark.read.parquet(path)
 
 
 def _partitioned_transactions(lake: Lake) -> DataFrame:
@@ -231,17 +239,59 @@ def file_stats(lake: Lake) -> DataFrame:
     return layout.file_stats(lake.spark, src).withColumn("table_name", F.lit("silver_transactions"))
 
 
+def _serving_staged(lake: Lake) -> dict[str, DataFrame]:
+    return {**{n: getattr(lake, n) for n in Lake.GOLD}, "dq_results": lake.dq_results}
+
+
+def load_serving(lake: Lake, staged: dict[str, DataFrame], root: str) -> tuple[dict[str, str], dict[str, dict]]:
+    """Stage the tables as Parquet and load each with its serving types; folders and counts."""
+    paths, counts = {}, {}
+    for name, df in staged.items():
+        stage = scratch_path(lake.spark, f"stage-{name}")
+        df.write.parquet(stage)
+        paths[name] = f"{root}/{name}"
+        counts[name] = serving.load(lake.spark.read.schema(df.schema).parquet(stage), name, paths[name], lake.cfg)
+    return paths, counts
+
+
 @query("serving_load")
 def serving_load(lake: Lake) -> DataFrame:
-    """Stage the Customer 360 mart as Parquet, load it with the serving
-    types (bad rows to a reject folder), read the loaded table back."""
-    stage = scratch_path(lake.spark, "stage-c360")
-    lake.customer_360.write.mode("overwrite").parquet(stage)
-    loaded, rejects = serving.typed_load(lake.spark.read.parquet(stage), cfg=lake.cfg)
-    out = scratch_path(lake.spark, "serving-c360")
-    loaded.write.mode("overwrite").parquet(out)
-    rejects.write.mode("overwrite").parquet(out + "-rejects")
-    return lake.spark.read.parquet(out)
+    """Stage the four marts and the audit as Parquet, load them with the serving types,
+    read the loaded tables back."""
+    paths, _ = load_serving(lake, _serving_staged(lake), scratch_path(lake.spark, "serving"))
+    return by_table({n: serving.read_loaded(lake.spark, p, n) for n, p in paths.items()})
+
+
+def _damaged_marts(lake: Lake) -> dict[str, DataFrame]:
+    """The staged tables with values that do not fit their serving types, as an input."""
+    staged = _serving_staged(lake)
+    number = F.col("customer_id").cast("long")
+    staged["customer_360"] = staged["customer_360"].withColumns({
+        "state": F.when(number % 89 == 0, "Nowhere").otherwise(F.col("state")),
+        "credit_score": F.when(number % 83 == 0, "n/a").otherwise(F.col("credit_score").cast("string"))})
+    staged["txn_monthly_summary"] = staged["txn_monthly_summary"].withColumns({
+        "customer_id": F.when(number % 79 != 0, F.col("customer_id")),
+        "txn_count": F.when(number % 73 == 0, "many").otherwise(F.col("txn_count").cast("string"))})
+    staged["support_kpis"] = staged["support_kpis"].withColumn(
+        "priority", F.when(F.col("priority") == "Low", F.repeat("priority", 9)).otherwise(F.col("priority")))
+    return staged
+
+
+@query("serving_rejects")
+def serving_rejects(lake: Lake) -> DataFrame:
+    """Load damaged tables: rejected rows per table and reason codes."""
+    paths, _ = load_serving(lake, _damaged_marts(lake), scratch_path(lake.spark, "serving"))
+    bad = by_table({n: serving.read_rejects(lake.spark, p) for n, p in paths.items()})
+    return bad.groupBy("table_name", F.array_join("_reasons", ",").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
+@query("serving_ledger")
+def serving_ledger(lake: Lake) -> DataFrame:
+    """Load damaged tables: staged, loaded and rejected rows of each, counted by the loads."""
+    _, counts = load_serving(lake, _damaged_marts(lake), scratch_path(lake.spark, "serving"))
+    return lake.spark.createDataFrame([(n, c["staged"], c["loaded"], c["rejected"]) for n, c in counts.items()],
+                                      "table_name string, staged long, loaded long, rejected long")
 
 
 @query("registered_tables")

@@ -6,7 +6,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig
-from bankmart.operators import scd2
+from bankmart.operators import scd2, serving
 from bankmart.plans import daily
 from bankmart.plans.jobs import bronze_schema
 from bankmart.session import scratch_path
@@ -45,7 +45,7 @@ def test_daily_batch_rerun_and_next_day(spark):
     assert audit.select("batch_id").distinct().count() == 2
     assert audit.count() == 2 * 32                          # the rerun replaced its own rows
     assert spark.read.parquet(r2.paths["customer_360"]).count() == 150
-    assert spark.read.parquet(f"{wh}/serving/customer_360").count() == 150
+    assert serving.read_loaded(spark, f"{wh}/serving/customer_360", "customer_360").count() == 150
 
 
 def test_queries_on_the_written_warehouse(spark):
