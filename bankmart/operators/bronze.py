@@ -6,13 +6,13 @@ Batches may add columns or widen types; tables are read in the merged schema."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
 from bankmart.operators import evolve
 from bankmart.operators.dedup import dedup_latest
-from bankmart.session import partition_values
+from bankmart.session import committed_subdirs, partition_values
 from bankmart.sources.csv import CORRUPT
 
 
@@ -124,17 +124,51 @@ def batch_ledger(bronze: DataFrame, n: int = 5) -> DataFrame:
             .limit(n))
 
 
-def snapshot_as_of(bronze: DataFrame, key: str, batch_id: str | None = None,
-                   ingest_ts=None, tie_break=()) -> DataFrame:
-    """State of an append-only table as of a batch (or an instant): the
-    latest row per key among the batches at or before it."""
-    cond = F.lit(True)
-    if batch_id is not None:
-        cond = cond & (F.col("_batch_id") <= F.lit(batch_id))
-    if ingest_ts is not None:
-        cond = cond & (F.col("_ingest_ts") <= F.lit(ingest_ts))
-    order = [("_ingest_ts", "desc"), ("_batch_id", "desc"), *tie_break]
-    return dedup_latest(bronze.where(cond), [key], order)
+def resolve_instants(ledger: DataFrame, instants: DataFrame) -> DataFrame:
+    """The newest batch at or before each instant (NULL: none yet).
+
+    ``ledger`` has one row per batch (_batch_id, first_ingest_ts), ``instants`` one row per
+    question (asked, instant): both in one ordered union, so one window pass answers
+    all.  Both are lists of batches and questions, never table rows."""
+    marks = ledger.select(F.col("first_ingest_ts").alias("at"), F.lit(0).alias("kind"),
+                          F.lit(None).cast("string").alias("asked"), F.col("_batch_id").alias("batch"))
+    asked = instants.select(F.col("instant").alias("at"), F.lit(1).alias("kind"), "asked",
+                            F.lit(None).cast("string").alias("batch"))
+    w = Window.orderBy("at", "kind", "batch").rowsBetween(Window.unboundedPreceding, 0)
+    return (marks.unionByName(asked).withColumn("batch", F.last("batch", ignorenulls=True).over(w))
+            .where("kind = 1").select("asked", "batch"))
+
+
+def snapshots(spark: SparkSession, path: str, key: str, asked: dict[str, str | None], tie_break=()) -> DataFrame:
+    """State of an append-only table as of several batches: for each entry (label → batch
+    id) the latest row per key among the batches at or before it, with the label as ``asked``.
+
+    Only folders up to the newest batch asked for are read, and once: a row answers the
+    questions between its batch and its key's next one."""
+    wanted = sorted((b, label) for label, b in asked.items() if b is not None)
+    known = committed_subdirs(spark, path, "_batch_id=")
+    rows = read_bronze(spark, path, [b for b in known if wanted and b <= wanted[-1][0]])
+    in_batch = [("_ingest_ts", "desc"), *tie_break]
+    latest = dedup_latest(rows, [key, "_batch_id"], in_batch)
+    following = F.lead("_batch_id").over(Window.partitionBy(key).orderBy("_batch_id"))
+    questions = F.array(*[F.struct(F.lit(b).alias("batch"), F.lit(label).alias("asked")) for b, label in wanted])
+    if not wanted:
+        return rows.withColumn("asked", F.lit("")).limit(0)
+    answers = F.filter(questions, lambda q: (q["batch"] >= F.col("_batch_id"))
+                       & (F.col("_next").isNull() | (q["batch"] < F.col("_next"))))
+    return (latest.withColumn("_next", following).withColumn("_q", F.explode(answers))
+            .withColumn("asked", F.col("_q.asked")).drop("_next", "_q"))
+
+
+def snapshot_as_of(spark: SparkSession, path: str, key: str, batches=(), instants=(), tie_break=()) -> DataFrame:
+    """Point-in-time read by batch ids and by instants (texts), each a value of ``asked``."""
+    found = {b: b for b in batches}
+    if instants:
+        questions = spark.createDataFrame([(i,) for i in instants], "asked string").withColumn(
+            "instant", F.col("asked").cast("timestamp_ntz"))
+        ledger = read_bronze(spark, path).groupBy("_batch_id").agg(F.min("_ingest_ts").alias("first_ingest_ts"))
+        found.update({r["asked"]: r["batch"] for r in resolve_instants(ledger, questions).collect()})
+    return snapshots(spark, path, key, found, tie_break)
 
 
 def schema_evolve(old: DataFrame, new: DataFrame) -> DataFrame:

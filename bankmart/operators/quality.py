@@ -157,6 +157,11 @@ def _ri_counts(child: DataFrame, parent: DataFrame, suite: Suite, r: References)
 def run_suite(df: DataFrame, suite: Suite, parents: dict[str, DataFrame] | None = None,
               cfg: RunConfig = DEFAULT) -> DataFrame:
     """Result rows (audit schema) of one suite; lazy."""
+    return results(suite_counts(df, suite, parents), cfg)
+
+
+def suite_counts(df: DataFrame, suite: Suite, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Failing and total counts of one suite's rules; lazy."""
     parts = []
     fused = _fused_counts(df, suite)
     if fused is not None:
@@ -166,7 +171,7 @@ def run_suite(df: DataFrame, suite: Suite, parents: dict[str, DataFrame] | None
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return results(out, cfg)
+    return out
 
 
 def results(counts: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
@@ -230,6 +235,15 @@ def run_named_suite(lake, name: str, cfg: RunConfig = DEFAULT) -> DataFrame:
     return run_suite(suite_inputs(lake)[name], SUITES[name], parent_tables(lake), cfg)
 
 
+def all_counts(lake) -> DataFrame:
+    """Counts of all suites, which :func:`results` makes into audit rows of any run."""
+    inputs, parents, out = suite_inputs(lake), parent_tables(lake), None
+    for name, suite in SUITES.items():
+        part = suite_counts(inputs[name], suite, parents)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def run_suites(lake, cfg: RunConfig = DEFAULT) -> DataFrame:
     out = None
     for name in SUITES:
@@ -242,6 +256,10 @@ def summary(dq: DataFrame) -> DataFrame:
     return dq.groupBy("status").agg(F.count(F.lit(1)).alias("check_count"))
 
 
+def failed_checks(dq: DataFrame) -> DataFrame:
+    return dq.where(F.col("status") == "FAIL").select("table_name", "check_name", "failing_count", "total_count")
+
+
 def gate(dq: DataFrame, cfg: RunConfig = DEFAULT) -> DataFrame:
     """One row: pass/fail counts and whether Gold may be promoted
     (promote ⇔ no failure OR the run does not abort on failures)."""

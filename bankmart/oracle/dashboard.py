@@ -110,3 +110,12 @@ FROM (SELECT branch_code, COUNT(*) AS account_count, {xsum("balance")} AS total_
       FROM silver_accounts GROUP BY branch_code) a
 LEFT JOIN silver_branches b ON a.branch_code = b.branch_id
 ORDER BY a.total_balance DESC, a.branch_code""")
+add("resolution_status", f"""
+SELECT category, avg_resolution_days, CASE WHEN avg_resolution_days > 7 THEN 'Red' ELSE 'Green' END AS status
+FROM (SELECT category, round({xavg("avg_resolution_days")}, 1) AS avg_resolution_days FROM support_kpis GROUP BY category) c
+ORDER BY avg_resolution_days DESC, category""")
+add("kpi_labels", """
+SELECT 'aum' AS label_name, CAST(NULL AS VARCHAR) AS period, '$' || format('{:,.1f}', aum_billions) || 'B' AS label FROM v1
+UNION ALL
+SELECT 'mom', period, CASE WHEN spend_mom_pct_change > 0 THEN '+' ELSE '' END
+  || format('{:,.1f}', spend_mom_pct_change) || '%' FROM v5 WHERE spend_mom_pct_change IS NOT NULL""")

@@ -85,6 +85,8 @@ def _register():
     add("dq_referential_integrity", kind_sql(Q.References))
     add("dq_results", "SELECT * FROM dq_results")
     add("dq_summary", "SELECT status, COUNT(*) AS check_count FROM dq_results GROUP BY status")
+    add("dq_failed_checks", """
+SELECT table_name, check_name, failing_count, total_count FROM dq_results WHERE status = 'FAIL'""")
     add("dq_gate", f"""
 SELECT COUNT(*) FILTER (WHERE status = 'PASS') AS pass_count,
   COUNT(*) FILTER (WHERE status = 'FAIL') AS fail_count,

@@ -80,11 +80,13 @@ SELECT * FROM (
   SELECT n.*, 1 AS previous_version, {_differ("o.", "n.")} AS changed_columns
   FROM states_all n JOIN states_cut o ON o.customer_id = n.customer_id)
 WHERE changed_columns > 0""")
-add("snapshot_as_of", """
-SELECT * EXCLUDE (r) FROM (
-  SELECT *, row_number() OVER (PARTITION BY customer_id
-                               ORDER BY _ingest_ts DESC, _batch_id DESC) AS r
-  FROM multi_batch_bronze WHERE _batch_id <= '19990101_000000') WHERE r = 1""")
+_ASKED = [("_batch_id <= '19990101_000000'", "19990101_000000")] + [
+    (f"_ingest_ts <= TIMESTAMP '{t}'", t) for t in
+    ("1990-01-01 00:00:00", "1997-01-01 00:00:00", "1998-12-31 23:59:59", "2030-06-01 12:00:00")]
+add("snapshot_as_of", " UNION ALL ".join(f"""
+SELECT *, '{label}' AS asked FROM multi_batch_bronze WHERE {condition}
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY _ingest_ts DESC, _batch_id DESC) = 1"""
+                                         for condition, label in _ASKED))
 add("batch_ledger", """
 SELECT _batch_id, COUNT(*) AS row_count, MIN(_ingest_ts) AS first_ingest_ts,
   MAX(_ingest_ts) AS last_ingest_ts, MAX(_batch_date) AS batch_date

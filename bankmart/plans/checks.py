@@ -38,3 +38,7 @@ def dq_gate(lake: Lake) -> DataFrame:
     return Q.gate(lake.dq_results, lake.cfg)
 
 
+@query("dq_failed_checks")
+def dq_failed_checks(lake: Lake) -> DataFrame:
+    """Failed checks of the run, as the summary lists them."""
+    return Q.failed_checks(lake.dq_results)

@@ -15,7 +15,7 @@ from bankmart import domains as D
 from bankmart.functions.bands import band, lower_bound_band
 from bankmart.functions.exact import exact_avg, exact_sum
 from bankmart.operators.joins import lookup_join
-from bankmart.plans.analytics import whole, customer_name, is_true
+from bankmart.plans.analytics import whole, customer_name, is_true, q7_ticket_kpis
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
 from bankmart.plans.views import (v1_executive_kpis, v4_churn_detail,
@@ -190,27 +190,29 @@ def support_totals(lake: Lake) -> DataFrame:
 @query("kpi_status")
 def kpi_status(lake: Lake) -> DataFrame:
     """Traffic-light status per headline KPI, one row per KPI."""
-    v1 = v1_executive_kpis(lake)
-    s = _support_totals(lake)
-    credit = v1.select(F.lit("avg_credit_score").alias("kpi"),
-                       F.col("avg_credit_score").alias("value"),
-                       F.when(F.col("avg_credit_score") > D.CREDIT_CARD_GREEN, "Green")
-                        .when(F.col("avg_credit_score") > D.CREDIT_CARD_AMBER, "Amber")
-                        .otherwise("Red").alias("status"))
-    churn = v1.select(F.lit("churn_risk_pct").alias("kpi"),
-                      F.col("churn_risk_pct").alias("value"),
-                      F.when(F.col("churn_risk_pct") > D.CHURN_RED_PCT, "Red")
-                       .when(F.col("churn_risk_pct") > D.CHURN_AMBER_PCT, "Amber")
-                       .otherwise("Green").alias("status"))
-    csat = v1.select(F.lit("portfolio_avg_csat").alias("kpi"),
-                     F.col("portfolio_avg_csat").alias("value"),
-                     F.when(F.col("portfolio_avg_csat") >= D.CSAT_TARGET, "Green")
-                      .otherwise("Red").alias("status"))
-    resolve = s.select(F.lit("avg_days_to_resolve").alias("kpi"),
-                       F.col("avg_days_to_resolve").alias("value"),
-                       F.when(F.col("avg_days_to_resolve") > D.RESOLUTION_RED_DAYS, "Red")
-                        .otherwise("Green").alias("status"))
-    return credit.unionByName(churn).unionByName(csat).unionByName(resolve)
+    def row(kpi, status):
+        return F.struct(F.lit(kpi).alias("kpi"), F.col(kpi).cast("double").alias("value"), status.alias("status"))
+
+    credit, churn = F.col("avg_credit_score"), F.col("churn_risk_pct")
+    headline = v1_executive_kpis(lake).select(F.inline(F.array(     # the KPIs are computed once
+        row("avg_credit_score", F.when(credit > D.CREDIT_CARD_GREEN, "Green")
+            .when(credit > D.CREDIT_CARD_AMBER, "Amber").otherwise("Red")),
+        row("churn_risk_pct", F.when(churn > D.CHURN_RED_PCT, "Red")
+            .when(churn > D.CHURN_AMBER_PCT, "Amber").otherwise("Green")),
+        row("portfolio_avg_csat", F.when(F.col("portfolio_avg_csat") >= D.CSAT_TARGET, "Green").otherwise("Red")))))
+    days = F.col("avg_days_to_resolve")
+    resolve = _support_totals(lake).select(F.inline(F.array(
+        row("avg_days_to_resolve", F.when(days > D.RESOLUTION_RED_DAYS, "Red").otherwise("Green")))))
+    return headline.unionByName(resolve)
+
+
+@query("resolution_status")
+def resolution_status(lake: Lake) -> DataFrame:
+    """Days to resolve per category, slowest first, red above the threshold."""
+    days = F.col("avg_resolution_days")
+    return (q7_ticket_kpis(lake)
+            .select("category", days, F.when(days > D.RESOLUTION_THRESHOLD_DAYS, "Red").otherwise("Green").alias("status"))
+            .orderBy(days.desc(), "category"))
 
 
 @query("kpi_labels")

@@ -4,16 +4,18 @@ point-in-time reads of a multi-batch Bronze table."""
 from __future__ import annotations
 
 import dataclasses
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankmart import domains as D
 from bankmart.operators import bronze as B
 from bankmart.operators import scd2 as S
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
+from bankmart.session import partition_values, scratch_path
 from bankmart.sources.adapters import customer_change_log
 
 
@@ -22,6 +24,7 @@ from bankmart.sources.adapters import customer_change_log
 CUT = date(1998, 6, 30)                  # the dimension is loaded as of this day, the batch is the whole log
 AS_OF_PROBE = date(1998, 6, 30)
 SNAPSHOT_BATCH = "19990101_000000"
+SNAPSHOT_INSTANTS = ("1990-01-01 00:00:00", "1997-01-01 00:00:00", "1998-12-31 23:59:59", "2030-06-01 12:00:00")
 TRACKED = tuple(D.SCD2_TRACKED)
 
 
@@ -83,24 +86,26 @@ def scd2_changed_keys_q(lake: Lake) -> DataFrame:
 
 
 
-def multi_batch_bronze(lake: Lake) -> DataFrame:
-    """Append-only customer Bronze holding one batch per year of changes."""
+def multi_batch_bronze(lake: Lake) -> str:
+    """Append-only customer Bronze on disk, one batch per year of changes; its folder."""
+    spark, states, root = lake.spark, scratch_path(lake.spark, "bronze-states"), scratch_path(lake.spark, "bronze-years")
     y = yearly(lake)
-    return y.withColumns({
-        "_source_system": F.lit("CRM"), "_source_file": F.lit("customers.csv"),
-        "_batch_id": F.concat(F.date_format("batch_date", "yyyyMMdd"), F.lit("_000000")),
-        "_ingest_ts": F.col("batch_date").cast("timestamp_ntz"),
-        "_batch_date": F.date_format("batch_date", "yyyy-MM-dd"),
-        "_is_current": F.lit(True)}).drop("batch_date")
+    y.hint("rebalance", "batch_date").write.partitionBy("batch_date").parquet(states)
+    schema = T.StructType([f for f in y.schema.fields if f.name != "batch_date"])
+    for day in map(date.fromisoformat, partition_values(spark, states, "batch_date=")):
+        cfg = dataclasses.replace(lake.cfg, as_of=day, run_ts=datetime(day.year, day.month, day.day),
+                                  batch_id=day.strftime("%Y%m%d_000000"))
+        rows = spark.read.schema(schema).parquet(f"{states}/batch_date={day}")
+        B.append(B.stamp(rows, "CRM", "customers.csv", cfg), root, cfg.batch_id)
+    return root
 
 
 @query("snapshot_as_of")
 def snapshot_as_of(lake: Lake) -> DataFrame:
-    return B.snapshot_as_of(multi_batch_bronze(lake), "customer_id", batch_id=SNAPSHOT_BATCH)
+    """State of every customer as of a batch and as of several instants."""
+    return B.snapshot_as_of(lake.spark, multi_batch_bronze(lake), "customer_id", [SNAPSHOT_BATCH], SNAPSHOT_INSTANTS)
 
 
 @query("batch_ledger")
 def batch_ledger(lake: Lake) -> DataFrame:
-    return B.batch_ledger(multi_batch_bronze(lake))
-
-
+    return B.batch_ledger(B.read_bronze(lake.spark, multi_batch_bronze(lake)))

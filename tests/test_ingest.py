@@ -150,3 +150,42 @@ def test_read_without_a_ledger_uses_footers(spark):
     assert dict(df.dtypes) == {"v": "double", "w": "bigint", "p": "string", "_batch_id": "string"}
     assert df.where("_batch_id = '2'").agg(F.sum("v")).first()[0] == 10000000001.0
     assert df.count() == 7 and evolve.read(spark, path, batches=["3"]).count() == 2
+
+
+# ── point-in-time reads and counts ───────────────────────────────────────────
+
+def _history(spark):
+    path = scratch_path(spark, "pit")
+    for day, rows in ((1, [("a", 1), ("b", 1)]), (3, [("a", 3), ("c", 3), (None, 3)]), (7, [("b", 7)])):
+        cfg = dataclasses.replace(CFG, as_of=date(2001, 1, day), run_ts=datetime(2001, 1, day),
+                                  batch_id=f"2001010{day}_000000")
+        df = spark.createDataFrame(rows, "customer_id string, v int")
+        bronze.append(bronze.stamp(df, "S", "f", cfg), path, cfg.batch_id)
+    return path
+
+
+def test_point_in_time_by_batch_and_instant(spark):
+    path = _history(spark)
+    got = {}
+    instants = ("2000-12-31 00:00:00", "2001-01-03 00:00:00", "2001-01-02 23:59:59", "2001-02-01 00:00:00")
+    for r in bronze.snapshot_as_of(spark, path, "customer_id", ["20010105_000000"], instants).collect():
+        got.setdefault(r["asked"], set()).add((r["customer_id"], r["v"]))
+    third = {("a", 3), ("b", 1), ("c", 3), (None, 3)}
+    assert got == {"20010105_000000": third, instants[1]: third, instants[2]: {("a", 1), ("b", 1)},
+                   instants[3]: {("a", 3), ("b", 7), ("c", 3), (None, 3)}}
+    assert bronze.snapshot_as_of(spark, path, "customer_id", instants=instants[:1]).count() == 0
+    # folders of later batches are not in the plan
+    files = bronze.snapshot_as_of(spark, path, "customer_id", instants=instants[2:3]).inputFiles()
+    assert files and all("_batch_id=20010101_000000" in f for f in files)
+
+
+def test_counts_come_from_footers(spark):
+    from bankmart.plans import marts
+    paths = {}
+    for name, n in (("t", 70), ("u", 0)):
+        paths[name] = scratch_path(spark, f"count-{name}")
+        spark.range(n).selectExpr("id", "id % 3 as p").write.parquet(paths[name])
+    assert marts.row_counts(spark, paths) == {"t": 70, "u": 0}
+    counts = marts.footer_counts(spark, paths)
+    assert counts._jdf.queryExecution().toString().count("PushedAggregation: [COUNT(*)]") >= 2
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
