@@ -29,7 +29,8 @@ item of fewer than five words is one shingle of all its words and leaks where
 these words stand in a row (windows hold shingles of one length only, so that
 short items which begin at one word don't mix); a null doc_id is a document like others; repeated items and documents count separately (one
 result row per document row and item_id); empty tables give an empty
-result; other columns are ignored.
+result; very long texts are cut into pieces and their hits into blocks, so memory does not
+grow with a text's length; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ BLOCKS, BLOCK_BITS, RADIUS = 8, 8, 23
 MASKS = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1)
          for bits in combinations(range(BLOCK_BITS), n)]
 LANES = 0x0000000100000001
+#: words of a piece of text, and least places of a block of hits
+PIECE, BLOCK_PLACES = 512, 128
 
 
 def _gram(length: int):
@@ -106,10 +109,17 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
 
     texts = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                         words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
-    at = texts.select("row", "doc_id", "words", F.explode(
-        F.sequence(F.lit(0), F.size("words") - 1)).alias("p"))
+    # a text is cut into pieces, so no row of a place carries more than one piece
+    total = F.size("words")
+    cut = F.transform(F.sequence(F.lit(0), F.floor((total - 1) / PIECE).cast("int")), lambda b: F.struct(
+        (b * PIECE).alias("base"), F.slice("words", b * PIECE + 1, PIECE + K - 1).alias("words")))
+    pieces = texts.select("row", "doc_id", total.alias("total"), F.explode(cut).alias("c")).select(
+        "row", "doc_id", "total", "c.base", "c.words")
+    at = pieces.select("row", "doc_id", "total", "base", "words", F.explode(
+        F.sequence(F.lit(0), F.least(F.col("total") - F.col("base"), F.lit(PIECE)) - 1)).alias("p"))
     grams = [F.struct(F.when(F.col("p") + n <= F.size("words"), _gram(n)).alias("hash"), F.lit(n).alias("gram")) for n in [*short, K]]
-    found = at.select("row", "doc_id", "p", F.greatest(F.size("words") - K + 1, F.lit(1)).alias("n"),
+    found = at.select("row", "doc_id", (F.col("base") + F.col("p")).alias("p"),
+                      F.greatest(F.col("total") - K + 1, F.lit(1)).alias("n"),
                       *([grams[0]["hash"].alias("hash"), F.lit(K).alias("gram")] if len(grams) == 1
                         else [F.explode(F.array(*grams)).alias("g")]))
     if len(grams) > 1:
@@ -118,10 +128,19 @@ def leaks(docs: DataFrame, items: DataFrame, similarity: float = 0.75,
                   .select("row", "doc_id", "p", "n", "gram", "hash", "sizes"), "decontamination-hits")
 
     # windows [p, p + size) that start at a hit and hold enough hits, for each
-    # shingle length by itself (so at most one hit a place)
-    per_doc = hits.groupBy("row", "doc_id", "gram").agg(
+    # shingle length by itself (so at most one hit a place).  Hits go to blocks of
+    # places, and those among the first places of a block to the block before as well,
+    # so that a block has all of its windows; it holds as many places as the longest
+    # item twice over, however long the text is
+    longest = shingled.agg(F.max("size")).first()[0] or 1
+    span = max(BLOCK_PLACES, longest)
+    own = F.floor(F.col("p") / span).cast("long")
+    shared_place = (F.col("p") >= span) & (F.col("p") % span < longest)
+    per_block = hits.withColumn("at", F.explode(F.when(shared_place, F.array(own, own - 1)).otherwise(F.array(own)))).groupBy(
+        "row", "doc_id", "gram", "at").agg(
         F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("p", "hash", "sizes"))).alias("h"))
-    starts = per_doc.select("row", "doc_id", "gram", "n", "h", F.posexplode("h").alias("i", "s"))
+    starts = per_block.select("row", "doc_id", "gram", "at", "n", "h", F.posexplode("h").alias("i", "s")).filter(
+        F.floor(F.col("s.p") / span) == F.col("at"))
     windows = starts.select("row", "doc_id", "gram", "n", "h", "i", F.col("s.p").alias("start"),
                             F.explode("s.sizes").alias("size"))
     need = F.greatest(F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int"), F.lit(1))

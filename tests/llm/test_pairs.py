@@ -196,3 +196,21 @@ def test_run_length_index_matches():
         a, b = suffixes[order[k]], suffixes[order[k - 1]]
         same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert match[k] == same
+
+
+def test_long_texts_full_of_hits_run_in_fixed_memory(spark):
+    """A one-word item and a long item over texts of 10,000 and 300,000 words."""
+    rng = random.Random(12)
+    known = [words(rng, 1) for _ in range(400)]
+    item = " ".join(rng.choice(known) for _ in range(700))
+    long = ["zz"] * 10_000
+    longer = [rng.choice(("zz", "yy")) for _ in range(300_000)]
+    middle = [rng.choice(known) for _ in range(3000)]
+    middle[1700:1700] = item.split()
+    docs = documents(spark, [(1, " ".join(long), "en", "a"), (2, " ".join(longer), "en", "a"),
+                                     (3, " ".join(middle), "en", "a"), (4, "yy " * 50, "en", "a")])
+    items = spark.createDataFrame([(1, "zz"), (2, item), (3, "zz zz zz"), (4, "zz " * 200)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start) for r in decontaminate.leaks(docs, items).collect()}
+    first = next(i for i in range(300_000) if longer[i:i + 3] == ["zz"] * 3)
+    assert got == {(1, 1): (1.0, 0), (1, 3): (1.0, 0), (1, 4): (1.0, 0), (2, 1): (1.0, longer.index("zz")),
+                   (2, 3): (1.0, first), (3, 2): (1.0, 1700)}
