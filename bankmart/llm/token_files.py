@@ -56,7 +56,7 @@ def _tokenizer(path: str):
 
 
 #: chunks kept per worker process, and the longest chunk that is kept (bytes)
-MEMO_CHUNKS, MEMO_LENGTH = 1_600_000, 64
+MEMO_CHUNKS, MEMO_LENGTH = 500_000, 64
 _MEMO: dict[str, dict[bytes, bytes]] = {}
 _WORD_ENDS: dict[str, np.ndarray] = {}
 
