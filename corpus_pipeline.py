@@ -5,7 +5,7 @@ and returns the columns of ``documents`` (the last one the index of the token
 files).  ``run`` writes every stage's result as Parquet to the shared folder and rereads
 it for the next.
 
-1. language      documents without a recognisable language go
+1. language      documents without a recognisable language go, the others' missing languages are filled
 2. near copies   of each group linked by 5-word shingles (similarity 0.75) one stays
 3. benchmark     documents that hold a benchmark item go
 4. mixing        rows are taken as often as the sources' target weights ask
@@ -28,12 +28,15 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects only what has no language: null, empty and letterless texts; a text
-    with letters stays whatever its score, also where no row taught a language.
+    """Gives texts without ``lang`` the predicted one, and rejects only what has no
+    language: null, empty and letterless texts; a text with letters stays whatever its
+    score, also where no row taught a language (its ``lang`` then stays null).
     The model learns from the rows of the training folds."""
     model = language.fit(docs, language.in_training(F.col("doc_id")))
     judged = language.identify(docs, model)
-    return _columns(judged.filter((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}")))
+    found = F.when(F.col("lang_pred") != "und", F.col("lang_pred"))
+    return _columns(judged.filter(found.isNotNull() | F.col("text").rlike(r"\p{L}"))
+                    .withColumn("lang", F.coalesce("lang", found)))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
