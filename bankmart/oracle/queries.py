@@ -19,6 +19,10 @@ SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
   CAST(o_orderdate AS DATE) AS effective_date, k AS seq
 FROM (SELECT *, o_orderkey AS k FROM orders) o"""
 
+CTES["segment_log"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderpriority AS segment,
+  CAST(o_orderdate AS DATE) AS effective_date, o_orderkey AS seq FROM orders"""
+
 CTES["segment_history"] = """
 SELECT customer_id, segment, scd_start_date,
   lead(scd_start_date) OVER w AS scd_end_date,
@@ -29,7 +33,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scd_start_d
       FROM (SELECT customer_id, segment, effective_date AS scd_start_date
             FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, effective_date
                                                ORDER BY seq DESC) AS r
-                  FROM change_log) WHERE r = 1) daily) d
+                  FROM segment_log) WHERE r = 1) daily) d
 WHERE rn = 1 OR prev IS DISTINCT FROM segment
 WINDOW w AS (PARTITION BY customer_id ORDER BY scd_start_date)"""
 

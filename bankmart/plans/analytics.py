@@ -19,7 +19,7 @@ from bankmart.functions.exact import exact_avg, exact_sum
 from bankmart.operators.scd2 import scd2_history
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
-from bankmart.sources.adapters import customer_change_log
+from bankmart.sources.adapters import segment_change_log
 
 def whole() -> Window:
     """The whole (already aggregated, bounded) frame as one window."""
@@ -167,8 +167,8 @@ def q7_ticket_kpis(lake: Lake) -> DataFrame:
 
 
 def segment_history(lake: Lake) -> DataFrame:
-    """SCD2 history of the customer attribute change log."""
-    return scd2_history(customer_change_log(lake.spark, lake.sf_dir))
+    """SCD2 history of customers' segments."""
+    return scd2_history(segment_change_log(lake.spark, lake.sf_dir))
 
 
 @query("q8_segment_changes")

@@ -101,11 +101,11 @@ def run(spark: SparkSession, sf_dir: str | None, warehouse: str, cfg: RunConfig
     latest = quality.read_audit(spark, dq_path).where(F.col("batch_id") == cfg.batch_id)
     decision = quality.enforce_gate(latest, cfg)
 
-    # Gold marts: transactions are aggregated once, into cells that two marts roll
-    # up; segment metrics read the written Customer 360 mart
+    # Gold marts: transactions are aggregated once, into the monthly mart that the
+    # customer KPIs roll up; segment metrics read the written Customer 360 mart
     gold_root = f"{warehouse}/gold"
-    lake.write_concurrently(gold_root, ["transaction_cells", "support_kpis"])
-    lake.write_concurrently(gold_root, ["customer_360", "txn_monthly_summary"])
+    lake.write_concurrently(gold_root, ["txn_monthly_summary", "support_kpis"])
+    lake.write_concurrently(gold_root, ["customer_360"])
     lake.write_concurrently(gold_root, ["segment_metrics"])
     paths.update({n: f"{gold_root}/{n}" for n in Lake.GOLD})
 

@@ -89,17 +89,11 @@ class Lake:
     def customer_360(self) -> DataFrame:
         return self._get("customer_360", lambda: gold.customer_360(
             self.silver_customers, self.silver_accounts, self.silver_transactions,
-            self.silver_tickets, self.cfg, self.transaction_cells))
-
-    @property
-    def transaction_cells(self) -> DataFrame:
-        return self._get("transaction_cells",
-                         lambda: gold.transaction_cells(self.silver_transactions))
+            self.silver_tickets, self.cfg, self._tables.get("transaction_months")))
 
     @property
     def txn_monthly_summary(self) -> DataFrame:
-        return self._get("txn_monthly_summary",
-                         lambda: gold.txn_monthly_of(self.transaction_cells))
+        return self._get("txn_monthly_summary", lambda: gold.txn_monthly_summary(self.silver_transactions))
 
     @property
     def segment_metrics(self) -> DataFrame:
@@ -150,31 +144,41 @@ class Lake:
         """A stored table as queries see it."""
         if name == "silver_accounts" and "account_age_days" not in rows.columns:
             rows = silver.aged_accounts(rows, cfg)
-        return rows.drop("created_month")
+        return rows.drop("created_month", *gold.MONTH_PARTIALS)
 
     def _write(self, df: DataFrame, name: str, path: str) -> None:
         if name in self.PARTITIONED:
             from bankmart.operators.layout import write_partitioned_balanced
-            write_partitioned_balanced(self.stored(name, df), path, self.PARTITIONED[name])
+            write_partitioned_balanced(df, path, self.PARTITIONED[name])
         else:
             df.write.mode("overwrite").parquet(path)
 
+    def _stored_form(self, name: str) -> DataFrame:
+        """What is written of a table.  The monthly mart keeps its partial measures, which
+        the customer KPIs roll up; transactions are aggregated once."""
+        if name == "txn_monthly_summary":
+            txns = self.silver_transactions
+            return gold.transaction_months(txns, gold.only_known_channels(txns))
+        return self.stored(name, getattr(self, name))
+
     def write_concurrently(self, root: str, names) -> None:
         """Write independent tables as concurrent Spark jobs (one driver
         thread each), so small or single-task stages of one table overlap
         with the others instead of leaving executors idle."""
         from bankmart.session import run_concurrently
-        builds = {n: getattr(self, n) for n in names}      # plan on this thread
+        builds = {n: self._stored_form(n) for n in names}      # plan on this thread
         run_concurrently([(lambda n=n: self._write(builds[n], n, f"{root}/{n}"))
                           for n in builds])
         for n in names:
             self.paths[n] = f"{root}/{n}"
-            self._tables[n] = self.shown(n, self.spark.read.schema(
-                self.stored(n, builds[n]).schema).parquet(self.paths[n]), self.cfg)
+            written = self.spark.read.schema(builds[n].schema).parquet(self.paths[n])
+            self._tables[n] = self.shown(n, written, self.cfg)
+            if n == "txn_monthly_summary":
+                self._tables["transaction_months"] = written
 
     # dependency order of the daily build: each group only reads earlier ones
-    BUILD_ORDER = [SILVER, ["transaction_cells", "dq_results", "support_kpis"],
-                   ["customer_360", "txn_monthly_summary"], ["segment_metrics"]]
+    BUILD_ORDER = [SILVER, ["txn_monthly_summary", "dq_results", "support_kpis"],
+                   ["customer_360"], ["segment_metrics"]]
 
     @classmethod
     def from_warehouse(cls, spark, warehouse: str, cfg: RunConfig = DEFAULT,
@@ -197,8 +201,8 @@ class Lake:
 
     @classmethod
     def materialized(cls, spark, sf_dir, root, cfg: RunConfig = DEFAULT) -> "Lake":
-        """Silver, then its DQ audit and the transaction cells, then the marts that
-        roll the cells up, then the segment roll-up of the written Customer 360."""
+        """Silver, then its DQ audit and the monthly mart, then Customer 360, which rolls
+        the monthly mart up, then the segment roll-up of the written Customer 360."""
         lake = cls(spark, sf_dir, cfg)
         for group in cls.BUILD_ORDER:
             lake.write_concurrently(root, group)

@@ -231,10 +231,22 @@ def branches_extract(spark: SparkSession, sf_dir: str,
     return _conform(df, schemas.BRANCHES)
 
 
+def segment_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment changes of customers: (customer_id, segment, effective date, sequence).
+    Orders stand for profile updates; the order priority stands for the segment,
+    the order key orders same-day updates."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(
+        _text(F.col("o_custkey")).alias("customer_id"),
+        F.col("o_orderpriority").alias("segment"),
+        F.to_date(F.col("o_orderdate")).alias("effective_date"),
+        F.col("o_orderkey").alias("seq"),
+    )
+
+
 def customer_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer attribute change log: customer_id, the eight tracked attributes,
-    effective date and sequence.  Orders stand for profile updates; the order priority
-    stands for the segment, the order key orders same-day updates.  Every attribute is
+    effective date and sequence, like :func:`segment_change_log`.  Every attribute is
     NULL in some updates, so it changes to and from NULL.
     """
     o = read_table(spark, sf_dir, "orders")

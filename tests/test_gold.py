@@ -88,8 +88,8 @@ def test_adapter_matches_survey_probes(spark):
     assert churn == {False: 788, True: 653, None: 59}
     assert c.where("high_value_flag").count() == 1029
     assert lake.silver_transactions.count() == 45_832
-    from bankmart.plans.history import history
-    h = history(lake)
+    from bankmart.plans.analytics import segment_history
+    h = segment_history(lake)
     assert (h.count(), h.where("scd_is_current").count()) == (12_286, 1_500)
 
 

@@ -81,4 +81,4 @@ def test_cli_lists_every_key(capsys):
     from bankmart.__main__ import main
     main(["list"])
     keys = capsys.readouterr().out.split()
-    assert len(keys) == 96 and "customer_360" in keys and "scd2_apply" in keys
+    assert len(keys) == 102 and "customer_360" in keys and "scd2_apply" in keys
