@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankmart.session import scratch_path
+from bankmart.session import delete_folder, scratch_path
 
 #: white space of the word rules: space, tab, line feed, VT, FF, CR
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -38,7 +38,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_ARROW_CONF, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.staged_path = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables after their last reader."""
+    for df in tables:
+        delete_folder(df.sparkSession, df.staged_path)
 
 
 def open_fs(uri: str):

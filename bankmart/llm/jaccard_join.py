@@ -24,10 +24,11 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    of fixed size with the repeated shingles keeps most of them from being shuffled; it
    may let single ones pass, never drops a repeated one).  First each set is
    verified against one partner, the smallest of the bucket it meets
-   most often; the verified links give components.  Then buckets that still
-   hold more than one component produce their remaining pairs across
-   components, so a large group of near copies costs one verification each
-   and never all pairs.
+   most often; the verified links give components.  As long as that merges
+   components, each set of a bucket that still holds several is verified against
+   one partner of another component.  Then these buckets produce their remaining
+   pairs across components, so a large group of near copies costs a few
+   verifications each and never all pairs.
 4. *Components* come from large star / small star rounds.
 
 Every bucket is handled whole: nothing is capped or dropped.
@@ -45,13 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import (SPACE_WORD, documents, hashed_words, mapped_path, mix64, shared_folder,
+from bankmart.llm.common import (SPACE_WORD, discard, documents, hashed_words, mapped_path, mix64, shared_folder,
                                  shingle_sets, staged, utf8_column, write_once)
 from bankmart.llm.components import components
 
 SHARE = (3, 4)                    # similarity threshold as a fraction
 FREQUENT = 8                      # a shingle in so many documents is of the frequent class
 MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); others count as rare
+MERGE_ROUNDS = 6                  # rounds of one partner each before all remaining pairs
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
 PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
 SLICE_BYTES = 2 << 20
@@ -241,6 +243,19 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return wanted.mapInArrow(verify, "a long, b long").distinct()
 
 
+def _open_buckets(entries: DataFrame, label: DataFrame, written: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several components, each with the entry of the
+    bucket's lowest and of its highest component.  ``written`` is deleted after it."""
+    placed = (entries.join(label.withColumnRenamed("node", "sid"), "sid", "left")
+              .withColumn("component", F.coalesce("component", "sid")))
+    entry = F.struct("component", "sid", "n", "after")
+    ends = placed.groupBy("key").agg(F.min(entry).alias("lo"), F.max(entry).alias("hi")).filter(
+        "lo.component <> hi.component")
+    out = staged(placed.join(ends, "key"), "jaccard-placed")
+    discard(written)
+    return out
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) -> dict[str, DataFrame]:
     """``classes`` (doc_id, n_shingles, sid, component_id) with one row per row
     of ``docs``, ``members`` (doc_id, mark, n, sid) likewise with the hash of each
@@ -336,10 +351,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         .select("key", "sid", "n", "after", F.col("hub.sid").alias("a"), F.col("hub.n").alias("na"),
                 F.col("hub.after").alias("aftera")), "jaccard-entries")
 
-    def whole_sets(pairs: DataFrame) -> DataFrame:
+    def whole_sets(named: DataFrame) -> DataFrame:
         """Whole sets (sid, shingles) of the documents that stand for the
-        classes of the pairs; a few others may be among them."""
-        named = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        classes ``named`` (sid); a few others may be among them."""
         wanted_file = _write_bitmap(reps.join(named, "sid", "left_semi").select(
             F.xxhash64("rep").alias("place")), "place", folder, "wanted")
 
@@ -364,16 +378,39 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
            .groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("m"))).alias("best"))
            .select((-F.col("best.m")).alias("a"), "b"))
     tried = staged(one, "jaccard-pairs")
-    first = staged(_links(tried, whole_sets(tried)), "jaccard-links")
-    label = components(first, "a", "b")
-
-    # round two: pairs across components, in buckets that hold several
-    placed = staged(entries.drop("a", "na", "aftera").join(label.withColumnRenamed("node", "sid"), "sid", "left")
-                    .withColumn("component", F.coalesce("component", "sid")), "jaccard-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
-        "lo <> hi").select("key")
-    open_ = staged(placed.join(mixed, "key", "left_semi").join(parities, "sid"),
-                   "jaccard-open")
+    sets = whole_sets(tried.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+    links = staged(_links(tried, sets), "jaccard-links")
+    discard(sets)
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    label = components(links, "a", "b")
+
+    # further rounds: one partner from another component each, as long as that merges some;
+    # buckets of one component are done
+    entries, sets = _open_buckets(entries.drop("a", "na", "aftera"), label, entries), None
+    for _ in range(MERGE_ROUNDS):
+        mine = F.col("component") == F.col("lo.component")
+        other = F.when(mine, F.col("hi")).otherwise(F.col("lo"))
+        met = entries.withColumn("o", other).filter(
+            _can_link(F.col("n"), F.col("after"), F.col("o.n"), F.col("o.after")))
+        pair = met.select("sid", F.least("sid", "o.sid").alias("a"), F.greatest("sid", "o.sid").alias("b"))
+        counted_pairs = pair.groupBy("sid", "a", "b").count().join(tried, ["a", "b"], "left_anti")
+        best = counted_pairs.groupBy("sid").agg(F.max(F.struct("count", "a", "b")).alias("p"))
+        next_ = staged(best.select("p.a", "p.b").distinct(), "jaccard-pairs")
+        if next_.isEmpty():
+            break
+        if sets is None:
+            sets = whole_sets(entries.select("sid").distinct())
+        found = staged(_links(next_, sets), "jaccard-links")
+        tried = tried.unionByName(next_)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        label = components(links, "a", "b")
+        entries = _open_buckets(entries.drop("component", "lo", "hi"), label, entries)
+
+    # last round: the remaining pairs across components, in buckets that hold several
+    open_ = staged(entries.drop("lo", "hi").join(parities, "sid"), "jaccard-open")
+    discard(entries)
     x, y = open_.alias("x"), open_.alias("y")
     differ = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i))))
                   for i in range(PARITY_WORDS)), F.lit(0))
@@ -383,10 +420,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                    & (2 * SHARE[0] * (F.col("x.n") + F.col("y.n"))
                       <= sum(SHARE) * (F.col("x.n") + F.col("y.n") - differ)))
     rest = cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = staged(rest.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
-    second = staged(_links(rest, whole_sets(rest)), "jaccard-links")
-    links = first.unionByName(second)
+    rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+    discard(open_)
+    if not rest.isEmpty():
+        if sets is None:
+            sets = whole_sets(rest.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
+        links = links.unionByName(staged(_links(rest, sets), "jaccard-links"))
+    if sets is not None:
+        discard(sets)
     label = components(links, "a", "b").withColumnRenamed("node", "sid")
 
     named = members.select("doc_id", "n", "sid").join(label, "sid", "left")
