@@ -207,6 +207,14 @@ def shingle_sets(words: np.ndarray, first: np.ndarray, k: int = 5) -> list[np.nd
     return out
 
 
+def release_memory() -> None:
+    """Give memory that a finished partition no longer uses back to the system, as
+    Python workers live on."""
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def is_local(path: str) -> bool:
     return path.startswith("file:") or "://" not in path
 

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import (SPACE_WORD, discard, documents, hashed_words, mapped_path, mix64, shared_folder,
+from bankmart.llm.common import (SPACE_WORD, discard, documents, hashed_words, mapped_path, mix64, release_memory, shared_folder,
                                  shingle_sets, staged, utf8_column, write_once)
 from bankmart.llm.components import components
 
@@ -56,9 +56,9 @@ MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); other
 MERGE_ROUNDS = 6                  # rounds of one partner each before all remaining pairs
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
 PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 COUNT_BITS = 40                   # leading bits of a shingle that are counted
-COUNT_CHUNK = 3 << 20             # shingles sorted at a time
+COUNT_CHUNK = 1 << 20             # shingles sorted at a time
 
 
 def _slices(batch):
@@ -296,6 +296,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                     tokens, held, seen = [], 0, set()
         if tokens:
             yield from flush()
+        del tokens
+        release_memory()
 
     described = staged(texts.withColumn("mark", F.xxhash64("text")).mapInArrow(
         describe, "doc_id long, mark long, n long, sid long, parity array<long>, range int, blob binary"),
@@ -340,6 +342,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                 hit = _in_bitmap(bitmap, keys) | np.concatenate([f[2] for f in found])
                 yield pa.RecordBatch.from_arrays([pa.array(c[hit]) for c in columns],
                                                  ["key", "sid", "n", "after"])
+        release_memory()
 
     posted = texts.mapInArrow(index, "key long, sid long, n long, after long")
     # one row per bucket and class (a class's copies meet before the shuffle)
