@@ -14,8 +14,8 @@ is spread over many partitions.
 
 Defined cases: null or empty text has size 0; a null source is a source of its
 own (last in order); null or repeated doc_ids are separate documents; an empty
-table gives an empty result; other columns of the input are not read by the
-plan and are passed through by ``mixed``.
+table gives an empty result; other columns of the input, of any name and type, are not
+read by the plan and are passed through by ``mixed``.
 """
 
 from __future__ import annotations
@@ -63,16 +63,16 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat=MAX_REPEAT) ->
         .otherwise(F.least(F.col("_cap"), F.col("_weight") * F.col("_final"))).alias("target"))
 
 
-def _mark(docs: DataFrame):
-    """Tells rows of one doc_id apart; rows alike in all columns are interchangeable."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+def _mark():
+    """Tells rows of one doc_id apart; rows of one doc_id, text and source are interchangeable."""
+    return F.xxhash64("text", "source")
 
 
 def mixing_plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS,
                 max_repeat=MAX_REPEAT) -> DataFrame:
     """(doc_id, mark, source, size, source_size, target, copies) per document."""
     size = F.coalesce(F.regexp_count("text", F.lit(SPACE_WORD)), F.lit(0)).cast("long")
-    sized = staged(docs.select("doc_id", "source", size.alias("size"), _mark(docs).alias("mark")),
+    sized = staged(docs.select("doc_id", "source", size.alias("size"), _mark().alias("mark")),
                    "mixing-sizes")
     place = F.xxhash64("doc_id", "mark", F.lit(seed))
     line = (sized.withColumn("_place", place)
@@ -108,19 +108,20 @@ def mixing_plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS,
 
 
 def mixed(docs: DataFrame, seed: int = 7, weights=WEIGHTS, max_repeat=MAX_REPEAT) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken.  Rows alike
-    in all columns share their copies evenly."""
+    """The mix itself: every row of ``docs`` as often as it is taken.  Rows of one doc_id,
+    text and source share their copies evenly."""
     taken = mixing_plan(docs, seed, weights, max_repeat).groupBy("doc_id", "mark").agg(
-        F.sum("copies").alias("_copies"), F.count("*").alias("_alike")).filter("_copies > 0")
-    marked = docs.withColumn("_mark", _mark(docs)).alias("d").join(
-        taken.alias("t"), (F.col("d._mark") == F.col("t.mark"))
-        & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-    place = F.row_number().over(Window.partitionBy("_mark", "d.doc_id").orderBy(F.lit(1)))
-    own = F.floor(F.col("_copies") / F.col("_alike")) + (
-        F.col("_place") <= F.col("_copies") % F.col("_alike")).cast("long")
-    return (marked.withColumn("_place", place)
-            .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), own.cast("int"))))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))
+        F.sum("copies").alias("copies"), F.count("*").alias("alike")).filter("copies > 0")
+    # the row travels as one value, so its columns may have any names and types
+    packed = docs.select("doc_id", _mark().alias("mark"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = packed.alias("d").join(taken.alias("t"), (F.col("d.mark") == F.col("t.mark"))
+                                   & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))).select(
+        "d.doc_id", "d.mark", "row", "copies", "alike")
+    place = F.row_number().over(Window.partitionBy("mark", "doc_id").orderBy(F.lit(1)))
+    own = F.floor(F.col("copies") / F.col("alike")) + (F.col("place") <= F.col("copies") % F.col("alike")).cast("long")
+    return (found.withColumn("place", place)
+            .select("row", F.explode(F.array_repeat(F.lit(1), own.cast("int"))).alias("copy"))
+            .select("row.*"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

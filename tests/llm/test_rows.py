@@ -230,3 +230,22 @@ def test_language_held_out_accuracy(spark):
     nothing = language.fit(docs.limit(0), language.in_training(docs.doc_id))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
     assert language.identify(documents(spark, []), model).count() == 0
+
+
+def test_mix_is_a_function_of_its_own_columns(spark):
+    """Other columns change no copies, and may have any name and type."""
+    from pyspark.sql import functions as F
+    rows = [(i, "w " * (i % 17), None, ["a", "b", None][i % 3]) for i in range(60)] + [(5, "again", None, "a")] * 3
+    docs = documents(spark, rows)
+    more = (docs.withColumn("_place", F.lit(1)).withColumn("_copy", F.col("doc_id")).withColumn("_mark", F.lit("m"))
+            .withColumn("mark", F.lit(2)).withColumn("copies", F.lit(9)).withColumn("place", F.lit(0))
+            .withColumn("t", F.create_map(F.lit("a"), F.lit(1))).withColumn("a.b", F.lit(3)))
+
+    def plan(d):
+        return sorted(map(str, mixing.mixing_plan(d).select("doc_id", "size", "target", "copies").collect()))
+
+    assert plan(more) == plan(docs)
+    a, b = mixing.mixed(docs), mixing.mixed(more)
+    assert b.columns == more.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.select(docs.columns).collect()))
+    assert all(r["t"] == {"a": 1} and r["_mark"] == "m" and r["mark"] == 2 for r in b.collect())
