@@ -249,3 +249,26 @@ def test_mix_is_a_function_of_its_own_columns(spark):
     assert b.columns == more.columns
     assert sorted(map(str, a.collect())) == sorted(map(str, b.select(docs.columns).collect()))
     assert all(r["t"] == {"a": 1} and r["_mark"] == "m" and r["mark"] == 2 for r in b.collect())
+
+
+def test_url_tokens_are_read_off_the_pattern(spark):
+    """Every token of an alternative is a whole token of each URL that it matches."""
+    tokens = url_rules.literal_tokens
+    assert tokens(r"(?s)^(?:[^/]*\.)?ads?\.") == [("ad",), ("ads",)]
+    assert tokens(r"/tracking/pixel") == [("tracking",)]
+    assert tokens(r"\.exe$") == [("exe",)] and tokens(r"\bCheap-pills\b") == [("cheap", "pills")]
+    assert tokens(r"/(?:a|bc)+x/") == [()] and tokens(r"/(a|bc)/d[0-9]*/") == [("a",), ("bc",)]
+    assert tokens(r"foo") == [()] and tokens(r"/foo") == [()] and tokens(r"/[^a-z0-9]foo-bar/") == [("bar",)]
+    assert tokens(r"/foo[-_]+bar/") == [("bar", "foo")] and tokens(r"/foo[-_]*bar/") == [()]
+    assert tokens(r"(?=x)/a\Bb/") == [()] and tokens(r"/\d/q/") == [("q",)] and tokens(r"(?<n>java") == [()]
+    rng = np.random.default_rng(3)
+    parts = ["ad", "ads", "x", "banner", "tracking", "/", ".", "-", "_", "casino", "exe", "é", "1", "robots", "txt"]
+    urls = ["".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(3000)]
+    for rule in url_rules.HOST_RULES + url_rules.PATTERN_RULES:
+        pattern = url_rules.host_pattern(rule.text) if rule.kind == "host" else rule.text
+        choices = [set(t) for t in tokens(pattern)]
+        assert all(choices), rule
+        for u in urls + [u + "example.net/en/" for u in urls[:200]]:
+            if re.search(pattern, u):
+                have = set(re.findall("[a-z0-9]+", u.lower()))
+                assert any(c <= have for c in choices), (rule, u)
