@@ -137,12 +137,20 @@ class LanguageModel:
         return lang, float(min(1.0, max(0.0, sure * sure2)))
 
 
-def fit(docs: DataFrame, learn: Column, per_language: int = 400) -> LanguageModel:
+def fit(docs: DataFrame, learn: Column, per_language: int = 400, languages: int = 64,
+        rows: int = 8000) -> LanguageModel:
     """Train on at most ``per_language`` rows of each language among the rows
-    where ``learn`` holds; features are made on the executors."""
+    where ``learn`` holds, and on at most ``rows`` of all; features are made on the
+    executors.  The ``languages`` commonest labels are learned (ties to the smaller label),
+    so the driver's sample and the machines (one per pair of languages or of families) stay
+    bounded however many labels the column holds."""
     labelled = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     place = F.xxhash64("doc_id", F.lit(3))
     order = Window.partitionBy("lang").orderBy("place")
+    common = [r["lang"] for r in labelled.groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    per_language = max(1, min(per_language, rows // max(1, len(common))))
+    labelled = labelled.filter(F.col("lang").isin(common))
     limits = (labelled.select("lang", place.alias("place"))
               .withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
               .groupBy("lang").agg(F.max("place").alias("limit")).collect())   # one row per language
@@ -159,13 +167,13 @@ def fit(docs: DataFrame, learn: Column, per_language: int = 400) -> LanguageMode
                                 "x": [features(t).astype(np.float16).tobytes() for t in f["text"]]})
 
     # repeated doc_ids share a place: the bound holds for each language all the same
-    rows = (sample.mapInPandas(profile, "lang string, place long, x binary")
+    found = (sample.mapInPandas(profile, "lang string, place long, x binary")
             .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "x")))
             .filter(F.col("n") <= per_language).orderBy("lang", "n").collect())
-    if not rows:
+    if not found:
         return LanguageModel(np.zeros((0, BUCKETS), np.float32), [])
-    x = np.stack([np.frombuffer(r["x"], np.float16).astype(np.float32) for r in rows])
-    return LanguageModel(x, [r["lang"] for r in rows])
+    x = np.stack([np.frombuffer(r["x"], np.float16).astype(np.float32) for r in found])
+    return LanguageModel(x, [r["lang"] for r in found])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

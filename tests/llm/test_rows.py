@@ -188,7 +188,6 @@ def test_license_places_equal_scan(spark):
 
 
 def test_mixing_targets_and_copies(spark):
-    rng = np.random.default_rng(9)
     rows = [(i, "w " * int(rng.integers(1, 60)), "en", "aab"[i % 3] if i % 10 else "rare") for i in range(900)]
     rows += [(None, "x y", None, None), (5, None, None, "b"), (7, "same", None, "b"), (7, "same", None, "b")]
     docs = documents(spark, rows)
@@ -272,3 +271,26 @@ def test_url_tokens_are_read_off_the_pattern(spark):
             if re.search(pattern, u):
                 have = set(re.findall("[a-z0-9]+", u.lower()))
                 assert any(c <= have for c in choices), (rule, u)
+
+
+def test_dirty_labels_stay_bounded(spark):
+    """Labels beyond the commonest are not learned; the vote equals a plain count of duels."""
+    rows = [(i, "the and of " * 5, "en", "a") for i in range(30)] + [(100 + i, "der die das " * 5, "de", "a") for i in range(30)]
+    rows += [(200 + i, "la que el " * 5, "es", "a") for i in range(20)]
+    rows += [(1000 + i, f"junk{i} text", f"x{i}", "a") for i in range(300)]
+    docs = documents(spark, rows)
+    model = language.fit(docs, docs.doc_id >= 0, per_language=10, languages=3, rows=24)
+    assert model.langs == ["de", "en", "es"]
+    assert language.fit(docs, docs.doc_id >= 0, languages=5).langs == ["de", "en", "es", "x0", "x1"]
+    for text in [r[1] for r in rows[:90:7]] + ["the der la", "zzz"]:
+        x = language.features(text)
+
+        def vote(names, machines):
+            wins = collections.Counter({n: 0 for n in names})
+            for a, b, w, bias in machines:
+                wins[a if float(x @ w) + bias >= 0 else b] += 1
+            return {n for n in names if wins[n] == max(wins.values())}
+
+        group = language.family(model.predict(text)[0])
+        assert group in vote(list(model.families), model.between)
+        assert model.predict(text)[0] in vote(model.families[group], model.within[group])
