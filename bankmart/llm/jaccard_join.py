@@ -53,7 +53,7 @@ from bankmart.llm.components import components
 SHARE = (3, 4)                    # similarity threshold as a fraction
 FREQUENT = 8                      # a shingle in so many documents is of the frequent class
 MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); others count as rare
-MERGE_ROUNDS = 6                  # rounds of one partner each before all remaining pairs
+MERGE_ROUNDS = 2                  # rounds of one partner each before all remaining pairs
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
 PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
 SLICE_BYTES = 1 << 20
