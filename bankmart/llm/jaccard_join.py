@@ -10,8 +10,9 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    count of ``frequent`` or more form the frequent class.  (The counts only
    choose an order and skip single shingles; two shingles that agree in
    40 bits count as one, which changes no result.)
-2. *Signatures.*  In the final order rare shingles come first, frequent ones
-   last.  A set whose prefix is all rare is indexed by its prefix, token by
+2. *Signatures.*  In the final order shingles that occur once come first, as far as
+   a bitmap of fixed size tells them, then the other rare ones, frequent ones last; so
+   texts that share passages but are mostly their own meet in no bucket.  A set whose prefix is all rare is indexed by its prefix, token by
    token.  A set whose prefix reaches into the frequent class is indexed by all
    its rare shingles and by pairs of frequent ones: its prefix is extended by
    ``B`` shingles, frequent shingles are dealt into ``B`` parts by hash and
@@ -20,9 +21,9 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    of them meet in one part.  B depends on a size class; linked sets lie in the
    same or neighbouring classes, so each set is indexed for its own class and
    the one below.
-3. *Verification in rounds.*  Signatures that occur once are dropped (a bitmap
-   of fixed size with the repeated shingles keeps most of them from being shuffled; it
-   may let single ones pass, never drops a repeated one).  First each set is
+3. *Verification in rounds.*  Signatures that occur once are dropped (the bitmap
+   keeps most of them from being shuffled; it may let single ones pass, never drops a
+   repeated one).  First each set is
    verified against one partner, the smallest of the bucket it meets
    most often; the verified links give components.  As long as that merges
    components, each set of a bucket that still holds several is verified against
@@ -96,11 +97,13 @@ def _size_bounds() -> np.ndarray:
 BOUNDS = _size_bounds()
 
 
-def signatures(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def signatures(s: np.ndarray, frequent: np.ndarray, bitmap: np.ndarray | None = None
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of a set (sorted hashes), and for each how many more shingles
     can be shared if it is the first shared one: those after it in the final
     order; for a pair of frequent ones all other frequent ones (two sets that
-    share no rare shingle share frequent ones only); and which are pairs."""
+    share no rare shingle share frequent ones only); and which are pairs.
+    Shingles that are not in ``bitmap`` occur once, so they come first."""
     n = len(s)
     length = prefix_length(n)
     if len(frequent):
@@ -110,6 +113,9 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndar
     else:
         often = np.zeros(n, bool)
     rare = s[~often]
+    if bitmap is not None:
+        again = _in_bitmap(bitmap, rare)
+        rare = np.concatenate([rare[~again], rare[again]])
     if length <= len(rare):
         return rare[:length], n - 1 - np.arange(length), np.zeros(length, bool)
     heavy = s[often]
@@ -332,7 +338,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                 sets = [s for s in _sets(body, offsets, k) if len(s)]
                 if not sets:
                     continue
-                found = [signatures(s, heavy) for s in sets]
+                found = [signatures(s, heavy, bitmap) for s in sets]
                 keys = np.concatenate([f[0] for f in found])
                 count = [len(f[0]) for f in found]
                 columns = [keys.view(np.int64),
