@@ -25,11 +25,13 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    keeps most of them from being shuffled; it may let single ones pass, never drops a
    repeated one).  First each set is
    verified against one partner, the smallest of the bucket it meets
-   most often; the verified links give components.  As long as that merges
-   components, each set of a bucket that still holds several is verified against
-   one partner of another component.  Then these buckets produce their remaining
-   pairs across components, so a large group of near copies costs a few
-   verifications each and never all pairs.
+   most often; the verified links give components.  Sets of buckets that still hold
+   several components are then grouped by combinations of two least shingles, which
+   linked sets probably share, and verified against one set of another component in each
+   of their groups, as long as that merges components.  At last the buckets produce
+   their remaining pairs across components (exact: no link depends on the groups), so
+   a large group of near copies costs a few verifications each and never all pairs.
+   Parity bits rule most pairs out before whole sets are read.
 4. *Components* come from large star / small star rounds.
 
 Every bucket is handled whole: nothing is capped or dropped.
@@ -54,9 +56,10 @@ from bankmart.llm.components import components
 SHARE = (3, 4)                    # similarity threshold as a fraction
 FREQUENT = 8                      # a shingle in so many documents is of the frequent class
 MAX_FREQUENT = 2_000_000          # those of them that tasks know (16 MB); others count as rare
-MERGE_ROUNDS = 2                  # rounds of one partner each before all remaining pairs
+MERGE_ROUNDS = 3                  # rounds by combinations of least shingles before all remaining pairs
+COMBINATIONS = 8                  # combinations of two least shingles of a set
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
-PARITY_WORDS = 8                  # 64-bit words of a set's parity bits
+PARITY_WORDS = 16                 # 64-bit words of a set's parity bits
 SLICE_BYTES = 1 << 20
 COUNT_BITS = 40                   # leading bits of a shingle that are counted
 COUNT_CHUNK = 1 << 20             # shingles sorted at a time
@@ -206,6 +209,16 @@ def parity_bits(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def combinations(s: np.ndarray) -> np.ndarray:
+    """Shingles dealt by their last bits, the least of each part, two parts at a time: equal
+    sets agree in all, similar ones probably in some.  0: both parts are empty."""
+    part, at = np.unique(s % np.uint64(2 * COMBINATIONS), return_index=True)
+    least = np.zeros(2 * COMBINATIONS, np.uint64)
+    least[part.astype(np.int64)] = s[at]                 # the set is sorted
+    a, b = least[::2], least[1::2]
+    return np.where((a | b) == 0, np.uint64(0), mix64(mix64(a + np.uint64(1)) ^ b)).view(np.int64)
+
+
 def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     bit = keys >> np.uint64(64 - BITMAP_BITS)
     return (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
@@ -249,17 +262,26 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return wanted.mapInArrow(verify, "a long, b long").distinct()
 
 
-def _open_buckets(entries: DataFrame, label: DataFrame, written: DataFrame) -> DataFrame:
-    """Entries of the buckets that hold several components, each with the entry of the
-    bucket's lowest and of its highest component.  ``written`` is deleted after it."""
+def _open_buckets(entries: DataFrame, label: DataFrame) -> DataFrame:
+    """Entries of the buckets that hold several components, each with its component and the
+    (component, sid, n) of the bucket's lowest and of its highest component."""
     placed = (entries.join(label.withColumnRenamed("node", "sid"), "sid", "left")
               .withColumn("component", F.coalesce("component", "sid")))
-    entry = F.struct("component", "sid", "n", "after")
+    entry = F.struct("component", "sid", "n")
     ends = placed.groupBy("key").agg(F.min(entry).alias("lo"), F.max(entry).alias("hi")).filter(
         "lo.component <> hi.component")
-    out = staged(placed.join(ends, "key"), "jaccard-placed")
-    discard(written)
-    return out
+    return placed.join(ends, "key")
+
+
+def _differ(x: str, y: str):
+    """In how many parity bits the sets of two columns differ."""
+    return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+                for i in range(PARITY_WORDS)), F.lit(0))
+
+
+def _near(n, m, differ):
+    """False where so many differing shingles rule a link out."""
+    return 2 * SHARE[0] * (n + m) <= sum(SHARE) * (n + m - differ)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) -> dict[str, DataFrame]:
@@ -279,9 +301,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
             for i, blob in count_blobs(np.concatenate(tokens), ranges):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                     pa.nulls(1, pa.list_(pa.int64())), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
+                     pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int64())), pa.array([i], pa.int32()), pa.array([blob], pa.binary())], names)
 
-        names = ["doc_id", "mark", "n", "sid", "parity", "range", "blob"]
+        names = ["doc_id", "mark", "n", "sid", "parity", "combined", "range", "blob"]
         for batch in batches:
             for rows, body, offsets in _slices(batch):
                 sets = _sets(body, offsets, k)
@@ -290,6 +312,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                     rows.column("doc_id"), rows.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(ids, pa.int64()),
                     pa.array([parity_bits(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([combinations(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary())], names)
                 for s, i in zip(sets, ids):
@@ -306,11 +329,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         release_memory()
 
     described = staged(texts.withColumn("mark", F.xxhash64("text")).mapInArrow(
-        describe, "doc_id long, mark long, n long, sid long, parity array<long>, range int, blob binary"),
+        describe, "doc_id long, mark long, n long, sid long, parity array<long>, combined array<long>, range int, blob binary"),
         "jaccard-members")
     members = described.filter("range is null").select("doc_id", "mark", "n", "sid")
     reps = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
-    parities = described.filter("n > 0").groupBy("sid").agg(F.first("parity").alias("parity"))
 
     def merge(key, frame):
         import pandas as pd
@@ -393,41 +415,48 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     label = components(links, "a", "b")
 
-    # further rounds: one partner from another component each, as long as that merges some;
-    # buckets of one component are done
-    entries, sets = _open_buckets(entries.drop("a", "na", "aftera"), label, entries), None
+    # further rounds: sets of open buckets, grouped by combinations of least shingles, each
+    # against one set of another component; buckets of one component are done
+    held = staged(_open_buckets(entries.select("key", "sid", "n", "after"), label)
+                  .select("key", "sid", "n", "after"), "jaccard-placed")
+    discard(entries)
+    about = staged(described.filter("n > 0").join(held.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("combined").alias("combined")),
+        "jaccard-about")
+    parities, sets = about.select("sid", "parity"), None
+    grouped = about.select("sid", "n", F.posexplode("combined").alias("place", "part")).filter("part <> 0").select(
+        F.xxhash64("place", "part").alias("key"), "sid", "n")
     for _ in range(MERGE_ROUNDS):
         mine = F.col("component") == F.col("lo.component")
-        other = F.when(mine, F.col("hi")).otherwise(F.col("lo"))
-        met = entries.withColumn("o", other).filter(
-            _can_link(F.col("n"), F.col("after"), F.col("o.n"), F.col("o.after")))
-        pair = met.select("sid", F.least("sid", "o.sid").alias("a"), F.greatest("sid", "o.sid").alias("b"))
-        counted_pairs = pair.groupBy("sid", "a", "b").count().join(tried, ["a", "b"], "left_anti")
-        best = counted_pairs.groupBy("sid").agg(F.max(F.struct("count", "a", "b")).alias("p"))
-        next_ = staged(best.select("p.a", "p.b").distinct(), "jaccard-pairs")
+        met = _open_buckets(grouped, label).withColumn("o", F.when(mine, F.col("hi")).otherwise(F.col("lo")))
+        pair = met.select(F.least("sid", "o.sid").alias("a"), F.greatest("sid", "o.sid").alias("b"),
+                          (F.col("n") + F.col("o.n")).alias("both"), F.least("n", "o.n").alias("less")).distinct()
+        near = (pair.filter(SHARE[1] * F.col("less") >= SHARE[0] * (F.col("both") - F.col("less")))
+                .join(tried, ["a", "b"], "left_anti")
+                .join(parities.toDF("a", "pa"), "a").join(parities.toDF("b", "pb"), "b")
+                .filter(_near(F.col("both"), F.lit(0), _differ("pa", "pb"))))
+        next_ = staged(near.select("a", "b"), "jaccard-pairs")
         if next_.isEmpty():
             break
         if sets is None:
-            sets = whole_sets(entries.select("sid").distinct())
+            sets = whole_sets(about.select("sid"))
         found = staged(_links(next_, sets), "jaccard-links")
         tried = tried.unionByName(next_)
         if found.isEmpty():
             break
         links = links.unionByName(found)
         label = components(links, "a", "b")
-        entries = _open_buckets(entries.drop("component", "lo", "hi"), label, entries)
 
     # last round: the remaining pairs across components, in buckets that hold several
-    open_ = staged(entries.drop("lo", "hi").join(parities, "sid"), "jaccard-open")
-    discard(entries)
-    x, y = open_.alias("x"), open_.alias("y")
-    differ = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i))))
-                  for i in range(PARITY_WORDS)), F.lit(0))
+    open_ = staged(_open_buckets(held, label).drop("lo", "hi").join(parities, "sid"), "jaccard-open")
+    discard(held)
+    # few bytes but many comparisons: dealt by key over all tasks, however small
+    dealt = open_.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").hint("merge")
+    x, y = dealt.alias("x"), dealt.alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid"))
                    & (F.col("x.component") != F.col("y.component"))
                    & _can_link(F.col("x.n"), F.col("x.after"), F.col("y.n"), F.col("y.after"))
-                   & (2 * SHARE[0] * (F.col("x.n") + F.col("y.n"))
-                      <= sum(SHARE) * (F.col("x.n") + F.col("y.n") - differ)))
+                   & _near(F.col("x.n"), F.col("y.n"), _differ("x.parity", "y.parity")))
     rest = cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
     discard(open_)
@@ -437,6 +466,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         links = links.unionByName(staged(_links(rest, sets), "jaccard-links"))
     if sets is not None:
         discard(sets)
+    discard(about)
     label = components(links, "a", "b").withColumnRenamed("node", "sid")
 
     named = members.select("doc_id", "n", "sid").join(label, "sid", "left")
