@@ -30,8 +30,9 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    linked sets probably share, and verified against one set of another component in each
    of their groups, as long as that merges components.  At last the buckets produce
    their remaining pairs across components (exact: no link depends on the groups), so
-   a large group of near copies costs a few verifications each and never all pairs.
-   Parity bits rule most pairs out before whole sets are read.
+   a large group of linked copies costs a few verifications each.  Similar texts that do
+   not link are compared in all pairs of a bucket; parity bits rule pairs of short texts
+   out before whole sets are read.
 4. *Components* come from large star / small star rounds.
 
 Every bucket is handled whole: nothing is capped or dropped.
