@@ -15,12 +15,18 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def write_landing_csv(df: DataFrame, path: str) -> None:
+#: a compressed file is read by one task, so its rows are bounded
+ROWS_PER_FILE = 1_000_000
+
+
+def write_landing_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
     """Write an extract as headered CSV, preserving surrounding spaces
-    (the Silver layer is the one that trims)."""
-    (df.write.mode("overwrite").option("header", True)
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
+    (the Silver layer is the one that trims); ``compressed`` for large drops."""
+    w = df.write.mode("overwrite").option("header", True)
+    if compressed:
+        w = w.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE)
+    (w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+      .csv(path))
 
 
 def _reader(spark: SparkSession, schema: T.StructType):
