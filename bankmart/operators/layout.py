@@ -151,15 +151,10 @@ def compaction_plan(spark: SparkSession, path: str, target_bytes: int = TARGET_F
     return small.groupBy("folder").applyInPandas(packed, "path string, folder string, bin int")
 
 
-def _plain(path):
-    """A path with one slash after its scheme."""
-    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
-
-
 def compact(spark: SparkSession, path: str, by: list[str] = (), target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Merge the small files of a table's folders, bin by bin, into files of up to about
     ``target_bytes``; larger files are neither read nor written.  Returns the number
-    of files written.
+    of files written.  A bin is a task of its own job, so no row is shuffled.
 
     After it every folder has at most one file under half of the target (of the bytes
     before compaction; one file's columns compress better than many files' do), and none
@@ -168,38 +163,34 @@ def compact(spark: SparkSession, path: str, by: list[str] = (), target_bytes: in
     New files are written beside the table (``_compaction``), then moved in, then the small
     ones are deleted.  A failure before the moves leaves the table as it was; readers
     should not list the table during the moves."""
-    from bankmart.session import delete_folder, scratch_path
-    plan_path, beside = scratch_path(spark, "compaction-plan"), f"{path}/_compaction"
-    compaction_plan(spark, path, target_bytes).withColumn(
-        "_bin", F.concat_ws("/", "folder", "bin")).write.parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
-    old = [r["path"] for r in plan.select("path").collect()]           # names of small files only
-    if not old:
+    from bankmart.session import delete_folder, run_concurrently
+    beside = f"{path}/_compaction"
+    bins: dict[tuple, list[str]] = {}
+    for r in compaction_plan(spark, path, target_bytes).collect():     # names of small files only
+        bins.setdefault((r["folder"], r["bin"]), []).append(r["path"])
+    if not bins:
         return 0
-    bins = plan.select("_bin").distinct().count()
-    rows = spark.read.option("basePath", path).parquet(*old)
-    names = plan.select(_plain(F.col("path")).alias("_file"), "_bin")
-    # a scan's file path is URL-encoded, unlike the listing's
-    mine = _plain(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))))
     delete_folder(spark, beside)
-    # hashing a bin's name gives every bin to one task, so to one file
-    (rows.withColumn("_file", mine).join(names, "_file").drop("_file", *by)
-     .repartition(bins, "_bin").write.partitionBy("_bin").parquet(beside))
+
+    def merge(number: int, files: list[str]) -> None:
+        # files given by name have no partition columns; one task reads them and writes one file
+        spark.read.parquet(*files).coalesce(1).write.parquet(f"{beside}/{number}")
+
+    run_concurrently([(lambda i=i, files=sorted(files): merge(i, files)) for i, files in enumerate(bins.values())],
+                     spark.sparkContext.defaultParallelism)
     moved = 0
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    from urllib.parse import unquote
-    for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(beside)):
-        name = st.getPath().getName()
-        if not name.startswith("_bin="):
-            continue
-        folder, number = unquote(name[len("_bin="):]).rsplit("/", 1)
-        for part in fs.listStatus(st.getPath()):
-            # a task that wrote two bins of a folder gave both files one name
-            target = jvm.org.apache.hadoop.fs.Path(folder, f"bin-{number}-{part.getPath().getName()}")
+    for i, (folder, number) in enumerate(bins):
+        for part in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{beside}/{i}")):
+            name = part.getPath().getName()
+            if not name.endswith(".parquet"):
+                continue
+            target = jvm.org.apache.hadoop.fs.Path(folder, f"bin-{number}-{name}")
             if not fs.rename(part.getPath(), target):
                 raise OSError(f"cannot move {part.getPath()} to {target}")
             moved += 1
+    old = [f for files in bins.values() for f in files]
     for f in old:
         fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
     delete_folder(spark, beside)

@@ -148,9 +148,9 @@ def tune_for_input(spark: SparkSession, nbytes: int) -> dict:
     return settings
 
 
-def run_concurrently(actions) -> list:
+def run_concurrently(actions, at_once: int | None = None) -> list:
     """Run independent Spark actions as concurrent jobs (one driver thread
-    each) and return their results in order; the first error is raised."""
+    each, ``at_once`` at most) and return their results in order; the first error is raised."""
     from concurrent.futures import ThreadPoolExecutor
     from pyspark import inheritable_thread_target
     actions = list(actions)
@@ -161,5 +161,5 @@ def run_concurrently(actions) -> list:
     active = SparkSession.getActiveSession()
     wrap = inheritable_thread_target(active) if active is not None else inheritable_thread_target
     call = wrap(lambda a: a())
-    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+    with ThreadPoolExecutor(max_workers=min(len(actions), at_once or len(actions))) as pool:
         return list(pool.map(call, actions))
