@@ -23,16 +23,21 @@ def stamp(df: DataFrame, source_system: str, source_file: str,
     ``source_file`` is a literal name; pass ``None`` to take each row's real
     input file from the scan's ``_metadata`` column instead.
     """
+    return df.withColumns(stamps(source_system, source_file, cfg))
+
+
+def stamps(source_system: str, source_file: str, cfg: RunConfig = DEFAULT) -> dict:
+    """The six ingestion metadata columns of :func:`stamp`."""
     file_col = (F.col("_metadata.file_name") if source_file is None
                 else F.lit(source_file))
-    return df.withColumns({
+    return {
         "_source_system": F.lit(source_system),
         "_source_file": file_col,
         "_batch_id": F.lit(cfg.batch_id),
         "_ingest_ts": cfg.run_ts_col(),
         "_batch_date": F.lit(cfg.batch_date),
         "_is_current": F.lit(True),
-    })
+    }
 
 
 def month_key(date_text_col: str) -> F.Column:
@@ -66,23 +71,28 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
                       F.count_if(F.col(STATUS) == QUARANTINED).alias("quarantined")), seen
 
 
-def append(df: DataFrame, path: str, batch_id: str, business_date: str | None = None) -> dict[str, int]:
+def append(df: DataFrame, path: str, batch_id: str, business_date: str | None = None,
+           stamped: dict | None = None) -> dict[str, int]:
     """Append one batch.  The batch id is the outermost partition and a rerun
     replaces its folder as a whole, so a corrected extract leaves nothing of
     the first one while other batches stay.  Inside it rows are split by status, and
     facts are partitioned by business month, other sources by batch date; the rebalance
-    keeps that to about one file per month instead of tasks × months.
+    keeps that to about one file per month instead of tasks × months.  ``stamped`` has
+    columns of one value (:func:`stamps`), which are set after that shuffle.
 
     A batch whose types conflict with earlier ones is refused before anything is written.
     Returns file_rows, loaded and quarantined, counted by the write itself (after its
     last shuffle, so a retried task counts once)."""
-    spark = df.sparkSession
-    out, part = _split(df).drop("_batch_id"), "_batch_date"
+    spark, stamped = df.sparkSession, dict(stamped or {})
+    rows, out, part = _split(df), _split(df.withColumns(stamped)), "_batch_date"
     if business_date is not None:
-        out, part = out.withColumn("_month", month_key(business_date)), "_month"
+        part = "_month"
+        rows, out = (d.withColumn(part, month_key(business_date)) for d in (rows, out))
+    out = out.drop("_batch_id")
     others = [(b, s) for b, s in evolve.batch_schemas(spark, path) if b != batch_id]
     evolve.check([*others, (batch_id, out.schema)])
-    out, seen = _counted(out.hint("rebalance", STATUS, part))
+    dealt = rows.hint("rebalance", *[c for c in (STATUS, part) if c not in stamped])
+    out, seen = _counted(dealt.withColumns(stamped).select(*out.columns))
     out.write.mode("overwrite").partitionBy(STATUS, part).parquet(f"{path}/_batch_id={batch_id}")
     evolve.record(spark, path, batch_id, out.schema)
     return dict(seen.get)
