@@ -113,6 +113,7 @@ class Lake:
     # ── materialisation ─────────────────────────────────────────────────────
     SILVER = ["silver_customers", "silver_accounts", "silver_transactions",
               "silver_branches", "silver_tickets"]
+    SILVER_FACTS = ["silver_customers", "silver_accounts", "silver_transactions", "silver_tickets"]
     GOLD = ["customer_360", "txn_monthly_summary", "segment_metrics", "support_kpis"]
 
     # Silver tables that batches are merged into: source, key, partition columns
@@ -146,8 +147,10 @@ class Lake:
             rows = silver.aged_accounts(rows, cfg)
         return rows.drop("created_month", *gold.MONTH_PARTIALS)
 
-    def _write(self, df: DataFrame, name: str, path: str) -> None:
-        if name in self.PARTITIONED:
+    def _write(self, df: DataFrame, name: str, path: str, plain: bool = False) -> None:
+        if plain:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        elif name in self.PARTITIONED:
             from bankmart.operators.layout import write_partitioned_balanced
             write_partitioned_balanced(df, path, self.PARTITIONED[name])
         else:
@@ -161,13 +164,17 @@ class Lake:
             return gold.transaction_months(txns, gold.only_known_channels(txns))
         return self.stored(name, getattr(self, name))
 
-    def write_concurrently(self, root: str, names) -> None:
+    def write_concurrently(self, root: str, names, plain: bool = False,
+                           columns: dict[str, list[str]] | None = None) -> None:
         """Write independent tables as concurrent Spark jobs (one driver
         thread each), so small or single-task stages of one table overlap
-        with the others instead of leaving executors idle."""
+        with the others instead of leaving executors idle.  ``plain`` writes them as they
+        come, without the shuffle into partitions; ``columns`` has the columns kept of
+        some tables."""
         from bankmart.session import run_concurrently
         builds = {n: self._stored_form(n) for n in names}      # plan on this thread
-        run_concurrently([(lambda n=n: self._write(builds[n], n, f"{root}/{n}"))
+        builds.update({n: builds[n].select(*kept) for n, kept in (columns or {}).items() if n in builds})
+        run_concurrently([(lambda n=n: self._write(builds[n], n, f"{root}/{n}", plain))
                           for n in builds])
         for n in names:
             self.paths[n] = f"{root}/{n}"
@@ -180,6 +187,27 @@ class Lake:
     BUILD_ORDER = [SILVER, ["txn_monthly_summary", "dq_results", "support_kpis"],
                    ["customer_360"], ["segment_metrics"]]
 
+    # what the marts and the audit read of the widest table
+    GOLD_READS = {"silver_transactions": ["transaction_id", "account_id", "customer_id", "transaction_date", "amount",
+                                          "direction", "channel", "is_flagged", "fraud_score"]}
+
+    def written_once(self, names, columns: dict[str, list[str]] | None = None) -> "Lake":
+        """A lake over the same sources whose tables ``names`` are written once to the shared
+        folder in build order, as they come; tables that this one has written are kept.
+        For jobs that read a table several times: its lineage runs once."""
+        from bankmart.session import scratch_path
+        missing = [n for n in names if n not in self.paths]
+        if not missing:
+            return self
+        lake = Lake(self.spark, self.sf_dir, self.cfg, self.landing, self.declared)
+        lake.paths = dict(self.paths)
+        # unwritten tables are planned again, on top of the written ones
+        lake._tables = {n: t for n, t in self._tables.items() if self.paths or n.startswith("extract:")}
+        root = scratch_path(self.spark, "lake")
+        for group in self.BUILD_ORDER:
+            lake.write_concurrently(root, [n for n in group if n in missing], True, columns)
+        return lake
+
     @classmethod
     def from_warehouse(cls, spark, warehouse: str, cfg: RunConfig = DEFAULT,
                        sf_dir: str | None = None) -> "Lake":
