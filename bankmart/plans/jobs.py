@@ -20,7 +20,7 @@ from bankmart.operators import layout, quality, scd2, serving
 from bankmart.plans import history, marts
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
-from bankmart.session import partition_values as committed_values, scratch_path
+from bankmart.session import partition_values as committed_values, run_concurrently, scratch_path
 from bankmart.sources import csv as csv_src
 from bankmart.sources.adapters import customers_extract
 
@@ -35,16 +35,17 @@ def by_table(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def land_csv(lake: Lake, damaged: bool = False) -> str:
-    """The five extracts as headered CSV drops.  ``damaged`` puts a text into one typed
+    """The five extracts as headered, compressed CSV drops.  ``damaged`` puts a text into one typed
     column of some rows, as an input with malformed rows."""
-    root = scratch_path(lake.spark, "landing")
+    root, drops = scratch_path(lake.spark, "landing"), {}
     for name in schemas.SOURCES:
         df = lake.extract(name)
         if damaged:
             column, key = BAD_COLUMN[name]
             bad = F.col(key).cast("long") % BAD_EVERY == 0
             df = df.withColumn(column, F.when(bad, "n/a").otherwise(F.col(column).cast("string")))
-        csv_src.write_landing_csv(df, f"{root}/{name}")
+        drops[name] = df
+    run_concurrently([(lambda n=n, df=df: csv_src.write_landing_csv(df, f"{root}/{n}", compressed=True)) for n, df in drops.items()])
     return root
 
 
@@ -106,17 +107,21 @@ def bronze_schema(name: str, partition_cols: list[str]) -> T.StructType:
 def land_bronze(lake: Lake, root: str, counts: dict | None = None) -> dict[str, str]:
     """Append today's batch of every source to its Bronze table: facts by
     business month, other entities by batch date, branches full refresh.  ``counts``
-    receives what each write counted."""
-    paths = {}
-    for name in schemas.SOURCES:
-        path = f"{root}/{name}"
-        df = lake.bronze(name)
-        date_col = schemas.SOURCE_META[name][2]
-        seen = B.full_refresh(df, path) if name == "branches" else \
-            B.append(df, path, lake.cfg.batch_id, business_date=date_col)
-        if counts is not None:
-            counts[name] = seen
-        paths[name] = path
+    receives what each write counted.  The sources are independent, so their last tasks
+    overlap as concurrent jobs."""
+    paths = {name: f"{root}/{name}" for name in schemas.SOURCES}
+    rows = {name: lake.extract(name) for name in paths}                # plan on this thread
+
+    def land(name: str) -> dict[str, int]:
+        system, _, date_col = schemas.SOURCE_META[name][:3]
+        stamps = B.stamps(system, f"{name}.csv", lake.cfg)
+        if name == "branches":
+            return B.full_refresh(rows[name].withColumns(stamps), paths[name])
+        return B.append(rows[name], paths[name], lake.cfg.batch_id, date_col, stamps)
+
+    seen = run_concurrently([(lambda name=name: land(name)) for name in paths])
+    if counts is not None:
+        counts.update(zip(paths, seen))
     return paths
 
 
@@ -140,9 +145,10 @@ def full_refresh(lake: Lake) -> DataFrame:
 @query("partitioned_overwrite")
 def partitioned_overwrite(lake: Lake) -> DataFrame:
     """Silver transactions by (txn_year, txn_month); then one month is
-    rebuilt with a dynamic partition overwrite, leaving the others."""
+    rebuilt with a dynamic partition overwrite, leaving the others.  Both writes read
+    the table as it was written once."""
     path = scratch_path(lake.spark, "silver-transactions")
-    txns = lake.silver_transactions
+    txns = lake.written_once(["silver_transactions"]).silver_transactions
     layout.write_partitioned_balanced(txns, path, ["txn_year", "txn_month"])
     month = txns.where((F.col("txn_year") == marts.PRUNE_YEAR)
                        & (F.col("txn_month") == marts.PRUNE_MONTH))
@@ -186,8 +192,9 @@ def dq_audit_append(lake: Lake) -> DataFrame:
 @query("clustered_rewrite")
 def clustered_rewrite(lake: Lake) -> DataFrame:
     """Customer 360 by (segment, state), the monthly mart by (txn_year, txn_month), and
-    transactions co-located by customer and date at once."""
-    spark = lake.spark
+    transactions co-located by customer and date at once.  Ranges are found by a pass of
+    their own, so the tables are written once before."""
+    spark, lake = lake.spark, lake.written_once(Lake.SILVER_FACTS + ["txn_monthly_summary", "customer_360"])
     paths = {n: scratch_path(spark, f"{n}-clustered")
              for n in ("customer_360", "txn_monthly_summary", "silver_transactions")}
     layout.clustered_rewrite(lake.customer_360, paths["customer_360"], ["segment", "state"], ["customer_id"])
@@ -243,17 +250,17 @@ def file_stats(lake: Lake) -> DataFrame:
 
 
 def _serving_staged(lake: Lake) -> dict[str, DataFrame]:
-    return {**{n: getattr(lake, n) for n in Lake.GOLD}, "dq_results": lake.dq_results}
+    """The served tables, written: every table is computed once, from written ones."""
+    lake = lake.written_once(Lake.SILVER_FACTS + Lake.GOLD + ["dq_results"], Lake.GOLD_READS)
+    return {n: getattr(lake, n) for n in [*Lake.GOLD, "dq_results"]}
 
 
 def load_serving(lake: Lake, staged: dict[str, DataFrame], root: str) -> tuple[dict[str, str], dict[str, dict]]:
-    """Stage the tables as Parquet and load each with its serving types; folders and counts."""
+    """Load each staged table with its serving types; folders and counts."""
     paths, counts = {}, {}
     for name, df in staged.items():
-        stage = scratch_path(lake.spark, f"stage-{name}")
-        df.write.parquet(stage)
         paths[name] = f"{root}/{name}"
-        counts[name] = serving.load(lake.spark.read.schema(df.schema).parquet(stage), name, paths[name], lake.cfg)
+        counts[name] = serving.load(df, name, paths[name], lake.cfg)
     return paths, counts
 
 
@@ -266,8 +273,9 @@ def serving_load(lake: Lake) -> DataFrame:
 
 
 def _damaged_marts(lake: Lake) -> dict[str, DataFrame]:
-    """The staged tables with values that do not fit their serving types, as an input."""
-    staged = _serving_staged(lake)
+    """The staged tables with values that do not fit their serving types, as an input that
+    is staged in their place."""
+    staged, spark = _serving_staged(lake), lake.spark
     number = F.col("customer_id").cast("long")
     staged["customer_360"] = staged["customer_360"].withColumns({
         "state": F.when(number % 89 == 0, "Nowhere").otherwise(F.col("state")),
@@ -277,6 +285,10 @@ def _damaged_marts(lake: Lake) -> dict[str, DataFrame]:
         "txn_count": F.when(number % 73 == 0, "many").otherwise(F.col("txn_count").cast("string"))})
     staged["support_kpis"] = staged["support_kpis"].withColumn(
         "priority", F.when(F.col("priority") == "Low", F.repeat("priority", 9)).otherwise(F.col("priority")))
+    for name in ("customer_360", "txn_monthly_summary", "support_kpis"):
+        stage = scratch_path(spark, f"stage-{name}")
+        staged[name].write.option("compression", "zstd").parquet(stage)
+        staged[name] = spark.read.schema(staged[name].schema).parquet(stage)
     return staged
 
 
