@@ -207,12 +207,28 @@ def shingle_sets(words: np.ndarray, first: np.ndarray, k: int = 5) -> list[np.nd
     return out
 
 
+_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dict that a worker process keeps between tasks until ``release_memory``."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
 def release_memory() -> None:
-    """Give memory that a finished partition no longer uses back to the system, as
-    Python workers live on."""
+    """Give memory that a finished partition, or an earlier operator's tasks in this process,
+    no longer use back to the system, as Python workers live on."""
+    import ctypes
     import pyarrow as pa
+    for cache in _CACHES:
+        cache.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)         # freed blocks between used ones (glibc)
+    except (OSError, AttributeError):
+        pass
 
 
 def is_local(path: str) -> bool:

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import documents, open_fs, shared_folder, staged, write_once
+from bankmart.llm.common import documents, open_fs, shared_folder, staged, worker_cache, write_once
 
 END_ID = 2
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -55,9 +55,10 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-#: chunks kept per worker process, and the longest chunk that is kept (bytes)
-MEMO_CHUNKS, MEMO_LENGTH = 500_000, 64
-_MEMO: dict[str, dict[bytes, bytes]] = {}
+#: chunks kept per worker process (until another operator's task releases them), and the
+#: longest chunk that is kept (bytes)
+MEMO_CHUNKS, MEMO_LENGTH = 1_000_000, 64
+_MEMO: dict[str, dict[bytes, bytes]] = worker_cache()
 _WORD_ENDS: dict[str, np.ndarray] = {}
 
 
@@ -83,7 +84,9 @@ def _encode_chunks(chunks: list[bytes], path: str) -> list[bytes]:
     plain = [i for i, t in enumerate(texts) if t.isalpha()]
     for a in range(0, len(plain), 512):
         part = plain[a:a + 512]
-        ids = np.array(tk.encode(" ".join([texts[i] for i in part]), add_special_tokens=False).ids, "<u4")
+        # the batch form computes no offsets
+        row = tk.encode_batch_fast([" ".join([texts[i] for i in part])], add_special_tokens=False)[0]
+        ids = np.array(row.ids, "<u4")
         cut = np.flatnonzero(ends[ids]) + 1
         if len(cut) == len(part) and cut[-1] == len(ids):
             raw, at = ids.tobytes(), 0

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from bankmart.llm import knn, language, language_model, licenses, mixing, token_files, url_rules
-from bankmart.llm.common import open_fs
+from bankmart.llm.common import open_fs, release_memory
 from tests.llm.helpers import documents, texts
 
 
@@ -39,6 +39,17 @@ def test_token_files_round_trip(spark):
     assert token_files.read_tokens(token_files.write_tokens(documents(spark, []))).count() == 0
 
 
+def test_token_memo_keeps_a_million_chunks_until_released():
+    path = token_files.default_tokenizer()
+    memo = token_files._MEMO.setdefault(path, {})
+    memo.clear()
+    memo.update((b"%d-" % i, b"") for i in range(600_000))
+    token_files.encode_ids(["one two"], path, 2)
+    assert len(memo) > 600_000
+    release_memory()
+    assert not token_files._MEMO
+
+
 def test_token_chunks_equal_whole_texts():
     from tokenizers import Tokenizer
     path = token_files.default_tokenizer()
@@ -188,6 +199,7 @@ def test_license_places_equal_scan(spark):
 
 
 def test_mixing_targets_and_copies(spark):
+    rng = np.random.default_rng(6)
     rows = [(i, "w " * int(rng.integers(1, 60)), "en", "aab"[i % 3] if i % 10 else "rare") for i in range(900)]
     rows += [(None, "x y", None, None), (5, None, None, "b"), (7, "same", None, "b"), (7, "same", None, "b")]
     docs = documents(spark, rows)
