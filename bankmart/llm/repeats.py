@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bankmart.llm.common import _powers, documents, mix64, shared_folder, staged, utf8_column
+from bankmart.llm.common import _powers, discard, documents, mix64, shared_folder, staged, utf8_column
 from bankmart.llm.jaccard_join import (COUNT_BITS, COUNT_CHUNK, _in_bitmap, _mapped, _write_bitmap,
                                        count_blobs, merge_blobs)
 
@@ -176,12 +176,45 @@ def window_hashes(body: bytes) -> np.ndarray:
     return mix64((total[LENGTH:] - total[:n]) * inverse[:n])
 
 
-def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_contexts: int = CROWDED) -> DataFrame:
-    """(doc, mark, start, windows): runs of window starts that also start
-    earlier; ``doc`` is doc_id (null: the smallest long), ``mark`` the text hash."""
-    spark = docs.sparkSession
-    texts = docs.select(F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc"),
-                        F.xxhash64("text").alias("mark"), "text")
+def _placed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """Texts with their place in the order: ``doc`` is doc_id (null: the smallest long), ``mark``
+    the text hash, or 0 where no doc_id repeats; and whether one does."""
+    doc = F.coalesce("doc_id", F.lit(_NULL_ID))
+    repeated = bool(docs.groupBy(doc).count().filter("count > 1").limit(1).count())
+    mark = F.xxhash64("text") if repeated else F.lit(0).cast("long")
+    return docs.select("doc_id", doc.alias("doc"), mark.alias("mark"), "text"), repeated
+
+
+def _spot(own, doc, start):
+    """An occurrence's place in a bitmap: its hash, moved by document and start."""
+    return own ^ (doc << 37) ^ (start << 44)
+
+
+def batch_copies(anchor, own, doc, mark, start) -> np.ndarray:
+    """Per occurrence of one batch: how often its context occurs in the batch if it is the
+    earliest there, 0 if it starts later, -1 for a repetition of the earliest one's row."""
+    copies = np.ones(len(own), np.int64)
+    line = np.argsort(own, kind="stable")
+    same = own[line[1:]] == own[line[:-1]]
+    again = line[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+    if len(again):
+        columns = (start[again], mark[again], doc[again], anchor[again], own[again])
+        line = np.lexsort(columns)
+        place, group = np.stack([c[line] for c in columns[:3]]), np.stack([c[line] for c in columns[3:]])
+        head = np.concatenate([[True], (group[:, 1:] != group[:, :-1]).any(0)])
+        heads = np.flatnonzero(head)
+        first = np.repeat(heads, np.diff(heads, append=len(line)))
+        repeated = (place == place[:, first]).all(0) & ~head
+        found = np.where(repeated, -1, 0)
+        found[heads] = np.add.reduceat((~repeated).astype(np.int64), heads)
+        copies[again[line]] = found
+    return copies
+
+
+def covered(texts: DataFrame, repeated_ids: bool, part_contexts: int = PART_CONTEXTS, crowded_contexts: int = CROWDED) -> DataFrame:
+    """(doc, mark, runs): per text of ``_placed`` the runs (start, windows) of window starts
+    that also start earlier."""
+    spark, texts = texts.sparkSession, texts.select("doc", "mark", "text")
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches):
@@ -209,6 +242,7 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_context
     folder = shared_folder(spark, "repeat-files")
     anchors_file = _write_bitmap(repeated.select(F.shiftleft("lead", 64 - COUNT_BITS).alias("key")),
                                  "key", folder, "anchors")
+    discard(repeated)
 
     def occurrences(batches, wanted_file=None):
         anchors = _mapped(anchors_file, np.uint64)
@@ -222,7 +256,7 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_context
                 anchor, start, windows, own = contexts(text)
                 hit = _in_bitmap(anchors, anchor)
                 if wanted is not None:
-                    hit &= _in_bitmap(wanted, own)
+                    hit &= _in_bitmap(wanted, _spot(own.view(np.int64), ids[i], start).view(np.uint64))
                 hit = np.flatnonzero(hit)
                 if not len(hit):
                     continue
@@ -235,36 +269,50 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_context
                     raw = text.tobytes()
                     found["body"] += [raw[s:s + w + LENGTH - 1] for s, w in zip(start[hit], windows[hit])]
             if found["doc"]:
-                columns = [pa.array(np.concatenate(found[c]), pa.int64()) for c in list(found)[:6]]
                 names = list(found)[:6]
+                columns = [np.concatenate(found[c]).astype(np.int64) for c in names]
                 if wanted is not None:
-                    columns, names = [*columns, pa.array(found["body"], pa.binary())], list(found)
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(found["body"], pa.binary())],
+                                                     list(found))
+                    continue
+                copies = batch_copies(*columns[:5])
+                keep = copies >= 0
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*columns, copies)], [*names, "copies"])
 
     schema = "anchor long, own long, doc long, mark long, start long, windows long"
-    found = staged(texts.mapInArrow(lambda b: occurrences(b), schema), "repeat-occurrences")
+    # copies: occurrences of the context in its batch of texts, 0 if it is not the earliest there,
+    # so that a context that is everywhere is one row per batch from here on
+    found = staged(texts.mapInArrow(lambda b: occurrences(b), schema + ", copies long"), "repeat-occurrences")
+    earliest_in_batch = found.filter("copies > 0")
     variants = Window.partitionBy("anchor")
+    # dealt by anchor once, for both the contexts and their variants
     firsts = staged(
-        found.groupBy("anchor", "own").agg(F.min(F.struct("doc", "mark", "start")).alias("first"),
-                                           F.count("*").alias("n"))
+        earliest_in_batch.repartition("anchor").groupBy("anchor", "own").agg(F.min(F.struct("doc", "mark", "start")).alias("first"),
+                                           F.sum("copies").alias("n"))
         .withColumn("variants", F.count("*").over(variants)).filter("n > 1 or variants > 1"), "repeat-contexts")
-    again = (found.join(firsts.filter("n > 1").select("anchor", "own", "first"), ["anchor", "own"])
-             .filter(F.struct("doc", "mark", "start") != F.col("first"))
-             .select("doc", "mark", "start", "windows"))
+    run = ["doc", "mark", "start", "windows"]
+    again = staged(earliest_in_batch.join(firsts.filter("n > 1").select("anchor", "own", "first"), ["anchor", "own"])
+                   .filter(F.struct("doc", "mark", "start") != F.col("first")).select(*run)
+                   .unionByName(found.filter("copies = 0").select(*run)), "repeat-copies")
+    discard(found)
 
     varied = firsts.filter("variants > 1").select(
         "anchor", "own", "variants", F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark"),
         F.col("first.start").alias("start"))
-    wanted_file = _write_bitmap(varied.select("own"), "own", folder, "contexts")
+    spot = F.expr("own ^ shiftleft(doc, 37) ^ shiftleft(start, 44)")         # as _spot
+    wanted_file = _write_bitmap(varied.select(spot.alias("spot")), "spot", folder, "contexts")
     bodies = texts.mapInArrow(lambda b: occurrences(b, wanted_file), schema + ", body binary")
-    bodies = staged(bodies.join(varied, ["anchor", "own", "doc", "mark", "start"])
-                    .dropDuplicates(["anchor", "own"]), "repeat-bodies")
+    bodies = bodies.join(varied, ["anchor", "own", "doc", "mark", "start"])
+    if repeated_ids:                                 # rows alike in doc and mark
+        bodies = bodies.dropDuplicates(["anchor", "own"])
+    bodies = staged(bodies, "repeat-bodies")
+    discard(firsts)
     total = bodies.count()
     parts = max(1, -(-total // part_contexts))
     dealt = bodies.filter(F.col("variants") <= crowded_contexts).withColumn(
         "part", F.pmod(F.xxhash64("anchor"), F.lit(parts)))
-    indexed = dealt.select("part", "doc", "mark", "start", "body").groupBy("part").applyInPandas(
-        lambda key, f: earlier_windows(f), "doc long, mark long, start long, windows long")
+    indexed = staged(dealt.select("part", "doc", "mark", "start", "body").groupBy("part").applyInPandas(
+        lambda key, f: earlier_windows(f), "doc long, mark long, start long, windows long"), "repeat-windows")
 
     def explode_windows(batches):
         for batch in batches:
@@ -284,8 +332,10 @@ def covered(docs: DataFrame, part_contexts: int = PART_CONTEXTS, crowded_context
               .filter(F.struct("doc", "mark", "start") != F.col("first"))
               .select("doc", "mark", "start", F.lit(1).cast("long").alias("windows")))
     runs = again.unionByName(indexed).unionByName(spread)
-    return staged(runs.groupBy("doc", "mark").agg(
+    merged = staged(runs.groupBy("doc", "mark").agg(
         F.collect_list(F.struct("start", "windows")).alias("runs")), "repeat-runs")
+    discard(again, bodies, indexed)
+    return merged
 
 
 def removed_spans(runs, n: int) -> np.ndarray:
@@ -304,10 +354,9 @@ def without_repeats(docs: DataFrame, part_contexts: int = PART_CONTEXTS,
                     crowded_contexts: int = CROWDED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, spans, kept) per row of ``docs``;
     ``kept`` holds the remaining bytes (which may split a character)."""
-    runs = covered(docs, part_contexts, crowded_contexts)
-    texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc"),
-                        F.xxhash64("text").alias("mark"), "text")
-    alike = texts.groupBy("doc", "mark").count().filter("count > 1").limit(1).count()
+    texts, repeated_ids = _placed(docs)
+    runs = covered(texts, repeated_ids, part_contexts, crowded_contexts)
+    alike = repeated_ids and texts.groupBy("doc", "mark").count().filter("count > 1").limit(1).count()
     joined = texts.join(runs, ["doc", "mark"], "left")
     joined = joined.withColumn("copy", F.row_number().over(
         Window.partitionBy("doc", "mark").orderBy(F.lit(1))) if alike else F.lit(1))

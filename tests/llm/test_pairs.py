@@ -214,3 +214,20 @@ def test_long_texts_full_of_hits_run_in_fixed_memory(spark):
     first = next(i for i in range(300_000) if longer[i:i + 3] == ["zz"] * 3)
     assert got == {(1, 1): (1.0, 0), (1, 3): (1.0, 0), (1, 4): (1.0, 0), (2, 1): (1.0, longer.index("zz")),
                    (2, 3): (1.0, first), (3, 2): (1.0, 1700)}
+
+
+def test_contexts_are_counted_once_per_batch():
+    own = np.array([7, 7, 5, 7, 7, 9], np.int64)
+    anchor = np.array([1, 1, 1, 2, 1, 3], np.int64)
+    doc = np.array([4, 3, 3, 3, 3, 3], np.int64)
+    start = np.array([0, 8, 0, 0, 8, 2], np.int64)
+    # (1, 7): document 3 comes before 4; its row comes twice
+    assert repeats.batch_copies(anchor, own, doc, doc * 0, start).tolist() == [0, 2, 1, 1, -1, 1]
+
+
+def test_text_hashes_order_repeated_doc_ids_only(spark):
+    rows = [(1, "a", None, None), (2, "b", None, None), (None, None, None, None)]
+    texts_, repeated = repeats._placed(documents(spark, rows))
+    assert not repeated and {r.mark for r in texts_.collect()} == {0}
+    texts_, repeated = repeats._placed(documents(spark, [*rows, (2, "c", None, None)]))
+    assert repeated and len({r.mark for r in texts_.collect()}) == 4
