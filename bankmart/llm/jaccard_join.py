@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bankmart.llm.common import (SPACE_WORD, discard, documents, hashed_words, mapped_path, mix64, release_memory, shared_folder,
-                                 shingle_sets, staged, utf8_column, write_once)
+                                 shingle_sets, staged, utf8_column, worker_cache, write_once)
 from bankmart.llm.components import components
 
 SHARE = (3, 4)                    # similarity threshold as a fraction
@@ -184,7 +184,7 @@ def _write_array(df: DataFrame, column: str, folder: str, name: str, fill) -> st
     return rows[0]["path"] if rows else put(fill([]))        # an empty table may have no task
 
 
-_MAPPED: dict[str, np.ndarray] = {}
+_MAPPED: dict[str, np.ndarray] = worker_cache()
 
 
 def _mapped(uri: str, dtype) -> np.ndarray:
@@ -296,6 +296,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def describe(batches):
+        release_memory()
         tokens, held, seen = [], 0, set()
 
         def flush():
@@ -399,6 +400,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
                     yield pa.RecordBatch.from_arrays([
                         pa.array([set_id(s) for s in sets], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "shingles"])
+            release_memory()
 
         return staged(texts.withColumn("place", F.xxhash64("doc_id")).mapInArrow(
             collect_sets, "sid long, shingles binary"), "jaccard-sets")
