@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bankmart.llm.common import staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """At most one row per edge; equal rows meet at the end of the small star."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (both.join(least, "u").filter("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -22,18 +23,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
-def components(links: DataFrame, left: str, right: str) -> DataFrame:
-    """(node, component) of every node with a link; component is the smallest
-    node.  Rounds grow with the logarithm of the longest chain; each is written
-    to the shared folder."""
-    edges = staged(links.select(F.col(left).alias("u"), F.col(right).alias("v"))
-                   .filter("u <> v").distinct(), "links")
+def stars(links: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, component) of every node with a link that is not its component's smallest
+    node; component is the smallest node.  Rounds grow with the logarithm of the longest
+    chain; each is written to the shared folder, and counted as it is written."""
+    edges = links.select(F.col(left).alias("u"), F.col(right).alias("v")).filter("u <> v")
     before = None
     while True:
-        edges = staged(_small_star(_large_star(edges)), "links")
-        state = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
+        seen = Observation()
+        edges = staged(_small_star(_large_star(edges)).observe(
+            seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")), "links")
+        state = seen.get
         if state == before:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
         before = state
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def components(links: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, component) of every node with a link; component is the smallest node."""
+    return with_roots(stars(links, left, right))
+
+
+def with_roots(found: DataFrame) -> DataFrame:
+    """``stars`` with a row for the smallest node of each component too."""
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())

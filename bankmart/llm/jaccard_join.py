@@ -31,8 +31,10 @@ one shingle).  Documents with equal sets form a class; classes are joined.
    of their groups, as long as that merges components.  At last the buckets produce
    their remaining pairs across components (exact: no link depends on the groups), so
    a large group of linked copies costs a few verifications each.  Similar texts that do
-   not link are compared in all pairs of a bucket; parity bits rule pairs of short texts
-   out before whole sets are read.
+   not link are compared in all pairs of a bucket, but make a pair once and not in every
+   bucket they share: each set names a few landmarks among its buckets, and two sets that
+   agree in landmarks meet in the first such bucket only (in all, if they agree in none).
+   Parity bits rule pairs of short texts out before whole sets are read.
 4. *Components* come from large star / small star rounds.
 
 Every bucket is handled whole: nothing is capped or dropped.
@@ -52,7 +54,7 @@ from pyspark.sql import functions as F
 
 from bankmart.llm.common import (SPACE_WORD, discard, documents, hashed_words, mapped_path, mix64, release_memory, shared_folder,
                                  shingle_sets, staged, utf8_column, worker_cache, write_once)
-from bankmart.llm.components import components
+from bankmart.llm.components import stars, with_roots
 
 SHARE = (3, 4)                    # similarity threshold as a fraction
 FREQUENT = 8                      # a shingle in so many documents is of the frequent class
@@ -61,6 +63,7 @@ MERGE_ROUNDS = 3                  # rounds by combinations of least shingles bef
 COMBINATIONS = 8                  # combinations of two least shingles of a set
 BITMAP_BITS = 27                  # size of the repeated-signature bitmap (16 MB)
 PARITY_WORDS = 16                 # 64-bit words of a set's parity bits
+LANDMARKS = 8                     # buckets that a set names, so that a pair is made once
 SLICE_BYTES = 1 << 20
 COUNT_BITS = 40                   # leading bits of a shingle that are counted
 COUNT_CHUNK = 1 << 20             # shingles sorted at a time
@@ -285,6 +288,42 @@ def _near(n, m, differ):
     return 2 * SHARE[0] * (n + m) <= sum(SHARE) * (n + m - differ)
 
 
+def _landmarks(entries: DataFrame) -> DataFrame:
+    """The least key of each set in each of ``LANDMARKS`` parts of the keys, with the largest
+    sum of sizes up to which its position lets sets link: sid, mark0, reach0, mark1, ..."""
+    a, b = SHARE
+    part = F.pmod("key", F.lit(LANDMARKS))
+    least = entries.groupBy("sid").agg(*[F.min(F.when(part == i, F.struct("key", "after"))).alias(f"least{i}")
+                                         for i in range(LANDMARKS)])
+    return least.select("sid", *[c for i in range(LANDMARKS) for c in (
+        F.col(f"least{i}.key").alias(f"mark{i}"),
+        F.floor((a + b) * (F.col(f"least{i}.after") + 1) / a).alias(f"reach{i}"))])
+
+
+def _meet_first(x: str, y: str):
+    """False where the sets of two entries of a bucket meet in an earlier landmark: of the landmarks
+    they agree in and whose position lets them link, the first is their only bucket."""
+    both = F.col(f"{x}.n") + F.col(f"{y}.n")
+    agreed = [F.when((F.col(f"{x}.mark{i}") == F.col(f"{y}.mark{i}"))
+                     & (F.least(f"{x}.reach{i}", f"{y}.reach{i}") >= both), F.col(f"{x}.mark{i}"))
+              for i in range(LANDMARKS)]
+    return F.coalesce(*agreed, F.col(f"{x}.key")) == F.col(f"{x}.key")
+
+
+def last_pairs(entries: DataFrame, partitions: int) -> DataFrame:
+    """Pairs (a < b) of sets of different components that share a bucket and may link.
+    ``entries``: key, sid, n, after, component, parity and the landmarks."""
+    # few bytes but many comparisons: dealt by key over all tasks, however small
+    dealt = entries.repartition(partitions, "key").hint("merge")
+    x, y = dealt.alias("x"), dealt.alias("y")
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid"))
+                   & (F.col("x.component") != F.col("y.component"))
+                   & _can_link(F.col("x.n"), F.col("x.after"), F.col("y.n"), F.col("y.after"))
+                   & _meet_first("x", "y")
+                   & _near(F.col("x.n"), F.col("y.n"), _differ("x.parity", "y.parity")))
+    return cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) -> dict[str, DataFrame]:
     """``classes`` (doc_id, n_shingles, sid, component_id) with one row per row
     of ``docs``, ``members`` (doc_id, mark, n, sid) likewise with the hash of each
@@ -416,7 +455,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
     links = staged(_links(tried, sets), "jaccard-links")
     discard(sets)
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    label = components(links, "a", "b")
+    label = stars(links, "a", "b")
 
     # further rounds: sets of open buckets, grouped by combinations of least shingles, each
     # against one set of another component; buckets of one component are done
@@ -427,6 +466,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("combined").alias("combined")),
         "jaccard-about")
     parities, sets = about.select("sid", "parity"), None
+    def joined(label: DataFrame, found: DataFrame) -> DataFrame:
+        """The components so far, as links of each node to its smallest, and more links."""
+        return label.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(found)
+
     grouped = about.select("sid", "n", F.posexplode("combined").alias("place", "part")).filter("part <> 0").select(
         F.xxhash64("place", "part").alias("key"), "sid", "n")
     for _ in range(MERGE_ROUNDS):
@@ -448,29 +491,26 @@ def jaccard_components(docs: DataFrame, k: int = 5, frequent: int = FREQUENT) ->
         if found.isEmpty():
             break
         links = links.unionByName(found)
-        label = components(links, "a", "b")
+        label = stars(joined(label, found), "a", "b")
 
     # last round: the remaining pairs across components, in buckets that hold several
-    open_ = staged(_open_buckets(held, label).drop("lo", "hi").join(parities, "sid"), "jaccard-open")
+    open_ = staged(_open_buckets(held, label).drop("lo", "hi").join(parities, "sid").join(_landmarks(held), "sid"),
+                   "jaccard-open")
     discard(held)
-    # few bytes but many comparisons: dealt by key over all tasks, however small
-    dealt = open_.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").hint("merge")
-    x, y = dealt.alias("x"), dealt.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & _can_link(F.col("x.n"), F.col("x.after"), F.col("y.n"), F.col("y.after"))
-                   & _near(F.col("x.n"), F.col("y.n"), _differ("x.parity", "y.parity")))
-    rest = cross.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    rest = last_pairs(open_, int(spark.conf.get("spark.sql.shuffle.partitions"))).distinct()
     rest = staged(rest.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
     discard(open_)
     if not rest.isEmpty():
         if sets is None:
             sets = whole_sets(rest.select(F.explode(F.array("a", "b")).alias("sid")).distinct())
-        links = links.unionByName(staged(_links(rest, sets), "jaccard-links"))
+        found = staged(_links(rest, sets), "jaccard-links")
+        links = links.unionByName(found)
+        if not found.isEmpty():
+            label = stars(joined(label, found), "a", "b")
     if sets is not None:
         discard(sets)
     discard(about)
-    label = components(links, "a", "b").withColumnRenamed("node", "sid")
+    label = with_roots(label).withColumnRenamed("node", "sid")
 
     named = members.select("doc_id", "n", "sid").join(label, "sid", "left")
     smallest = (reps.join(label, "sid").groupBy("component").agg(F.min("rep").alias("least")))
