@@ -116,25 +116,25 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, cfg: RunConfig = DEFAULT,
     changed = has_old & has_new & (F.col(f"o.{DIGEST}") != F.col(f"n.{DIGEST}"))
     as_of = F.lit(cfg.as_of)
     kept = [c for c in (DIGEST, CHANGED) if c in cols]
-    old_row = F.when(has_old, F.struct(
+    old_row = F.struct(
         *[F.col(f"o.{c}").alias(c) for c in attrs],
         F.col("o.scd_start_date").alias("scd_start_date"),
         F.when(changed, as_of).otherwise(F.col("o.scd_end_date")).alias("scd_end_date"),
         (~changed).alias("scd_is_current"),
         F.col("o.scd_version").alias("scd_version"),
-        *[F.col(f"o.{c}").alias(c) for c in kept]))
+        *[F.col(f"o.{c}").alias(c) for c in kept])
     fresh = {DIGEST: F.col(f"n.{DIGEST}"),
              CHANGED: F.when(has_old, changed_mask(_of("o"), _of("n"), tracked)).otherwise(F.lit(0)).cast("long")}
-    new_row = F.when(has_new & (~has_old | changed), F.struct(
+    new_row = F.struct(
         *[F.col(f"n.{c}").alias(c) for c in attrs],
         as_of.alias("scd_start_date"),
         F.lit(None).cast("date").alias("scd_end_date"),
         F.lit(True).alias("scd_is_current"),
         (F.coalesce(F.col("o.scd_version"), F.lit(0)) + 1).alias("scd_version"),
-        *[fresh[c].alias(c) for c in kept]))
-    emitted = (j.select(F.explode(F.filter(F.array(old_row, new_row),
-                                           lambda r: r.isNotNull())).alias("r"))
-                .select("r.*"))
+        *[fresh[c].alias(c) for c in kept])
+    # by cases, not by a filter of both versions, which Spark would run interpreted
+    emitted = (j.select(F.inline(F.when(changed, F.array(old_row, new_row))
+                                 .when(has_old, F.array(old_row)).otherwise(F.array(new_row)))))
     return closed.select(*cols).unionByName(emitted.select(*cols))
 
 

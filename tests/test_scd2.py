@@ -56,6 +56,19 @@ def test_absent_keys_stay_current(spark):
     assert out.count() == 4
 
 
+def test_versions_are_emitted_by_cases(spark):
+    """Changed, unchanged, absent, new and null keys, without an interpreted filter of both versions."""
+    old = spark.createDataFrame([("c1", "Retail"), ("c2", "Retail"), ("c3", None), (None, "SMB")],
+                                "customer_id string, segment string")
+    new = spark.createDataFrame([("c1", None), ("c2", "Retail"), ("c4", None), (None, "Retail")], old.schema)
+    out = scd2.scd2_apply(scd2.scd2_initial(old, RunConfig(as_of=D1)), new, RunConfig(as_of=D2), tracked=TRACK)
+    assert _rows(out) == sorted([
+        ("c1", "Retail", 1, False, D1, D2), ("c1", None, 2, True, D2, None), ("c2", "Retail", 1, True, D1, None),
+        ("c3", None, 1, True, D1, None), ("c4", None, 1, True, D2, None),
+        (None, "SMB", 1, False, D1, D2), (None, "Retail", 2, True, D2, None)], key=_key)
+    assert "lambdafunction" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_new_and_changed_keys(spark):
     new = scd2.scd2_new_keys(_dim(spark), _incoming(spark))
     assert [r[0] for r in new.select("customer_id").collect()] == ["c4"]
