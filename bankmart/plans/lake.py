@@ -31,6 +31,7 @@ class Lake:
         self.declared = declared or {}
         self._tables: dict[str, DataFrame] = {}
         self.paths: dict[str, str] = {}            # folders of written tables
+        self._own: set[str] = set()                # those that written_once wrote for this lake
 
     # ── sources and Bronze ──────────────────────────────────────────────────
     EXTRACTS = {"customers": adapters.customers_extract,
@@ -147,9 +148,27 @@ class Lake:
             rows = silver.aged_accounts(rows, cfg)
         return rows.drop("created_month", *gold.MONTH_PARTIALS)
 
+    # tables whose rows are shuffled whole (or nearly) by a key: the key that deals them into slices
+    SLICED = {"silver_accounts": "account_id", "silver_transactions": "transaction_id",
+              "silver_tickets": "ticket_id", "txn_monthly_summary": "customer_id"}
+    SLICES = 4                              # fixed, so the scans grow with the input only
+    SLICED_BYTES = 64 * 1024 * 1024         # smaller inputs are written at once
+
+    def _slices(self, df: DataFrame, name: str) -> list[DataFrame]:
+        """``df`` in parts of whole keys (NULL is one of them), to be written one after the
+        other: all their shuffle files together are on disk only for one part.  The filter
+        goes below the joins, the deduplication and the aggregation; every part scans the input."""
+        from bankmart.session import input_bytes
+        key = self.SLICED.get(name)
+        if key is None or input_bytes(self.spark, set(df.inputFiles())) < self.SLICED_BYTES:
+            return [df]
+        dealt = F.pmod(F.xxhash64(key), F.lit(self.SLICES))
+        return [df.where(dealt == i) for i in range(self.SLICES)]
+
     def _write(self, df: DataFrame, name: str, path: str, plain: bool = False) -> None:
         if plain:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            for i, part in enumerate(self._slices(df, name)):
+                part.write.mode("append" if i else "overwrite").option("compression", "zstd").parquet(path)
         elif name in self.PARTITIONED:
             from bankmart.operators.layout import write_partitioned_balanced
             write_partitioned_balanced(df, path, self.PARTITIONED[name])
@@ -194,8 +213,9 @@ class Lake:
     def written_once(self, names, columns: dict[str, list[str]] | None = None) -> "Lake":
         """A lake over the same sources whose tables ``names`` are written once to the shared
         folder in build order, as they come; tables that this one has written are kept.
-        For jobs that read a table several times: its lineage runs once."""
-        from bankmart.session import scratch_path
+        For jobs that read a table several times: its marts' lineage runs once.  Shuffle
+        files of a write, or of a large table's slice, are gone before the next one."""
+        from bankmart.session import scratch_path, shuffles_freed
         missing = [n for n in names if n not in self.paths]
         if not missing:
             return self
@@ -204,10 +224,23 @@ class Lake:
         # unwritten tables are planned again, on top of the written ones
         lake._tables = {n: t for n, t in self._tables.items() if self.paths or n.startswith("extract:")}
         root = scratch_path(self.spark, "lake")
-        for group in self.BUILD_ORDER:
-            lake.write_concurrently(root, [n for n in group if n in missing], True, columns)
+        with shuffles_freed(self.spark):
+            for group in self.BUILD_ORDER:
+                lake.write_concurrently(root, [n for n in group if n in missing], True, columns)
+        lake._own = set(missing)
         return lake
 
+    def drop_written(self, names) -> None:
+        """Delete those of the tables that :meth:`written_once` wrote for this lake, after
+        their last reader; tables of another lake or of a warehouse are kept."""
+        from bankmart.session import delete_folder
+        for n in self._own.intersection(names):
+            self._own.remove(n)
+            self._tables.pop(n, None)
+            if n == "txn_monthly_summary":
+                self._tables.pop("transaction_months", None)
+            delete_folder(self.spark, self.paths.pop(n))
+
     @classmethod
     def from_warehouse(cls, spark, warehouse: str, cfg: RunConfig = DEFAULT,
                        sf_dir: str | None = None) -> "Lake":

@@ -150,8 +150,10 @@ def layer_audit(lake: Lake) -> DataFrame:
         c = df.agg(F.lit("bronze").alias("layer"), F.lit(name).alias("table_name"),
                    F.count(F.lit(1)).alias("row_count"))
         counts = c if counts is None else counts.unionByName(c)
+    stored = lake.written_once(Lake.SILVER + Lake.GOLD)
     layers = [("silver" if name in Lake.SILVER else "gold", name, n)
-              for name, n in row_counts(lake.spark, written_tables(lake)).items()]
+              for name, n in row_counts(lake.spark, written_tables(stored)).items()]
+    stored.drop_written(Lake.SILVER + Lake.GOLD)
     counts = counts.unionByName(lake.spark.createDataFrame(
         layers, "layer string, table_name string, row_count long"))
     r = counts.rollup("layer", "table_name").agg(F.sum("row_count").alias("row_count"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -104,6 +105,19 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Within it a write deletes its shuffle files when it ends.  Else they stay until the
+    driver happens to collect its garbage, and a job of several writes holds all of them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def input_bytes(spark: SparkSession, paths) -> int:
     """Total bytes under ``paths`` from file-system metadata (no scan)."""
     jvm = spark.sparkContext._jvm

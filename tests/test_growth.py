@@ -1,6 +1,8 @@
 """Jobs on large inputs: no lineage runs twice, nothing is written or shuffled in vain."""
 
 import glob
+import os
+import time
 
 import pytest
 from pyspark.sql import DataFrame
@@ -115,3 +117,49 @@ def test_bins_are_merged_without_a_shuffle(spark, monkeypatch):
     assert layout.file_stats(spark, path).first().file_count == 4
     assert got.count() == 1000 and got.select("id").distinct().count() == 1000
     assert got.where("m = 2").count() == 250 and got.where("m is null").count() == 250
+
+
+def _shuffle_blocks(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle")}
+
+
+def test_large_tables_are_written_in_slices_of_whole_keys(own_lake, spark, monkeypatch):
+    whole = own_lake.written_once(Lake.SILVER + Lake.GOLD)
+    monkeypatch.setattr(Lake, "SLICED_BYTES", 0)
+    lake = Lake(spark, None)
+    lake._tables = dict(own_lake._tables)
+    more = frame(spark, schemas.TRANSACTIONS, [{"transaction_id": None, "amount": a, "reference_number": r}
+                                               for a, r in ((1.0, "S"), (2.0, "T"))])
+    lake._tables["extract:transactions"] = own_lake.extract("transactions").unionByName(more)
+    lake._tables.pop("silver_transactions", None)
+    parts = lake._slices(lake.silver_transactions, "silver_transactions")
+    assert len(parts) == Lake.SLICES
+    for p in map(_plan, parts):                     # the other rows do not reach the shuffle
+        assert p.index("Window") < p.index("xxhash64")
+    assert len(lake._slices(lake.silver_branches, "silver_branches")) == 1
+    assert _same_rows(lake.silver_transactions, lake.written_once(["silver_transactions"]).silver_transactions)
+    assert lake.silver_transactions.count() == 19
+    once = own_lake.written_once(Lake.SILVER + Lake.GOLD)
+    for name in Lake.SILVER + Lake.GOLD:
+        assert _same_rows(getattr(whole, name), getattr(once, name))
+
+
+def test_shuffle_files_end_with_their_write(own_lake, spark):
+    before = _shuffle_blocks(spark)
+    own_lake.written_once(["silver_transactions", "txn_monthly_summary"])
+    for _ in range(50):                             # they are deleted in the background
+        if not _shuffle_blocks(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_blocks(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_audit_drops_only_what_it_wrote(own_lake, spark, monkeypatch):
+    kept, seen, plain = own_lake.written_once(["silver_transactions"]), {}, marts.written_tables
+    monkeypatch.setattr(marts, "written_tables", lambda lake: seen.update(plain(lake)) or seen)
+    got = {(r.layer, r.table_name): r.row_count for r in marts.layer_audit(kept).collect()}
+    assert got["silver", "silver_transactions"] == 18 and got["bronze", "transactions"] == 20
+    assert [n for n, p in seen.items() if os.path.exists(p)] == ["silver_transactions"]
+    assert kept.silver_transactions.count() == 18
