@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -63,8 +63,8 @@ def _rank(column: str, bounds: list, low: int = 0, high: int | None = None):
             .otherwise(_rank(column, bounds, middle + 1, high)))
 
 
-def quantile_ranks(df: DataFrame, columns: list[str], bits: int = ZORDER_BITS) -> dict:
-    """Column → expression of its quantile rank (0 to 2**bits - 1; NULL ranks 0).
+def quantile_bounds(df: DataFrame, columns: list[str], bits: int = ZORDER_BITS) -> dict[str, list]:
+    """Column → its distinct quantiles, ascending (2**bits - 1 at most).
 
     The quantiles come from a bounded sample: they decide how even the layout is, never
     which rows it holds."""
@@ -75,11 +75,25 @@ def quantile_ranks(df: DataFrame, columns: list[str], bits: int = ZORDER_BITS) -
     for c in columns:
         values = sorted(v for v in sample[c].tolist() if v is not None and v == v)
         n = 2 ** bits
-        bounds = sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
-        out[c] = F.when(F.col(c).isNull(), 0).otherwise(_rank(c, bounds)).cast("long")
+        out[c] = sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
     return out
 
 
+def quantile_ranks(df: DataFrame, columns: list[str], bits: int = ZORDER_BITS,
+                   bounds: dict[str, list] | None = None) -> dict:
+    """Column → expression of its quantile rank (0 to 2**bits - 1; NULL ranks 0)."""
+    bounds = bounds or quantile_bounds(df, columns, bits)
+    return {c: F.when(F.col(c).isNull(), 0).otherwise(_rank(c, bounds[c])).cast("long") for c in columns}
+
+
+def upper_half(column: str, bounds: list, bits: int = ZORDER_BITS) -> Column:
+    """Highest bit of the column's rank, as one comparison."""
+    half = 2 ** (bits - 1)
+    if len(bounds) < half:
+        return F.lit(False)
+    return F.coalesce(F.col(column) >= F.lit(bounds[half - 1]), F.lit(False))
+
+
 def interleaved(ranks: list, bits: int = ZORDER_BITS):
     """Bits of the ranks in turn, the first column's highest bit first."""
     out = F.lit(0).cast("long")
@@ -90,18 +104,36 @@ def interleaved(ranks: list, bits: int = ZORDER_BITS):
     return out
 
 
+def _halves(df: DataFrame, by: str, bounds: list, partitions: int) -> list[tuple[DataFrame, int]]:
+    """Parts of a large table in the order of the interleaved key's first bit, that of the
+    first column, with their shares of the partitions."""
+    from bankmart.session import is_large
+    if not is_large(df):
+        return [(df, partitions)]
+    upper = upper_half(by, bounds)
+    rows, above = df.select(upper.alias("_b")).agg(F.count(F.lit(1)), F.count_if("_b")).first()
+    parts = [(df.where(part), max(1, round(partitions * n / rows)))
+             for part, n in ((~upper, rows - above), (upper, above)) if n]
+    return parts or [(df, partitions)]
+
+
 def zorder_rewrite(df: DataFrame, path: str, by: list[str], key: list[str],
                    partitions: int | None = None) -> None:
     """Co-locate rows by all columns of ``by`` at once: rows are dealt into ranges of a
     key made of the bits of their quantile ranks in turn, so every file covers a narrow
     range of each column and filters on any one of them skip files and row groups.
-    Ranges end in ``by`` and the primary ``key``, so a hot value is spread over files."""
+    Ranges end in ``by`` and the primary ``key``, so a hot value is spread over files.
+    A large table is dealt in two parts of the key, one after the other, so one part's
+    shuffle files are on disk at once (under :func:`bankmart.session.shuffles_freed`)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranks = quantile_ranks(df, by)
+    bounds = quantile_bounds(df, by)
+    # ranks are columns of their own, so the key's bits do not repeat their expressions
+    ranks = {f"_rank_{c}": rank for c, rank in quantile_ranks(df, by, bounds=bounds).items()}
     order = ["_z", *by, *key]
-    (df.withColumn("_z", interleaved([ranks[c] for c in by]))
-       .repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_z")
-       .write.mode("overwrite").parquet(path))
+    for i, (part, share) in enumerate(_halves(df, by[0], bounds[by[0]], n)):
+        (part.withColumns(ranks).withColumn("_z", interleaved([F.col(r) for r in ranks])).drop(*ranks)
+             .repartitionByRange(share, *order).sortWithinPartitions(*order).drop("_z")
+             .write.mode("append" if i else "overwrite").parquet(path))
 
 
 # ── compaction ───────────────────────────────────────────────────────────────

@@ -20,7 +20,7 @@ from bankmart.operators import layout, quality, scd2, serving
 from bankmart.plans import history, marts
 from bankmart.plans.catalogue import query
 from bankmart.plans.lake import Lake
-from bankmart.session import partition_values as committed_values, run_concurrently, scratch_path
+from bankmart.session import partition_values as committed_values, run_concurrently, scratch_path, shuffles_freed
 from bankmart.sources import csv as csv_src
 from bankmart.sources.adapters import customers_extract
 
@@ -193,15 +193,20 @@ def dq_audit_append(lake: Lake) -> DataFrame:
 def clustered_rewrite(lake: Lake) -> DataFrame:
     """Customer 360 by (segment, state), the monthly mart by (txn_year, txn_month), and
     transactions co-located by customer and date at once.  Ranges are found by a pass of
-    their own, so the tables are written once before."""
+    their own, so the tables are written once before; each is dropped after its last reader."""
     spark, lake = lake.spark, lake.written_once(Lake.SILVER_FACTS + ["txn_monthly_summary", "customer_360"])
+    lake.drop_written(["silver_customers", "silver_accounts", "silver_tickets"])
     paths = {n: scratch_path(spark, f"{n}-clustered")
              for n in ("customer_360", "txn_monthly_summary", "silver_transactions")}
-    layout.clustered_rewrite(lake.customer_360, paths["customer_360"], ["segment", "state"], ["customer_id"])
-    layout.clustered_rewrite(lake.txn_monthly_summary, paths["txn_monthly_summary"],
-                             ["txn_year", "txn_month"], ["customer_id"])
-    layout.zorder_rewrite(lake.silver_transactions, paths["silver_transactions"],
-                          ["customer_id", "transaction_date"], ["transaction_id"])
+    with shuffles_freed(spark):
+        layout.clustered_rewrite(lake.customer_360, paths["customer_360"], ["segment", "state"], ["customer_id"])
+        lake.drop_written(["customer_360"])
+        layout.clustered_rewrite(lake.txn_monthly_summary, paths["txn_monthly_summary"],
+                                 ["txn_year", "txn_month"], ["customer_id"])
+        lake.drop_written(["txn_monthly_summary"])
+        layout.zorder_rewrite(lake.silver_transactions, paths["silver_transactions"],
+                              ["customer_id", "transaction_date"], ["transaction_id"])
+        lake.drop_written(["silver_transactions"])
     return by_table({n: spark.read.parquet(p) for n, p in paths.items()})
 
 

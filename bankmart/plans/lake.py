@@ -151,16 +151,15 @@ class Lake:
     # tables whose rows are shuffled whole (or nearly) by a key: the key that deals them into slices
     SLICED = {"silver_accounts": "account_id", "silver_transactions": "transaction_id",
               "silver_tickets": "ticket_id", "txn_monthly_summary": "customer_id"}
-    SLICES = 4                              # fixed, so the scans grow with the input only
-    SLICED_BYTES = 64 * 1024 * 1024         # smaller inputs are written at once
+    SLICES = 3                              # fixed, so the scans grow with the input only
 
     def _slices(self, df: DataFrame, name: str) -> list[DataFrame]:
         """``df`` in parts of whole keys (NULL is one of them), to be written one after the
         other: all their shuffle files together are on disk only for one part.  The filter
         goes below the joins, the deduplication and the aggregation; every part scans the input."""
-        from bankmart.session import input_bytes
+        from bankmart.session import is_large
         key = self.SLICED.get(name)
-        if key is None or input_bytes(self.spark, set(df.inputFiles())) < self.SLICED_BYTES:
+        if key is None or not is_large(df):
             return [df]
         dealt = F.pmod(F.xxhash64(key), F.lit(self.SLICES))
         return [df.where(dealt == i) for i in range(self.SLICES)]

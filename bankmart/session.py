@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -131,6 +131,14 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
+SLICED_BYTES = 64 * 1024 * 1024         # larger inputs are shuffled in slices, one after the other
+
+
+def is_large(df: DataFrame) -> bool:
+    """Whether the files that ``df`` reads are worth shuffling in slices."""
+    return input_bytes(df.sparkSession, set(df.inputFiles())) >= SLICED_BYTES
+
+
 # sizing targets for one shuffle partition / one scan split
 SHUFFLE_TARGET_BYTES = 512 * 1024 * 1024
 SCAN_SPLIT_BYTES = 256 * 1024 * 1024

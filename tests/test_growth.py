@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import DataFrame
 
-from bankmart import schemas
+from bankmart import schemas, session
 from bankmart.operators import bronze, layout
 from bankmart.plans import jobs, marts
 from bankmart.plans.lake import Lake
@@ -126,7 +126,7 @@ def _shuffle_blocks(spark):
 
 def test_large_tables_are_written_in_slices_of_whole_keys(own_lake, spark, monkeypatch):
     whole = own_lake.written_once(Lake.SILVER + Lake.GOLD)
-    monkeypatch.setattr(Lake, "SLICED_BYTES", 0)
+    monkeypatch.setattr(session, "SLICED_BYTES", 0)
     lake = Lake(spark, None)
     lake._tables = dict(own_lake._tables)
     more = frame(spark, schemas.TRANSACTIONS, [{"transaction_id": None, "amount": a, "reference_number": r}
@@ -163,3 +163,31 @@ def test_audit_drops_only_what_it_wrote(own_lake, spark, monkeypatch):
     assert got["silver", "silver_transactions"] == 18 and got["bronze", "transactions"] == 20
     assert [n for n, p in seen.items() if os.path.exists(p)] == ["silver_transactions"]
     assert kept.silver_transactions.count() == 18
+
+
+def test_large_tables_are_zordered_in_parts(spark, monkeypatch):
+    df = spark.range(6000).selectExpr(
+        "if(id % 50 = 0, null, cast(pmod(id * 7919, 1500) as string)) as c",
+        "if(id % 70 = 0, null, date_add(date'1995-01-01', cast(pmod(id * 104729, 2500) as int))) as d",
+        "if(id % 9 = 0, null, id) as k", "cast(id % 2 as string) as few")
+    df = df.unionByName(df.where("k % 10 = 3"))                     # rows that come twice
+    for by, number in ((["c", "d"], 2), (["few", "d"], 1)):
+        monkeypatch.setattr(session, "SLICED_BYTES", 0)
+        path, bounds = scratch_path(spark, "zorder-parts"), layout.quantile_bounds(df, by)
+        parts = layout._halves(df, by[0], bounds[by[0]], 16)
+        assert len(parts) == number and sum(p.count() for p, _ in parts) == df.count()
+        assert all(abs(n * number - 16) <= 1 for _, n in parts)
+        layout.zorder_rewrite(df, path, by, ["k"], partitions=16)
+        got = spark.read.parquet(path)
+        assert got.columns == df.columns and _same_rows(df, got)
+        halves = got.select("_metadata.file_name", layout.upper_half(by[0], bounds[by[0]]).alias("half")).distinct()
+        assert halves.count() == halves.select("file_name").distinct().count()     # no file spans two parts
+        monkeypatch.setattr(session, "SLICED_BYTES", 1 << 40)
+        assert len(layout._halves(df, by[0], bounds[by[0]], 16)) == 1
+
+
+def test_empty_tables_are_zordered(spark, monkeypatch):
+    monkeypatch.setattr(session, "SLICED_BYTES", 0)
+    path = scratch_path(spark, "zorder-empty")
+    layout.zorder_rewrite(spark.range(0).selectExpr("id", "id as d"), path, ["id", "d"], ["id"], partitions=4)
+    assert spark.read.parquet(path).count() == 0 and spark.read.parquet(path).columns == ["id", "d"]
