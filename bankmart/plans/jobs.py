@@ -146,13 +146,16 @@ def full_refresh(lake: Lake) -> DataFrame:
 def partitioned_overwrite(lake: Lake) -> DataFrame:
     """Silver transactions by (txn_year, txn_month); then one month is
     rebuilt with a dynamic partition overwrite, leaving the others.  Both writes read
-    the table as it was written once."""
+    the table as it was written once, which is dropped after them."""
     path = scratch_path(lake.spark, "silver-transactions")
-    txns = lake.written_once(["silver_transactions"]).silver_transactions
-    layout.write_partitioned_balanced(txns, path, ["txn_year", "txn_month"])
+    lake = lake.written_once(["silver_transactions"])
+    txns = lake.silver_transactions
     month = txns.where((F.col("txn_year") == marts.PRUNE_YEAR)
                        & (F.col("txn_month") == marts.PRUNE_MONTH))
-    layout.write_partitioned_balanced(month, path, ["txn_year", "txn_month"], dynamic=True)
+    with shuffles_freed(lake.spark):
+        layout.write_partitioned_balanced(txns, path, ["txn_year", "txn_month"])
+        layout.write_partitioned_balanced(month, path, ["txn_year", "txn_month"], dynamic=True)
+    lake.drop_written(["silver_transactions"])
     return lake.spark.read.schema(txns.schema).parquet(path)
 
 
@@ -254,18 +257,29 @@ def file_stats(lake: Lake) -> DataFrame:
     return layout.file_stats(lake.spark, src).withColumn("table_name", F.lit("silver_transactions"))
 
 
-def _serving_staged(lake: Lake) -> dict[str, DataFrame]:
-    """The served tables, written: every table is computed once, from written ones."""
+def _served_lake(lake: Lake) -> Lake:
+    """The served tables, written: every table is computed once, from written ones, and the
+    Silver ones are dropped after them."""
     lake = lake.written_once(Lake.SILVER_FACTS + Lake.GOLD + ["dq_results"], Lake.GOLD_READS)
+    lake.drop_written(Lake.SILVER_FACTS)
+    return lake
+
+
+def _served(lake: Lake) -> dict[str, DataFrame]:
     return {n: getattr(lake, n) for n in [*Lake.GOLD, "dq_results"]}
 
 
+def _serving_staged(lake: Lake) -> dict[str, DataFrame]:
+    return _served(_served_lake(lake))
+
+
 def load_serving(lake: Lake, staged: dict[str, DataFrame], root: str) -> tuple[dict[str, str], dict[str, dict]]:
     """Load each staged table with its serving types; folders and counts."""
     paths, counts = {}, {}
-    for name, df in staged.items():
-        paths[name] = f"{root}/{name}"
-        counts[name] = serving.load(df, name, paths[name], lake.cfg)
+    with shuffles_freed(lake.spark):
+        for name, df in staged.items():
+            paths[name] = f"{root}/{name}"
+            counts[name] = serving.load(df, name, paths[name], lake.cfg)
     return paths, counts
 
 
@@ -280,7 +294,8 @@ def serving_load(lake: Lake) -> DataFrame:
 def _damaged_marts(lake: Lake) -> dict[str, DataFrame]:
     """The staged tables with values that do not fit their serving types, as an input that
     is staged in their place."""
-    staged, spark = _serving_staged(lake), lake.spark
+    lake, spark = _served_lake(lake), lake.spark
+    staged = _served(lake)
     number = F.col("customer_id").cast("long")
     staged["customer_360"] = staged["customer_360"].withColumns({
         "state": F.when(number % 89 == 0, "Nowhere").otherwise(F.col("state")),
@@ -294,6 +309,7 @@ def _damaged_marts(lake: Lake) -> dict[str, DataFrame]:
         stage = scratch_path(spark, f"stage-{name}")
         staged[name].write.option("compression", "zstd").parquet(stage)
         staged[name] = spark.read.schema(staged[name].schema).parquet(stage)
+        lake.drop_written([name])
     return staged
 
 

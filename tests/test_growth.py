@@ -191,3 +191,23 @@ def test_empty_tables_are_zordered(spark, monkeypatch):
     path = scratch_path(spark, "zorder-empty")
     layout.zorder_rewrite(spark.range(0).selectExpr("id", "id as d"), path, ["id", "d"], ["id"], partitions=4)
     assert spark.read.parquet(path).count() == 0 and spark.read.parquet(path).columns == ["id", "d"]
+
+
+def test_jobs_drop_the_tables_they_wrote(own_lake, spark, monkeypatch):
+    seen, plain = {}, Lake.written_once
+
+    def written_once(self, *args):
+        lake = plain(self, *args)
+        seen.update(lake.paths)
+        return lake
+
+    kept = own_lake.written_once(["silver_transactions"])
+    monkeypatch.setattr(Lake, "written_once", written_once)
+    for job, whole in ((jobs.clustered_rewrite, {"silver_transactions"}), (jobs.serving_ledger, {"silver_transactions", "segment_metrics", "dq_results"}),
+                       (jobs.serving_load, {"silver_transactions", *Lake.GOLD, "dq_results"})):
+        seen.clear()
+        job(kept).count()
+        assert len(seen) > 3 and {n for n, p in seen.items() if os.path.exists(p)} == whole
+    seen.clear()
+    jobs.partitioned_overwrite(own_lake).count()
+    assert not os.path.exists(seen["silver_transactions"])
