@@ -194,8 +194,18 @@ def compact(spark: SparkSession, path: str, by: list[str] = (), target_bytes: in
 
     New files are written beside the table (``_compaction``), then moved in, then the small
     ones are deleted.  A failure before the moves leaves the table as it was; readers
-    should not list the table during the moves."""
-    from bankmart.session import delete_folder, run_concurrently
+    should not list the table during the moves.
+
+    The older form ``compact(spark, path, copy, by)`` leaves the table and writes a compacted copy."""
+    from bankmart.session import delete_folder, input_bytes, run_concurrently
+    if isinstance(by, str):
+        copy, columns = by, [] if isinstance(target_bytes, int) else list(target_bytes)
+        files = max(1, -(-input_bytes(spark, [path]) // (TARGET_FILE_BYTES if columns else target_bytes)))
+        if columns:
+            write_partitioned_balanced(spark.read.parquet(path), copy, columns)
+        else:
+            spark.read.parquet(path).repartition(files).write.mode("overwrite").parquet(copy)
+        return files
     beside = f"{path}/_compaction"
     bins: dict[tuple, list[str]] = {}
     for r in compaction_plan(spark, path, target_bytes).collect():     # names of small files only

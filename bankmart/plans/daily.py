@@ -12,9 +12,10 @@ tables of a stage are written as concurrent jobs.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankmart.config import RunConfig, DEFAULT
@@ -23,8 +24,19 @@ from bankmart.operators import quality, scd2, serving, silver
 from bankmart.operators.merge import KeyedTable
 from bankmart.plans.jobs import land_bronze, ledger_rows
 from bankmart.plans.lake import Lake
-from bankmart.session import (committed_subdirs, delete_folder, input_bytes, run_concurrently,
-                              tune_for_input)
+from bankmart.session import (committed_subdirs, delete_folder, input_bytes, partition_values,
+                              run_concurrently, tune_for_input)
+
+MONTH = Lake.MERGED["silver_transactions"][2]
+
+
+def merge_transactions(spark: SparkSession, path: str, new: DataFrame) -> None:
+    """Bring clean rows, one per id, into a transactions table by month; its key index is
+    built if it has none yet."""
+    table = KeyedTable(spark, path, "transaction_id", MONTH)
+    if not partition_values(spark, table.index_path, "home="):
+        table._note(table.read(new.schema), "built", first=True)
+    table.merge(new, f"merge-{uuid.uuid4().hex}")
 
 
 @dataclass
